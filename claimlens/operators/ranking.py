@@ -159,7 +159,7 @@ def rank_quantile_bin(rn, n, q: int):
     rn, n = F.col(rn) if isinstance(rn, str) else rn, F.col(n) if isinstance(n, str) else n
     num = (rn - 1) * q + (n - 2)
     return F.when((rn <= 1) | (n <= 1), F.lit(0).cast("long")).otherwise(
-        F.floor(num / (n - 1)).cast("long") - 1 + F.when(rn > 1, F.lit(0)).otherwise(F.lit(0)))
+        F.floor(num / (n - 1)).cast("long") - 1)
 
 
 def series_position(df: DataFrame, order: str, out: str = "position", descending: bool = False) -> DataFrame:
