@@ -180,7 +180,7 @@ def p16_p17_age_vs_max_year(spark, sf):
 # ----------------------------------------------------------- P18-P23 derived
 
 @query("p18_p21_insurance_features", CTE + """SELECT PolicyID, CoverSeq,
-  round(CASE WHEN TotalPremium = 0 OR TotalPremium IS NULL OR TotalClaims IS NULL THEN NULL ELSE least(greatest(TotalClaims / (TotalPremium + 1e-10), 0), 10) END, 6) AS LossRatio,
+  round(CASE WHEN TotalPremium = 0 OR TotalPremium IS NULL OR TotalClaims IS NULL THEN NULL ELSE least(greatest(TotalClaims / (TotalPremium + 1e-10), 0), 10) END, 6) + 0.0 AS LossRatio,
   round(CalculatedPremiumPerTerm / (SumInsured + 1e-10), 8) AS PremiumRate,
   CAST(coalesce(TotalClaims > 0, false) AS BIGINT) AS HasClaim, CAST(coalesce(TotalClaims > 0, false) AS BIGINT) AS ClaimIndicator,
   round(ln(1 + CASE WHEN TotalPremium IS NULL THEN NULL ELSE greatest(TotalPremium, 0) END), 6) AS Log_TotalPremium, round(ln(1 + CASE WHEN TotalClaims IS NULL THEN NULL ELSE greatest(TotalClaims, 0) END), 6) AS Log_TotalClaims,

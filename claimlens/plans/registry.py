@@ -29,7 +29,8 @@ def finish(df: DataFrame, digits: dict | None = None, default: int = 6) -> DataF
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-            c = F.round(c.cast("double"), digits.get(f.name, default))
+            # + 0.0 turns -0.0 into 0.0 so value hashes agree across engines
+            c = F.round(c.cast("double"), digits.get(f.name, default)) + F.lit(0.0)
         elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
             c = c.cast("bigint")
         out.append(c.alias(f.name))
