@@ -142,15 +142,15 @@ def row_number_global(df: DataFrame, order: Sequence[str], by: Sequence[str] = (
     p = p.join(sizes, on=by, how="left") if by else p.crossJoin(F.broadcast(sizes))
     if unique:
         return p.withColumn(out, F.col("_before") + 1).drop(_W, "_before")
-    small = p.where(F.col(_W) <= CHUNK).withColumn("_i", F.explode(F.sequence(F.lit(0).cast("long"), F.col(_W) - 1)))
+    small = p.where(F.col(_W) <= CHUNK).withColumn("_k", F.explode(F.sequence(F.lit(0).cast("long"), F.col(_W) - 1)))
     big = (p.where(F.col(_W) > CHUNK)
              .withColumn("_c", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(_W) - 1) / CHUNK))))
              .repartition(F.xxhash64(*[F.col(c) for c in cols], F.col("_c")))
-             .withColumn("_i", F.explode(F.sequence(F.col("_c") * CHUNK,
+             .withColumn("_k", F.explode(F.sequence(F.col("_c") * CHUNK,
                                                     F.least(F.col("_c") * CHUNK + CHUNK, F.col(_W)) - 1)))
              .drop("_c"))
     e = small.unionByName(big)
-    return e.withColumn(out, F.col("_before") + F.col("_i") + 1).drop(_W, "_before", "_i")
+    return e.withColumn(out, F.col("_before") + F.col("_k") + 1).drop(_W, "_before", "_k")
 
 
 def rank_quantile_bin(rn, n, q: int):
