@@ -33,6 +33,9 @@ def get_session(master: str | None = None, app: str = "claimlens",
     if master:
         b = b.master(master)
     conf = dict(DEFAULT_CONF)
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor
+        conf["spark.driver.memory"] = "16g"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -68,8 +71,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}{sep}{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df):
+    """Cut lineage with a reliable checkpoint written under ``spark.checkpoint.dir``
+    (shared storage on a cluster, so a lost executor does not lose it). Used
+    between stages of long compositions whose scalar statistics would otherwise
+    replay the whole upstream plan."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def is_local_path(p: str) -> bool:
     return p.startswith("/") or p.startswith("file:")
 
 
-__all__ = ["get_session", "checkpoint_dir", "scratch_path", "is_local_path"]
+__all__ = ["get_session", "checkpoint_dir", "scratch_path", "is_local_path", "materialize"]
