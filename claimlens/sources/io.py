@@ -81,8 +81,10 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 def read_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame], fmt: str = "parquet") -> DataFrame:
     """Use the materialised result when present, else build, write and re-read
     (the write cuts lineage: later jobs read the table, not the plan)."""
+    ext = {"parquet": ".parquet", "csv": ".csv", "json": ".json"}[fmt]
+    path = path if path.endswith(ext) else path + ext
     if not path_exists(spark, path):
-        write_table(build(), path, fmt=fmt, mode="ignore")
+        path = write_table(build(), path, fmt=fmt, mode="ignore")
     return spark.read.format(fmt).load(path) if fmt != "csv" else read_prepared_csv(spark, path, sep="|")
 
 
