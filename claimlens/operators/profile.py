@@ -310,12 +310,19 @@ def _corr_expr(a: str, b: str):
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Long-form Pearson matrix (col_a, col_b, r) for every ordered pair, one
-    aggregate for all pairs; undefined -> null."""
-    pairs = [(a, b) for a in cols for b in cols]
-    agg = df.agg(*[_corr_expr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)])
-    parts = ", ".join(f"'{a}', '{b}', `r{i}`" for i, (a, b) in enumerate(pairs))
-    return agg.select(F.expr(f"stack({len(pairs)}, {parts}) as (col_a, col_b, r)"))
+    """Long-form Pearson matrix (col_a, col_b, r) for every ordered pair.
+    One aggregate computes the upper triangle only (r is symmetric); the
+    diagonal is 1 for a non-constant column; undefined -> null."""
+    cols = list(cols)
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
+    agg = df.agg(*[_corr_expr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)],
+                 *[F.stddev_samp(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(cols)])
+    items = []
+    for i, (a, b) in enumerate(pairs):
+        items += [f"'{a}', '{b}', `r{i}`", f"'{b}', '{a}', `r{i}`"]
+    for i, c in enumerate(cols):
+        items.append(f"'{c}', '{c}', CASE WHEN `s{i}` > 0 THEN 1.0D END")
+    return agg.select(F.expr(f"stack({len(items)}, {', '.join(items)}) as (col_a, col_b, r)"))
 
 
 def strong_pairs(corr: DataFrame, threshold: float = 0.5) -> DataFrame:

@@ -21,7 +21,7 @@ def _pol(spark, sf):
     return policy_view(spark, sf)
 
 
-DESC_DIGITS = {"mean": 4, "std": 2, "min": 4, "q25": 4, "q50": 4, "q75": 4, "max": 4, "skewness": 6,
+DESC_DIGITS = {"mean": 4, "std": 2, "min": 4, "q25": 6, "q50": 6, "q75": 6, "max": 4, "skewness": 6,
                "kurtosis": 5, "zeros_pct": 6}
 
 
@@ -29,8 +29,8 @@ def _desc_sql(cols):
     parts = []
     for c in cols:
         parts.append(f"""SELECT '{c}' AS "column", count({c}) AS count, round(avg({c}), 4) AS mean, round(stddev_samp({c}), 2) AS std,
-  round(min({c}), 4) AS min, round(quantile_cont({c}, 0.25), 4) AS q25, round(quantile_cont({c}, 0.5), 4) AS q50,
-  round(quantile_cont({c}, 0.75), 4) AS q75, round(max({c}), 4) AS max, round(skewness({c}), 6) AS skewness,
+  round(min({c}), 4) AS min, round(quantile_cont({c}, 0.25), 6) AS q25, round(quantile_cont({c}, 0.5), 6) AS q50,
+  round(quantile_cont({c}, 0.75), 6) AS q75, round(max({c}), 4) AS max, round(skewness({c}), 6) AS skewness,
   round(kurtosis({c}), 5) AS kurtosis, count_if({c} = 0) AS zeros, round(count_if({c} = 0) * 100.0 / count(*), 6) AS zeros_pct FROM policy""")
     return CTE + "\nUNION ALL\n".join(parts)
 
@@ -41,32 +41,34 @@ def a10_a11_describe(spark, sf):
 
 
 @query("a40_distribution_stats", CTE + "SELECT * FROM (" + "\nUNION ALL\n".join(
-    f"""SELECT '{c}' AS "column", round(avg({c}), 4) AS mean, round(median({c}), 4) AS median, round(stddev_samp({c}), 2) AS std,
+    f"""SELECT '{c}' AS "column", round(avg({c}), 4) AS mean, round(median({c}), 6) AS median, round(stddev_samp({c}), 2) AS std,
   round(skewness({c}), 6) AS skewness, count({c}) AS count FROM policy HAVING count({c}) > 10 AND stddev_samp({c}) > 0""" for c in NUM) + ")")
 def a40_distribution_stats(spark, sf):
-    return finish(P.distribution_stats(_pol(spark, sf), NUM), {"mean": 4, "median": 4, "std": 2, "skewness": 6})
+    return finish(P.distribution_stats(_pol(spark, sf), NUM), {"mean": 4, "median": 6, "std": 2, "skewness": 6})
 
 
 @query("a12_claim_distribution", CTE + """SELECT count(*) AS n_rows, count_if(TotalClaims > 0) AS n_claims,
   round(count_if(TotalClaims > 0) * 100.0 / count(*), 6) AS claim_pct,
   round(min(CASE WHEN TotalClaims > 0 THEN TotalClaims END), 4) AS min_claim, round(max(CASE WHEN TotalClaims > 0 THEN TotalClaims END), 4) AS max_claim,
-  round(avg(CASE WHEN TotalClaims > 0 THEN TotalClaims END), 4) AS mean_claim, round(median(CASE WHEN TotalClaims > 0 THEN TotalClaims END), 4) AS median_claim,
+  round(avg(CASE WHEN TotalClaims > 0 THEN TotalClaims END), 4) AS mean_claim, round(median(CASE WHEN TotalClaims > 0 THEN TotalClaims END), 6) AS median_claim,
   round(stddev_pop(CASE WHEN TotalClaims > 0 THEN TotalClaims END), 2) AS std_claim FROM policy""")
 def a12_claim_distribution(spark, sf):
-    return finish(P.claim_distribution(_pol(spark, sf)), {"claim_pct": 6, "std_claim": 2}, default=4)
+    return finish(P.claim_distribution(_pol(spark, sf)), {"claim_pct": 6, "std_claim": 2, "median_claim": 6}, default=4)
 
 
 @query("a13_claim_summary", CTE + """, c AS (SELECT * FROM policy WHERE TotalClaims > 0)
 SELECT count(*) AS n_rows, round(sum(TotalClaims), 2) AS claims_sum, round(avg(TotalClaims), 4) AS claims_mean,
-  round(median(TotalClaims), 4) AS claims_median, round(stddev_samp(TotalClaims), 2) AS claims_std,
-  round(quantile_cont(TotalClaims, 0.25), 4) AS p25, round(quantile_cont(TotalClaims, 0.5), 4) AS p50,
-  round(quantile_cont(TotalClaims, 0.75), 4) AS p75, round(quantile_cont(TotalClaims, 0.9), 4) AS p90,
-  round(quantile_cont(TotalClaims, 0.95), 4) AS p95, round(quantile_cont(TotalClaims, 0.99), 4) AS p99,
+  round(median(TotalClaims), 6) AS claims_median, round(stddev_samp(TotalClaims), 2) AS claims_std,
+  round(quantile_cont(TotalClaims, 0.25), 6) AS p25, round(quantile_cont(TotalClaims, 0.5), 6) AS p50,
+  round(quantile_cont(TotalClaims, 0.75), 6) AS p75, round(quantile_cont(TotalClaims, 0.9), 6) AS p90,
+  round(quantile_cont(TotalClaims, 0.95), 6) AS p95, round(quantile_cont(TotalClaims, 0.99), 6) AS p99,
   round(sum(TotalPremium), 2) AS premium_sum, round(avg(TotalPremium), 4) AS premium_mean,
   round(sum(TotalClaims) / sum(TotalPremium) * 100, 6) AS loss_ratio_pct FROM c""")
 def a13_claim_summary(spark, sf):
     d = C.claims_filter(_pol(spark, sf), "positive")
-    return finish(P.claim_summary(d), {"claims_sum": 2, "premium_sum": 2, "claims_std": 2, "loss_ratio_pct": 6}, default=4)
+    return finish(P.claim_summary(d), {"claims_sum": 2, "premium_sum": 2, "claims_std": 2, "loss_ratio_pct": 6,
+                                       "claims_median": 6, "p25": 6, "p50": 6, "p75": 6, "p90": 6, "p95": 6, "p99": 6},
+                  default=4)
 
 
 MISS_COLS = ["Gender", "SumInsured", "cubiccapacity", "Province", "TotalClaims"]
@@ -153,12 +155,13 @@ def a25_density_2d(spark, sf):
 @query("a26_box_stats_by_cover", CTE + """, q AS (SELECT CoverType, quantile_cont(TotalPremium, 0.25) AS q1, quantile_cont(TotalPremium, 0.5) AS median,
   quantile_cont(TotalPremium, 0.75) AS q3, min(TotalPremium) AS mn, max(TotalPremium) AS mx FROM policy WHERE TotalPremium IS NOT NULL AND CoverType IS NOT NULL GROUP BY CoverType),
 j AS (SELECT p.TotalPremium AS v, q.* FROM policy p JOIN q ON p.CoverType = q.CoverType WHERE p.TotalPremium IS NOT NULL)
-SELECT 'TotalPremium' AS "column", CoverType, round(q1, 4) AS q1, round(median, 4) AS median, round(q3, 4) AS q3, round(q3 - q1, 4) AS iqr,
+SELECT 'TotalPremium' AS "column", CoverType, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3, round(q3 - q1, 6) AS iqr,
   round(min(CASE WHEN v >= q1 - 1.5 * (q3 - q1) THEN v END), 4) AS whisker_low, round(max(CASE WHEN v <= q3 + 1.5 * (q3 - q1) THEN v END), 4) AS whisker_high,
   count_if(v < q1 - 1.5 * (q3 - q1) OR v > q3 + 1.5 * (q3 - q1)) AS n_outliers
 FROM j GROUP BY CoverType, q1, median, q3, mn, mx HAVING mx > mn""")
 def a26_box_stats_by_cover(spark, sf):
-    return finish(P.box_stats(_pol(spark, sf), ["TotalPremium"], by="CoverType"), default=4)
+    return finish(P.box_stats(_pol(spark, sf), ["TotalPremium"], by="CoverType"),
+                  {"q1": 6, "median": 6, "q3": 6, "iqr": 6}, default=4)
 
 
 OUT_COLS = ["TotalPremium", "TotalClaims", "SumInsured", "CalculatedPremiumPerTerm"]
@@ -167,10 +170,10 @@ OUT_COLS = ["TotalPremium", "TotalClaims", "SumInsured", "CalculatedPremiumPerTe
 @query("a27_iqr_outliers", CTE + "\nUNION ALL\n".join(
     f"""SELECT '{c}' AS "column", count_if({c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1)) AS outliers,
   round(count_if({c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1)) * 100.0 / count({c}), 6) AS outlier_pct,
-  round(q1, 4) AS "Q1", round(q3, 4) AS "Q3", round(q3 - q1, 4) AS "IQR"
+  round(q1, 6) AS "Q1", round(q3, 6) AS "Q3", round(q3 - q1, 6) AS "IQR"
 FROM policy, (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM policy) GROUP BY q1, q3""" for c in OUT_COLS))
 def a27_iqr_outliers(spark, sf):
-    return finish(P.iqr_outliers(_pol(spark, sf), OUT_COLS), {"outlier_pct": 6}, default=4)
+    return finish(P.iqr_outliers(_pol(spark, sf), OUT_COLS), {"outlier_pct": 6}, default=6)
 
 
 @query("a28_outlier_impact", CTE + """, q AS (SELECT quantile_cont(CalculatedPremiumPerTerm, 0.25) AS q1, quantile_cont(CalculatedPremiumPerTerm, 0.75) AS q3,
