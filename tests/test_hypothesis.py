@@ -19,7 +19,7 @@ def test_chi_square_yates(spark):
     assert math.isclose(r["statistic"], 16.578482, abs_tol=1e-6)
     k2 = H.chi_square_k2(df, "g", "y", min_count=1).first()
     assert math.isclose(k2["statistic"], 16.578482, abs_tol=1e-6) and k2["dof"] == 1
-    assert math.isclose(r["p_value"], D.chi2_sf(16.578482, 1), rel_tol=1e-9)
+    assert math.isclose(r["p_value"], D.chi2_sf(r["statistic"], 1), rel_tol=1e-9)
     nocorr = H.chi_square_k2(df, "g", "y", min_count=1, yates=False).first()
     assert math.isclose(nocorr["statistic"], 18.726190, abs_tol=1e-6)
 
@@ -34,9 +34,10 @@ def test_anova_and_tukey(spark):
     rows = [(g, float(v)) for g, vs in groups.items() for v in vs]
     df = spark.createDataFrame(rows, "g string, x double")
     r = H.anova(df, "g", "x").first()
-    # 'd' has 4 values < min_per_group = 5 and is dropped: F(2, 12) = 15.5
-    assert r["n_groups"] == 3 and math.isclose(r["statistic"], 15.5, rel_tol=1e-9)
-    assert math.isclose(r["p_value"], D.f_sf(15.5, 2, 12), rel_tol=1e-9)
+    # 'd' has 4 values < min_per_group = 5 and is dropped: SSB 70, SSW 30 -> F(2, 12) = 14
+    assert r["n_groups"] == 3 and math.isclose(r["statistic"], 14.0, rel_tol=1e-9)
+    assert math.isclose(r["effect_size"], 0.7, rel_tol=1e-9)
+    assert math.isclose(r["p_value"], D.f_sf(14.0, 2, 12), rel_tol=1e-9)
     pairs = H.tukey_hsd(df, "g", "x").collect()
     assert len(pairs) == 3 and all(0 <= p["p_value"] <= 1 for p in pairs)
 
