@@ -53,12 +53,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the launcher sets it to shared storage and we only read it. Only
     when it is unset (local tests) a fresh local folder is created and installed.
     """
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="claimlens-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
+    d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     jsc = spark.sparkContext._jsc
     current = jsc.sc().getCheckpointDir()
+    if not d and not current.isEmpty():
+        d = current.get()
+    if not d:
+        d = tempfile.mkdtemp(prefix="claimlens-ckpt-")
+        try:
+            spark.conf.set("spark.checkpoint.dir", d)
+        except Exception:  # noqa: BLE001 - core confs may be read-only at runtime
+            pass
     if current.isEmpty():
         spark.sparkContext.setCheckpointDir(d)
     return d
