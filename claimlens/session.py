@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -16,8 +18,6 @@ DEFAULT_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # Stage-level retries so that a lost executor re-runs only its tasks.
-    "spark.task.maxFailures": "4",
 }
 
 
@@ -35,7 +35,7 @@ def get_session(master: str | None = None, app: str = "claimlens",
     conf = dict(DEFAULT_CONF)
     if master and master.startswith("local"):
         # local mode: the driver JVM is the only executor
-        conf["spark.driver.memory"] = "16g"
+        conf["spark.driver.memory"] = "8g"  # leaves room for the Python workers
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -43,10 +43,28 @@ def get_session(master: str | None = None, app: str = "claimlens",
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     checkpoint_dir(spark)
     return spark
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so that they can
+    import it from any working folder and on any machine."""
+    sc = spark.sparkContext
+    if getattr(sc, "_claimlens_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(tempfile.mkdtemp(prefix="claimlens-code-"), "claimlens.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(root):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    z.write(os.path.join(folder, n), os.path.join("claimlens", os.path.relpath(os.path.join(folder, n), root)))
+    sc.addPyFile(path)
+    sc._claimlens_shipped = True
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
@@ -59,6 +77,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if not d and not current.isEmpty():
         d = current.get()
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is unset: on a cluster it must name a folder that the driver "
+                               "and all executors share")
         d = tempfile.mkdtemp(prefix="claimlens-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", d)
@@ -85,8 +106,4 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
-def is_local_path(p: str) -> bool:
-    return p.startswith("/") or p.startswith("file:")
-
-
-__all__ = ["get_session", "checkpoint_dir", "scratch_path", "is_local_path", "materialize"]
+__all__ = ["get_session", "checkpoint_dir", "scratch_path", "ship_package", "materialize"]
