@@ -28,6 +28,12 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def scratch_uri(spark: SparkSession, name: str) -> str:
+    """A fresh folder below ``spark.checkpoint.dir`` for files that tasks write, as a URI."""
+    path = scratch_path(spark, name)
+    return path if path.split("/")[0].endswith(":") else f"file://{path}"
+
+
 def ascii_lower(c: Column) -> Column:
     return F.translate(c, _UPPER, _LOWER)
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.llm import exact_dedup, langid, mixing, sharding, tokens_bin
-from claimlens.llm.common import table
+from claimlens.llm import exact_dedup, langid, mixing, sharding, suffix_dedup, superkmer_dedup, tokens_bin, warc
+from claimlens.llm.common import scratch_uri, table
 
 QUERIES, ORACLES = {}, {}
 
@@ -39,11 +39,31 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token files of ``documents``, written and read back."""
     import public_tokenizers
-    path = tokens_bin.token_root(spark)
+    path = scratch_uri(spark, "tokens")
     manifest = tokens_bin.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
     return tokens_bin.read_tokens(manifest, path)
 
 
+@_query("op6_warc")
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An archive of ``pages``, written and read back."""
+    path = scratch_uri(spark, "warc")
+    manifest = warc.write_warc(table(spark, sf_dir, "pages"), path)
+    return warc.read_warc(manifest, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@_query("op7_suffix_dedup")
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of ``documents`` that 50-byte strings of earlier documents cover."""
+    return suffix_dedup.suffix_dedup(table(spark, sf_dir, "documents"))
+
+
+@_query("op8_substring_dedup")
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of ``documents`` that 50-word windows of earlier documents cover."""
+    return superkmer_dedup.substring_dedup(table(spark, sf_dir, "documents"))
+
+
 @_query("op9_language_id")
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from the rows that are not held out."""
