@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.llm import exact_dedup, langid, mixing, sharding, suffix_dedup, superkmer_dedup, tokens_bin, warc
+from claimlens.llm import decontam, exact_dedup, langid, mixing, ngram_join, sharding, suffix_dedup, superkmer_dedup, tokens_bin, warc
 from claimlens.llm.common import scratch_uri, table
 
 QUERIES, ORACLES = {}, {}
@@ -29,6 +29,18 @@ def op1_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(table(spark, sf_dir, "documents"))
 
 
+@_query("op2_ngram_join")
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of ``documents`` by Jaccard similarity 0.85 of 4-word n-grams."""
+    return ngram_join.jaccard_components(table(spark, sf_dir, "documents"), width=4, percent=85).select("doc_id", "n_shingles", "component_id")
+
+
+@_query("op3_decontamination")
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of ``benchmark`` in ``documents``, with substituted words."""
+    return decontam.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @_query("op4_mixing", mixing.oracle_sql())
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``documents`` mixed to the sources' target weights."""
