@@ -28,6 +28,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """Columns named by position (``_0``, ``_1``, ...), so that they clash with no other."""
+    return df.toDF(*[f"_{i}" for i in range(len(df.columns))])
+
+
+def named_as(rows: DataFrame, df: DataFrame) -> DataFrame:
+    """The numbered columns of ``rows`` under their names in ``df``."""
+    return rows.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(df.columns)])
+
+
 def scratch_uri(spark: SparkSession, name: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir`` for files that tasks write, as a URI."""
     path = scratch_path(spark, name)

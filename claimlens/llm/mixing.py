@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimlens.llm.common import n_words, staged
+from claimlens.llm.common import n_words, named_as, numbered, staged
 
 LEVELS, DIGITS = 5, 3  # five levels of three hex digits (12 bits) each
 
@@ -98,10 +98,9 @@ def take_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     """The mixed documents themselves, with the columns of ``docs``: a document is
     repeated as often as the mix takes it and left out where it is not taken. Rows of one id
     must agree on the source; otherwise the id's largest count holds."""
-    plan = mix_sources(docs, id_col, text_col, source_col, **kw).groupBy(F.col("doc_id").alias("_mix_id")).agg(F.max("times").alias("_mix_n"))
-    cols = [F.col(c) for c in docs.columns]
-    both = docs.join(plan.where("_mix_n > 0"), F.col(id_col).cast("long").eqNullSafe(F.col("_mix_id")))
-    return both.withColumn("_mix_i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_mix_n")))).select(*cols)
+    plan = mix_sources(docs, id_col, text_col, source_col, **kw).groupBy("doc_id").agg(F.max("times").alias("times"))
+    both = numbered(docs).join(plan.where("times > 0"), F.col(f"_{docs.columns.index(id_col)}").cast("long").eqNullSafe(F.col("doc_id")))
+    return named_as(both.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), F.col("times")))), docs)
 
 
 def oracle_sql(weights: tuple[float, ...] = (5.0, 2.0, 1.0), limit: float = 3.0, seed: str = "mix") -> str:

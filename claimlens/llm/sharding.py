@@ -2,11 +2,12 @@
 
 Copies of one text form a group that must not be divided. Groups are dealt into cells by
 hash. In every cell the differencing method runs over its groups: the state is a
-set of partial partitions (``shards`` subset sums each, with the groups behind them); the two
+set of partial partitions (``pieces`` subset sums each, with the groups behind them); the two
 with the largest spread are combined in opposite order, again and again, until one is
-left. What leaves a cell is that one partial partition: its subset sums. The cells' partial
-partitions are then differenced the same way, on ``cells x shards`` sums, which is bounded
-by the two parameters whatever the size of the data.
+left. What leaves a cell is that one partial partition: its subset sums. These pieces, and every
+group larger than 1 / ``LARGE`` of a shard, are then differenced into shards the same
+way. Their number is bounded by the parameters (``cells x pieces + shards x LARGE``), whatever the
+size of the data, and small pieces leave room beside a hot group.
 
 Defined results: a null text counts as an empty text of no bytes; equal texts (nulls
 included) share a shard; repeated rows are separate rows of one group; a group larger than
@@ -26,6 +27,10 @@ from pyspark.sql import functions as F
 from claimlens.llm.common import staged
 
 
+#: Groups of more than this part of a shard's share are placed one by one.
+LARGE = 32
+
+
 def difference(partials: list[tuple[int, ...]]) -> tuple[tuple[int, ...], list[list[int]]]:
     """Karmarkar-Karp over partial partitions given as equally long tuples of subset
     sums. Returns the sums of the final partition (descending) and, for every input, the
@@ -73,7 +78,7 @@ def _difference_sizes(sizes: np.ndarray, k: int) -> np.ndarray:
 
 
 def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shards: int = 24,
-                    cells: int = 64, overhead: int = 8) -> DataFrame:
+                    cells: int = 64, pieces: int = 96, overhead: int = 8) -> DataFrame:
     """One row per document: ``doc_id, size, text_crc32, law, shard, slot, grown_shard``.
 
     ``size`` is the UTF-8 length plus ``overhead``. Under the law ``bytes`` the sums of
@@ -88,21 +93,23 @@ def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def solve(key, part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["bytes", "_text"], ascending=[False, True], ignore_index=True)
-        return part.assign(subset=_difference_sizes(part["bytes"].to_numpy(), shards))
-
-    groups = (rows.groupBy("_text").agg(F.sum("size").alias("bytes"))
-              .withColumn("cell", F.pmod(F.xxhash64("_text"), F.lit(cells)).cast("int")))
-    groups = staged(groups.groupBy("cell").applyInPandas(solve, "_text binary, bytes long, cell int, subset int"), "cells")
-    # cells x shards sums at most
-    sums = groups.groupBy("cell", "subset").agg(F.sum("bytes").alias("bytes")).collect()
-    per = {}
-    for r in sums:
-        per.setdefault(r["cell"], [0] * shards)[r["subset"]] = r["bytes"]
-    order = sorted(per)
-    placed = difference([tuple(per[c]) for c in order])[1] if order else []
+        return part.assign(subset=_difference_sizes(part["bytes"].to_numpy(), pieces))
+
+    groups = staged(rows.groupBy("_text").agg(F.sum("size").alias("bytes")), "groups")
+    total = groups.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    is_large = F.col("bytes") * (shards * LARGE) > total
+    large = groups.where(is_large).collect()  # at most shards x LARGE
+    large.sort(key=lambda r: (-r["bytes"], bytes(r["_text"])))
+    small = groups.where(~is_large).withColumn("cell", F.pmod(F.xxhash64("_text"), F.lit(cells)).cast("int"))
+    small = staged(small.groupBy("cell").applyInPandas(solve, "_text binary, bytes long, cell int, subset int"), "cells")
+    # at most cells x pieces sums
+    sums = small.groupBy("cell", "subset").agg(F.sum("bytes").alias("bytes")).orderBy("cell", "subset").collect()
+    items = [(r["bytes"], r["cell"], r["subset"]) for r in sums] + [(r["bytes"], -1 - i, 0) for i, r in enumerate(large)]
+    placed = _difference_sizes(np.array([i[0] for i in items]), shards).tolist() if items else []
     spark = docs.sparkSession
-    plan = spark.createDataFrame([(c, j, s) for c, own in zip(order, placed) for j, s in enumerate(own)],
-                                 "cell int, subset int, shard int")
+    plan = spark.createDataFrame([(c, j, s) for (_, c, j), s in zip(items, placed)], "cell int, subset int, shard int")
+    alone = spark.createDataFrame([(r["_text"], -1 - i, 0) for i, r in enumerate(large)], "_text binary, cell int, subset int")
+    groups = small.select("_text", "cell", "subset").unionByName(alone)
     out = staged(rows.join(groups.join(F.broadcast(plan), ["cell", "subset"]).select("_text", "shard"), "_text")
                  .withColumn("_cell", F.pmod(F.xxhash64("doc_id"), F.lit(cells)).cast("int")), "sharded")
     counts = out.groupBy("shard", "_cell").agg(F.count(F.lit(1)).alias("_n"))

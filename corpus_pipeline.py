@@ -16,44 +16,36 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimlens.llm import decontam, langid, mixing, ngram_join, sharding
-from claimlens.llm.common import staged, table
+from claimlens.llm.common import named_as, numbered, staged, table
 
 #: Near duplicates: Jaccard similarity of at least 0.8 of five-word n-grams.
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    """Columns named by position, so that they clash with no result column."""
-    return docs.toDF(*[f"_{i}" for i in range(len(docs.columns))])
-
-
-def _named(rows: DataFrame, docs: DataFrame) -> DataFrame:
-    return rows.select(*[F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)])
-
-
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language; those that the identifier rejects go."""
     model = langid.train(docs.where(langid.is_training(F.col("doc_id"))))
-    rows = _numbered(docs)
+    rows = numbered(docs)
     text = rows.columns[docs.columns.index("text")]
-    return _named(langid.identify(rows, model, text_col=text).where("NOT rejected"), docs)
+    return named_as(langid.identify(rows, model, text_col=text).where("NOT rejected"), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of every component of near duplicates."""
     found = ngram_join.jaccard_components(docs.select("doc_id", "text"), width=NEAR_WORDS, percent=NEAR_PERCENT)
-    stay = found.where("kept").select(F.col("doc_id").alias("_stay")).distinct()
-    rows = docs.join(stay, F.col("doc_id").cast("long").eqNullSafe(F.col("_stay")), "left_semi")
-    nth = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    return rows.select("*", nth.alias("_nth")).where("_nth = 1 OR doc_id IS NULL").select(*docs.columns)
+    stay = found.where("kept").select(F.col("doc_id").alias("stay")).distinct()
+    doc_id, text = (F.col(f"_{docs.columns.index(c)}") for c in ("doc_id", "text"))
+    rows = numbered(docs).join(stay, doc_id.cast("long").eqNullSafe(F.col("stay")), "left_semi")
+    nth = F.row_number().over(Window.partitionBy(doc_id).orderBy(text))
+    return named_as(rows.withColumn("nth", nth).where((F.col("nth") == 1) | doc_id.isNull()), docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
-    rows = _numbered(docs)
+    rows = numbered(docs)
     text = rows.columns[docs.columns.index("text")]
     found = decontam.find_leaks(rows, table(spark, sf_dir, "benchmark"), text_col=text, keep=rows.columns)
-    return _named(found.where("NOT contaminated"), docs)
+    return named_as(found.where("NOT contaminated"), docs)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
