@@ -6,18 +6,18 @@ rank is built the way ``zipWithIndex`` does it, in DataFrame terms:
 1. collapse the rows to distinct sort keys with a weight (a hash aggregate with a
    map-side combine, so a value or a group of copies holding a third of all rows
    becomes one weighted row before any shuffle);
-2. range-partition the distinct keys (``repartitionByRange``) and sort within
-   partitions — the partitions are ordered and balanced by sampled bounds;
+2. range-partition the distinct keys (``repartitionByRange``), sort within
+   partitions, and store the rows with their partition number by a reliable
+   checkpoint: range bounds are sampled anew by every run of the exchange, so the
+   two uses below must read the same stored rows;
 3. an Arrow-batched ``mapInArrow`` pass computes, inside each partition, the
-   weight of earlier rows of the same group (per-partition imperative logic, the
-   one place Python runs);
-4. a per-partition summary (one row per partition: first group, last group, the
-   last group's weight) gives each partition's carry-in offset; that table is
-   bounded by the partition count, so broadcasting it is safe;
+   weight of earlier rows of the same group (running sums over whole columns);
+4. a per-partition summary (first group, last group, the last group's weight) gives
+   each partition's carry-in by a running sum per group over two rows a partition;
+   that table is bounded by the partition count, so broadcasting it is safe;
 5. rank = carry-in + local offset + 1.
 
-Exact copies are expanded back to rows at the end; a copy group larger than
-``CHUNK`` rows is spread over tasks before expansion.
+Exact copies are expanded back to rows at the end, dealt out in runs of ``CHUNK``.
 """
 
 from __future__ import annotations
@@ -26,10 +26,13 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from claimlens.session import materialize
+
 CHUNK = 1 << 20
 _W, _PID, _BEFORE, _FIRST = "_w", "_pid", "_local_before", "_is_first_grp"
 
@@ -42,62 +45,78 @@ def _num_partitions(df: DataFrame, n: int | None) -> int:
 
 def _local_prefix_fn(group_cols: list[str], weight: str):
     """Build the mapInArrow function: exclusive running weight within a group."""
+    def changes(column) -> np.ndarray:
+        """Whether each value differs from the one before it (nulls are equal)."""
+        code = pc.dictionary_encode(column, null_encoding="encode").indices.to_numpy(zero_copy_only=False)
+        return code[1:] != code[:-1]
+
     def fn(batches):
-        prev_key = None
-        running = 0
-        first_key = None
+        last_key, running, first_group = None, 0, True
         for b in batches:
             n = b.num_rows
             if n == 0:
                 continue
             w = b.column(weight).to_numpy(zero_copy_only=False).astype(np.int64)
-            keys = list(zip(*[b.column(g).to_pylist() for g in group_cols])) if group_cols else [()] * n
-            before = np.empty(n, dtype=np.int64)
-            is_first = np.empty(n, dtype=bool)
-            for i in range(n):
-                k = keys[i]
-                if first_key is None:
-                    first_key = k
-                if k != prev_key:
-                    prev_key = k
-                    running = 0
-                before[i] = running
-                running += int(w[i])
-                is_first[i] = k == first_key
+            new = np.zeros(n, dtype=bool)
+            for g in group_cols:
+                new[1:] |= changes(b.column(g))
+            key = tuple(b.column(g)[0].as_py() for g in group_cols)
+            goes_on = last_key is None or key == last_key
+            new[0] = not goes_on
+            sums = np.cumsum(w) - w
+            start = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+            before = sums - sums[start]
+            cut = int(np.argmax(new)) if new.any() else n
+            if goes_on:
+                before[:cut] += running
+            is_first = np.zeros(n, dtype=bool)
+            if first_group:
+                is_first[:cut] = True
+            first_group = first_group and cut == n
+            last_key, running = tuple(b.column(g)[n - 1].as_py() for g in group_cols), int(before[-1] + w[-1])
             yield b.append_column(_BEFORE, pa.array(before, pa.int64())) \
                    .append_column(_FIRST, pa.array(is_first, pa.bool_()))
     return fn
 
 
+def _ranged(d: DataFrame, by: list[str], order: list[str], num_partitions: int | None) -> DataFrame:
+    """Stored rows in key order with their partition number."""
+    keys = [F.col(k).asc_nulls_first() for k in by + order]
+    n = _num_partitions(d, num_partitions)
+    return materialize(d.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn(_PID, F.spark_partition_id()))
+
+
 def prefix_weights(d: DataFrame, by: Sequence[str], order: Sequence[str], weight: str = _W,
-                   num_partitions: int | None = None) -> DataFrame:
+                   num_partitions: int | None = None, group_size: str | None = None) -> DataFrame:
     """For a table of DISTINCT (by, order) keys with a weight column, add
-    ``_before`` = total weight of rows earlier in the same ``by`` group."""
+    ``_before`` = total weight of rows earlier in the same ``by`` group and, as
+    ``group_size``, the group's total weight. Eager: the sorted rows are stored."""
     by, order = list(by), list(order)
-    keys = by + order
-    gcols = by if by else ["_g0"]
-    if not by:
-        d = d.withColumn("_g0", F.lit(0))
-    n = _num_partitions(d, num_partitions)
-    ranged = (d.repartitionByRange(n, *[F.col(k).asc_nulls_first() for k in keys])
-                .sortWithinPartitions(*[F.col(k).asc_nulls_first() for k in keys])
-                .withColumn(_PID, F.spark_partition_id()))
+    ranged = _ranged(d, by, order, num_partitions)
+    g = F.struct(*[F.col(k) for k in by]) if by else F.struct(F.lit(0).alias("_g0"))
+    ends = ranged.groupBy(_PID).agg(F.min(g).alias("first_g"), F.max(g).alias("last_g"))
+    weights = ranged.groupBy(_PID, g.alias("_g")).agg(F.sum(weight).alias("_n"))
+    last = weights.join(F.broadcast(ends), _PID).where(F.col("_g") == F.col("last_g")).select(_PID, F.col("last_g").alias("_g"), F.col("_n"), F.lit(1).alias("_kind"))
+    asked = ends.select(_PID, F.col("first_g").alias("_g"), F.lit(0).cast("long").alias("_n"), F.lit(0).alias("_kind"))
+    run = Window.partitionBy("_g").orderBy(_PID, "_kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    carry = (asked.unionByName(last).withColumn("_carry", F.sum("_n").over(run)).where("_kind = 0").select(_PID, "_carry"))
     schema = T.StructType(ranged.schema.fields + [T.StructField(_BEFORE, T.LongType(), False),
                                                   T.StructField(_FIRST, T.BooleanType(), False)])
-    local = ranged.mapInArrow(_local_prefix_fn(gcols, weight), schema)
-    gstruct = F.struct(*[F.col(g) for g in gcols])
-    kstruct = F.struct(*[F.col(k) for k in gcols + order])
-    # One row per partition: a proven size bound for the broadcast below.
-    stats = local.groupBy(_PID).agg(F.min(gstruct).alias("first_g"), F.max(gstruct).alias("last_g"),
-                                    F.max_by(F.col(_BEFORE) + F.col(weight), kstruct).alias("n_last"))
-    a, b = stats.alias("a"), stats.alias("b")
-    carry = (a.join(b, (F.col("b.last_g") == F.col("a.first_g")) & (F.col(f"b.{_PID}") < F.col(f"a.{_PID}")), "left")
-              .groupBy(F.col(f"a.{_PID}").alias(_PID))
-              .agg(F.coalesce(F.sum("b.n_last"), F.lit(0)).cast("long").alias("_carry")))
+    local = ranged.mapInArrow(_local_prefix_fn(by, weight), schema)
     out = local.join(F.broadcast(carry), on=_PID, how="left")
     out = out.withColumn("_before", F.col(_BEFORE) + F.when(F.col(_FIRST), F.col("_carry")).otherwise(F.lit(0)))
-    drop = [_PID, _BEFORE, _FIRST, "_carry"] + ([] if by else ["_g0"])
-    return out.drop(*drop)
+    if group_size:
+        sizes = weights.groupBy("_g").agg(F.sum("_n").alias(group_size))
+        if by:
+            sizes = sizes.select(*[F.col(f"_g.{k}").alias(f"_sz_{k}") for k in by], group_size)
+            cond = None
+            for k in by:
+                c = F.col(k).eqNullSafe(F.col(f"_sz_{k}"))
+                cond = c if cond is None else cond & c
+            out = out.join(sizes, cond, "left").drop(*[f"_sz_{k}" for k in by])
+        else:
+            out = out.crossJoin(F.broadcast(sizes.select(group_size)))
+    return out.drop(_PID, _BEFORE, _FIRST, "_carry")
 
 
 def value_ranks(df: DataFrame, value: str, by: Sequence[str] = (), num_partitions: int | None = None) -> DataFrame:
@@ -109,11 +128,9 @@ def value_ranks(df: DataFrame, value: str, by: Sequence[str] = (), num_partition
     for g in by:
         keep = keep & F.col(g).isNotNull()
     d = df.where(keep).groupBy(*by, value).agg(F.count(F.lit(1)).alias(_W))
-    p = prefix_weights(d, by, [value], _W, num_partitions)
-    out = p.select(*by, value, F.col(_W).alias("n_value"), (F.col("_before") + 1).alias("rank_lo"),
-                   (F.col("_before") + (F.col(_W) + 1) / 2.0).alias("avg_rank"))
-    sizes = d.groupBy(*by).agg(F.sum(_W).alias("n_group")) if by else d.agg(F.sum(_W).alias("n_group"))
-    return out.join(sizes, on=by, how="left") if by else out.crossJoin(F.broadcast(sizes))
+    p = prefix_weights(d, by, [value], _W, num_partitions, group_size="n_group")
+    return p.select(*by, value, F.col(_W).alias("n_value"), (F.col("_before") + 1).alias("rank_lo"),
+                    (F.col("_before") + (F.col(_W) + 1) / 2.0).alias("avg_rank"), "n_group")
 
 
 def with_avg_rank(df: DataFrame, value: str, by: Sequence[str] = (), out: str = "avg_rank") -> DataFrame:
@@ -137,20 +154,15 @@ def row_number_global(df: DataFrame, order: Sequence[str], by: Sequence[str] = (
         d = df.withColumn(_W, F.lit(1).cast("long"))
     else:
         d = df.groupBy(*cols).agg(F.count(F.lit(1)).alias(_W))
-    p = prefix_weights(d, by, order + rest, _W, num_partitions)
-    sizes = (d.groupBy(*by).agg(F.sum(_W).alias("n_group")) if by else d.agg(F.sum(_W).alias("n_group")))
-    p = p.join(sizes, on=by, how="left") if by else p.crossJoin(F.broadcast(sizes))
+    p = prefix_weights(d, by, order + rest, _W, num_partitions, group_size="n_group")
     if unique:
         return p.withColumn(out, F.col("_before") + 1).drop(_W, "_before")
-    small = p.where(F.col(_W) <= CHUNK).withColumn("_k", F.explode(F.sequence(F.lit(0).cast("long"), F.col(_W) - 1)))
-    big = (p.where(F.col(_W) > CHUNK)
-             .withColumn("_c", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(_W) - 1) / CHUNK))))
-             .repartition(F.xxhash64(*[F.col(c) for c in cols], F.col("_c")))
+    # A large group of copies is dealt out in runs before it is expanded.
+    runs = p.withColumn("_c", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(_W) - 1) / CHUNK))))
+    e = (runs.repartition(F.xxhash64(*[F.col(c) for c in cols], F.col("_c")))
              .withColumn("_k", F.explode(F.sequence(F.col("_c") * CHUNK,
-                                                    F.least(F.col("_c") * CHUNK + CHUNK, F.col(_W)) - 1)))
-             .drop("_c"))
-    e = small.unionByName(big)
-    return e.withColumn(out, F.col("_before") + F.col("_k") + 1).drop(_W, "_before", "_k")
+                                                    F.least(F.col("_c") * CHUNK + CHUNK, F.col(_W)) - 1))))
+    return e.withColumn(out, F.col("_before") + F.col("_k") + 1).drop(_W, "_before", "_k", "_c")
 
 
 def rank_quantile_bin(rn, n, q: int):
@@ -160,17 +172,3 @@ def rank_quantile_bin(rn, n, q: int):
     num = (rn - 1) * q + (n - 2)
     return F.when((rn <= 1) | (n <= 1), F.lit(0).cast("long")).otherwise(
         F.floor(num / (n - 1)).cast("long") - 1)
-
-
-def series_position(df: DataFrame, order: str, out: str = "position", descending: bool = False) -> DataFrame:
-    """0-based position in an ordered series of distinct keys (months),
-    computed with the distributed rank (no single-partition window)."""
-    key = order
-    d = df
-    if descending:
-        d = d.withColumn("_neg", -F.unix_micros(F.col(key).cast("timestamp"))) if dict(df.dtypes)[key] == "timestamp" \
-            else d.withColumn("_neg", -F.col(key))
-        r = row_number_global(d, ["_neg"], unique=True)
-        return r.withColumn(out, F.col("rn") - 1).drop("rn", "_neg", "n_group")
-    r = row_number_global(d, [key], unique=True)
-    return r.withColumn(out, F.col("rn") - 1).drop("rn", "n_group")

@@ -3,6 +3,7 @@
 import random
 
 import pandas as pd
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -55,3 +56,19 @@ def test_rank_quintiles_sizes(spark):
     ranks = pd.Series(vals).rank(method="first")
     exp = pd.qcut(ranks, 10, labels=False).value_counts().sort_index().tolist()
     assert sorted(sizes) == sorted(exp)
+
+
+@pytest.mark.parametrize("reuse", ["true", "false"])
+def test_ranks_hold_without_exchange_reuse(spark, reuse):
+    df = spark.range(200_000).select(F.xxhash64("id").alias("x"), (F.col("id") % 3).alias("g"))
+    spark.conf.set("spark.sql.exchange.reuse", reuse)
+    try:
+        for n in (1, 3, 8, 50):
+            got = R.row_number_global(df, ["x"], unique=True, num_partitions=n)
+            r = got.agg(F.min("rn"), F.max("rn"), F.count_distinct("rn"), F.max("n_group")).first()
+            assert tuple(r) == (1, 200_000, 200_000, 200_000)
+        ref = df.withColumn("want", F.row_number().over(Window.partitionBy("g").orderBy("x")))
+        got = R.row_number_global(df, ["x"], by=["g"], num_partitions=8)
+        assert got.join(ref, ["g", "x"]).where("rn = want").count() == 200_000
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
