@@ -329,20 +329,20 @@ def drop_constant_columns(df: DataFrame, ids: Sequence[str] = ("PolicyID", "Unde
     """F8: drop identifier columns and single-valued columns (null counts as a
     value: a column of one value plus nulls has two). One aggregate action."""
     cand = [c for c in df.columns if c not in ids and c not in keep]
-    row = df.agg(*[F.approx_count_distinct(F.col(f"`{c}`")).alias(f"d{i}") for i, c in enumerate(cand)],
-                 *[F.count_distinct(F.col(f"`{c}`")).alias(f"e{i}") for i, c in enumerate(cand)],
-                 *[F.max(F.col(f"`{c}`").isNull().cast("int")).alias(f"n{i}") for i, c in enumerate(cand)]).first()
-    single = [c for i, c in enumerate(cand) if (row[f"e{i}"] or 0) + (row[f"n{i}"] or 0) <= 1]
+    # One value (or none) and no nulls, or nulls only: min and max decide, without distinct counts.
+    row = df.agg(*[F.min(F.col(f"`{c}`")).eqNullSafe(F.max(F.col(f"`{c}`"))).alias(f"e{i}") for i, c in enumerate(cand)],
+                 *[F.count(F.col(f"`{c}`")).alias(f"v{i}") for i, c in enumerate(cand)],
+                 F.count(F.lit(1)).alias("n")).first()
+    single = [c for i, c in enumerate(cand) if row[f"e{i}"] and row[f"v{i}"] in (0, row["n"])]
     drop = [c for c in ids if c in df.columns] + single
     return df.drop(*drop), drop
 
 
 # The 23 essential columns of the claim extract.
-ESSENTIAL_COLUMNS = ["PolicyID", "TransactionMonth", "TotalPremium", "TotalClaims", "SumInsured",
-                     "CalculatedPremiumPerTerm", "Province", "PostalCode", "Gender", "MaritalStatus",
-                     "VehicleType", "make", "Model", "RegistrationYear", "cubiccapacity", "kilowatts",
-                     "CoverType", "CoverCategory", "CoverGroup", "Product", "ExcessSelected",
-                     "AlarmImmobiliser", "TrackingDevice"]
+ESSENTIAL_COLUMNS = ["PolicyID", "TransactionMonth", "Gender", "Country", "Province", "MainCrestaZone", "VehicleType",
+                     "RegistrationYear", "make", "Model", "cubiccapacity", "kilowatts", "bodytype", "AlarmImmobiliser",
+                     "TrackingDevice", "CapitalOutstanding", "NumberOfVehiclesInFleet", "SumInsured", "ExcessSelected",
+                     "CoverType", "Product", "TotalPremium", "TotalClaims"]
 
 
 def essential_projection(df: DataFrame, cols: Sequence[str] = ESSENTIAL_COLUMNS) -> DataFrame:

@@ -47,16 +47,24 @@ def _tppf(q: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series([D.t_ppf(x, y) if y and y > 0 else float("nan") for x, y in zip(q, df)], dtype="float64")
 
 
-def p_value(kind, a, b=None, c=None, d=None) -> Column:
+def p_value(kind, a, b=None, c=None, d=None, ok: Column | None = None) -> Column:
+    """p of a statistic; rows where ``ok`` is false are not evaluated (null)."""
     lit_nan = F.lit(float("nan")).cast("double")
     kind = F.lit(kind) if isinstance(kind, str) else kind
+    kind = kind if ok is None else F.when(ok, kind)
     args = [x.cast("double") if x is not None else lit_nan for x in (a, b, c, d)]
     p = _pv(kind, *args)
     return F.when(F.isnan(p), F.lit(None).cast("double")).otherwise(p)
 
 
-def _result(df: DataFrame, **cols) -> DataFrame:
-    """Project onto RESULT_COLS (missing -> typed null)."""
+#: The test type of a row whose guard failed.
+INSUFFICIENT = "Insufficient data"
+_JUDGED = ("statistic", "dof", "p_value", "effect_size", "effect_label", "reject_null")
+
+
+def _result(df: DataFrame, ok: Column | None = None, extra: dict | None = None, **cols) -> DataFrame:
+    """Project onto RESULT_COLS (missing -> typed null). F9: where the guard ``ok`` is not
+    true, the row says so in its test type and carries names and counts only."""
     types = {"statistic": "double", "dof": "double", "p_value": "double", "effect_size": "double",
              "n_groups": "int", "n_obs": "bigint", "reject_null": "boolean"}
     out = []
@@ -66,8 +74,12 @@ def _result(df: DataFrame, **cols) -> DataFrame:
             v = F.lit(None)
         elif not isinstance(v, Column):
             v = F.lit(v)
+        if ok is not None and c in _JUDGED:
+            v = F.when(ok, v)
+        elif ok is not None and c == "test_type":
+            v = F.when(ok, v).otherwise(INSUFFICIENT)
         out.append(v.cast(types.get(c, "string")).alias(c))
-    return df.select(*out)
+    return df.select(*out, *[v.alias(c) for c, v in (extra or {}).items()])
 
 
 def decide(df: DataFrame, alpha: float = 0.05) -> DataFrame:
@@ -90,21 +102,24 @@ def chi_square_k2(df: DataFrame, group: str, flag: str, *, min_count: int = 30,
         g = g.orderBy(F.desc("n"), F.col(group)).limit(top_k)
     tot = g.agg(F.sum("n").alias("nn"), F.sum("c").alias("cc"), F.count(F.lit(1)).alias("k"))
     j = g.crossJoin(F.broadcast(tot))
-    e1 = F.col("n") * F.col("cc") / F.col("nn")
-    e0 = F.col("n") * (F.col("nn") - F.col("cc")) / F.col("nn")
+    e1 = F.try_divide(F.col("n") * F.col("cc"), F.col("nn"))
+    e0 = F.try_divide(F.col("n") * (F.col("nn") - F.col("cc")), F.col("nn"))
     o1, o0 = F.col("c"), F.col("n") - F.col("c")
     def term(o, e):
         dev = F.abs(o - e)
         if yates:
             dev = F.when(F.col("k") == 2, dev - F.least(F.lit(0.5), dev)).otherwise(dev)
         return F.try_divide(dev * dev, e)
+    # dof of the table: a column without counts is no column
     cols_present = F.when(F.col("cc") > 0, 1).otherwise(0) + F.when(F.col("nn") > F.col("cc"), 1).otherwise(0)
-    s = j.groupBy("nn", "cc", "k").agg(F.sum(term(o1, e1) + term(o0, e0)).alias("chi2"))
+    s = j.agg(F.max("nn").alias("nn"), F.max("cc").alias("cc"), F.coalesce(F.max("k"), F.lit(0)).alias("k"),
+              F.sum(term(o1, e1) + term(o0, e0)).alias("chi2"))
     s = s.withColumn("ncols", cols_present).withColumn("dof", (F.col("k") - 1) * (F.col("ncols") - 1))
-    v = F.sqrt(F.col("chi2") / (F.col("nn") * (F.least(F.col("k"), F.col("ncols")) - 1)))
-    res = _result(s.where(F.col("k") >= 2), test_name=test_name, test_type="Chi-square Test", feature=group,
+    v = F.sqrt(F.try_divide(F.col("chi2"), F.col("nn") * (F.least(F.col("k"), F.col("ncols")) - 1)))
+    ok = (F.col("k") >= 2) & (F.col("ncols") == 2)
+    res = _result(s, ok, test_name=test_name, test_type="Chi-square Test", feature=group,
                   metric=flag, statistic=F.col("chi2"), dof=F.col("dof"),
-                  p_value=p_value("chi2", F.col("chi2"), F.col("dof")), effect_size=v,
+                  p_value=p_value("chi2", F.col("chi2"), F.col("dof"), ok=ok), effect_size=v,
                   effect_label=threshold_label(v, V_CUTS, LABELS), n_groups=F.col("k"), n_obs=F.col("nn"))
     return decide(res, alpha)
 
@@ -112,17 +127,18 @@ def chi_square_k2(df: DataFrame, group: str, flag: str, *, min_count: int = 30,
 # ----------------------------------------------------------------- T2 / T5 / T9
 
 def _anova_from_groups(g: DataFrame, *, test_name: str, feature: str, metric: str, alpha: float,
-                       test_type: str = "One-way ANOVA") -> DataFrame:
+                       test_type: str = "One-way ANOVA", min_total: int = 0) -> DataFrame:
     """F and eta^2 from per-group (n, mean, var_samp)."""
     tot = g.agg(F.sum("n").alias("_tot_n"), F.count(F.lit(1)).alias("k"),
-                (F.sum(F.col("n") * F.col("m")) / F.sum("n")).alias("gm"))
+                F.try_divide(F.sum(F.col("n") * F.col("m")), F.sum("n")).alias("gm"))
     j = g.crossJoin(F.broadcast(tot))
-    s = j.groupBy("_tot_n", "k", "gm").agg(F.sum(F.col("n") * (F.col("m") - F.col("gm")) ** 2).alias("ssb"),
+    s = j.agg(F.coalesce(F.max("_tot_n"), F.lit(0)).alias("_tot_n"), F.coalesce(F.max("k"), F.lit(0)).alias("k"), F.sum(F.col("n") * (F.col("m") - F.col("gm")) ** 2).alias("ssb"),
                                       F.sum((F.col("n") - 1) * F.coalesce(F.col("v"), F.lit(0.0))).alias("ssw"))
-    f = F.try_divide(F.col("ssb") / (F.col("k") - 1), F.col("ssw") / (F.col("_tot_n") - F.col("k")))
+    f = F.try_divide(F.try_divide(F.col("ssb"), F.col("k") - 1), F.try_divide(F.col("ssw"), F.col("_tot_n") - F.col("k")))
     eta = F.try_divide(F.col("ssb"), F.col("ssb") + F.col("ssw"))
-    res = _result(s.where(F.col("k") >= 2), test_name=test_name, test_type=test_type, feature=feature, metric=metric,
-                  statistic=f, dof=F.col("k") - 1, p_value=p_value("f", f, F.col("k") - 1, F.col("_tot_n") - F.col("k")),
+    ok = (F.col("k") >= 2) & (F.col("_tot_n") > F.col("k")) & (F.col("_tot_n") >= min_total) & f.isNotNull()
+    res = _result(s, ok, test_name=test_name, test_type=test_type, feature=feature, metric=metric,
+                  statistic=f, dof=F.col("k") - 1, p_value=p_value("f", f, F.col("k") - 1, F.col("_tot_n") - F.col("k"), ok=ok),
                   effect_size=eta, effect_label=threshold_label(eta, ETA_CUTS, LABELS), n_groups=F.col("k"),
                   n_obs=F.col("_tot_n"))
     return decide(res, alpha)
@@ -139,15 +155,15 @@ def select_groups(df: DataFrame, group: str, *, min_rows: int = 30, first: int |
 
 
 def anova(df: DataFrame, group: str, value: str, *, groups: DataFrame | None = None, min_per_group: int = 5,
-          test_name: str = "Severity Differences", alpha: float = 0.05) -> DataFrame:
+          min_total: int = 0, test_name: str = "Severity Differences", alpha: float = 0.05) -> DataFrame:
     """One-way ANOVA of ``value`` across ``group`` (restricted to ``groups`` if
-    given; each kept group needs >= ``min_per_group`` values)."""
+    given; each kept group needs >= ``min_per_group`` values, all together >= ``min_total``)."""
     d = df.where(F.col(group).isNotNull() & F.col(value).isNotNull())
     if groups is not None:
         d = d.join(groups, group, "left_semi")
     g = (d.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("m"), F.var_samp(value).alias("v"))
           .where(F.col("n") >= min_per_group))
-    return _anova_from_groups(g, test_name=test_name, feature=group, metric=value, alpha=alpha)
+    return _anova_from_groups(g, test_name=test_name, feature=group, metric=value, alpha=alpha, min_total=min_total)
 
 
 def levene(df: DataFrame, group: str, value: str, *, test_name: str = "Equal Variance (Levene)",
@@ -176,14 +192,17 @@ def tukey_hsd(df: DataFrame, group: str, value: str, *, groups: DataFrame | None
                 F.sum((F.col("n") - 1) * F.coalesce("v", F.lit(0.0))).alias("ssw"))
     a, b = g.alias("a"), g.alias("b")
     pairs = a.join(b, F.col(f"a.{group}") < F.col(f"b.{group}")).crossJoin(F.broadcast(tot))
-    msw = F.col("ssw") / (F.col("_tot_n") - F.col("k"))
+    msw = F.try_divide(F.col("ssw"), F.col("_tot_n") - F.col("k"))
     se = F.sqrt(msw / 2 * (1 / F.col("a.n") + 1 / F.col("b.n")))
-    q = F.abs(F.col("a.m") - F.col("b.m")) / se
-    res = _result(pairs, test_name="Tukey HSD", test_type="Tukey HSD", feature=F.lit(group), metric=F.lit(value),
+    q = F.try_divide(F.abs(F.col("a.m") - F.col("b.m")), se)
+    ok = q.isNotNull()
+    res = _result(pairs, ok, test_name="Tukey HSD", test_type="Tukey HSD", feature=F.lit(group), metric=F.lit(value),
                   group_a=F.col(f"a.{group}"), group_b=F.col(f"b.{group}"), statistic=q, dof=F.col("_tot_n") - F.col("k"),
-                  p_value=p_value("tukey", q, F.col("k"), F.col("_tot_n") - F.col("k")),
+                  p_value=p_value("tukey", q, F.col("k"), F.col("_tot_n") - F.col("k"), ok=ok),
                   effect_size=F.col("a.m") - F.col("b.m"), n_groups=F.col("k"), n_obs=F.col("a.n") + F.col("b.n"))
-    return decide(res, alpha)
+    few = _result(tot.where(F.col("k") < 2), F.lit(False), test_name="Tukey HSD", test_type="Tukey HSD", feature=group,
+                  metric=value, n_groups=F.col("k"), n_obs=F.coalesce("_tot_n", F.lit(0)))
+    return decide(res.unionByName(few), alpha)
 
 
 # ----------------------------------------------------------- two-group tests
@@ -200,20 +219,20 @@ def two_group_moments(df: DataFrame, label: str, value: str, a: str, b: str) ->
 def _t_cols(student: bool):
     n1, n2, m1, m2, v1, v2 = (F.col(c) for c in ("n1", "n2", "m1", "m2", "v1", "v2"))
     if student:
-        sp2 = ((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2)
-        t = (m1 - m2) / F.sqrt(sp2 * (1 / n1 + 1 / n2))
+        sp2 = F.try_divide((n1 - 1) * v1 + (n2 - 1) * v2, n1 + n2 - 2)
+        t = F.try_divide(m1 - m2, F.sqrt(sp2 * (F.try_divide(F.lit(1.0), n1) + F.try_divide(F.lit(1.0), n2))))
         dof = n1 + n2 - 2
     else:
-        se2 = v1 / n1 + v2 / n2
-        t = (m1 - m2) / F.sqrt(se2)
-        dof = se2 * se2 / ((v1 / n1) ** 2 / (n1 - 1) + (v2 / n2) ** 2 / (n2 - 1))
+        a, b = F.try_divide(v1, n1), F.try_divide(v2, n2)
+        t = F.try_divide(m1 - m2, F.sqrt(a + b))
+        dof = F.try_divide((a + b) ** 2, F.try_divide(a ** 2, n1 - 1) + F.try_divide(b ** 2, n2 - 1))
     return t, dof
 
 
 def cohens_d_cols(root_mean: bool = False):
     """Pooled (df-weighted) or root-mean-variance Cohen's d."""
     n1, n2, m1, m2, v1, v2 = (F.col(c) for c in ("n1", "n2", "m1", "m2", "v1", "v2"))
-    sd = F.sqrt((v1 + v2) / 2) if root_mean else F.sqrt(((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2))
+    sd = F.sqrt((v1 + v2) / 2) if root_mean else F.sqrt(F.try_divide((n1 - 1) * v1 + (n2 - 1) * v2, n1 + n2 - 2))
     return F.try_divide(m1 - m2, sd)
 
 
@@ -223,9 +242,10 @@ def t_test(df: DataFrame, label: str, value: str, a: str, b: str, *, welch: bool
     m = two_group_moments(df, label, value, a, b)
     t, dof = _t_cols(student=not welch)
     dd = cohens_d_cols()
-    res = _result(m, test_name=test_name, test_type="Welch's t-test" if welch else "Independent t-test",
+    ok = (F.col("n1") >= 2) & (F.col("n2") >= 2) & t.isNotNull()
+    res = _result(m, ok, test_name=test_name, test_type="Welch's t-test" if welch else "Independent t-test",
                   feature=label, metric=value, group_a=a, group_b=b, statistic=t, dof=dof,
-                  p_value=p_value("t", t, dof), effect_size=dd, effect_label=threshold_label(F.abs(dd), D_CUTS, LABELS),
+                  p_value=p_value("t", t, dof, ok=ok), effect_size=dd, effect_label=threshold_label(F.abs(dd), D_CUTS, LABELS),
                   n_groups=2, n_obs=F.col("n1") + F.col("n2"))
     return decide(res, alpha)
 
@@ -237,7 +257,7 @@ def effect_size_table(df: DataFrame, label: str, value: str, a: str, b: str, alp
     m = two_group_moments(df, label, value, a, b)
     d1, d2 = cohens_d_cols(), cohens_d_cols(root_mean=True)
     n1, n2, m1, m2, v1, v2 = (F.col(c) for c in ("n1", "n2", "m1", "m2", "v1", "v2"))
-    se = F.sqrt(v1 / n1 + v2 / n2)
+    se = F.sqrt(F.try_divide(v1, n1) + F.try_divide(v2, n2))
     tq = _tppf(F.lit(1 - alpha / 2), (n1 + n2 - 2).cast("double"))
     return m.select(F.lit(a).alias("group_a"), F.lit(b).alias("group_b"), "n1", "n2", "m1", "m2",
                     (m1 - m2).alias("mean_diff"), d1.alias("cohens_d"),
@@ -248,10 +268,12 @@ def effect_size_table(df: DataFrame, label: str, value: str, a: str, b: str, alp
 
 
 def two_by_two(df: DataFrame, label: str, flag: str, a: str, b: str, *, fisher_rule: str = "zero",
-               alpha: float = 0.05, test_name: str = "Two-group proportion difference") -> DataFrame:
+               alpha: float = 0.05, min_rows: int = 1, test_name: str = "Two-group proportion difference") -> DataFrame:
     """2x2 chi-square (Yates) of a 0/1 ``flag`` between groups a and b,
     with Fisher's exact test when a cell is zero (``fisher_rule='zero'``) or when a
-    cell is zero or below 5 (``'small'``). Also reports rates and the risk ratio."""
+    cell is zero or below 5 (``'small'``). Also reports the rates and the risk ratio of b
+    to a. Fewer than ``min_rows`` rows, or an empty side, give the insufficient row (F9).
+    Fisher's test is evaluated only where it is chosen."""
     ia, ib = F.col(label) == a, F.col(label) == b
     f = F.col(flag).cast("double")
     m = df.where(F.col(flag).isNotNull()).agg(
@@ -262,28 +284,31 @@ def two_by_two(df: DataFrame, label: str, flag: str, a: str, b: str, *, fisher_r
     cells = [F.col(c) for c in ("x11", "x12", "x21", "x22")]
     n = cells[0] + cells[1] + cells[2] + cells[3]
     r1, r2, c1, c2 = cells[0] + cells[1], cells[2] + cells[3], cells[0] + cells[2], cells[1] + cells[3]
-    exp = [r1 * c1 / n, r1 * c2 / n, r2 * c1 / n, r2 * c2 / n]
+    exp = [F.try_divide(r * c, n) for r, c in ((r1, c1), (r1, c2), (r2, c1), (r2, c2))]
     chi = None
     for o, e in zip(cells, exp):
         dev = F.abs(o - e)
         dev = dev - F.least(F.lit(0.5), dev)
-        t = F.try_divide(dev * dev, e)
+        t = F.coalesce(F.try_divide(dev * dev, e), F.lit(0.0))
         chi = t if chi is None else chi + t
     minc = F.least(*cells)
     use_fisher = (minc == 0) if fisher_rule == "zero" else (minc < 5)
     odds = F.try_divide(cells[0] * cells[3], cells[1] * cells[2])
     rate_a, rate_b = F.try_divide(cells[0], r1), F.try_divide(cells[2], r2)
     v = F.sqrt(F.try_divide(chi, n))
-    res = m.select(
-        F.lit(test_name).alias("test_name"),
-        F.when(use_fisher, "Fisher's Exact Test").otherwise("Chi-square Test").alias("test_type"),
-        F.lit(label).alias("feature"), F.lit(flag).alias("metric"), F.lit(a).alias("group_a"), F.lit(b).alias("group_b"),
-        F.when(use_fisher, odds).otherwise(chi).alias("statistic"),
-        F.when(use_fisher, F.lit(None)).otherwise(F.lit(1.0)).cast("double").alias("dof"),
-        F.when(use_fisher, p_value("fisher", *cells)).otherwise(p_value("chi2", chi, F.lit(1.0))).alias("p_value"),
-        v.alias("effect_size"), threshold_label(v, V_CUTS, LABELS).alias("effect_label"),
-        F.lit(2).alias("n_groups"), n.cast("bigint").alias("n_obs"),
-        rate_a.alias("rate_a"), rate_b.alias("rate_b"), F.try_divide(rate_a, rate_b).alias("risk_ratio"))
+    ok = (n >= min_rows) & (r1 > 0) & (r2 > 0)
+    none = F.lit(None).cast("double")
+    p = p_value(F.when(use_fisher, "fisher").otherwise("chi2"), F.when(use_fisher, cells[0]).otherwise(chi),
+                F.when(use_fisher, cells[1]).otherwise(F.lit(1.0)), F.when(use_fisher, cells[2]).otherwise(none),
+                F.when(use_fisher, cells[3]).otherwise(none), ok=ok)
+    base = m.withColumns({"_rate_a": rate_a, "_rate_b": rate_b})
+    res = _result(base, ok, test_name=test_name,
+                  test_type=F.when(use_fisher, "Fisher's Exact Test").otherwise("Chi-square Test"), feature=label, metric=flag,
+                  group_a=a, group_b=b, statistic=F.when(use_fisher, odds).otherwise(chi),
+                  dof=F.when(~use_fisher, F.lit(1.0)), p_value=p, effect_size=v,
+                  effect_label=threshold_label(v, V_CUTS, LABELS), n_groups=2, n_obs=n,
+                  extra={"rate_a": F.col("_rate_a"), "rate_b": F.col("_rate_b"),
+                         "risk_ratio": F.try_divide(F.col("_rate_b"), F.col("_rate_a"))})
     return decide(res, alpha)
 
 
@@ -297,13 +322,16 @@ def mann_whitney(df: DataFrame, label: str, value: str, a: str, b: str, *, alpha
     v = d.groupBy(value).agg(F.count_if(F.col(label) == a).alias("c1"), F.count_if(F.col(label) == b).alias("c2"),
                              F.count(F.lit(1)).alias("_w"))
     p = R.prefix_weights(v, [], [value], "_w")
-    ar = F.col("_before") + (F.col("_w") + 1) / 2.0
+    ar = (F.col("_before") + (F.col("_w") + 1) / 2.0).cast("double")
     s = p.agg(F.sum(F.col("c1") * ar).alias("r1"), F.sum("c1").alias("n1"), F.sum("c2").alias("n2"),
               F.sum(F.col("_w").cast("double") ** 3 - F.col("_w")).alias("tie"))
-    u1 = F.col("r1") - F.col("n1") * (F.col("n1") + 1) / 2.0
-    res = _result(s, test_name=test_name, test_type="Mann-Whitney U test", feature=label, metric=value, group_a=a,
-                  group_b=b, statistic=u1, p_value=p_value("mannwhitney", u1, F.col("n1"), F.col("n2"), F.col("tie")),
-                  n_groups=2, n_obs=F.col("n1") + F.col("n2"))
+    n1 = F.coalesce(F.col("n1"), F.lit(0)).cast("double")  # products of counts pass the range of bigint
+    n2 = F.coalesce(F.col("n2"), F.lit(0)).cast("double")
+    u1 = F.col("r1") - n1 * (n1 + 1) / 2.0
+    ok = (n1 > 0) & (n2 > 0)
+    res = _result(s, ok, test_name=test_name, test_type="Mann-Whitney U test", feature=label, metric=value, group_a=a,
+                  group_b=b, statistic=u1, p_value=p_value("mannwhitney", u1, n1, n2, F.col("tie"), ok=ok),
+                  n_groups=2, n_obs=n1 + n2)
     return decide(res, alpha)
 
 
@@ -328,24 +356,28 @@ def shapiro_wilk(df: DataFrame, group: str, value: str, *, alpha: float = 0.05)
         F.max(F.when(F.col("_i") == F.col("n_group") - 1, F.col("_m"))).alias("mn1"))
     nn = F.col("n_group").cast("double")
     u = 1 / F.sqrt(nn)
-    cn, cn1 = F.col("mn") / F.sqrt("mm"), F.col("mn1") / F.sqrt("mm")
+    cn, cn1 = F.try_divide(F.col("mn"), F.sqrt("mm")), F.try_divide(F.col("mn1"), F.sqrt("mm"))
+    # Royston's coefficient polynomials.
     an = cn + 0.221157 * u - 0.147981 * u ** 2 - 2.071190 * u ** 3 + 4.434685 * u ** 4 - 2.706056 * u ** 5
     an1 = cn1 + 0.042981 * u - 0.293762 * u ** 2 - 1.752461 * u ** 3 + 5.682633 * u ** 4 - 3.582633 * u ** 5
     big = nn > 5
-    phi = F.when(big, (F.col("mm") - 2 * F.col("mn") ** 2 - 2 * F.col("mn1") ** 2) / (1 - 2 * an ** 2 - 2 * an1 ** 2)) \
-           .otherwise((F.col("mm") - 2 * F.col("mn") ** 2) / (1 - 2 * an ** 2))
+    phi = F.when(big, F.try_divide(F.col("mm") - 2 * F.col("mn") ** 2 - 2 * F.col("mn1") ** 2, 1 - 2 * an ** 2 - 2 * an1 ** 2)) \
+           .otherwise(F.try_divide(F.col("mm") - 2 * F.col("mn") ** 2, 1 - 2 * an ** 2))
     # m_1 = -m_n and m_2 = -m_{n-1} by symmetry of the normal scores
     inner = F.when(big, F.col("smx") - F.col("mn") * (F.col("xn") - F.col("x1")) - F.col("mn1") * (F.col("xn1") - F.col("x2"))) \
              .otherwise(F.col("smx") - F.col("mn") * (F.col("xn") - F.col("x1")))
-    ax = F.when(big, inner / F.sqrt(phi) + an * (F.col("xn") - F.col("x1")) + an1 * (F.col("xn1") - F.col("x2"))) \
-          .otherwise(inner / F.sqrt(phi) + an * (F.col("xn") - F.col("x1")))
+    ax = F.when(big, F.try_divide(inner, F.sqrt(phi)) + an * (F.col("xn") - F.col("x1")) + an1 * (F.col("xn1") - F.col("x2"))) \
+          .otherwise(F.try_divide(inner, F.sqrt(phi)) + an * (F.col("xn") - F.col("x1")))
     ax = F.when(nn == 3, F.sqrt(F.lit(0.5)) * (F.col("xn") - F.col("x1"))).otherwise(ax)
     ss = F.col("vx") * (nn - 1)
     w = F.least(F.lit(1.0), F.try_divide(ax * ax, ss))
-    res = _result(g.where(F.col("n_group") >= 3), test_name=F.concat(F.lit("Normality "), F.col(group).cast("string")),
+    ok = (F.col("n_group") >= 3) & w.isNotNull()
+    res = _result(g, ok, test_name=F.concat(F.lit("Normality "), F.col(group).cast("string")),
                   test_type="Shapiro-Wilk", feature=group, metric=value, group_a=F.col(group).cast("string"),
-                  statistic=w, p_value=p_value("shapiro", w, nn), n_groups=1, n_obs=F.col("n_group"))
-    return decide(res, alpha)
+                  statistic=w, p_value=p_value("shapiro", w, nn, ok=ok), n_groups=1, n_obs=F.col("n_group"))
+    none = _result(d.agg(F.count(F.lit(1)).alias("n")).where("n = 0"), F.lit(False), test_name="Normality",
+                   test_type="Shapiro-Wilk", feature=group, metric=value, n_groups=0, n_obs=F.col("n"))
+    return decide(res.unionByName(none), alpha)
 
 
 def two_largest(df: DataFrame, feature: str) -> DataFrame:

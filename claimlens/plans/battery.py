@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from claimlens.operators import clean as C
 from claimlens.operators import features as FE
 from claimlens.operators import hypothesis as H
+from claimlens.session import materialize
 
 
 def risk_table(df: DataFrame) -> DataFrame:
@@ -23,15 +24,30 @@ def risk_table(df: DataFrame) -> DataFrame:
     return C.add_risk_metrics(df)
 
 
+# Columns that the batteries read.
+TEST_COLUMNS = ["Province", "PostalCode", "Gender", "TotalClaims", "TotalPremium", "HasClaim", "ClaimSeverity", "Margin"]
+
+
+def stored_risk(df: DataFrame) -> DataFrame:
+    """The risk table's test columns, stored once for all tests of a battery."""
+    risk = risk_table(df)
+    return materialize(risk.select(*[c for c in TEST_COLUMNS if c in risk.columns]))
+
+
+def two_largest_positions(df: DataFrame, feature: str) -> DataFrame:
+    """The two largest groups, their sizes and positions 1 and 2 (ties by key)."""
+    t = H.two_largest(df, feature).select(F.col(feature).cast("string").alias(feature), "n")
+    # a window over two rows
+    return t.withColumn("_pos", F.row_number().over(Window.orderBy(F.desc("n"), F.col(feature))))
+
+
 def label_two_largest(df: DataFrame, feature: str, groups: Sequence[str] | None = None):
     """Rows of the two largest groups (or the two ``groups`` given) labelled
     ``_grp`` = 'A' / 'B', plus a one-row table of the chosen names."""
     if groups:
         top = df.sparkSession.createDataFrame([(groups[0], 1), (groups[1], 2)], f"`{feature}` string, _pos int")
     else:
-        t = H.two_largest(df, feature).select(F.col(feature).cast("string").alias(feature), "n")
-        # Positions inside the two-row table (a window over two rows).
-        top = t.select(feature, F.row_number().over(Window.orderBy(F.desc("n"), F.col(feature))).alias("_pos"))
+        top = two_largest_positions(df, feature).select(feature, "_pos")
     lab = top.select(feature, F.when(F.col("_pos") == 1, "A").otherwise("B").alias("_grp"))
     rows = df.withColumn(feature, F.col(feature).cast("string")).join(F.broadcast(lab), feature, "inner")
     names = top.agg(F.max(F.when(F.col("_pos") == 1, F.col(feature))).alias("name_a"),
@@ -56,7 +72,7 @@ def two_group_test(df: DataFrame, feature: str, metric: str, groups: Sequence[st
     else:
         res = H.t_test(rows, "_grp", metric, "A", "B", welch=True, test_name="Two-group test")
     counts = rows.agg(F.count_if(F.col("_grp") == "A").alias("na"), F.count_if(F.col("_grp") == "B").alias("nb"))
-    out = _rename(res, names, feature).crossJoin(counts)
+    out = _rename(res, names, feature).crossJoin(F.broadcast(counts))
     ok = (F.col("na") >= min_rows) & (F.col("nb") >= min_rows)
     return (out.withColumn("metric", F.lit(metric))
                .withColumn("decision", F.when(~ok, "Insufficient Data")
@@ -73,7 +89,7 @@ STANDARD_TESTS = [("Province", "HasClaim"), ("PostalCode", "ClaimSeverity"), ("P
 
 def standard_battery(df: DataFrame, tests=STANDARD_TESTS, alpha: float = 0.05) -> DataFrame:
     """The four feature x metric decisions, unioned."""
-    risk = risk_table(df).cache()
+    risk = stored_risk(df)
     parts = [two_group_test(risk, f, m, alpha=alpha) for f, m in tests]
     out = parts[0]
     for p in parts[1:]:
@@ -98,14 +114,19 @@ def balance_check(df: DataFrame, feature: str, controls_text: Sequence[str], con
         out = out.unionByName(p)
     out = _rename(out, names, feature)
     flag = out.agg(F.bool_and(F.coalesce(F.col("p_value") >= alpha, F.lit(True))).alias("all_clear"))
-    return out.crossJoin(flag)
+    return out.crossJoin(F.broadcast(flag))
 
 
-def gender_severity(df: DataFrame, alpha: float = 0.05, min_claims: int = 30, min_side: int = 10) -> DataFrame:
+def gender_severity(df: DataFrame, alpha: float = 0.05, min_claims: int = 30, min_side: int = 10,
+                    risk: DataFrame | None = None) -> DataFrame:
     """Claims only, Male vs Female: Shapiro-Wilk per group and Levene decide
     between Student t (all assumptions hold), Welch (equal variance only) and
-    Mann-Whitney; all three are computed lazily and the row is chosen by ``when``."""
-    risk = FE.add_gender(risk_table(df)).where(F.col("HasClaim") == 1).where(F.col("Gender").isin("Male", "Female"))
+    Mann-Whitney; all three are computed and the row is chosen by ``when``. Fewer than
+    ``min_claims`` claims or ``min_side`` on a side give the insufficient row. ``risk``: a
+    stored risk table to use instead of ``df``."""
+    risk = FE.add_gender(risk_table(df) if risk is None else risk)
+    risk = risk.where(F.col("HasClaim") == 1).where(F.col("Gender").isin("Male", "Female"))
+    risk = materialize(risk.select("Gender", "HasClaim", "ClaimSeverity"))
     sw = H.shapiro_wilk(risk, "Gender", "ClaimSeverity")
     normal = sw.agg(F.bool_and(F.col("p_value") > 0.05).alias("normal"))
     lev = H.levene(risk, "Gender", "ClaimSeverity").select((F.col("p_value") > 0.05).alias("equal_var"))
@@ -117,40 +138,46 @@ def gender_severity(df: DataFrame, alpha: float = 0.05, min_claims: int = 30, mi
         *[F.col(c).alias(f"m_{c}") for c in H.RESULT_COLS])
     eff = H.effect_size_table(risk, "Gender", "ClaimSeverity", "Male", "Female", alpha).select(
         "cohens_d", "effect_label", "power", "n1", "n2")
-    j = t.crossJoin(w).crossJoin(mw).crossJoin(normal).crossJoin(lev).crossJoin(eff)
+    j = t
+    for one in (w, mw, normal, lev, eff):
+        j = j.crossJoin(F.broadcast(one))
     pick = lambda c: (F.when(F.col("normal") & F.col("equal_var"), F.col(f"t_{c}"))
                       .when(F.col("equal_var"), F.col(f"w_{c}")).otherwise(F.col(f"m_{c}")))
+    ok = (F.col("n1") + F.col("n2") >= min_claims) & (F.col("n1") >= min_side) & (F.col("n2") >= min_side)
     out = j.select(F.lit("Gender Claim Severity Differences").alias("test_name"), pick("test_type").alias("test_type"),
                    F.lit("Gender").alias("feature"), F.lit("ClaimSeverity").alias("metric"),
                    F.lit("Male").alias("group_a"), F.lit("Female").alias("group_b"),
                    pick("statistic").alias("statistic"), pick("dof").alias("dof"), pick("p_value").alias("p_value"),
                    F.col("cohens_d").alias("effect_size"), "effect_label", F.lit(2).alias("n_groups"),
                    (F.col("n1") + F.col("n2")).cast("bigint").alias("n_obs"),
-                   (pick("p_value") < alpha).alias("reject_null"), "normal", "equal_var", "power")
-    ok = (F.col("n_obs") >= min_claims) & (F.col("n1") >= min_side) & (F.col("n2") >= min_side)
-    return out.crossJoin(eff.select("n1", "n2")).where(ok).drop("n1", "n2")
+                   (pick("p_value") < alpha).alias("reject_null"), "normal", "equal_var", "power",
+                   F.coalesce(ok, F.lit(False)).alias("_ok"))
+    judged = {c: F.when(F.col("_ok"), F.col(c)) for c in ("statistic", "dof", "p_value", "effect_size", "effect_label", "reject_null", "normal", "equal_var", "power")}
+    judged["test_type"] = F.when(F.col("_ok"), F.col("test_type")).otherwise(H.INSUFFICIENT)
+    return out.withColumns(judged).drop("_ok")
 
 
 def full_battery(df: DataFrame, alpha: float = 0.05) -> DataFrame:
     """Province frequency (T1) and severity (T2), zip-prefix frequency (T4)
     and margin (T5), gender frequency (T6) and severity (T7); one summary row per
     test with significance text and the count of rejected hypotheses."""
-    risk = risk_table(df).cache()
+    risk = stored_risk(df)
     prov = H.select_groups(risk, "Province", min_rows=30)
     t1 = H.chi_square_k2(risk.join(prov, "Province", "left_semi"), "Province", "HasClaim",
                          test_name="Province Claim Frequency Differences")
     first10 = H.select_groups(risk, "Province", min_rows=30, first=10)
     t2 = H.anova(risk.where(F.col("HasClaim") == 1), "Province", "ClaimSeverity", groups=first10,
-                 test_name="Province Claim Severity Differences")
+                 min_total=30, test_name="Province Claim Severity Differences")
     z = FE.add_zip_prefix(risk).where(F.col("ZipPrefix").isNotNull())
     t4 = H.chi_square_k2(z, "ZipPrefix", "HasClaim", min_count=50, top_k=20, test_name="Zip Code Risk Differences")
     zg = H.select_groups(z, "ZipPrefix", min_rows=30, first=15)
     t5 = H.anova(z, "ZipPrefix", "Margin", groups=zg, test_name="Zip Code Margin Differences")
     g = FE.add_gender(risk).where(F.col("Gender").isin("Male", "Female"))
-    t6 = H.two_by_two(g, "Gender", "HasClaim", "Male", "Female", test_name="Gender Risk Differences").select(*H.RESULT_COLS)
-    t7 = gender_severity(df, alpha).select(*H.RESULT_COLS)
+    t6 = H.two_by_two(g, "Gender", "HasClaim", "Male", "Female", min_rows=100, test_name="Gender Risk Differences").select(*H.RESULT_COLS)
+    t7 = gender_severity(df, alpha, risk=risk).select(*H.RESULT_COLS)
     out = t1.unionByName(t2).unionByName(t4).unionByName(t5).unionByName(t6).unionByName(t7)
-    out = (out.withColumn("significance", F.when(F.col("reject_null"), "Significant").otherwise("Not significant"))
+    out = (out.withColumn("significance", F.when(F.col("test_type") == H.INSUFFICIENT, H.INSUFFICIENT)
+                          .when(F.col("reject_null"), "Significant").otherwise("Not significant"))
               .withColumn("conclusion", F.when(F.col("reject_null"), "Reject H0").otherwise("Fail to reject H0")))
     cnt = out.agg(F.count_if(F.col("reject_null")).alias("n_rejected"), F.count(F.lit(1)).alias("n_tests"))
-    return out.crossJoin(cnt)
+    return out.crossJoin(F.broadcast(cnt))

@@ -1,8 +1,7 @@
 """Registered hypothesis-test queries.
 
-Queries with an oracle return the statistic, degrees of freedom, effect size,
-label and counts (all plain SQL); p-values come from the distribution module and
-are checked by unit tests and by the rows-only battery queries.
+Oracles compute statistics, effect sizes and counts in plain SQL and p-values as
+Simpson sums of the densities, independently of the distribution module.
 """
 
 from __future__ import annotations
@@ -16,7 +15,7 @@ from claimlens.plans.registry import finish, query
 from claimlens.sources.views import policy_cte, policy_view
 
 CTE = policy_cte()
-STAT_COLS = ["test_name", "statistic", "dof", "effect_size", "effect_label", "n_groups", "n_obs"]
+STAT_COLS = ["test_name", "statistic", "dof", "p_value", "reject_null", "effect_size", "effect_label", "n_groups", "n_obs"]
 RISK = CTE + """, risk AS (SELECT *, CAST(coalesce(TotalClaims > 0, false) AS INTEGER) AS HasClaim,
   CASE WHEN TotalClaims > 0 THEN TotalClaims ELSE 0.0 END AS ClaimSeverity, TotalPremium - TotalClaims AS Margin,
   regexp_extract(PostalCode, '([0-9]{3,4})', 1) AS ZipPrefix,
@@ -40,6 +39,35 @@ def _dlabel(x):
     return f"CASE WHEN {x} IS NULL THEN NULL WHEN abs({x}) < 0.2 THEN 'Negligible' WHEN abs({x}) < 0.5 THEN 'Small' WHEN abs({x}) < 0.8 THEN 'Medium' ELSE 'Large' END"
 
 
+def _simpson(f: str, lo: str, hi: str, n: int = 2000) -> str:
+    """Simpson sum of ``f`` (in ``x``) from ``lo`` to ``hi`` as a scalar subquery."""
+    x = f"(({lo}) + i * (({hi}) - ({lo})) / {n}.0)"
+    w = f"CASE WHEN i = 0 OR i = {n} THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
+    return f"((SELECT sum({w} * ({f.replace('{x}', x)})) FROM range({n + 1}) AS r(i)) * (({hi}) - ({lo})) / {3 * n}.0)"
+
+
+def _p_norm(z: str) -> str:
+    """P(|Z| > z)."""
+    return f"(1 - 2 * {_simpson('exp(-{x} * {x} / 2) / sqrt(2 * pi())', '0', f'least({z}, 12.0)')})"
+
+
+def _p_chi(x: str, dof: str) -> str:
+    """Chi-square tail: u = sqrt(x) makes the density smooth at 0."""
+    f = f"2 * pow({{x}}, ({dof}) - 1) * exp(-{{x}} * {{x}} / 2 - ({dof}) / 2.0 * ln(2) - lgamma(({dof}) / 2.0))"
+    return f"(1 - {_simpson(f, '0', f'sqrt({x})')})"
+
+
+def _p_f(f: str, d1: str, d2: str) -> str:
+    """F tail as an incomplete beta integral in the angle t, x = sin(t)^2."""
+    c = f"exp(lgamma((({d1}) + ({d2})) / 2.0) - lgamma(({d1}) / 2.0) - lgamma(({d2}) / 2.0))"
+    g = f"2 * {c} * pow(sin({{x}}), ({d1}) - 1) * pow(cos({{x}}), ({d2}) - 1)"
+    return f"(1 - {_simpson(g, '0', f'atan(sqrt(({d1}) * ({f}) / ({d2})))')})"
+
+
+def _p_t(t: str, dof: str) -> str:
+    return _p_f(f"({t}) * ({t})", "1", dof)
+
+
 def _chi_sql(src, name, group, min_count, top=None):
     lim = f"ORDER BY n DESC, {group} LIMIT {top}" if top else ""
     return f""", g0 AS (SELECT {group} AS grp, count(*) AS n, sum(HasClaim) AS c FROM {src} WHERE {group} IS NOT NULL GROUP BY 1 HAVING count(*) >= {min_count} {lim}),
@@ -47,9 +75,9 @@ t AS (SELECT sum(n) AS nn, sum(c) AS cc, count(*) AS k FROM g0),
 s AS (SELECT nn, cc, k, sum(
     (abs(c - n*cc/nn) - CASE WHEN k = 2 THEN least(0.5, abs(c - n*cc/nn)) ELSE 0 END) ^ 2 / (n*cc/nn)
   + (abs((n-c) - n*(nn-cc)/nn) - CASE WHEN k = 2 THEN least(0.5, abs((n-c) - n*(nn-cc)/nn)) ELSE 0 END) ^ 2 / (n*(nn-cc)/nn)) AS chi2
-  FROM g0, t GROUP BY nn, cc, k)
-SELECT '{name}' AS test_name, round(chi2, 6) AS statistic, CAST((k - 1) AS DOUBLE) AS dof, round(sqrt(chi2 / nn), 6) AS effect_size,
-  {_vlabel('sqrt(chi2 / nn)')} AS effect_label, CAST(k AS BIGINT) AS n_groups, CAST(nn AS BIGINT) AS n_obs FROM s WHERE k >= 2"""
+  FROM g0, t GROUP BY nn, cc, k), pp AS MATERIALIZED (SELECT *, {_p_chi("chi2", "k - 1")} AS p FROM s WHERE k >= 2)
+SELECT '{name}' AS test_name, round(chi2, 6) AS statistic, CAST((k - 1) AS DOUBLE) AS dof, round(p, 6) AS p_value, p < 0.05 AS reject_null, round(sqrt(chi2 / nn), 6) AS effect_size,
+  {_vlabel('sqrt(chi2 / nn)')} AS effect_label, CAST(k AS BIGINT) AS n_groups, CAST(nn AS BIGINT) AS n_obs FROM pp"""
 
 
 @query("t1_province_claim_chi2", RISK + _chi_sql("risk", "Province Claim Frequency Differences", "Province", 30))
@@ -71,10 +99,11 @@ def _anova_sql(name, src, group, value, groups_sql, min_per=5):
 g AS (SELECT {group} AS grp, count(*) AS n, avg({value}) AS m, var_samp({value}) AS v FROM {src}
   WHERE {group} IS NOT NULL AND {value} IS NOT NULL AND {group} IN (SELECT * FROM sel) GROUP BY 1 HAVING count(*) >= {min_per}),
 t AS (SELECT sum(n) AS nn, count(*) AS k, sum(n*m)/sum(n) AS gm FROM g),
-s AS (SELECT nn, k, sum(n*(m-gm)^2) AS ssb, sum((n-1)*coalesce(v, 0)) AS ssw FROM g, t GROUP BY nn, k)
+s AS (SELECT nn, k, sum(n*(m-gm)^2) AS ssb, sum((n-1)*coalesce(v, 0)) AS ssw FROM g, t GROUP BY nn, k),
+pp AS MATERIALIZED (SELECT *, {_p_f("(ssb/(k-1))/(ssw/(nn-k))", "k - 1", "nn - k")} AS p FROM s WHERE k >= 2)
 SELECT '{name}' AS test_name, round((ssb/(k-1))/(ssw/(nn-k)), 6) AS statistic, CAST(k - 1 AS DOUBLE) AS dof,
-  round(ssb/(ssb+ssw), 6) AS effect_size, {_etalabel('ssb/(ssb+ssw)')} AS effect_label, CAST(k AS BIGINT) AS n_groups,
-  CAST(nn AS BIGINT) AS n_obs FROM s WHERE k >= 2"""
+  round(p, 6) AS p_value, p < 0.05 AS reject_null, round(ssb/(ssb+ssw), 6) AS effect_size, {_etalabel('ssb/(ssb+ssw)')} AS effect_label, CAST(k AS BIGINT) AS n_groups,
+  CAST(nn AS BIGINT) AS n_obs FROM pp"""
 
 
 @query("t2_province_severity_anova", RISK + _anova_sql(
@@ -84,7 +113,7 @@ def t2_province_severity_anova(spark, sf):
     r = _risk(spark, sf)
     first10 = H.select_groups(r, "Province", min_rows=30, first=10)
     return finish(H.anova(r.where(F.col("HasClaim") == 1), "Province", "ClaimSeverity", groups=first10,
-                          test_name="Province Claim Severity Differences").select(*STAT_COLS))
+                          min_total=30, test_name="Province Claim Severity Differences").select(*STAT_COLS))
 
 
 @query("t5_zip_margin_anova", RISK + _anova_sql(
@@ -109,10 +138,18 @@ def t3_tukey_pairs(spark, sf):
 
 @query("t3_tukey_pvalues", None)
 def t3_tukey_pvalues(spark, sf):
-    """Tukey HSD pairs with studentised-range p-values and decisions (rows-only)."""
-    r = _risk(spark, sf).where(F.col("HasClaim") == 1)
-    first5 = H.select_groups(r, "Province", min_rows=5, first=5)
-    return finish(H.tukey_hsd(r, "Province", "ClaimSeverity", groups=first5))
+    """Tukey HSD of all pairs of T2's groups with studentised-range p-values and decisions, the
+    ANOVA decision that gates them, and the place among the significant pairs (the report
+    shows the first five)."""
+    from pyspark.sql import Window
+    risk = _risk(spark, sf)
+    first10 = H.select_groups(risk, "Province", min_rows=30, first=10)
+    claims = risk.where(F.col("HasClaim") == 1)
+    gate = H.anova(claims, "Province", "ClaimSeverity", groups=first10, min_total=30).select(F.col("reject_null").alias("anova_rejects"))
+    pairs = H.tukey_hsd(claims, "Province", "ClaimSeverity", groups=first10).crossJoin(F.broadcast(gate))
+    # at most 45 pairs
+    place = F.row_number().over(Window.partitionBy("reject_null").orderBy("group_a", "group_b"))
+    return finish(pairs.withColumn("significant_place", F.when(F.col("reject_null"), place)))
 
 
 GENDER_2x2 = RISK + """, c AS (SELECT sum(CASE WHEN G='Male' THEN HasClaim END) AS x11, count_if(G='Male') - sum(CASE WHEN G='Male' THEN HasClaim END) AS x12,
@@ -120,15 +157,15 @@ GENDER_2x2 = RISK + """, c AS (SELECT sum(CASE WHEN G='Male' THEN HasClaim END)
 e AS (SELECT *, x11+x12+x21+x22 AS n, x11+x12 AS r1, x21+x22 AS r2, x11+x21 AS c1, x12+x22 AS c2 FROM c),
 y AS (SELECT *, (abs(x11 - r1*c1/n) - least(0.5, abs(x11 - r1*c1/n)))^2/(r1*c1/n) + (abs(x12 - r1*c2/n) - least(0.5, abs(x12 - r1*c2/n)))^2/(r1*c2/n)
   + (abs(x21 - r2*c1/n) - least(0.5, abs(x21 - r2*c1/n)))^2/(r2*c1/n) + (abs(x22 - r2*c2/n) - least(0.5, abs(x22 - r2*c2/n)))^2/(r2*c2/n) AS chi FROM e)
-SELECT 'Chi-square Test' AS test_type, round(chi, 6) AS statistic, round(sqrt(chi / n), 6) AS effect_size, {vl} AS effect_label,
-  CAST(n AS BIGINT) AS n_obs, round(x11 / r1, 6) AS rate_a, round(x21 / r2, 6) AS rate_b, round((x11 / r1) / (x21 / r2), 6) AS risk_ratio FROM y"""
+SELECT 'Chi-square Test' AS test_type, round(chi, 6) AS statistic, round({pchi}, 6) AS p_value, {pchi} < 0.05 AS reject_null, round(sqrt(chi / n), 6) AS effect_size, {vl} AS effect_label,
+  CAST(n AS BIGINT) AS n_obs, round(x11 / r1, 6) AS rate_a, round(x21 / r2, 6) AS rate_b, round((x21 / r2) / (x11 / r1), 6) AS risk_ratio FROM y"""
 
 
-@query("t6_t13_gender_claim_2x2", GENDER_2x2.replace("{vl}", _vlabel("sqrt(chi / n)")))
+@query("t6_t13_gender_claim_2x2", GENDER_2x2.replace("{vl}", _vlabel("sqrt(chi / n)")).replace("{pchi}", _p_chi("chi", "1")))
 def t6_t13_gender_claim_2x2(spark, sf):
     g = FE.add_gender(_risk(spark, sf)).where(F.col("Gender").isin("Male", "Female"))
-    res = H.two_by_two(g, "Gender", "HasClaim", "Male", "Female")
-    return finish(res.select("test_type", "statistic", "effect_size", "effect_label", "n_obs", "rate_a", "rate_b", "risk_ratio"))
+    res = H.two_by_two(g, "Gender", "HasClaim", "Male", "Female", min_rows=100)
+    return finish(res.select("test_type", "statistic", "p_value", "reject_null", "effect_size", "effect_label", "n_obs", "rate_a", "rate_b", "risk_ratio"))
 
 
 SEV = RISK + """, s AS (SELECT G, ClaimSeverity AS x FROM risk WHERE HasClaim = 1 AND G IN ('Male', 'Female')),
@@ -137,13 +174,16 @@ m AS (SELECT count_if(G='Male') AS n1, avg(CASE WHEN G='Male' THEN x END) AS m1,
 """
 
 
-@query("t10_t11_gender_severity_t", SEV + f"""SELECT 'student' AS variant, round((m1-m2)/sqrt(((n1-1)*v1+(n2-1)*v2)/(n1+n2-2)*(1.0/n1+1.0/n2)), 6) AS statistic,
-  CAST(n1+n2-2 AS DOUBLE) AS dof FROM m UNION ALL
-SELECT 'welch', round((m1-m2)/sqrt(v1/n1+v2/n2), 6), round((v1/n1+v2/n2)^2/((v1/n1)^2/(n1-1)+(v2/n2)^2/(n2-1)), 4) FROM m""")
+@query("t10_t11_gender_severity_t", SEV + f""", v AS (SELECT 'student' AS variant, (m1-m2)/sqrt(((n1-1)*v1+(n2-1)*v2)/(n1+n2-2)*(1.0/n1+1.0/n2)) AS t,
+  CAST(n1+n2-2 AS DOUBLE) AS df FROM m UNION ALL
+SELECT 'welch', (m1-m2)/sqrt(v1/n1+v2/n2), (v1/n1+v2/n2)^2/((v1/n1)^2/(n1-1)+(v2/n2)^2/(n2-1)) FROM m),
+pp AS MATERIALIZED (SELECT *, {_p_t("t", "df")} AS p FROM v)
+SELECT variant, round(t, 6) AS statistic, round(df, 4) AS dof, round(p, 6) AS p_value, p < 0.05 AS reject_null FROM pp""")
 def t10_t11_gender_severity_t(spark, sf):
     g = FE.add_gender(_risk(spark, sf)).where((F.col("HasClaim") == 1) & F.col("Gender").isin("Male", "Female"))
-    s = H.t_test(g, "Gender", "ClaimSeverity", "Male", "Female", welch=False).select(F.lit("student").alias("variant"), "statistic", "dof")
-    w = H.t_test(g, "Gender", "ClaimSeverity", "Male", "Female", welch=True).select(F.lit("welch").alias("variant"), "statistic", "dof")
+    cols = ("statistic", "dof", "p_value", "reject_null")
+    s = H.t_test(g, "Gender", "ClaimSeverity", "Male", "Female", welch=False).select(F.lit("student").alias("variant"), *cols)
+    w = H.t_test(g, "Gender", "ClaimSeverity", "Male", "Female", welch=True).select(F.lit("welch").alias("variant"), *cols)
     return finish(s.unionByName(w), {"dof": 4})
 
 
@@ -165,27 +205,32 @@ def t22_t23_power_ci(spark, sf):
 
 
 @query("t12_mann_whitney_gender", SEV + """, r AS (SELECT G, x, rank() OVER (ORDER BY x) + (count(*) OVER (PARTITION BY x) - 1) / 2.0 AS ar FROM s),
-w AS (SELECT x, count(*) AS t FROM s GROUP BY x)
-SELECT round(sum(CASE WHEN G='Male' THEN ar END) - count_if(G='Male') * (count_if(G='Male') + 1) / 2.0, 4) AS statistic,
-  count_if(G='Male') + count_if(G='Female') AS n_obs, (SELECT round(sum(t*t*t - t), 1) FROM w) AS tie_term FROM r""")
+w AS (SELECT x, count(*) AS t FROM s GROUP BY x),
+u AS (SELECT sum(CASE WHEN G='Male' THEN ar END) - count_if(G='Male') * (count_if(G='Male') + 1) / 2.0 AS u1,
+  count_if(G='Male')::DOUBLE AS n1, count_if(G='Female')::DOUBLE AS n2, (SELECT sum(t*t*t - t) FROM w) AS tie FROM r),
+z AS (SELECT *, greatest((greatest(u1, n1*n2 - u1) - n1*n2/2 - 0.5) / sqrt(n1*n2/12*((n1+n2+1) - tie/((n1+n2)*(n1+n2-1)))), 0) AS z FROM u),
+pp AS MATERIALIZED (SELECT *, """ + _p_norm("z") + """ AS p FROM z)
+SELECT round(u1, 4) AS statistic, CAST(n1 + n2 AS BIGINT) AS n_obs, round(tie, 1) AS tie_term, round(p, 6) AS p_value, p < 0.05 AS reject_null FROM pp""")
 def t12_mann_whitney_gender(spark, sf):
     g = FE.add_gender(_risk(spark, sf)).where((F.col("HasClaim") == 1) & F.col("Gender").isin("Male", "Female"))
     m = H.mann_whitney(g, "Gender", "ClaimSeverity", "Male", "Female")
     # tie term re-derived from value counts for the report
     w = g.groupBy("ClaimSeverity").agg(F.count(F.lit(1)).cast("double").alias("t")) \
          .agg(F.sum(F.col("t") ** 3 - F.col("t")).alias("tie_term"))
-    return finish(m.select("statistic", "n_obs").crossJoin(w), {"statistic": 4, "tie_term": 1})
+    return finish(m.select("statistic", "n_obs", "p_value", "reject_null").crossJoin(F.broadcast(w)), {"statistic": 4, "tie_term": 1})
 
 
 @query("t9_levene_gender_severity", RISK + """, s AS (SELECT G, ClaimSeverity AS x FROM risk WHERE HasClaim = 1 AND G IS NOT NULL),
 md AS (SELECT G, median(x) AS med FROM s GROUP BY G), z AS (SELECT s.G, abs(x - med) AS z FROM s JOIN md USING (G)),
 g AS (SELECT G, count(*) AS n, avg(z) AS m, var_samp(z) AS v FROM z GROUP BY G),
 t AS (SELECT sum(n) AS nn, count(*) AS k, sum(n*m)/sum(n) AS gm FROM g),
-q AS (SELECT nn, k, sum(n*(m-gm)^2) AS ssb, sum((n-1)*v) AS ssw FROM g, t GROUP BY nn, k)
-SELECT round((ssb/(k-1))/(ssw/(nn-k)), 6) AS statistic, CAST(k - 1 AS DOUBLE) AS dof, CAST(nn AS BIGINT) AS n_obs FROM q""")
+q AS (SELECT nn, k, sum(n*(m-gm)^2) AS ssb, sum((n-1)*v) AS ssw FROM g, t GROUP BY nn, k),
+pp AS MATERIALIZED (SELECT *, """ + _p_f("(ssb/(k-1))/(ssw/(nn-k))", "k - 1", "nn - k") + """ AS p FROM q)
+SELECT round((ssb/(k-1))/(ssw/(nn-k)), 6) AS statistic, CAST(k - 1 AS DOUBLE) AS dof, round(p, 6) AS p_value, p < 0.05 AS reject_null,
+  CAST(nn AS BIGINT) AS n_obs FROM pp""")
 def t9_levene_gender_severity(spark, sf):
     g = FE.add_gender(_risk(spark, sf)).where((F.col("HasClaim") == 1) & F.col("Gender").isNotNull())
-    return finish(H.levene(g, "Gender", "ClaimSeverity").select("statistic", "dof", "n_obs"))
+    return finish(H.levene(g, "Gender", "ClaimSeverity").select("statistic", "dof", "p_value", "reject_null", "n_obs"))
 
 
 @query("t8_shapiro_wilk_gender", None)
@@ -215,11 +260,10 @@ def t14_t16_two_group_statistics(spark, sf):
     r = _risk(spark, sf)
     parts = []
     for f in ("Province", "PostalCode", "Gender"):
-        t = H.two_largest(r, f)
-        parts.append(t.agg(F.lit(f).alias("feature"),
-                           F.max_by(F.col(f).cast("string"), F.col("n")).alias("group_a"),
-                           F.min_by(F.col(f).cast("string"), F.col("n")).alias("group_b"),
-                           F.max("n").alias("n_a"), F.min("n").alias("n_b")))
+        t = B.two_largest_positions(r, f)
+        at = lambda c, k: F.max(F.when(F.col("_pos") == k, F.col(c)))
+        parts.append(t.agg(F.lit(f).alias("feature"), at(f, 1).alias("group_a"), at(f, 2).alias("group_b"),
+                           at("n", 1).alias("n_a"), at("n", 2).alias("n_b")))
     out = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return finish(out)
 

@@ -81,3 +81,36 @@ def test_proportion_ci(spark):
     r = H.proportion_ci(df, "y").first()
     half = 1.959963984540054 * math.sqrt(0.3 * 0.7 / 100)
     assert math.isclose(r["ci_low"], 0.3 - half) and math.isclose(r["ci_high"], 0.3 + half)
+
+
+def test_edge_frames_give_the_insufficient_row(spark):
+    """empty, one group, constant values and zero cells never raise; guards give one row."""
+    make = lambda rows: spark.createDataFrame(rows, "g string, y int, x double")
+    frames = {"empty": make([]), "one group": make([("A", 1, 1.0)] * 40), "null": make([(None, None, None)] * 3),
+              "constant": make([("A", 0, 2.0)] * 40 + [("B", 0, 2.0)] * 40), "zero cell": make([("A", 1, 1.0)] * 40 + [("B", 0, 2.0)] * 40)}
+    for name, df in frames.items():
+        tests = {"chi": H.chi_square_k2(df, "g", "y"), "2x2": H.two_by_two(df, "g", "y", "A", "B", min_rows=30),
+                 "anova": H.anova(df, "g", "x"), "levene": H.levene(df, "g", "x"), "tukey": H.tukey_hsd(df, "g", "x"),
+                 "t": H.t_test(df, "g", "x", "A", "B", welch=False), "welch": H.t_test(df, "g", "x", "A", "B"),
+                 "mw": H.mann_whitney(df, "g", "x", "A", "B"), "shapiro": H.shapiro_wilk(df, "g", "x")}
+        for test, res in tests.items():
+            rows = res.collect()
+            assert rows, (name, test)
+            if name in ("empty", "null"):
+                assert [r.test_type for r in rows] == [H.INSUFFICIENT], (name, test)
+                assert rows[0].p_value is None and rows[0].reject_null is None
+        assert H.effect_size_table(df, "g", "x", "A", "B").count() == 1
+    assert H.two_by_two(frames["zero cell"], "g", "y", "A", "B").first()["test_type"] == "Fisher's Exact Test"
+
+
+def test_fisher_of_large_tables():
+    assert math.isclose(D.fisher_exact(3, 1, 1, 3)[1], 0.4857142857142857, rel_tol=1e-12)
+    assert math.isclose(D.fisher_exact(8, 2, 1, 5)[1], 0.03496503496503495, rel_tol=1e-9)
+    assert 0 <= D.fisher_exact(0, 10**9, 5 * 10**5, 10**9)[1] < 1e-300
+
+
+def test_counts_beyond_bigint_products(spark):
+    """Products of counts near 6e9 stay in doubles."""
+    df = spark.createDataFrame([(6_000_000_000, 0.5)], "n long, r double")
+    n = F.col("n").cast("double")
+    assert df.select(n * (n + 1)).first()[0] > 3e19
