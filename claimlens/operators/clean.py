@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimlens.functions import expr as X
-from claimlens.operators.quantiles import median, quantile
+from claimlens.operators.quantiles import aggregate, median, quantile
 
 
 def _present(df: DataFrame, cols: Iterable[str]) -> list[str]:
@@ -226,7 +226,7 @@ def impute_median(df: DataFrame, cols: Sequence[str], approx: bool | None = None
     cols = _present(df, cols)
     if not cols:
         return df
-    meds = df.agg(*[median(c, approx).alias(f"_med_{i}") for i, c in enumerate(cols)])
+    meds = aggregate(df, *[median(c, approx).alias(f"_med_{i}") for i, c in enumerate(cols)])
     j = df.crossJoin(F.broadcast(meds))
     return j.withColumns({c: F.coalesce(F.col(c), F.col(f"_med_{i}")) for i, c in enumerate(cols)}) \
             .drop(*[f"_med_{i}" for i in range(len(cols))])
@@ -235,7 +235,7 @@ def impute_median(df: DataFrame, cols: Sequence[str], approx: bool | None = None
 def impute_group_median(df: DataFrame, col: str, by: str, approx: bool | None = None) -> DataFrame:
     """Fill ``col`` with the median of its ``by`` group
     (``groupby.transform('median')``). Null group keys get no fill."""
-    meds = df.groupBy(by).agg(median(col, approx).alias("_grp_med")).where(F.col(by).isNotNull())
+    meds = aggregate(df, median(col, approx).alias("_grp_med"), by=[by]).where(F.col(by).isNotNull())
     j = df.join(meds, on=by, how="left")
     return j.withColumn(col, F.coalesce(F.col(col), F.col("_grp_med"))).drop("_grp_med").select(*df.columns)
 
@@ -247,7 +247,7 @@ def winsorize_upper(df: DataFrame, col: str, q: float, *, population=None,
     ``TotalClaims > 0``) computes it over a sub-population so a zero-inflated
     column is not flattened; the flat variant is ``population=None``."""
     src = df if population is None else df.where(population)
-    cap = src.agg(quantile(col, q, approx).alias("_cap"))
+    cap = aggregate(src, quantile(col, q, approx).alias("_cap"))
     j = df.crossJoin(F.broadcast(cap))
     return j.withColumn(col, X.clip(col, upper=F.col("_cap"))).drop("_cap")
 
@@ -256,7 +256,7 @@ def winsorize_report(df: DataFrame, col: str, q: float, *, population=None,
                      approx: bool | None = None) -> DataFrame:
     """P49 report: the cap, how many rows exceed it and their sum."""
     src = df if population is None else df.where(population)
-    cap = src.agg(quantile(col, q, approx).alias("cap"))
+    cap = aggregate(src, quantile(col, q, approx).alias("cap"))
     return (df.crossJoin(F.broadcast(cap))
               .agg(F.first("cap").alias("cap"), F.count_if(F.col(col) > F.col("cap")).alias("n_capped"),
                    F.sum(F.when(F.col(col) > F.col("cap"), F.col(col))).alias("sum_capped")))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimlens.functions import expr as X
-from claimlens.operators.quantiles import median, quantile
+from claimlens.operators.quantiles import aggregate, median, quantile
 from claimlens.operators import ranking as R
 
 
@@ -43,9 +43,9 @@ def add_excess_features(df: DataFrame, col: str = "ExcessSelected", approx: bool
     amt = F.col(col).cast("double") if isinstance(f, T.NumericType) else \
         F.nullif(F.regexp_extract(F.col(col).cast("string"), r"(\d+\.?\d*)", 1), F.lit("")).try_cast("double")
     d = df.withColumn("ExcessAmount", amt)
-    d = _attach(d, d.agg(median("ExcessAmount", approx).alias("_m1")))
+    d = _attach(d, aggregate(d, median("ExcessAmount", approx).alias("_m1")))
     d = d.withColumn("ExcessAmount", F.coalesce("ExcessAmount", "_m1")).drop("_m1")
-    d = _attach(d, d.agg(median("ExcessAmount", approx).alias("_m2")))
+    d = _attach(d, aggregate(d, median("ExcessAmount", approx).alias("_m2")))
     return d.withColumn("HasHighExcess", X.flag(F.col("ExcessAmount") > F.col("_m2"))).drop("_m2")
 
 
@@ -62,7 +62,7 @@ def add_power_features(df: DataFrame, kw: str = "kilowatts", cc: str = "cubiccap
                        approx: bool | None = None) -> DataFrame:
     """PowerToCapacityRatio = kw / (cc with 0 -> null, + 1); HasHighPower = ratio > its median."""
     d = df.withColumn("PowerToCapacityRatio", X.safe_div(kw, cc, eps=1.0))
-    d = _attach(d, d.agg(median("PowerToCapacityRatio", approx).alias("_m")))
+    d = _attach(d, aggregate(d, median("PowerToCapacityRatio", approx).alias("_m")))
     return d.withColumn("HasHighPower", X.flag(F.col("PowerToCapacityRatio") > F.col("_m"))).drop("_m")
 
 
@@ -71,9 +71,9 @@ def add_premium_risk(df: DataFrame, premium: str = "TotalPremium", sum_insured:
     """PremiumToSumInsuredRatio = premium / (sum insured with 0 -> null, + 1),
     missing -> median; IsHighRiskPremium = ratio > its 75th percentile."""
     d = df.withColumn("PremiumToSumInsuredRatio", X.nan_to_null(X.safe_div(premium, sum_insured, eps=1.0)))
-    d = _attach(d, d.agg(median("PremiumToSumInsuredRatio", approx).alias("_m")))
+    d = _attach(d, aggregate(d, median("PremiumToSumInsuredRatio", approx).alias("_m")))
     d = d.withColumn("PremiumToSumInsuredRatio", F.coalesce("PremiumToSumInsuredRatio", "_m")).drop("_m")
-    d = _attach(d, d.agg(quantile("PremiumToSumInsuredRatio", 0.75, approx).alias("_q")))
+    d = _attach(d, aggregate(d, quantile("PremiumToSumInsuredRatio", 0.75, approx).alias("_q")))
     return d.withColumn("IsHighRiskPremium", X.flag(F.col("PremiumToSumInsuredRatio") > F.col("_q"))).drop("_q")
 
 
@@ -138,7 +138,7 @@ def fit_feature_stats(train: DataFrame, cc: str = "cubiccapacity",
         aggs.append(median(cc, approx).alias("_cc_median"))
     if "SumInsured" in train.columns:
         aggs.append(quantile("SumInsured", [0.0, 0.2, 0.4, 0.6, 0.8, 1.0], approx).alias("_si_edges"))
-    return train.agg(*aggs)
+    return aggregate(train, *aggs)
 
 
 def add_model_features(df: DataFrame, stats: DataFrame,
@@ -227,7 +227,7 @@ def add_target_transforms(df: DataFrame, target: str = "TotalClaims", approx: bo
     the two cut points coincide."""
     t = F.coalesce(F.col(target).cast("double"), F.lit(0.0))
     d = df.withColumn(target, t)
-    st = d.agg(F.avg(target).alias("_mu"), F.stddev_samp(target).alias("_sd"),
+    st = aggregate(d, F.avg(target).alias("_mu"), F.stddev_samp(target).alias("_sd"),
                median(target, approx).alias("_med"),
                quantile(target, [0.33, 0.66], approx).alias("_qs"),
                F.min(target).alias("_mn"), F.max(target).alias("_mx"))

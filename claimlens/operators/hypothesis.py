@@ -21,7 +21,7 @@ from pyspark.sql.types import DoubleType
 from claimlens.functions import dist as D
 from claimlens.functions.expr import norm_ppf, threshold_label
 from claimlens.operators import ranking as R
-from claimlens.operators.quantiles import median
+from claimlens.operators.quantiles import aggregate, median
 
 RESULT_COLS = ["test_name", "test_type", "feature", "metric", "group_a", "group_b", "statistic", "dof",
                "p_value", "effect_size", "effect_label", "n_groups", "n_obs", "reject_null"]
@@ -170,7 +170,7 @@ def levene(df: DataFrame, group: str, value: str, *, test_name: str = "Equal Var
            alpha: float = 0.05) -> DataFrame:
     """Levene's test centred on group medians = ANOVA of |x - median(group)|."""
     d = df.where(F.col(group).isNotNull() & F.col(value).isNotNull())
-    meds = d.groupBy(group).agg(median(value).alias("_med"))
+    meds = aggregate(d, median(value).alias("_med"), by=[group])
     z = d.join(meds, group).withColumn("_z", F.abs(F.col(value) - F.col("_med")))
     g = z.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.avg("_z").alias("m"), F.var_samp("_z").alias("v"))
     return _anova_from_groups(g, test_name=test_name, feature=group, metric=value, alpha=alpha,

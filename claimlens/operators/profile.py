@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimlens.operators.quantiles import quantile
+from claimlens.operators.quantiles import aggregate, quantile
 
 
 def _q(c: str):
@@ -56,7 +56,7 @@ def describe(df: DataFrame, cols: Sequence[str], approx: bool | None = None, ext
         if extended:
             aggs += [F.skewness(x).alias(f"c{i}_g1"), F.kurtosis(x).alias(f"c{i}_g2"),
                      F.count_if(x == 0).alias(f"c{i}_zeros")]
-    a = df.agg(*aggs)
+    a = aggregate(df, *aggs)
     sel = []
     for i, _ in enumerate(cols):
         n = F.col(f"c{i}_count").cast("double")
@@ -187,7 +187,7 @@ def claim_distribution(df: DataFrame, col: str = "TotalClaims", approx: bool | N
     """Rows, claim rows (> 0), claim %, and min / max / mean / median /
     population std of the positive claims."""
     pos = F.when(F.col(col) > 0, F.col(col))
-    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.count(pos).alias("n_claims"),
+    return aggregate(df, F.count(F.lit(1)).alias("n_rows"), F.count(pos).alias("n_claims"),
                   (F.count(pos) * 100.0 / F.count(F.lit(1))).alias("claim_pct"),
                   F.min(pos).alias("min_claim"), F.max(pos).alias("max_claim"), F.avg(pos).alias("mean_claim"),
                   quantile(pos, 0.5, approx).alias("median_claim"), F.stddev_pop(pos).alias("std_claim"))
@@ -198,7 +198,7 @@ def claim_summary(df: DataFrame, claims: str = "TotalClaims", premium: str = "To
     """Sum, mean, median, sample std and percentiles 25/50/75/90/95/99 of
     claims, premium sum / mean, loss ratio % (claims sum / premium sum * 100)."""
     qs = [0.25, 0.5, 0.75, 0.9, 0.95, 0.99]
-    a = df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(claims).alias("claims_sum"), F.avg(claims).alias("claims_mean"),
+    a = aggregate(df, F.count(F.lit(1)).alias("n_rows"), F.sum(claims).alias("claims_sum"), F.avg(claims).alias("claims_mean"),
                F.stddev_samp(claims).alias("claims_std"), quantile(claims, qs, approx).alias("_q"),
                F.sum(premium).alias("premium_sum"), F.avg(premium).alias("premium_mean"))
     return a.select("n_rows", "claims_sum", "claims_mean", F.element_at("_q", 2).alias("claims_median"), "claims_std",
@@ -241,8 +241,8 @@ def box_stats(df: DataFrame, cols: Sequence[str], by: str | None = None, approx:
         keys = [by] if by else []
         if by:
             base = base.where(F.col(by).isNotNull())
-        q = (base.groupBy(*keys) if keys else base).agg(quantile(c, [0.25, 0.5, 0.75], approx).alias("_q"),
-                                                        F.min(c).alias("_mn"), F.max(c).alias("_mx"))
+        q = aggregate(base, quantile(c, [0.25, 0.5, 0.75], approx).alias("_q"), F.min(c).alias("_mn"),
+                      F.max(c).alias("_mx"), by=keys)
         q = q.select(*keys, F.element_at("_q", 1).alias("q1"), F.element_at("_q", 2).alias("median"),
                      F.element_at("_q", 3).alias("q3"), "_mn", "_mx")
         j = base.join(q, keys, "left") if keys else base.crossJoin(F.broadcast(q))
@@ -265,7 +265,7 @@ def box_stats(df: DataFrame, cols: Sequence[str], by: str | None = None, approx:
 def iqr_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5, approx: bool | None = None) -> DataFrame:
     """Per column: outlier count (outside Q1 - k IQR .. Q3 + k IQR over the
     non-null values), outlier %, Q1, Q3, IQR. One quantile pass + one count pass."""
-    q = df.agg(*[quantile(c, [0.25, 0.75], approx).alias(f"_q{i}") for i, c in enumerate(cols)])
+    q = aggregate(df, *[quantile(c, [0.25, 0.75], approx).alias(f"_q{i}") for i, c in enumerate(cols)])
     j = df.crossJoin(F.broadcast(q))
     aggs = []
     for i, c in enumerate(cols):
@@ -285,7 +285,7 @@ def outlier_impact(df: DataFrame, col: str, claims: str = "TotalClaims", min_n:
                    approx: bool | None = None) -> DataFrame:
     """IQR outliers of ``col``: count, %, mean, max, and their share of total claims."""
     base = df.where(F.col(col).isNotNull())
-    q = base.agg(quantile(col, [0.25, 0.75], approx).alias("_q"), F.count(F.lit(1)).alias("_n"),
+    q = aggregate(base, quantile(col, [0.25, 0.75], approx).alias("_q"), F.count(F.lit(1)).alias("_n"),
                  F.stddev_samp(col).alias("_sd"))
     j = df.crossJoin(F.broadcast(q))
     q1, q3 = F.element_at("_q", 1), F.element_at("_q", 2)

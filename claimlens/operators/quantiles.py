@@ -1,38 +1,100 @@
-"""Quantile aggregates with one switch between exact and sketch-based.
+"""Exact quantiles without a value map in one task.
 
-``F.percentile`` is exact (linear interpolation, the same value pandas and DuckDB
-``quantile_cont`` give) but keeps a value->count map per group; a hot group with
-billions of distinct values would hold that map in one reduce task. Setting the
-session conf ``claimlens.quantiles.approx=true`` (or passing ``approx=True``)
-switches every operator to ``percentile_approx`` whose sketch has a fixed size.
+``F.percentile`` keeps a value -> count map per group in a single reduce task; for a column of
+mostly distinct values that map grows with the table. Here all quantiles of one aggregate are
+taken in one pass: the columns are melted to (column, value) rows, collapsed to weighted
+distinct values on the map side, given their distributed prefix weights
+(:mod:`claimlens.operators.ranking`), and the two order statistics around each quantile are
+picked by position and interpolated linearly (as pandas and SQL ``quantile_cont`` do).
+
+``approx=True`` on a call uses the fixed-size ``percentile_approx`` sketch instead.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, SparkSession
+from collections.abc import Sequence
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-APPROX_CONF = "claimlens.quantiles.approx"
+from claimlens.operators import ranking as R
+
 ACCURACY = 10000
 
 
-def use_approx(approx: bool | None = None) -> bool:
-    if approx is not None:
-        return approx
-    s = SparkSession.getActiveSession()
-    return bool(s) and s.conf.get(APPROX_CONF, "false").lower() == "true"
+@dataclass(frozen=True)
+class Quantile:
+    """An exact quantile (or several, as an array) in :func:`aggregate`."""
 
+    value: Column
+    q: tuple
+    many: bool
+    name: str = ""
 
-def quantile(c, q, approx: bool | None = None) -> Column:
-    """Quantile(s) of a column; ``q`` may be a float or a list (returns an array)."""
+    def alias(self, name: str) -> Quantile:
+        return Quantile(self.value, self.q, self.many, name)
+
+
+def quantile(c, q, approx: bool | None = None) -> Quantile | Column:
+    """Quantile(s) of a column for :func:`aggregate`; ``q`` may be a float or a list."""
     c = F.col(c) if isinstance(c, str) else c
-    if use_approx(approx):
-        return F.percentile_approx(c, q if not isinstance(q, (list, tuple)) else F.array(*[F.lit(x) for x in q]),
-                                   ACCURACY)
-    if isinstance(q, (list, tuple)):
-        return F.percentile(c, F.array(*[F.lit(float(x)) for x in q]))
-    return F.percentile(c, F.lit(float(q)))
+    many = isinstance(q, (list, tuple))
+    qs = tuple(float(x) for x in (q if many else [q]))
+    if approx:
+        return F.percentile_approx(c, F.array(*[F.lit(x) for x in qs]) if many else F.lit(qs[0]), ACCURACY)
+    return Quantile(c, qs, many)
 
 
-def median(c, approx: bool | None = None) -> Column:
+def median(c, approx: bool | None = None) -> Quantile | Column:
     return quantile(c, 0.5, approx)
+
+
+def exact_quantiles(df: DataFrame, wanted: Sequence[Quantile], by: Sequence[str] = ()) -> DataFrame:
+    """One row per ``by`` group (one row in all without) with the named quantiles; null where a
+    column has no value. Groups without any value are absent."""
+    by = list(by)
+    columns = {i: w.value for i, w in enumerate(wanted)}
+    melted = df.select(*by, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("_c"), v.cast("double").alias("_v")) for i, v in columns.items()])).alias("_m"))
+    melted = melted.select(*by, "_m._c", "_m._v").where("_v IS NOT NULL")
+    weighted = melted.groupBy(*by, "_c", "_v").agg(F.count(F.lit(1)).alias("_w"))
+    ranked = R.prefix_weights(weighted, [*by, "_c"], ["_v"], "_w", group_size="_size")
+    out = []
+    for i, w in enumerate(wanted):
+        picked = []
+        for q in w.q:
+            at = (F.col("_size") - 1) * F.lit(q)
+            lo, hi = F.floor(at), F.ceil(at)
+            inside = lambda p: (F.col("_c") == i) & (F.col("_before") <= p) & (p < F.col("_before") + F.col("_w"))  # noqa: B023, E731
+            a, b = F.max(F.when(inside(lo), F.col("_v"))), F.max(F.when(inside(hi), F.col("_v")))
+            share = F.max(F.when(F.col("_c") == i, at - lo))
+            picked.append(a + (b - a) * share)
+        out.append((F.array(*picked) if w.many else picked[0]).alias(w.name))
+    return ranked.groupBy(*by).agg(*out) if by else ranked.agg(*out)
+
+
+def aggregate(df: DataFrame, *items, by: Sequence[str] = ()) -> DataFrame:
+    """``df.groupBy(by).agg(items)`` where items may be exact quantiles. Without ``by`` the quantiles
+    are one row and join by a broadcast; groups join on their keys (nulls are a group)."""
+    by = list(by)
+    wanted = [x for x in items if isinstance(x, Quantile)]
+    plain = [x for x in items if not isinstance(x, Quantile)]
+    base = (df.groupBy(*by) if by else df).agg(*(plain or [F.count(F.lit(1)).alias("_rows")]))
+    if not wanted:
+        return base
+    found = exact_quantiles(df, wanted, by)
+    names = iter(base.columns[len(by):])
+    order = by + [x.name if isinstance(x, Quantile) else next(names) for x in items]
+    if not by:
+        return base.crossJoin(F.broadcast(found)).select(*order)
+    keys = [f"_key_{k}" for k in by]
+    found = found.withColumnsRenamed(dict(zip(by, keys)))
+    on = None
+    for k, other in zip(by, keys):
+        c = F.col(k).eqNullSafe(F.col(other))
+        on = c if on is None else on & c
+    return base.join(found, on, "left").select(*order)
+
+
+__all__ = ["Quantile", "quantile", "median", "exact_quantiles", "aggregate"]
