@@ -9,13 +9,14 @@ n-gram hashes) and bounded by sizes:
 * the overlap must be at least ``t * n``, so a pair meets within the first ``n - ceil(t * n) + 1``
   columns of each row, if columns are put in one order for all rows; they are ordered by the number of
   documents, rarest first, and only these corners of the rows are multiplied to get candidate pairs;
+  columns before the pair's first common one are lost to it, which bounds the overlap once more;
 * the overlap of a candidate pair is accumulated over blocks of columns, and the pair is given up as
   soon as what is left cannot reach its bound.
 
-A column with many rows is not expanded into all pairs: first its first row is multiplied with
-the others; rows that this joins into one component need no more products, since the result is the
+A column with many rows is not expanded into all pairs: first its most central row (the least part
+of its columns is its own) is multiplied with the others; rows that this joins into one component need no more products, since the result is the
 components of links; then pairs of rows still in different components are multiplied, save where
-the distances to the first row show (triangle inequality of the Jaccard distance) that the
+the distances to the central row show (triangle inequality of the Jaccard distance) that the
 pair cannot reach the threshold. No link between components is lost.
 
 N-grams are told apart by 64-bit hashes. Equal word sequences are one row of the matrix.
@@ -38,7 +39,7 @@ from claimlens.llm.components import connected_components
 from claimlens.llm.windows import (FLAGS, MESSAGE, Chunk, bucket_count, by_bucket, documents_of, inbox, messages, pack,
                                    skip_messages, squeeze, unsqueeze)
 
-ROWS = "chunk long, row int, size long, corner array<bigint>, grams binary"
+ROWS = "chunk long, row int, size long, shared long, corner array<bigint>, places array<int>, grams binary"
 BLOCKS = 4  # column blocks of the overlap of a pair
 
 
@@ -124,14 +125,17 @@ def matrix_rows(docs: DataFrame, id_col: str, text_col: str, width: int, percent
             own, often = gram[ptr[i]:ptr[i + 1]], common[ptr[i]:ptr[i + 1]]
             n = len(own)
             take = n - (percent * n + 99) // 100 + 1
-            corner = np.empty(0, np.uint64)
-            if n and np.count_nonzero(often == 0) < take:
+            corner, places = np.empty(0, np.uint64), np.empty(0, np.int64)
+            shared = int(np.count_nonzero(often))
+            if n and n - shared < take:
                 first = np.lexsort((own, often))[:take]
-                corner = own[first[often[first] > 0]]
-            rows.append((c.chunk, i, n, corner.view(np.int64), own[often > 0].tobytes() if len(corner) else None))
-        cols = list(zip(*rows)) if rows else [()] * 5
-        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.binary())
-        return pa.Table.from_arrays([pa.array(list(x), k) for x, k in zip(cols, kinds)], names=["chunk", "row", "size", "corner", "grams"])
+                places = np.flatnonzero(often[first])  # in the order of columns, the row's own ones included
+                corner = own[first[places]]
+            rows.append((c.chunk, i, n, shared, corner.view(np.int64), places, own[often > 0].tobytes() if len(corner) else None))
+        cols = list(zip(*rows)) if rows else [()] * 7
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.binary())
+        return pa.Table.from_arrays([pa.array(list(x), k) for x, k in zip(cols, kinds)],
+                                    names=["chunk", "row", "size", "shared", "corner", "places", "grams"])
 
     asked = chunks.select("chunk", "ids", "lens", "blob").mapInArrow(send, MESSAGE)
     scales = asked.groupBy("dst").applyInArrow(answer, MESSAGE)
@@ -141,13 +145,15 @@ def matrix_rows(docs: DataFrame, id_col: str, text_col: str, width: int, percent
     key = F.struct(F.coalesce(F.col("doc_id"), F.lit(int(NO_ID))).alias("id"), F.col("chunk"), F.col("row"))
     first = every.groupBy("print").agg(F.min(key).alias("f")).select("print", (F.col("f.chunk") * (1 << 20) + F.col("f.row")).alias("class"))
     members = staged(every.join(first, "print").select("doc_id", rid, "class"), "members")
-    return staged(rows.select(rid, "size", "corner", "grams"), "matrix"), members
+    return staged(rows.select(rid, "size", "shared", "corner", "places", "grams"), "matrix"), members
 
 
-def similar(size_a, size_b, percent: int):
-    """Whether sizes allow the threshold."""
+def reachable(size_a, place_a, size_b, place_b, percent: int):
+    """Whether rows of these sizes that meet at these places can reach the threshold: what
+    lies before their first common column cannot be common."""
     a, b = F.col(size_a), F.col(size_b)
-    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+    most = F.least(a - F.col(place_a), b - F.col(place_b))
+    return most * (100 + percent) >= (a + b) * percent
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -177,26 +183,28 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     (of its smallest id)."""
     matrix, members = matrix_rows(docs, id_col, text_col, width, percent, chunk_bytes)
     sets = matrix.where("grams IS NOT NULL").select("rid", "size", "grams")
-    entries = matrix.where("grams IS NOT NULL").select("rid", "size", F.explode("corner").alias("g"))
-    heads = entries.groupBy("g").agg(F.min(F.struct("rid", "size")).alias("h"), F.count(F.lit(1)).alias("n")).where("n > 1").select(
-        "g", F.col("h.rid").alias("a"), F.col("h.size").alias("size_a"))
-    entries = staged(entries.join(heads, "g"), "corners")
+    entries = matrix.where("grams IS NOT NULL").select(
+        "rid", "size", (1 - F.col("shared") / F.col("size")).alias("own"), F.explode(F.arrays_zip("corner", "places")).alias("e")).select(
+        "rid", "size", "own", F.col("e.corner").alias("g"), F.col("e.places").alias("place"))
+    heads = entries.groupBy("g").agg(F.min(F.struct("own", "rid", "size", "place")).alias("h"), F.count(F.lit(1)).alias("n")).where("n > 1").select(
+        "g", F.col("h.rid").alias("a"), F.col("h.size").alias("size_a"), F.col("h.place").alias("place_a"))
+    entries = staged(entries.drop("own").join(heads, "g"), "corners")
     linked = F.col("inter") * (100 + percent) >= F.lit(percent) * (F.col("size_a") + F.col("size_b"))
-    stars = entries.where((F.col("rid") != F.col("a")) & similar("size", "size_a", percent)).select("a", F.col("rid").alias("b")).distinct()
+    stars = entries.where((F.col("rid") != F.col("a")) & reachable("size", "place", "size_a", "place_a", percent)).select("a", F.col("rid").alias("b")).distinct()
     stars = verified(stars, sets, 0)  # in full, for the distances below
     edges = stars.where(linked).select("a", "b")
     found = connected_components(edges)
     # Rows of one column that are still in different components.
     parts = entries.join(found.withColumnRenamed("node", "rid"), "rid", "left").withColumn("component", F.coalesce("component", "rid"))
     open_columns = parts.groupBy("g").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("g")
-    # Distance of a column's rows to its first row, where their sizes allowed a product.
+    # Distance of a column's rows to its central row, where their product was taken.
     near = stars.select("a", F.col("b").alias("rid"), (1 - F.col("inter") / (F.col("size_a") + F.col("size_b") - F.col("inter"))).alias("d"))
     parts = parts.join(open_columns, "g").join(near, ["a", "rid"], "left")
     parts = staged(parts.withColumn("d", F.when(F.col("rid") == F.col("a"), F.lit(0.0)).otherwise(F.col("d"))), "open")
-    x = parts.select("g", F.col("rid").alias("a"), F.col("size").alias("size_a"), F.col("component").alias("ca"), F.col("d").alias("da"))
-    y = parts.select("g", F.col("rid").alias("b"), F.col("size").alias("size_b"), F.col("component").alias("cb"), F.col("d").alias("db"))
+    x = parts.select("g", F.col("rid").alias("a"), F.col("size").alias("size_a"), F.col("place").alias("place_a"), F.col("component").alias("ca"), F.col("d").alias("da"))
+    y = parts.select("g", F.col("rid").alias("b"), F.col("size").alias("size_b"), F.col("place").alias("place_b"), F.col("component").alias("cb"), F.col("d").alias("db"))
     reach = F.coalesce(F.abs(F.col("da") - F.col("db")) <= (100 - percent) / 100 + 1e-9, F.lit(True))
-    cross = x.join(y, (x["g"] == y["g"]) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & similar("size_a", "size_b", percent) & reach)
+    cross = x.join(y, (x["g"] == y["g"]) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & reachable("size_a", "place_a", "size_b", "place_b", percent) & reach)
     cross = cross.select("a", "b").distinct().join(stars.select("a", "b"), ["a", "b"], "left_anti")
     cross = verified(cross, sets, percent)
     more = cross.where(linked).select("a", "b")
