@@ -252,7 +252,7 @@ def discover_columns(df: DataFrame, *, keywords: Sequence[str] = (), kind: str |
                      max_cardinality: int | None = None, min_cardinality: int = 0) -> list[str]:
     """P50: columns whose name contains a keyword (case-insensitive), of a kind
     ('numeric' / 'string'), and optionally with a distinct count inside
-    [min_cardinality, max_cardinality] (one ``approx_count_distinct`` pass)."""
+    [min_cardinality, max_cardinality] (exact distinct counts of those columns)."""
     cols = df.columns
     if keywords:
         cols = [c for c in cols if any(k.lower() in c.lower() for k in keywords)]
@@ -261,7 +261,7 @@ def discover_columns(df: DataFrame, *, keywords: Sequence[str] = (), kind: str |
     elif kind == "string":
         cols = [c for c in cols if isinstance(df.schema[c].dataType, T.StringType)]
     if max_cardinality is not None and cols:
-        row = df.agg(*[F.approx_count_distinct(c).alias(f"d{i}") for i, c in enumerate(cols)]).first()
+        row = df.agg(*[F.count_distinct(c).alias(f"d{i}") for i, c in enumerate(cols)]).first()
         cols = [c for i, c in enumerate(cols) if min_cardinality <= row[f"d{i}"] <= max_cardinality]
     return cols
 

@@ -7,12 +7,14 @@ writer (S13).
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
+from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor)
 from pyspark.ml.stat import Correlation
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -20,9 +22,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimlens.operators import clean as C
 from claimlens.operators import ranking as R
-from claimlens.operators.quantiles import median
+from claimlens.operators.quantiles import aggregate, median
+from claimlens.session import materialize
 
 
 # ------------------------------------------------------------- encoding M1-M5
@@ -31,20 +33,24 @@ def build_preprocessor(df: DataFrame, num_cols: Sequence[str], cat_cols: Sequenc
                        max_onehot: int = 10, drop_first: bool = True, scale: bool = True,
                        cardinality: dict | None = None) -> Pipeline:
     """M1-M4: numeric -> assembled and standardised (mean and sample std);
-    categorical with <= ``max_onehot`` categories -> index + one-hot (drop-last,
-    unknowns kept in their own slot), above it -> alphabetical ordinal index
-    (unseen values get the extra index). Median imputation is done before
-    (:func:`impute_for_model`) because MLlib's Imputer median is approximate."""
+    categorical with <= ``max_onehot`` categories -> index + one-hot (drop-last, or all
+    categories with ``drop_first=False``; unknowns kept in their own slot), above it ->
+    alphabetical ordinal index, unseen values -1. ``cardinality`` must hold the exact distinct
+    counts of ``df`` (:func:`cardinalities`). Imputation is done before by a fitted
+    :class:`Imputer` because MLlib's Imputer median is approximate."""
     cardinality = cardinality or {}
     stages, inputs = [], []
     for c in cat_cols:
-        idx = StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep", stringOrderType="alphabetAsc")
-        stages.append(idx)
-        if cardinality.get(c, 0) <= max_onehot:
+        onehot = cardinality.get(c, 0) <= max_onehot
+        stages.append(StringIndexer(inputCol=c, outputCol=f"{c}__idx" if onehot else f"{c}__raw", handleInvalid="keep",
+                                    stringOrderType="alphabetAsc"))
+        if onehot:
             stages.append(OneHotEncoder(inputCols=[f"{c}__idx"], outputCols=[f"{c}__ohe"], dropLast=drop_first,
                                         handleInvalid="keep"))
             inputs.append(f"{c}__ohe")
         else:
+            stages.append(SQLTransformer(statement=f"SELECT *, CASE WHEN `{c}__raw` >= {cardinality[c]} THEN -1.0D "
+                                                   f"ELSE `{c}__raw` END AS `{c}__idx` FROM __THIS__"))
             inputs.append(f"{c}__idx")
     if num_cols:
         stages.append(VectorAssembler(inputCols=list(num_cols), outputCol="__num", handleInvalid="keep"))
@@ -57,10 +63,52 @@ def build_preprocessor(df: DataFrame, num_cols: Sequence[str], cat_cols: Sequenc
     return Pipeline(stages=stages)
 
 
-def impute_for_model(df: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str]) -> DataFrame:
-    """M1 / M2 imputation: exact medians for numeric columns (one aggregate),
-    'Unknown' for categorical ones."""
-    return C.fill_unknown(C.impute_median(df, num_cols), cat_cols)
+@dataclass(frozen=True)
+class Imputer:
+    """Fitted fills: numeric medians and categorical constants or most frequent values. Fitted once
+    on the training rows and applied alike to train, test and new rows."""
+
+    medians: dict = field(default_factory=dict)
+    fills: dict = field(default_factory=dict)
+
+    def apply(self, df: DataFrame) -> DataFrame:
+        out = {c: F.coalesce(F.col(c), F.lit(v).cast(df.schema[c].dataType)) for c, v in {**self.medians, **self.fills}.items()
+               if c in df.columns and v is not None}
+        return df.withColumns(out) if out else df
+
+    def save(self, spark, path: str) -> None:
+        """The fills as one JSON row."""
+        spark.createDataFrame([(json.dumps({"medians": self.medians, "fills": self.fills}),)], "value string").write.text(path)
+
+    @classmethod
+    def load(cls, spark, path: str) -> Imputer:
+        return cls(**json.loads(spark.read.text(path).first()[0]))
+
+
+def fit_imputer(df: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str], categorical: str = "constant",
+                value: str = "Unknown") -> Imputer:
+    """M1 / M2: exact medians (one pass for all columns); for categorical columns ``value``, or with
+    ``categorical='most_frequent'`` the most frequent value (ties by value)."""
+    num, cat = [c for c in num_cols if c in df.columns], [c for c in cat_cols if c in df.columns]
+    row = aggregate(df, *[median(c).alias(f"m{i}") for i, c in enumerate(num)]).first() if num else None
+    fills = {c: value for c in cat}
+    if cat and categorical == "most_frequent":
+        melted = df.select(F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).cast("string").alias("v")) for c in cat])).alias("e"))
+        counts = melted.where("e.v IS NOT NULL").groupBy("e.c", "e.v").agg(F.count(F.lit(1)).alias("n"))
+        best = counts.groupBy("c").agg(F.min(F.struct(-F.col("n"), F.col("v").alias("v")))["v"].alias("v"))
+        fills = {c: None for c in cat} | {r["c"]: r["v"] for r in best.collect()}  # one row per column
+    return Imputer({c: row[f"m{i}"] for i, c in enumerate(num)}, fills)
+
+
+def save_model(model: PipelineModel, imputer: Imputer, path: str) -> None:
+    """A fitted pipeline (encoder and estimator) and its imputer."""
+    from pyspark.sql import SparkSession
+    model.write().overwrite().save(f"{path}/pipeline")
+    imputer.save(SparkSession.getActiveSession(), f"{path}/imputer")
+
+
+def load_model(spark, path: str) -> tuple[PipelineModel, Imputer]:
+    return PipelineModel.load(f"{path}/pipeline"), Imputer.load(spark, f"{path}/imputer")
 
 
 def feature_names(model: PipelineModel, transformed: DataFrame, col: str = "features") -> list[str]:
@@ -73,10 +121,10 @@ def feature_names(model: PipelineModel, transformed: DataFrame, col: str = "feat
 
 
 def cardinalities(df: DataFrame, cols: Sequence[str]) -> dict:
-    """Distinct counts of categorical columns (one aggregate action; the encoder layout depends on it)."""
+    """Exact distinct counts of categorical columns (the encoder layout depends on them)."""
     if not cols:
         return {}
-    row = df.agg(*[F.approx_count_distinct(c).alias(c) for c in cols]).first()
+    row = df.agg(*[F.count_distinct(c).alias(c) for c in cols]).first()
     return {c: row[c] for c in cols}
 
 
@@ -142,7 +190,8 @@ def stratified_split(df: DataFrame, stratum: str, test_fraction: float = 0.2, se
 
 def regressors(label: str = "label", features: str = "features", seed: int = 42, trees: int = 200,
                rounds: int = 200, depth: int = 5) -> dict:
-    """Severity models of the comparison (boosted trees replace the external boosters)."""
+    """The nine severity models of the comparison. Boosted trees of different depth and
+    subsampling stand where the reference run used external boosting libraries."""
     kw = {"labelCol": label, "featuresCol": features}
     return {
         "LinearRegression": LinearRegression(regParam=0.0, **kw),
@@ -152,6 +201,8 @@ def regressors(label: str = "label", features: str = "features", seed: int = 42,
         "RandomForest": RandomForestRegressor(numTrees=trees, maxDepth=depth, seed=seed, **kw),
         "GradientBoosting": GBTRegressor(maxIter=rounds, stepSize=0.05, maxDepth=depth, seed=seed, **kw),
         "DecisionTree": DecisionTreeRegressor(maxDepth=depth, seed=seed, **kw),
+        "GradientBoostingDeep": GBTRegressor(maxIter=rounds, stepSize=0.05, maxDepth=depth + 1, seed=seed, **kw),
+        "GradientBoostingSampled": GBTRegressor(maxIter=rounds, stepSize=0.05, maxDepth=depth, subsamplingRate=0.8, seed=seed, **kw),
     }
 
 
@@ -168,15 +219,20 @@ def classifiers(label: str = "label", features: str = "features", seed: int = 42
 
 # -------------------------------------------------------------- metrics M14-M15
 
-def regression_metrics(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
-    """RMSE, MAE, R^2, MAPE (rows with a zero actual excluded), MPE, SMAPE (%) in one aggregate."""
+def metric_columns(label: str = "label", prediction: str = "prediction", prefix: str = "") -> list:
+    """M14 as aggregate columns: RMSE, MAE, R^2, MAPE (rows with a zero actual excluded), MPE, SMAPE (%)."""
     y, p = F.col(label), F.col(prediction)
     nz = y != 0
-    return pred.agg(F.count(F.lit(1)).alias("n"), F.sqrt(F.avg((y - p) ** 2)).alias("rmse"), F.avg(F.abs(y - p)).alias("mae"),
-                    (1 - F.try_divide(F.sum((y - p) ** 2), F.var_pop(y) * F.count(F.lit(1)))).alias("r2"),
-                    (F.avg(F.when(nz, F.abs((y - p) / y))) * 100).alias("mape"),
-                    (F.avg(F.when(nz, (y - p) / y)) * 100).alias("mpe"),
-                    (F.avg(F.try_divide(2 * F.abs(p - y), F.abs(y) + F.abs(p))) * 100).alias("smape"))
+    found = {"n": F.count(F.lit(1)), "rmse": F.sqrt(F.avg((y - p) ** 2)), "mae": F.avg(F.abs(y - p)),
+             "r2": 1 - F.try_divide(F.sum((y - p) ** 2), F.var_pop(y) * F.count(F.lit(1))),
+             "mape": F.avg(F.when(nz, F.abs((y - p) / y))) * 100, "mpe": F.avg(F.when(nz, (y - p) / y)) * 100,
+             "smape": F.avg(F.try_divide(2 * F.abs(p - y), F.abs(y) + F.abs(p))) * 100}
+    return [v.alias(prefix + k) for k, v in found.items()]
+
+
+def regression_metrics(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """M14 in one aggregate."""
+    return pred.agg(*metric_columns(label, prediction))
 
 
 def classification_metrics(pred: DataFrame, label: str = "label", score: str = "score",
@@ -186,13 +242,14 @@ def classification_metrics(pred: DataFrame, label: str = "label", score: str = "
     d = pred.where(F.col(score).isNotNull())
     v = d.groupBy(score).agg(F.count_if(F.col(label) == 1).alias("pos"), F.count(F.lit(1)).alias("_w"))
     p = R.prefix_weights(v, [], [score], "_w")
-    ar = F.col("_before") + (F.col("_w") + 1) / 2.0
-    s = p.agg(F.sum(F.col("pos") * ar).alias("rpos"), F.sum("pos").alias("npos"), F.sum("_w").alias("n"))
+    ar = (F.col("_before") + (F.col("_w") + 1) / 2.0).cast("double")
+    # doubles: products of counts pass the range of bigint
+    s = p.agg(F.sum(F.col("pos") * ar).alias("rpos"), F.sum("pos").cast("double").alias("npos"), F.sum("_w").alias("n"))
     auc = F.try_divide(F.col("rpos") - F.col("npos") * (F.col("npos") + 1) / 2.0, F.col("npos") * (F.col("n") - F.col("npos")))
     out = s.select(auc.alias("auc"), "n")
     if prediction in pred.columns:
         acc = pred.agg(F.avg((F.col(prediction) == F.col(label)).cast("double")).alias("accuracy"))
-        out = out.crossJoin(acc)
+        out = out.crossJoin(F.broadcast(acc))
     return out
 
 
@@ -205,7 +262,7 @@ def positive_probability(pred: DataFrame, out: str = "score") -> DataFrame:
 # ------------------------------------------------------------ CV / tuning M16-M17
 
 def cross_validate(estimator, data: DataFrame, label: str = "label", folds: int = 5, seed: int = 42,
-                   grid=None, parallelism: int = 2):
+                   grid=None, parallelism: int = 4, fold_col: str | None = None):
     """K-fold CV RMSE (optionally over a parameter grid). Returns the
     fitted CrossValidatorModel; ``avgMetrics`` / ``stdMetrics`` hold per-grid
     fold-mean and fold-std RMSE (mean of fold RMSE, not the root of the mean MSE)."""
@@ -213,6 +270,8 @@ def cross_validate(estimator, data: DataFrame, label: str = "label", folds: int
     grid = grid if grid is not None else ParamGridBuilder().build()
     cv = CrossValidator(estimator=estimator, estimatorParamMaps=grid, evaluator=ev, numFolds=folds, seed=seed,
                         parallelism=parallelism, collectSubModels=False)
+    if fold_col:
+        cv = cv.setFoldCol(fold_col)
     return cv.fit(data)
 
 
@@ -248,58 +307,58 @@ def linear_attribution(pred: DataFrame, coefficients: Sequence[float], names: Se
 
 
 def permutation_importance(model, data: DataFrame, names: Sequence[str], label: str = "label",
-                           seed: int = 7, top: int | None = None) -> DataFrame:
-    """M20 (tree models): RMSE increase when one feature slot is permuted across
-    rows. The permutation pairs row ranks under two independent seeded hashes
-    (distributed row numbers + an equi-join on the rank), so no row order is
-    collected."""
+                           seed: int = 7) -> DataFrame:
+    """M20 (tree models): RMSE increase when a feature slot is permuted across rows, for every slot.
+    Rows are put in one seeded random order (distributed row numbers) and each is paired with the
+    next one (the last with the first): one stored join gives every row its partner's vector.
+    Slot ``i`` is then permuted by taking the partner's value, and all slots are scored in
+    one job."""
     from pyspark.ml.functions import array_to_vector, vector_to_array
-    base = data.select(label, vector_to_array("features").alias("_x"))
-    base = base.withColumn("_rid", F.xxhash64(F.lit(seed), "_x", label))
-    ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName="rmse")
-    ref = ev.evaluate(model.transform(data))
-    rows = []
-    idxs = range(len(names)) if top is None else range(min(top, len(names)))
-    for i in idxs:
-        a = R.row_number_global(base.select("_rid", label, "_x"), ["_rid"], unique=False, out="_r1").drop("n_group")
-        b = R.row_number_global(base.select(F.col("_x")[i].alias("_v"), F.xxhash64(F.lit(seed + 1 + i), "_rid").alias("_h2")),
-                                ["_h2", "_v"], unique=False, out="_r1").drop("n_group")
-        j = a.join(b, "_r1")
-        x = F.concat(F.slice("_x", 1, i), F.array(F.col("_v")), F.slice("_x", i + 2, len(names)))
-        perm = j.select(label, array_to_vector(x).alias("features"))
-        rows.append((names[i], float(ev.evaluate(model.transform(perm)) - ref)))
-    return data.sparkSession.createDataFrame(rows, "feature string, rmse_increase double")
+    base = data.select(F.col(label).cast("double").alias("_y"), vector_to_array("features").alias("_x"))
+    base = base.withColumn("_h", F.xxhash64(F.lit(seed), "_x", "_y"))
+    ranked = materialize(R.row_number_global(base, ["_h"], out="_at"))
+    partner = ranked.select(F.col("_x").alias("_z"), F.when(F.col("_at") == 1, F.col("n_group")).otherwise(F.col("_at") - 1).alias("_at"))
+    pairs = materialize(ranked.join(partner, "_at").select("_y", "_x", "_z"))
+    # slot -1: unpermuted, the reference error
+    slots = pairs.withColumn("_slot", F.explode(F.sequence(F.lit(-1), F.lit(len(names) - 1))))
+    mixed = F.transform(F.arrays_zip("_x", "_z"), lambda e, i: F.when(i == F.col("_slot"), e["_z"]).otherwise(e["_x"]))
+    scored = model.transform(slots.select("_slot", "_y", array_to_vector(mixed).alias("features")))
+    errors = {r["_slot"]: r["e"] for r in scored.groupBy("_slot").agg(
+        F.sqrt(F.avg((F.col("prediction") - F.col("_y")) ** 2)).alias("e")).collect()}  # one row per slot
+    if -1 not in errors:
+        return data.sparkSession.createDataFrame([], "feature string, rmse_increase double")
+    return data.sparkSession.createDataFrame([(n, float(errors[i] - errors[-1])) for i, n in enumerate(names)],
+                                             "feature string, rmse_increase double")
 
 
 # ------------------------------------------------------------ two-part model M21
 
 def frequency_severity(train: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str], *,
-                       claims: str = "TotalClaims", seed: int = 42, trees: int = 50):
+                       claims: str = "TotalClaims", seed: int = 42, trees: int = 200):
     """Claim probability (random forest classifier on all rows) and severity
     (random forest on log1p claims of claimants, inverted once with expm1).
-    Returns a function scoring any frame to p_claim, expected_severity, expected_cost."""
+    Imputer and encoder are fitted once on the training rows. Returns a function scoring any
+    frame to p_claim, expected_severity, expected_cost: a row scores alike alone or in a batch."""
     from pyspark.ml.functions import vector_to_array
-    data = impute_for_model(train, num_cols, cat_cols)
-    card = cardinalities(data, cat_cols)
-    prep = build_preprocessor(data, num_cols, cat_cols, cardinality=card)
-    d = data.withColumn("label_c", (F.col(claims) > 0).cast("double")) \
+    imputer = fit_imputer(train, num_cols, cat_cols)
+    data = imputer.apply(train)
+    encoder = build_preprocessor(data, num_cols, cat_cols, cardinality=cardinalities(data, cat_cols)).fit(data)
+    d = encoder.transform(data).withColumn("label_c", (F.col(claims) > 0).cast("double")) \
             .withColumn("label_s", F.log1p(F.greatest(F.col(claims), F.lit(0.0))))
-    clf = Pipeline(stages=prep.getStages() + [RandomForestClassifier(labelCol="label_c", numTrees=trees, maxDepth=5,
-                                                                     seed=seed)]).fit(d)
-    sev = Pipeline(stages=prep.getStages() + [RandomForestRegressor(labelCol="label_s", numTrees=trees, maxDepth=5,
-                                                                    seed=seed)]).fit(d.where(F.col(claims) > 0))
+    d = materialize(d.select("features", "label_c", "label_s"))
+    clf = RandomForestClassifier(labelCol="label_c", numTrees=trees, maxDepth=5, seed=seed).fit(d)
+    sev = RandomForestRegressor(labelCol="label_s", numTrees=trees, maxDepth=5, seed=seed).fit(d.where("label_c = 1"))
 
     def score(df: DataFrame) -> DataFrame:
-        x = impute_for_model(df, num_cols, cat_cols)
-        p = clf.transform(x).withColumn("p_claim", vector_to_array("probability").getItem(1))
-        keep = [c for c in df.columns] + ["p_claim"]
-        p = p.select(*keep)
-        s = sev.transform(impute_for_model(p, num_cols, cat_cols)).withColumn("expected_severity", F.expm1("prediction"))
-        return s.select(*keep, "expected_severity").withColumn("expected_cost", F.col("p_claim") * F.col("expected_severity"))
+        row = F.struct(*[F.col(c) for c in df.columns])
+        x = encoder.transform(imputer.apply(df.withColumn("_row", row)))
+        s = sev.transform(clf.transform(x).select("_row", "features", vector_to_array("probability").getItem(1).alias("p_claim")))
+        s = s.select("_row.*", "p_claim", F.expm1("prediction").alias("expected_severity"))
+        return s.withColumn("expected_cost", F.col("p_claim") * F.col("expected_severity"))
     return clf, sev, score
 
 
-__all__ = ["build_preprocessor", "impute_for_model", "feature_names", "cardinalities", "spearman_select",
+__all__ = ["build_preprocessor", "Imputer", "fit_imputer", "save_model", "load_model", "metric_columns", "feature_names", "cardinalities", "spearman_select",
            "spearman_table", "variance_select", "stratified_split", "regressors", "classifiers",
            "regression_metrics", "classification_metrics", "positive_probability", "cross_validate", "lasso_grid",
            "feature_importance", "linear_attribution", "permutation_importance", "frequency_severity",

@@ -14,6 +14,7 @@ from claimlens.operators import ml as M
 from claimlens.operators import pricing as PR
 from claimlens.plans import modelling as MO
 from claimlens.plans.registry import finish, query
+from claimlens.session import scratch_path
 from claimlens.sources.views import POLICY_TIE_KEYS, policy_cte, policy_view
 
 CTE = policy_cte()
@@ -194,7 +195,8 @@ def m23_premium_by_band(spark, sf):
 def m1_m5_encoded_features(spark, sf):
     """Preprocessor fit (median impute, scale, one-hot / ordinal) and the feature slot names."""
     num, cat = ["SumInsured", "TotalPremium", "kilowatts", "cubiccapacity"], ["Province", "CoverType", "make"]
-    d = M.impute_for_model(_pol(spark, sf), num, cat)
+    d = _pol(spark, sf)
+    d = M.fit_imputer(d, num, cat).apply(d)
     card = M.cardinalities(d, cat)
     model = M.build_preprocessor(d, num, cat, max_onehot=10, cardinality=card).fit(d)
     t = model.transform(d)
@@ -202,35 +204,35 @@ def m1_m5_encoded_features(spark, sf):
     return spark.createDataFrame([(i, n) for i, n in enumerate(names)], "slot bigint, feature string")
 
 
-def _sev(spark, sf, models, trees=50, rounds=30):
-    return MO.severity_run(_pol(spark, sf, keys=True), tie_keys=TIES, models=models, trees=trees, rounds=rounds)
+def _sev(spark, sf, models=None):
+    return MO.severity_run(_pol(spark, sf, keys=True), tie_keys=TIES, models=models)
 
 
 @query("m9_m12_m18_model_comparison", None)
 def m9_m12_m18_model_comparison(spark, sf):
-    """Severity models on the claim rows (log target, 80/20 stratified split) and the best-model flag."""
-    comp, *_ = _sev(spark, sf, ["LinearRegression", "Ridge", "Lasso", "ElasticNet", "DecisionTree", "RandomForest",
-                                "GradientBoosting"])
+    """The nine severity models on the claim rows (log target, 80/20 stratified split, 200 trees or
+    rounds) and the best-model flag."""
+    comp, *_ = _sev(spark, sf)
     return comp.drop("fit_seconds")
 
 
 @query("m13_m15_claim_classifiers", None)
 def m13_m15_claim_classifiers(spark, sf):
-    """Logistic, random-forest and boosted claim classifiers with exact AUC and accuracy."""
-    return MO.classification_run(_pol(spark, sf), trees=30, rounds=20)
+    """Logistic, random-forest and boosted claim classifiers (200 trees or rounds) with exact AUC and accuracy."""
+    return MO.classification_run(_pol(spark, sf))
+
+
+CV_NUM = ["SumInsured", "CalculatedPremiumPerTerm", "TotalPremium", "kilowatts"]
 
 
 @query("m16_m17_cross_validation", None)
 def m16_m17_cross_validation(spark, sf):
-    """5-fold CV RMSE of linear / ridge / lasso and a 3-fold lasso grid search."""
-    prep = MO.prepare_claims(_pol(spark, sf, keys=True), TIES)
-    num = ["SumInsured", "CalculatedPremiumPerTerm", "TotalPremium", "kilowatts", "VehicleAge"]
-    d = M.impute_for_model(prep, num, []).withColumn("label", F.col("Log_TotalClaims"))
-    pre = M.build_preprocessor(d, num, [])
-    data = pre.fit(d).transform(d).select("features", "label").cache()
+    """5-fold CV RMSE (mean and std over folds) of all nine severity models and the 3-fold lasso grid search."""
+    d = _pol(spark, sf, keys=True).where(F.col("TotalClaims") > 0)
+    d = M.fit_imputer(d, CV_NUM, []).apply(d).withColumn("label", F.log1p("TotalClaims"))
+    data = MO.stored_features(M.build_preprocessor(d, CV_NUM, []).fit(d).transform(d).select("features", "label"))
     rows = []
-    for name in ("LinearRegression", "Ridge", "Lasso"):
-        est = M.regressors("label")[name]
+    for name, est in M.regressors("label").items():
         cvm = M.cross_validate(est, data, "label", folds=5)
         rows.append((name, 5, float(cvm.avgMetrics[0]), float(cvm.stdMetrics[0]) if cvm.stdMetrics else None, None))
     lr = M.regressors("label")["Lasso"]
@@ -241,10 +243,57 @@ def m16_m17_cross_validation(spark, sf):
     return spark.createDataFrame(rows, "model string, folds int, mean_rmse double, std_rmse double, best_reg_param double")
 
 
+FOLD_SQL = CTE + """, c AS (SELECT ln(1 + SumInsured) AS x, ln(1 + TotalClaims) AS y, PolicyID % 5 AS fold FROM policy WHERE TotalClaims > 0 AND SumInsured IS NOT NULL),
+f AS (SELECT k.fold, regr_slope(y, x) AS b, regr_intercept(y, x) AS a FROM c, (SELECT DISTINCT fold FROM c) k WHERE c.fold <> k.fold GROUP BY k.fold),
+e AS (SELECT fold, sqrt(avg((y - a - b * x) ^ 2)) AS rmse FROM c JOIN f USING (fold) GROUP BY fold)
+SELECT CAST(5 AS BIGINT) AS folds, round(avg(rmse), 5) AS mean_rmse FROM e"""
+
+
+@query("m16_one_feature_folds", FOLD_SQL)
+def m16_one_feature_folds(spark, sf):
+    """Mean fold RMSE of a one-feature linear regression; folds are PolicyID % 5."""
+    d = _pol(spark, sf).where((F.col("TotalClaims") > 0) & F.col("SumInsured").isNotNull())
+    d = d.select(F.log1p("SumInsured").alias("x"), F.log1p("TotalClaims").alias("label"), (F.col("PolicyID") % 5).cast("int").alias("fold"))
+    data = VectorAssembler(inputCols=["x"], outputCol="features").transform(d)
+    cvm = M.cross_validate(M.regressors("label")["LinearRegression"], data, "label", folds=5, fold_col="fold")
+    return finish(spark.createDataFrame([(5, float(cvm.avgMetrics[0]))], "folds bigint, mean_rmse double"), default=5)
+
+
+@query("s13_model_save_load", CTE + """SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_different FROM policy WHERE TotalClaims > 0""")
+def s13_model_save_load(spark, sf):
+    """A fitted pipeline and its imputer, saved, loaded and scored again: predictions that differ."""
+    num, cat = ["SumInsured", "TotalPremium", "kilowatts"], ["CoverType", "Province"]
+    d = _pol(spark, sf).where(F.col("TotalClaims") > 0).withColumn("label", F.log1p("TotalClaims"))
+    imputer = M.fit_imputer(d, num, cat, categorical="most_frequent")
+    x = imputer.apply(d)
+    stages = M.build_preprocessor(x, num, cat, cardinality=M.cardinalities(x, cat)).getStages()
+    model = Pipeline(stages=[*stages, M.regressors("label")["Ridge"]]).fit(x)
+    path = scratch_path(spark, "model")
+    M.save_model(model, imputer, path)
+    again, fills = M.load_model(spark, path)
+    scored = model.transform(x).select(*d.columns, F.col("prediction").alias("before"))
+    both = again.transform(fills.apply(scored.drop("features"))).select("before", "prediction")
+    return finish(both.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("before") != F.col("prediction")).alias("n_different")))
+
+
+ONE_FEATURE = """, c AS (SELECT PolicyID, CoverSeq, CASE WHEN PolicyID % 4 = 0 THEN 'test' ELSE 'train' END AS part, SumInsured FROM policy),
+m AS (SELECT median(SumInsured) AS med FROM c WHERE part = 'train')"""
+
+
+@query("m1_fitted_imputer", CTE + ONE_FEATURE + """ SELECT part, count(*) AS n, count_if(SumInsured IS NULL) AS n_filled,
+  round(sum(coalesce(SumInsured, med)), 2) AS total FROM c, m GROUP BY part""")
+def m1_fitted_imputer(spark, sf):
+    """The training median fills train and test rows alike."""
+    d = _pol(spark, sf).withColumn("part", F.when(F.col("PolicyID") % 4 == 0, "test").otherwise("train"))
+    imputer = M.fit_imputer(d.where("part = 'train'"), ["SumInsured"], [])
+    filled = imputer.apply(d.withColumn("_gap", F.col("SumInsured").isNull()))
+    return finish(filled.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.count_if("_gap").alias("n_filled"), F.sum("SumInsured").alias("total")), default=2)
+
+
 @query("m19_m20_importance_attribution", None)
 def m19_m20_importance_attribution(spark, sf):
     """Linear |coef| ranking with exact mean |linear attribution|, plus forest importances and permutation importance."""
-    comp, fitted, names, preds, _ = _sev(spark, sf, ["LinearRegression", "RandomForest"], trees=30)
+    comp, fitted, names, preds, _ = _sev(spark, sf, ["LinearRegression", "RandomForest"])
     lin = fitted["LinearRegression"].stages[-1]
     att = M.linear_attribution(preds, list(lin.coefficients.toArray()), names)
     rf = fitted["RandomForest"].stages[-1]
@@ -255,12 +304,11 @@ def m19_m20_importance_attribution(spark, sf):
 
 @query("m20_permutation_importance", None)
 def m20_permutation_importance(spark, sf):
-    """RMSE increase per permuted feature slot of the forest (first 5 slots)."""
-    comp, fitted, names, preds, _ = _sev(spark, sf, ["RandomForest"], trees=20)
+    """RMSE increase per permuted feature slot of the forest (every slot)."""
+    comp, fitted, names, preds, _ = _sev(spark, sf, ["RandomForest"])
     rf = fitted["RandomForest"].stages[-1]
     data = preds.select("features", F.col("Log_TotalClaims").alias("label"))
-    return M.permutation_importance(rf.setLabelCol("label") if hasattr(rf, "setLabelCol") else rf, data, names,
-                                    label="label", top=5)
+    return M.permutation_importance(rf, data, names, label="label")
 
 
 @query("m21_frequency_severity", None)
@@ -268,7 +316,7 @@ def m21_frequency_severity(spark, sf):
     """Two-part model: claim probability x severity -> expected cost, averaged by province."""
     num, cat = ["SumInsured", "TotalPremium", "kilowatts", "cubiccapacity"], ["CoverType", "LegalType"]
     d = _pol(spark, sf)
-    _, _, score = M.frequency_severity(d, num, cat, trees=20)
+    _, _, score = M.frequency_severity(d, num, cat)
     s = score(d)
     return s.groupBy("Province").agg(F.avg("p_claim").alias("p_claim"), F.avg("expected_severity").alias("severity"),
                                      F.avg("expected_cost").alias("expected_cost"))
