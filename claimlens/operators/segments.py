@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimlens.functions.expr import flag, safe_div, threshold_label
+from claimlens.functions.expr import flag, safe_div
 
 CLAIMS, PREMIUM, POLICY = "TotalClaims", "TotalPremium", "PolicyID"
 
@@ -133,16 +133,15 @@ def total_by(df: DataFrame, dim: str, value: str = PREMIUM) -> DataFrame:
 
 def mean_by_with_extremes(df: DataFrame, dim: str, value: str, top: int = 3) -> DataFrame:
     """Mean of ``value`` per category plus which categories are the maximum,
-    the minimum and in the top ``top`` (flags computed on the aggregated table)."""
+    the minimum and in the top ``top`` (bounded top-k tables, joined by a broadcast)."""
     g = df.where(F.col(dim).isNotNull()).groupBy(dim).agg(F.avg(value).alias("mean_value"))
-    w_desc = Window.orderBy(F.desc_nulls_last("mean_value"), F.col(dim))
-    w_asc = Window.orderBy(F.asc_nulls_last("mean_value"), F.col(dim))
-    # The aggregated table has one row per category; the un-partitioned window
-    # runs over that small table only.
-    return (g.withColumn("rank_desc", F.row_number().over(w_desc).cast("bigint"))
-             .withColumn("rank_asc", F.row_number().over(w_asc).cast("bigint"))
-             .select(dim, "mean_value", (F.col("rank_desc") <= top).alias("is_top"),
-                     (F.col("rank_desc") == 1).alias("is_max"), (F.col("rank_asc") == 1).alias("is_min")))
+    high = F.desc_nulls_last("mean_value"), F.col(dim)
+    tops = g.orderBy(*high).limit(top).select(F.col(dim).alias("_top"))
+    ends = (g.orderBy(*high).limit(1).select(F.col(dim).alias("_max"))
+             .crossJoin(F.broadcast(g.orderBy(F.asc_nulls_last("mean_value"), F.col(dim)).limit(1).select(F.col(dim).alias("_min")))))
+    return (g.join(F.broadcast(tops), F.col(dim) == F.col("_top"), "left").crossJoin(F.broadcast(ends))
+             .select(dim, "mean_value", F.col("_top").isNotNull().alias("is_top"), (F.col(dim) == F.col("_max")).alias("is_max"),
+                     (F.col(dim) == F.col("_min")).alias("is_min")))
 
 
 def top_counts(df: DataFrame, dim: str, k: int = 5, where=None) -> DataFrame:
@@ -177,7 +176,3 @@ def high_risk_segments(df: DataFrame, dims: Sequence[str], *, claims: str = CLAI
     w = Window.partitionBy("dimension").orderBy(F.desc_nulls_last("loss_ratio"), F.col("category"))
     return (u.withColumn("position", F.row_number().over(w).cast("bigint"))
              .where((F.col("position") <= top) & (F.col("loss_ratio") > threshold)))
-
-
-def effect_label_v(c):
-    return threshold_label(c, [0.1, 0.3, 0.5], ["Negligible", "Small", "Medium", "Large"])

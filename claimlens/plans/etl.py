@@ -27,7 +27,7 @@ def process(df: DataFrame, *, typed: bool = False, claims_filter: str = "none",
     d = C.repair_rules(d, current_year=current_year)
     if checkpoint:
         d = materialize(d)
-    for col, q in (("TotalPremium", 0.995), ("TotalClaims", 0.99), ("SumInsured", 0.999)):
+    for col, q in WINSOR:
         if col in d.columns:
             pop = (F.col(col) > 0) if (population_winsorize and col == "TotalClaims") else None
             d = C.winsorize_upper(d, col, q, population=pop)
@@ -43,3 +43,23 @@ def process(df: DataFrame, *, typed: bool = False, claims_filter: str = "none",
     if checkpoint:
         d = materialize(d)
     return d, P.quality_rules(d)
+
+
+# The winsorising quantiles of the ETL.
+WINSOR = (("TotalPremium", 0.995), ("TotalClaims", 0.99), ("SumInsured", 0.999))
+IMPUTED = ("SumInsured", "cubiccapacity", "kilowatts", "NumberOfDoors", "Cylinders")
+
+
+def repair_log(typed: DataFrame, current_year: int = 2026) -> DataFrame:
+    """Rows that each step of the ETL changes: repaired signs and years, values above the
+    winsorising cap, gaps that are imputed. One row per rule."""
+    fixed = C.repair_counts(typed, current_year=current_year)
+    d = C.repair_rules(typed, current_year=current_year)
+    out = fixed.select("rule", F.col("n_rows").cast("long").alias("n_rows"))
+    for col, q in WINSOR:
+        if col in d.columns:
+            out = out.unionByName(C.winsorize_report(d, col, q).select(F.lit(f"winsorized_{col}").alias("rule"), F.col("n_capped").cast("long").alias("n_rows")))
+    gaps = [c for c in IMPUTED if c in d.columns]
+    counts = d.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in gaps])
+    parts = ", ".join(f"'imputed_{c}', `{c}`" for c in gaps)
+    return out.unionByName(counts.select(F.expr(f"stack({len(gaps)}, {parts}) AS (rule, n_rows)")))

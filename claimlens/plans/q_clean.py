@@ -119,8 +119,6 @@ FROM t""")
 def p3_p11_numeric_coercion(spark, sf):
     d = _pol(spark, sf).select(_amount_text_spark().alias("txt"))
     a = C.to_numeric(d.withColumn("v", F.col("txt")), ["v"])
-    a = a.join(C.fill_amounts(d.select("txt"), ["txt", "absent_col"]).select(F.lit(1).alias("_j")).limit(0), how="left_anti", on=F.lit(True)) \
-        if False else a
     filled = C.fill_amounts(a.withColumn("w", F.col("txt")), ["w", "absent_col"])
     return finish(filled.agg(F.count(F.lit(1)).alias("n_rows"), F.count("v").alias("n_parsed"),
                              F.sum("v").alias("sum_parsed"), F.sum("w").alias("sum_filled"),
@@ -337,7 +335,7 @@ SELECT 'claims_population', round(cap, 4), count_if(TotalClaims > cap), round(su
 SELECT 'premium_flat', round(cap, 4), count_if(TotalPremium > cap), round(sum(CASE WHEN TotalPremium > cap THEN TotalPremium END), 2),
   round(sum(least(TotalPremium, cap)), 2) FROM policy, c3 GROUP BY cap""")
 def p49_winsorize_report(spark, sf):
-    p = _pol(spark, sf).select("TotalClaims", "TotalPremium").cache()
+    p = _pol(spark, sf).select("TotalClaims", "TotalPremium")
     parts = []
     for name, col, q, pop in (("claims_flat", "TotalClaims", 0.99, None),
                               ("claims_population", "TotalClaims", 0.99, F.col("TotalClaims") > 0),
@@ -367,7 +365,7 @@ def f1_f4_filters(spark, sf):
     return finish(C.union_all(parts))
 
 
-@query("f2_extract_claims", AMT_CTE + """, p AS (SELECT t.PolicyID, t.CoverSeq, t.txt, q.TotalClaims FROM t JOIN policy q USING (PolicyID, CoverSeq))
+@query("f2_extract_claims", AMT_CTE + """
 SELECT count(*) AS n_claims, round(sum(TotalClaims), 2) AS claims_sum FROM policy WHERE TotalClaims > 0""")
 def f2_extract_claims(spark, sf):
     p = _pol(spark, sf).select(F.format_string("%.6f", "TotalClaims").alias("TotalClaims"))

@@ -109,12 +109,6 @@ def a17_column_info(spark, sf):
     return finish(P.column_info(_pol(spark, sf), PROF_COLS).drop("dtype"))
 
 
-@query("a18_type_census", None)
-def a18_type_census(spark, sf):
-    d = P.column_profile(_pol(spark, sf))
-    return d.select("dtype", "columns_of_type").distinct()
-
-
 @query("a20_quality_rules", CTE + """, d AS (SELECT PolicyID, count(*) AS k FROM policy GROUP BY PolicyID),
 r AS (SELECT 'future_dates' AS rule, CAST(count_if(TransactionMonth > TIMESTAMP '2026-01-01 00:00:00') AS DOUBLE) AS value FROM policy UNION ALL
   SELECT 'negative_TotalPremium', count_if(TotalPremium < 0) FROM policy UNION ALL

@@ -108,16 +108,18 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     return path
 
 
-def reproducible_sample(df: DataFrame, n: int = 1000) -> DataFrame:
-    """A reproducible sample of ``n`` rows: the ``n`` smallest row hashes
-    (TakeOrdered keeps ``n`` rows per partition, never a full sort)."""
-    return df.withColumn("_h", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])) \
-             .orderBy("_h", *df.columns).limit(n).drop("_h")
+def reproducible_sample(df: DataFrame, n: int = 1000, keys: Sequence[str] | None = None) -> DataFrame:
+    """A reproducible sample of ``n`` rows: the ``n`` smallest MD5 digests of the key
+    columns' text (default all columns), so that any engine can repeat it (TakeOrdered keeps
+    ``n`` rows per partition, never a full sort)."""
+    keys = list(keys or df.columns)
+    text = F.concat_ws("|", *[F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in keys])
+    return df.withColumn("_h", F.md5(text)).orderBy("_h", *keys).limit(n).drop("_h")
 
 
-def write_sample(df: DataFrame, path: str, n: int = 1000, fmt: str = "csv") -> str:
+def write_sample(df: DataFrame, path: str, n: int = 1000, fmt: str = "csv", keys: Sequence[str] | None = None) -> str:
     """Write the claim subset's reproducible sample."""
-    return write_table(reproducible_sample(df, n), path, fmt=fmt)
+    return write_table(reproducible_sample(df, n, keys), path, fmt=fmt)
 
 
 def write_splits(df: DataFrame, path: str, split_col: str = "split") -> str:
@@ -139,4 +141,4 @@ def write_head(df: DataFrame, path: str, order: Sequence[str], n: int = 1000) ->
 def write_report(df: DataFrame, path: str, fmts: Sequence[str] = ("json", "csv")) -> list[str]:
     """Small result tables (tests, describe, correlations, importances)
     written as JSON and CSV. The input is already aggregated; one file each."""
-    return [write_table(df.coalesce(1), f"{path}", fmt=f, sep=",") for f in fmts]
+    return [write_table(df.repartition(1), f"{path}", fmt=f, sep=",") for f in fmts]

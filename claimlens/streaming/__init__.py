@@ -1,3 +1,3 @@
 """Structured Streaming form of the chunked raw ingestion."""
 
-from claimlens.streaming.ingest import stream_typed, start_ingest, monthly_stream  # noqa: F401
+from claimlens.streaming.ingest import stream_typed, start_ingest  # noqa: F401

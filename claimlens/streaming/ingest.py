@@ -7,8 +7,7 @@ row-level operators as the batch ETL, and appended to a Parquet table partitione
 by transaction month. Only per-row steps run in the stream; the global steps
 (winsorize, impute, dedupe) belong to the batch job over the landed table,
 because a per-batch quantile would make results depend on batch boundaries —
-the very fault of the chunked reference. ``monthly_stream`` is the streaming form
-of the monthly portfolio series: an event-time tumbling window with a watermark.
+the very fault of the chunked reference.
 """
 
 from __future__ import annotations
@@ -17,13 +16,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimlens.operators import clean as C
-from claimlens.sources.io import RAW_COLUMNS, raw_schema
+from claimlens.sources.io import OVERFLOW, RAW_COLUMNS, raw_schema
 
 
 def stream_typed(spark: SparkSession, folder: str, sep: str = "|", max_files: int = 16) -> DataFrame:
-    """Streaming scan of raw files (all strings), typed and repaired row by row."""
-    raw = (spark.readStream.schema(raw_schema(RAW_COLUMNS)).option("header", True).option("sep", sep)
+    """Streaming scan of raw files (all strings), typed and repaired row by row. Over-long
+    lines are dropped as in the batch reader."""
+    raw = (spark.readStream.schema(raw_schema(RAW_COLUMNS, overflow=True)).option("header", True).option("sep", sep)
            .option("maxFilesPerTrigger", max_files).csv(folder))
+    raw = raw.where(F.col(OVERFLOW).isNull()).drop(OVERFLOW)
     typed = C.repair_rules(C.type_raw(raw))
     return C.add_insurance_features(typed).withColumn("month", F.date_trunc("month", "TransactionMonth"))
 
@@ -36,12 +37,3 @@ def start_ingest(spark: SparkSession, folder: str, out: str, checkpoint: str, *,
          .option("checkpointLocation", checkpoint).partitionBy("month").outputMode("append"))
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="1 minute")
     return q.start()
-
-
-def monthly_stream(typed: DataFrame, watermark: str = "62 days") -> DataFrame:
-    """A33 on a stream: monthly premium, claims, policy count and claim count per
-    event-time month (the watermark is on the month column itself, so a month's
-    row is emitted in append mode once the watermark has passed it)."""
-    return (typed.withWatermark("month", watermark).groupBy("month")
-                 .agg(F.sum("TotalPremium").alias("total_premium"), F.sum("TotalClaims").alias("total_claims"),
-                      F.count(F.lit(1)).alias("policy_count"), F.count_if(F.col("TotalClaims") > 0).alias("n_claims")))
