@@ -268,16 +268,74 @@ def t14_t16_two_group_statistics(spark, sf):
     return finish(out)
 
 
-@query("t15_t16_standard_battery", None)
+def _two_largest_sql(feature: str) -> str:
+    """Names and labels of the two largest groups (ties by key)."""
+    return (f"(SELECT v, row_number() OVER (ORDER BY n DESC, v) AS pos FROM (SELECT CAST({feature} AS VARCHAR) AS v, count(*) AS n FROM risk "
+            f"WHERE {feature} IS NOT NULL GROUP BY 1 ORDER BY n DESC, v LIMIT 2))")
+
+
+def _names_sql(feature: str) -> str:
+    t = _two_largest_sql(feature)
+    return f"(SELECT max(CASE WHEN pos = 1 THEN v END) FROM {t}) AS group_a, (SELECT max(CASE WHEN pos = 2 THEN v END) FROM {t}) AS group_b"
+
+
+def _battery_sql(i: int, feature: str, metric: str) -> tuple[str, str]:
+    """CTEs and the result row of one two-group test."""
+    rows = f"r{i} AS (SELECT k.pos, r.{metric} AS x FROM risk r JOIN {_two_largest_sql(feature)} k ON CAST(r.{feature} AS VARCHAR) = k.v)"
+    head = f"'Two-group test' AS test_name, {{kind}} AS test_type, '{feature}' AS feature, '{metric}' AS metric, {_names_sql(feature)}"
+    tail = (f"CAST(2 AS BIGINT) AS n_groups, CAST(n1 + n2 AS BIGINT) AS n_obs, CASE WHEN n1 >= 30 AND n2 >= 30 THEN p < 0.05 END AS reject_null, "
+            f"CASE WHEN n1 < 30 OR n2 < 30 THEN 'Insufficient Data' WHEN p < 0.05 THEN 'Reject H0' ELSE 'Fail to Reject H0' END AS decision")
+    if metric == "HasClaim":
+        cells = (f"c{i} AS (SELECT sum(CASE WHEN pos = 1 THEN x END)::DOUBLE AS a, count_if(pos = 1)::DOUBLE AS n1, "
+                 f"sum(CASE WHEN pos = 2 THEN x END)::DOUBLE AS c, count_if(pos = 2)::DOUBLE AS n2 FROM r{i})")
+        term = lambda o, r, col: f"pow(greatest(abs({o} - {r} * {col} / (n1 + n2)) - 0.5, 0), 2) / ({r} * {col} / (n1 + n2))"
+        yes, no = "(a + c)", "(n1 + n2 - a - c)"
+        chi = " + ".join([term("a", "n1", yes), term("(n1 - a)", "n1", no), term("c", "n2", yes), term("(n2 - c)", "n2", no)])
+        stat = f"s{i} AS (SELECT *, {chi} AS s FROM c{i}), p{i} AS MATERIALIZED (SELECT *, sqrt(s / (n1 + n2)) AS e, {_p_chi('s', '1')} AS p FROM s{i})"
+        kind, dof, label = "'Chi-square Test'", "1.0::DOUBLE", _vlabel("e")
+    else:
+        cells = (f"c{i} AS (SELECT count_if(pos = 1)::DOUBLE AS n1, avg(CASE WHEN pos = 1 THEN x END) AS m1, var_samp(CASE WHEN pos = 1 THEN x END) AS v1, "
+                 f"count_if(pos = 2)::DOUBLE AS n2, avg(CASE WHEN pos = 2 THEN x END) AS m2, var_samp(CASE WHEN pos = 2 THEN x END) AS v2 FROM r{i} WHERE x IS NOT NULL)")
+        stat = (f"s{i} AS (SELECT *, (m1 - m2) / sqrt(v1/n1 + v2/n2) AS s, (v1/n1 + v2/n2)^2 / ((v1/n1)^2/(n1-1) + (v2/n2)^2/(n2-1)) AS df FROM c{i}), "
+                f"p{i} AS MATERIALIZED (SELECT *, (m1 - m2) / sqrt(((n1-1)*v1 + (n2-1)*v2) / (n1+n2-2)) AS e, {_p_t('s', 'df')} AS p FROM s{i})")
+        kind, dof, label = "'Welch''s t-test'", "round(df, 4)", _dlabel("e")
+    row = (f"SELECT {head.format(kind=kind)}, round(s, 5) AS statistic, {dof} AS dof, CASE WHEN n1 >= 30 AND n2 >= 30 THEN round(p, 6) END AS p_value, "
+           f"round(e, 6) AS effect_size, {label} AS effect_label, {tail} FROM p{i}")
+    return f"{rows}, {cells}, {stat}", row
+
+
+_BATTERY = [_battery_sql(i, f, m) for i, (f, m) in enumerate(B.STANDARD_TESTS)]
+
+
+@query("t15_t16_standard_battery", RISK + ", " + ", ".join(c for c, _ in _BATTERY) + "\n" + "\nUNION ALL\n".join(r for _, r in _BATTERY))
 def t15_t16_standard_battery(spark, sf):
-    """The four two-group decisions (rows-only: decisions depend on p-values)."""
-    return finish(B.standard_battery(policy_view(spark, sf)))
-
-
-@query("t17_balance_check", None)
+    """The four two-group decisions."""
+    return finish(B.standard_battery(policy_view(spark, sf)), {"statistic": 5, "dof": 4})
+
+
+def _balance_sql() -> str:
+    parts, rows = [f"b AS (SELECT r.*, k.pos FROM risk r JOIN {_two_largest_sql('Province')} k ON r.Province = k.v)"], []
+    for i, c in enumerate(("CoverType", "LegalType")):
+        parts.append(f"g{i} AS (SELECT {c} AS v, count(*)::DOUBLE AS n, count_if(pos = 1)::DOUBLE AS a FROM b WHERE {c} IS NOT NULL GROUP BY 1), "
+                     f"t{i} AS (SELECT sum(n) AS nn, sum(a) AS aa, count(*) AS k FROM g{i}), "
+                     f"s{i} AS (SELECT k, sum(pow(a - n*aa/nn, 2) / (n*aa/nn) + pow(n - a - n*(nn-aa)/nn, 2) / (n*(nn-aa)/nn)) AS s FROM g{i}, t{i} GROUP BY k), "
+                     f"p{i} AS MATERIALIZED (SELECT *, {_p_chi('s', 'k - 1')} AS p FROM s{i})")
+        rows.append(f"SELECT 'Balance {c}' AS test_name, round(s, 5) AS statistic, round(p, 6) AS p_value, p < 0.05 AS reject_null FROM p{i}")
+    for i, c in enumerate(("SumInsured", "kilowatts"), 2):
+        parts.append(f"c{i} AS (SELECT count_if(pos = 1)::DOUBLE AS n1, avg(CASE WHEN pos = 1 THEN {c} END) AS m1, var_samp(CASE WHEN pos = 1 THEN {c} END) AS v1, "
+                     f"count_if(pos = 2)::DOUBLE AS n2, avg(CASE WHEN pos = 2 THEN {c} END) AS m2, var_samp(CASE WHEN pos = 2 THEN {c} END) AS v2 FROM b WHERE {c} IS NOT NULL), "
+                     f"s{i} AS (SELECT *, (m1 - m2) / sqrt(v1/n1 + v2/n2) AS s, (v1/n1 + v2/n2)^2 / ((v1/n1)^2/(n1-1) + (v2/n2)^2/(n2-1)) AS df FROM c{i}), "
+                     f"p{i} AS MATERIALIZED (SELECT *, {_p_t('s', 'df')} AS p FROM s{i})")
+        rows.append(f"SELECT 'Balance {c}', round(s, 5), round(p, 6), p < 0.05 FROM p{i}")
+    every = " UNION ALL ".join(rows)
+    return RISK + ", " + ", ".join(parts) + f", u AS ({every}) SELECT *, (SELECT bool_and(p_value >= 0.05) FROM u) AS all_clear FROM u"
+
+
+@query("t17_balance_check", _balance_sql())
 def t17_balance_check(spark, sf):
-    """Covariate balance between the two largest provinces (rows-only)."""
-    return finish(B.balance_check(_risk(spark, sf), "Province", ["CoverType", "LegalType"], ["SumInsured", "kilowatts"]))
+    """Covariate balance between the two largest provinces."""
+    out = B.balance_check(_risk(spark, sf), "Province", ["CoverType", "LegalType"], ["SumInsured", "kilowatts"])
+    return finish(out.select("test_name", "statistic", "p_value", "reject_null", "all_clear"), {"statistic": 5})
 
 
 @query("t7_gender_severity_test", None)
