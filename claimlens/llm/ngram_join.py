@@ -175,6 +175,21 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return staged(both.mapInArrow(run, "a long, b long, size_a long, size_b long, inter long"), "products")
 
 
+def merged(found: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after further ``links`` (a, b) between nodes of ``found`` or new ones: the graph of
+    components is much smaller than that of rows."""
+    side = lambda c: found.select(F.col("node").alias(c), F.col("component").alias(f"c{c}"))
+    joined = links.join(side("a"), "a", "left").join(side("b"), "b", "left").select(
+        F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).where("a <> b")
+    joined = staged(joined.distinct(), "component-links")
+    if joined.isEmpty():
+        return found
+    top = connected_components(joined).select(F.col("node").alias("component"), F.col("component").alias("top"))
+    moved = found.join(top, "component", "left").select("node", F.coalesce("top", "component").alias("component"))
+    new = top.join(found.select(F.col("node").alias("component")), "component", "left_anti").select(F.col("component").alias("node"), F.col("top").alias("component"))
+    return moved.unionByName(new)
+
+
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4,
                        percent: int = 85, chunk_bytes: int = 2 << 20) -> DataFrame:
     """One row per document: ``doc_id, n_shingles, component_id, kept``. Two documents link when
@@ -207,8 +222,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     cross = x.join(y, (x["g"] == y["g"]) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & reachable("size_a", "place_a", "size_b", "place_b", percent) & reach)
     cross = cross.select("a", "b").distinct().join(stars.select("a", "b"), ["a", "b"], "left_anti")
     cross = verified(cross, sets, percent)
-    more = cross.where(linked).select("a", "b")
-    found = connected_components(edges.unionByName(more)) if not more.isEmpty() else found
+    found = merged(found, cross.where(linked).select("a", "b"))
     rows = matrix.select(F.col("rid").alias("class"), "size").join(found.withColumnRenamed("node", "class"), "class", "left")
     whole = members.join(rows, "class").withColumn("component", F.coalesce("component", "class"))
     # Documents without n-grams are one class of equal (empty) texts, but link with nothing.
