@@ -59,15 +59,17 @@ def interval_classes(text: np.ndarray, length: int) -> np.ndarray:
     bound = np.zeros(n, bool)
     bound[starts[np.unique(bwt)]] = True  # step 1: one interval for each byte
     open_rows = np.flatnonzero(~bound)
+    above, below = back[open_rows - 1], back[open_rows]
     interval = np.cumsum(bound, dtype=np.int32)
     for _ in range(1, length):
         # Extend every interval to the left: two neighbours with the same first byte part when
         # the suffixes behind that byte lie in different intervals.
-        parts = interval[back[open_rows]] != interval[back[open_rows - 1]]
+        parts = interval[above] != interval[below]
         if not parts.any():
             break
         bound[open_rows[parts]] = True
-        open_rows = open_rows[~parts]
+        stay = ~parts
+        open_rows, above, below = open_rows[stay], above[stay], below[stay]
         interval = np.cumsum(bound, dtype=np.int32)
     return interval[row_of].astype(np.int64) - 1
 

@@ -180,37 +180,41 @@ def by_bucket(keys: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, n
     return order, bucket, np.concatenate([[0], cuts, [len(bucket)]]) if len(bucket) else np.zeros(1, np.int64)
 
 
+def window_minimisers(codes: Callable, n: int, length: int, k: int, block: int = 1 << 15) -> np.ndarray:
+    """Minimiser of each of the windows of ``n`` symbols, in blocks that stay in the CPU's cache.
+    ``codes(lo, hi)`` gives the codes of a range of symbols."""
+    out = np.empty(max(n - length + 1, 0), np.uint64)
+    for lo in range(0, len(out), block):
+        hi = min(lo + block, len(out))
+        out[lo:hi] = window_min(window_hash(codes(lo, hi + length - 1), k), length - k + 1)
+    return out
+
+
 class Runs:
     """Super-k-mers of a chunk: minimiser, document, symbol range and byte range of each."""
 
     def __init__(self, c: Chunk, words: bool, length: int, k: int):
         if words:
-            begin, end = word_spans(c.text)
-            doc_of = np.searchsorted(c.starts, begin, side="right") - 1
-            codes = word_hash(c.text, begin, end)
-            self.begin, self.end = begin, end
+            self.begin, self.end = word_spans(c.text)
+            hashes = word_hash(c.text, self.begin, self.end)
+            starts = np.searchsorted(self.begin, c.starts)
+            self.n = len(hashes)
+            low = window_minimisers(lambda lo, hi: hashes[lo:hi], self.n, length, k)
         else:
-            codes = BYTE_CODES[c.text]
-            doc_of = np.repeat(np.arange(len(c.ids)), np.diff(c.starts))
-            self.begin = self.end = None
-        self.doc_of = doc_of
-        low = window_min(window_hash(codes, k), length - k + 1)
-        n = len(low)
-        at = np.flatnonzero(doc_of[:n] == doc_of[length - 1:length - 1 + n]) if n else np.empty(0, np.int64)
-        low = low[at]
-        new = np.ones(len(at), bool)
-        new[1:] = (low[1:] != low[:-1]) | (at[1:] != at[:-1] + 1)
-        head = np.flatnonzero(new)
-        self.key = mix(low[head] + np.uint64(1))
-        self.first = at[head]  # first symbol
-        last = at[np.append(head[1:], len(at)) - 1] if len(at) else at
-        self.windows = last - self.first + 1
-        stop = last + length  # symbol behind the last window
+            starts, self.n = c.starts, len(c.text)
+            low = window_minimisers(lambda lo, hi: BYTE_CODES[c.text[lo:hi]], self.n, length, k)
+        # A run ends where the minimiser changes, a document begins, or its last window has begun.
+        bounds = np.concatenate([starts[:-1], starts[1:] - length + 1])
+        cuts = np.unique(np.concatenate([np.flatnonzero(low[1:] != low[:-1]) + 1, np.clip(bounds, 0, len(low)), [0, len(low)]]))
+        head, stop = cuts[:-1], cuts[1:]
+        doc = np.searchsorted(starts, head, side="right") - 1
+        ok = head + length <= starts[doc + 1] if len(head) else np.empty(0, bool)
+        self.first, self.doc = head[ok], doc[ok]
+        self.windows = (stop - head)[ok]
+        self.key = mix(low[self.first] + np.uint64(1))
+        last = self.first + self.windows + length - 1  # symbol behind the last window
         self.lo = self.begin[self.first] if words else self.first
-        self.hi = self.end[stop - 1] if words else stop
-        self.doc = doc_of[self.first]
-
-
+        self.hi = self.end[last - 1] if words else last
 
 
 def _distinct_keys(c: Chunk, r: Runs) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -355,7 +359,7 @@ def smallest_ids(docs: DataFrame, id_col: str, text_col: str, words: bool, lengt
         _, key, _, kept, of_run = _strings(c, r, buckets)
         bucket = (key >> np.uint64(32)) % np.uint64(buckets)
         order = np.argsort(bucket, kind="stable")
-        change = np.zeros(len(r.doc_of) + 1, np.int32)
+        change = np.zeros(r.n + 1, np.int32)
         if len(order):
             got = [unsqueeze(c.mail[ANSWER, int(b)], "<i4", "<i4", "<i8") for b in bucket[order][np.concatenate([[True], np.diff(bucket[order]) > 0])]]
             place = np.empty(len(order), np.int64)
