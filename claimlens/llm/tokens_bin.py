@@ -1,7 +1,7 @@
 """Token ids as flat binary files.
 
 Documents are range-partitioned by id. Every partition becomes one shard: a flat file of
-unsigned 32-bit token ids (``.bin``) and an index (``.idx``) of signed 64-bit document ids,
+unsigned token ids (``.bin``; 16 bits each if the vocabulary fits, else 32; the manifest says which) and an index (``.idx``) of signed 64-bit document ids,
 then 64-bit offsets (documents + 1) into the shard's ids, all little-endian. A task
 writes under a temporary name and renames when the file is whole; a shard counts only
 through its row in the manifest, which Spark commits, so a lost or repeated task leaves at
@@ -17,8 +17,10 @@ result; columns other than id and text are not read.
 from __future__ import annotations
 
 import re
+import sys
 import uuid
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 
 from claimlens.llm.common import staged
 
-MANIFEST = "shard int, file string, documents long, ids long"
+MANIFEST = "shard int, file string, documents long, ids long, id_bytes int"
 #: White space before a space inside a run: there a cut could change how the run is split.
 _RUN = re.compile(r"\s (?:\s|$)")
 _CACHE_WORDS = 1 << 19
@@ -40,21 +42,29 @@ class Encoder:
 
     The tokenizer splits a text before every space that follows a character other than
     white space, so pieces between such spaces encode alone; a text with longer runs of white
-    space around spaces is encoded whole. Ids are kept as little-endian bytes."""
+    space around spaces is encoded whole. Ids are kept as little-endian
+    bytes of the file's width."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.first, self.later = {}, {}
 
+    def pack(self, ids: list[int]) -> bytes:
+        out = array("H" if self.width == 2 else "I", ids)
+        if sys.byteorder == "big":
+            out.byteswap()
+        return out.tobytes()
+
     def _learn(self, cache: dict, pieces: set, before: str) -> None:
         new = [p for p in pieces if p not in cache]
         if len(cache) + len(new) > _CACHE_WORDS:
             cache.clear()
             new = list(pieces)
         if new:
-            found = self.tokenizer.encode_batch([before + p for p in new], add_special_tokens=False)
-            cache.update((p, np.array(e.ids, dtype="<u4").tobytes()) for p, e in zip(new, found))
+            found = self.tokenizer.encode_batch_fast([before + p for p in new], add_special_tokens=False)
+            cache.update((p, self.pack(e.ids)) for p, e in zip(new, found))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as bytes."""
@@ -66,7 +76,7 @@ class Encoder:
         out = []
         for t, s in zip(texts, split):
             if s is None:
-                out.append(np.array(self.tokenizer.encode(t, add_special_tokens=False).ids, dtype="<u4").tobytes())
+                out.append(self.pack(self.tokenizer.encode(t, add_special_tokens=False).ids))
             else:
                 out.append(first[s[0]] + b"".join([later[w] for w in s[1:]]))
         return out
@@ -98,7 +108,6 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
     id order; returns the committed manifest with ``base``, the ids before each shard."""
     ranged = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
               .repartitionByRange(F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "text"))
-    end = np.array([end_id], dtype="<u4").tobytes()
 
     def write(batches):
         from pyspark import TaskContext
@@ -106,6 +115,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
         files, root = pafs.FileSystem.from_uri(path)
         name = f"{shard:06d}-{uuid.uuid4().hex}"
         coder, doc_ids, lengths, out = _encoder(tokenizer), [], [], None
+        end = coder.pack([end_id])
         for batch in batches:
             for ids, texts in _batches(batch):
                 if out is None:
@@ -115,7 +125,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
                     out.write(b)
                     out.write(end)
                     doc_ids.append(i)
-                    lengths.append(len(b) // 4 + 1)
+                    lengths.append(len(b) // coder.width + 1)
         if out is None:
             return
         out.close()
@@ -127,7 +137,8 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
         for kind in ("bin", "idx"):
             files.move(f"{root}/{name}.{kind}.tmp", f"{root}/{name}.{kind}")
         yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "file": [name],
-                                          "documents": [len(lengths)], "ids": [int(offsets[-1])]})
+                                          "documents": [len(lengths)], "ids": [int(offsets[-1])],
+                                          "id_bytes": pa.array([coder.width], pa.int32())})
 
     manifest = staged(ranged.mapInArrow(write, MANIFEST), "token-manifest")
     # one row per shard
@@ -150,12 +161,13 @@ def read_tokens(manifest: DataFrame, path: str) -> DataFrame:
 
         for batch in batches:
             for row in batch.to_pylist():
-                index, ids = np.frombuffer(mapped(f"{row['file']}.idx"), "<i8"), mapped(f"{row['file']}.bin")
+                index = np.frombuffer(mapped(f"{row['file']}.idx"), "<i8")
+                ids = np.frombuffer(mapped(f"{row['file']}.bin"), f"<u{row['id_bytes']}")
                 n = row["documents"]
                 doc_ids, offsets = index[:n], index[n:]
                 for lo in range(0, n, 10_000):
                     hi = min(n, lo + 10_000)
-                    crc = [zlib.crc32(ids[4 * offsets[i]:4 * offsets[i + 1]]) for i in range(lo, hi)]
+                    crc = [zlib.crc32(ids[offsets[i]:offsets[i + 1]].astype("<u4")) for i in range(lo, hi)]
                     yield pa.RecordBatch.from_pydict({
                         "doc_id": pa.array(doc_ids[lo:hi], pa.int64(), mask=doc_ids[lo:hi] == -2**63),
                         "start": pa.array(offsets[lo:hi] + row["base"], pa.int64()),
