@@ -71,24 +71,29 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
     """Write the archive below ``path`` and return its committed manifest. Payloads of
     fewer than ``revisit_from`` bytes are always responses.
 
-    Payloads move twice: to the range partition of their id, after their group's first id
-    has been joined on by digest. The groups are pre-aggregated, one row per digest and task,
-    and a hot digest in the join is split by AQE as only one row is on its other side."""
+    Payloads move once, to the range partition of their id. Which records are revisits is found on
+    narrow rows: groups are pre-aggregated, one row per digest and task, and a hot digest in the
+    join is split by AQE as only one row is on its other side."""
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                         F.encode(F.coalesce(F.col(payload_col), F.lit("")), "UTF-8").alias("payload"))
     rows = rows.withColumn("sha1", F.unhex(F.sha1("payload"))).withColumn("n", F.length("payload"))
     groups = (rows.where(F.col("n") >= revisit_from).groupBy("sha1", "n")
               .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"))
-    rows = rows.join(groups, ["sha1", "n"], "left")
-    rows = rows.withColumn("revisit", ~F.col("page_id").eqNullSafe(F.col("first")) & F.col("first").isNotNull())
-    ranged = rows.select("page_id", "url", "payload", "sha1", "revisit", "first").repartitionByRange(
-        F.col("page_id").asc_nulls_first()).sortWithinPartitions(F.col("page_id").asc_nulls_first(), "url", "sha1")
+    # Narrow rows say which records revisit which page; they travel with the records of their id.
+    told = (rows.select("page_id", "sha1", "n").join(groups, ["sha1", "n"])
+            .where(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))).select("page_id", "sha1", "first").distinct())
+    none = F.lit(None)
+    every = rows.select("page_id", "url", "payload", "sha1", F.lit(1).alias("kind"), none.cast("long").alias("first")).unionByName(
+        told.select("page_id", none.cast("string").alias("url"), none.cast("binary").alias("payload"), "sha1", F.lit(0).alias("kind"), "first"))
+    ranged = every.repartitionByRange(F.col("page_id").asc_nulls_first()).sortWithinPartitions(
+        F.col("page_id").asc_nulls_first(), "kind", "url", "sha1")
 
     def write(batches):
         from pyspark import TaskContext
         part, attempt = TaskContext.get().partitionId(), uuid.uuid4().hex[:12]
         files, root = pafs.FileSystem.from_uri(path)
         out, name, size, count, rolled, done = None, "", 0, 0, 0, []
+        of_page, known = (), {}
 
         def close():
             out.close()
@@ -98,13 +103,18 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
         for batch in batches:
             cols = [batch.column(c) for c in range(6)]
             for i in range(batch.num_rows):
-                page_id, url, payload, sha1, revisit, first = (c[i].as_py() for c in cols)
+                page_id, url, payload, sha1, kind, first = (c[i].as_py() for c in cols)
+                if page_id != of_page:
+                    of_page, known = page_id, {}
+                if kind == 0:
+                    known[sha1] = first
+                    continue
                 if out is None:
                     files.create_dir(root, recursive=True)
                     # the attempt keeps two tries of one task apart; contents are equal
                     name, size, count = f"pages-{part:06d}-{rolled:04d}-{attempt}.warc.gz", 0, 0
                     out = files.open_output_stream(f"{root}/{name}.tmp", compression=None)
-                member = gzip.compress(format_record(page_id, url, payload, _b32(sha1), first if revisit else "self", date), mtime=0)
+                member = gzip.compress(format_record(page_id, url, payload, _b32(sha1), known.get(sha1, "self"), date), mtime=0)
                 out.write(member)
                 size, count = size + len(member), count + 1
                 if size >= roll_bytes:
