@@ -23,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from claimlens.llm.windows import Chunk, Runs, smallest_ids
+from claimlens.llm.windows import HOT_BYTES, Chunk, Runs, smallest_ids
 
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
@@ -106,7 +106,7 @@ def _result(length: int):
 
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50, k: int = 20,
-                 chunk_bytes: int = 2 << 20) -> DataFrame:
+                 chunk_bytes: int = 2 << 20, hot_bytes: int = HOT_BYTES) -> DataFrame:
     """Remove every byte covered by ``length`` bytes that also start in a document of smaller id.
     One row per document: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``."""
-    return smallest_ids(docs, id_col, text_col, False, length, min(k, length), _byte_classes(length), _result(length), RESULT, chunk_bytes)
+    return smallest_ids(docs, id_col, text_col, False, length, min(k, length), _byte_classes(length), _result(length), RESULT, chunk_bytes, hot_bytes)

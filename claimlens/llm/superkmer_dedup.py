@@ -20,7 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from claimlens.llm.windows import Chunk, Runs, smallest_ids
+from claimlens.llm.windows import HOT_BYTES, Chunk, Runs, smallest_ids
 
 RESULT = "doc_id long, n_words long, n_removed long, kept_sha256 string"
 
@@ -92,7 +92,7 @@ def _result(length: int):
 
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 50, k: int = 10,
-                    chunk_bytes: int = 2 << 20) -> DataFrame:
+                    chunk_bytes: int = 2 << 20, hot_bytes: int = HOT_BYTES) -> DataFrame:
     """Remove every word covered by ``length`` consecutive words that also start in a document
     of smaller id. One row per document: ``doc_id, n_words, n_removed, kept_sha256``."""
-    return smallest_ids(docs, id_col, text_col, True, length, min(k, length), _word_classes(length), _result(length), RESULT, chunk_bytes)
+    return smallest_ids(docs, id_col, text_col, True, length, min(k, length), _word_classes(length), _result(length), RESULT, chunk_bytes, hot_bytes)

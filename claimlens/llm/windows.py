@@ -9,13 +9,17 @@ Documents are packed into chunks (one row each: ids, lengths, compressed bytes),
 table. Three passes run over the chunks, each one a shuffle of compact messages:
 
 1. ``_send_keys``: every chunk sends its distinct minimisers to their buckets (4 bytes each, one
-   message per chunk and bucket); a bucket answers with one bit each: does the minimiser
-   occur in two documents?
+   message per chunk and bucket, and one byte for how much text has it); a bucket answers with two
+   bits each: does the minimiser occur in two documents, and is it hot, with more than
+   ``hot_bytes`` of strings?
 2. ``_send_strings``: of those that do, the chunk sends its distinct super-k-mers with the
    smallest document id that has each; a bucket finds the equal windows among them (by the
    operator's own method) and answers with the smallest id for each window.
 3. ``_mark``: the chunk marks what windows of smaller documents cover.
 
+The strings of a hot minimiser (at the edges of a passage that many documents share there is one
+for each document) go to no single bucket. Their windows are dealt by window hash: first the hashes
+alone, to learn which occur in a second chunk, then the symbols of those, which are compared.
 A hot window costs one entry per chunk, however many documents of the chunk hold it; texts
 with a copy of smaller id are settled by an aggregate beforehand and send no strings.
 """
@@ -36,7 +40,9 @@ from claimlens.llm.common import (BYTE_CODES, NO_ID, mix, ragged, staged, window
 
 CHUNK = "chunk long, ids array<bigint>, lens array<int>, prints array<binary>, raw long, blob binary"
 MESSAGE = "dst long, kind int, src long, payload binary"
-BLOB, SKIP, FLAGS, ANSWER = 0, 1, 2, 3
+BLOB, SKIP, FLAGS, ANSWER, HASHES, HELD, WINDOWS = range(7)
+#: Bytes of the strings of one minimiser that a bucket takes; also of the strings it compares at once.
+HOT_BYTES = 1 << 20
 
 
 def squeeze(*arrays: np.ndarray) -> bytes:
@@ -228,16 +234,26 @@ def _distinct_keys(c: Chunk, r: Runs) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return keys, lo != hi, inverse
 
 
-def _strings(c: Chunk, r: Runs, buckets: int):
-    """Distinct super-k-mers whose minimiser occurs in two documents: for each of them key and
-    smallest id; the kept runs and their string; strings in the order they are sent."""
+def _weights(r: Runs, inverse: np.ndarray, n: int) -> np.ndarray:
+    """Bytes of the runs of each minimiser, rounded up to a quarter power of two, as its exponent."""
+    return np.ceil(4 * np.log2(np.bincount(inverse, r.hi - r.lo, n))).astype(np.uint8)
+
+
+def _flags(c: Chunk, r: Runs, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Runs whose minimiser occurs in two documents, without and with those of hot minimisers."""
     keys, _, inverse = _distinct_keys(c, r)
     order, bucket, cuts = by_bucket(keys, buckets)
-    told = np.zeros(len(keys), bool)
+    told, hot = np.zeros(len(keys), bool), np.zeros(len(keys), bool)
     for lo, hi in zip(cuts[:-1], cuts[1:]):
-        bits = np.frombuffer(c.mail[FLAGS, int(bucket[lo])], np.uint8)
-        told[order[lo:hi]] = np.unpackbits(bits, count=hi - lo).astype(bool)
-    kept = np.flatnonzero(told[inverse] & ~c.skip[r.doc])
+        bits = np.unpackbits(np.frombuffer(c.mail[FLAGS, int(bucket[lo])], np.uint8), count=2 * (hi - lo)).astype(bool)
+        told[order[lo:hi]], hot[order[lo:hi]] = bits[:hi - lo], bits[hi - lo:]
+    kept = told[inverse] & ~c.skip[r.doc]
+    return np.flatnonzero(kept & ~hot[inverse]), np.flatnonzero(kept & hot[inverse])
+
+
+def _strings(c: Chunk, r: Runs, kept: np.ndarray):
+    """Distinct super-k-mers of the runs ``kept``: for each of them key and smallest id; the
+    runs and their string; strings in the order they are sent."""
     seen, of_run = {}, np.empty(len(kept), np.int64)
     data = c.data
     for i, (lo, hi) in enumerate(zip(r.lo[kept].tolist(), r.hi[kept].tolist())):
@@ -248,8 +264,38 @@ def _strings(c: Chunk, r: Runs, buckets: int):
     return list(seen), key, least, kept, of_run
 
 
+class Windows:
+    """Distinct windows of strings with the smallest id of each, and the order they are sent in."""
+
+    def __init__(self, strings: list[bytes], least: np.ndarray, words: bool, length: int, buckets: int):
+        seen, flat, counts = {}, [], []
+        for s in strings:
+            if words:
+                space = [-1, *(i for i, b in enumerate(s) if b == 32), len(s)]
+                cut = [(space[i] + 1, space[i + length]) for i in range(len(space) - length)]
+            else:
+                cut = [(i, i + length) for i in range(len(s) - length + 1)]
+            flat += [seen.setdefault(s[lo:hi], len(seen)) for lo, hi in cut]
+            counts.append(len(cut))
+        self.text, self.of_string = list(seen), np.array(flat, np.int64)
+        self.ptr = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
+        self.least = np.full(len(seen), NO_ID)
+        np.minimum.at(self.least, self.of_string, np.repeat(least, counts))
+        self.hash = np.frombuffer(b"".join(hashlib.blake2b(t, digest_size=8).digest() for t in seen), "<u8")
+        self.order, bucket, cuts = by_bucket(self.hash, buckets)
+        self.parts = [(int(bucket[lo]), self.order[lo:hi]) for lo, hi in zip(cuts[:-1], cuts[1:])]
+
+    def repeated(self, mail: dict):
+        """Bucket and windows that another chunk may have, by the answers to the hashes."""
+        for b, own in self.parts:
+            bits = np.unpackbits(np.frombuffer(mail[HASHES, b], np.uint8), count=len(own)).astype(bool)
+            if bits.any():
+                yield b, own[bits]
+
+
 def smallest_ids(docs: DataFrame, id_col: str, text_col: str, words: bool, length: int, k: int,
-                 classes: Callable, digest: Callable, schema: str, chunk_bytes: int = 2 << 20) -> DataFrame:
+                 classes: Callable, digest: Callable, schema: str, chunk_bytes: int = 2 << 20,
+                 hot_bytes: int = HOT_BYTES) -> DataFrame:
     """Run the three passes. ``classes(strings)`` numbers the windows of a list of packed strings
     so that equal windows get equal numbers (windows in order, strings in order);
     ``digest(chunk, runs, covered)`` makes the result batch from a mask of covered symbols."""
@@ -261,25 +307,32 @@ def smallest_ids(docs: DataFrame, id_col: str, text_col: str, words: bool, lengt
             for chunk, ids, lens, blob in zip(*(x.to_pylist() for x in batch.columns)):
                 c = Chunk.of(chunk, ids, lens, blob)
                 r = Runs(c, words, length, k)
-                keys, several, _ = _distinct_keys(c, r)
+                keys, several, inverse = _distinct_keys(c, r)
+                weight = _weights(r, inverse, len(keys))
                 order, bucket, cuts = by_bucket(keys, buckets)
                 packed = (keys[order].astype(np.uint32) & np.uint32(0xFFFFFFFE)) | several[order].astype(np.uint32)
-                yield messages([(int(bucket[lo]), FLAGS, chunk, packed[lo:hi].tobytes()) for lo, hi in zip(cuts[:-1], cuts[1:])])
+                yield messages([(int(bucket[lo]), FLAGS, chunk, packed[lo:hi].tobytes() + weight[order[lo:hi]].tobytes())
+                                for lo, hi in zip(cuts[:-1], cuts[1:])])
 
     def answer_keys(mail: pa.Table) -> pa.Table:
-        src, got = mail["src"].to_pylist(), [np.frombuffer(p, np.uint32) for p in mail["payload"].to_pylist()]
+        src, sent = mail["src"].to_pylist(), mail["payload"].to_pylist()
+        got = [np.frombuffer(p, np.uint32, len(p) // 5) for p in sent]
+        weight = np.concatenate([np.frombuffer(p, np.uint8, len(p) // 5, len(p) // 5 * 4) for p in sent])
         every = np.concatenate(got)
         _, inverse, count = np.unique(every >> np.uint32(1), return_inverse=True, return_counts=True)
         twice = count > 1
         np.logical_or.at(twice, inverse, (every & np.uint32(1)).astype(bool))
-        bits, cuts = twice[inverse], np.concatenate([[0], np.cumsum([len(g) for g in got])])
+        hot = np.bincount(inverse, 2.0 ** (weight / 4)) > hot_bytes
+        bits, hot, cuts = twice[inverse], hot[inverse], np.concatenate([[0], np.cumsum([len(g) for g in got])])
         me = mail["dst"][0].as_py()
-        return pa.Table.from_batches([messages([(s, FLAGS, me, np.packbits(bits[lo:hi]).tobytes())
+        return pa.Table.from_batches([messages([(s, FLAGS, me, np.packbits(np.concatenate([bits[lo:hi], hot[lo:hi]])).tobytes())
                                                 for s, lo, hi in zip(src, cuts[:-1], cuts[1:])])])
 
     def send_strings(mail: pa.Table) -> pa.Table:
         c = Chunk(mail)
-        text, key, least, _, _ = _strings(c, Runs(c, words, length, k), buckets)
+        r = Runs(c, words, length, k)
+        light, hot = _flags(c, r, buckets)
+        text, key, least, _, _ = _strings(c, r, light)
         bucket = (key >> np.uint64(32)) % np.uint64(buckets)
         order = np.argsort(bucket, kind="stable")
         cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket[order])) + 1, [len(order)]]) if len(order) else [0]
@@ -289,9 +342,54 @@ def smallest_ids(docs: DataFrame, id_col: str, text_col: str, words: bool, lengt
             part = [text[i] for i in own]
             rows.append((int(bucket[own[0]]), ANSWER, c.chunk, squeeze(
                 key[own], least[own], np.array([len(p) for p in part], "<i4"), np.frombuffer(b"".join(part), np.uint8))))
+        if len(hot):
+            text, _, least, _, _ = _strings(c, r, hot)
+            w = Windows(text, least, words, length, buckets)
+            rows += [(b, HASHES, c.chunk, w.hash[own].tobytes()) for b, own in w.parts]
+            rows.append((-1 - c.chunk, HELD, c.chunk, squeeze(least, np.array([len(t) for t in text], "<i4"), np.frombuffer(b"".join(text), np.uint8))))
         return pa.Table.from_batches([messages(rows)])
 
+    def answer_hashes(mail: pa.Table) -> list[tuple]:
+        """One bit for every hash: does a second chunk have it?"""
+        me, src = mail["dst"][0].as_py(), mail["src"].to_pylist()
+        got = [np.frombuffer(p, "<u8") for p in mail["payload"].to_pylist()]
+        _, inverse, count = np.unique(np.concatenate(got), return_inverse=True, return_counts=True)
+        bits, cuts = count[inverse] > 1, np.concatenate([[0], np.cumsum([len(g) for g in got])])
+        return [(s, HASHES, me, np.packbits(bits[lo:hi]).tobytes()) for s, lo, hi in zip(src, cuts[:-1], cuts[1:])]
+
+    def send_windows(mail: pa.Table) -> pa.Table:
+        """Of the strings that a chunk held back, the windows that a second chunk may have."""
+        me, got = mail["dst"][0].as_py(), {(r["kind"], r["src"]): r["payload"] for r in mail.to_pylist()}
+        least, lens, data = unsqueeze(got[HELD, me], "<i8", "<i4", "u1")
+        data, ends = data.tobytes(), np.cumsum(lens).tolist()
+        w = Windows([data[lo:hi] for lo, hi in zip([0] + ends, ends)], least, words, length, buckets)
+        rows = []
+        for b, own in w.repeated(got):
+            part = [w.text[i] for i in own]
+            rows.append((b, WINDOWS, me, squeeze(w.least[own], np.array([len(p) for p in part], "<i4"), np.frombuffer(b"".join(part), np.uint8))))
+        return pa.Table.from_batches([messages(rows)])
+
+    def answer_windows(mail: pa.Table) -> pa.Table:
+        seen, asked = {}, []
+        for payload in mail["payload"].to_pylist():
+            least, lens, data = unsqueeze(payload, "<i8", "<i4", "u1")
+            data, ends = data.tobytes(), np.cumsum(lens).tolist()
+            own = [data[lo:hi] for lo, hi in zip([0] + ends, ends)]
+            for t, i in zip(own, least.tolist()):
+                seen[t] = min(seen.get(t, i), i)
+            asked.append(own)
+        me = mail["dst"][0].as_py()
+        return pa.Table.from_batches([messages([(s, WINDOWS, me, squeeze(np.array([seen[t] for t in own], "<i8")))
+                                                for s, own in zip(mail["src"].to_pylist(), asked)])])
+
     def answer_strings(mail: pa.Table) -> pa.Table:
+        if mail["dst"][0].as_py() < 0:  # held back by a chunk for itself
+            return pa.Table.from_batches([messages([(s, HELD, s, p) for s, p in zip(mail["src"].to_pylist(), mail["payload"].to_pylist())])])
+        kind = np.array(mail["kind"].to_pylist())
+        rows = answer_hashes(mail.filter(pa.array(kind == HASHES))) if (kind == HASHES).any() else []
+        mail = mail.filter(pa.array(kind == ANSWER))
+        if not mail.num_rows:
+            return pa.Table.from_batches([messages(rows)])
         src, seen, key, least, asked = mail["src"].to_pylist(), {}, [], [], []
         for payload in mail["payload"].to_pylist():
             k_, least_, lens, data = unsqueeze(payload, "<u8", "<i8", "<i4", "u1")
@@ -335,13 +433,13 @@ def smallest_ids(docs: DataFrame, id_col: str, text_col: str, words: bool, lengt
         run_id[ptr[:-1]] = least
         for i, (a, b) in pieces.items():
             run_at[ptr[i]:ptr[i + 1]], run_id[ptr[i]:ptr[i + 1]] = a, b
-        me, rows = mail["dst"][0].as_py(), []
+        me = mail["dst"][0].as_py()
         for s, own in zip(src, asked):
             at, _ = ragged(ptr, own)
             rows.append((s, ANSWER, me, squeeze(run_n[own].astype("<i4"), run_at[at], run_id[at])))
         return pa.Table.from_batches([messages(rows)])
 
-    def _blocks(many, group, text, most: int = 1 << 20):
+    def _blocks(many, group, text, most: int = hot_bytes):
         """Whole minimiser groups, together up to ``most`` bytes."""
         block, size = [], 0
         for n, i in enumerate(many):
@@ -356,7 +454,8 @@ def smallest_ids(docs: DataFrame, id_col: str, text_col: str, words: bool, lengt
     def mark(mail: pa.Table) -> pa.Table:
         c = Chunk(mail)
         r = Runs(c, words, length, k)
-        _, key, _, kept, of_run = _strings(c, r, buckets)
+        light, hot = _flags(c, r, buckets)
+        _, key, _, kept, of_run = _strings(c, r, light)
         bucket = (key >> np.uint64(32)) % np.uint64(buckets)
         order = np.argsort(bucket, kind="stable")
         change = np.zeros(r.n + 1, np.int32)
@@ -375,6 +474,17 @@ def smallest_ids(docs: DataFrame, id_col: str, text_col: str, words: bool, lengt
             to = np.where(last, r.windows[mine], following)
             np.add.at(change, r.first[mine][old] + run_at[flat][old], 1)
             np.add.at(change, r.first[mine][old] + to[old] - 1 + length, -1)
+        if len(hot):
+            text, _, least, _, of_run = _strings(c, r, hot)
+            w = Windows(text, least, words, length, buckets)
+            for b, own in w.repeated(c.mail):
+                w.least[own] = unsqueeze(c.mail[WINDOWS, b], "<i8")[0]
+            flat, owner = ragged(w.ptr, of_run)
+            mine = hot[owner]
+            old = w.least[w.of_string[flat]] < c.ids[r.doc[mine]]
+            at = (r.first[mine] + flat - w.ptr[of_run][owner])[old]
+            np.add.at(change, at, 1)
+            np.add.at(change, at + length, -1)
         covered = np.cumsum(change[:-1]) > 0
         return pa.Table.from_batches([digest(c, r, covered)])
 
@@ -383,5 +493,7 @@ def smallest_ids(docs: DataFrame, id_col: str, text_col: str, words: bool, lengt
     skip = skip_messages(documents_of(chunks), later=True)
     skip = staged(skip, "copies")
     sent = inbox(chunks, flags, skip).groupBy("dst").applyInArrow(send_strings, MESSAGE)
-    told = sent.groupBy("dst").applyInArrow(answer_strings, MESSAGE)
-    return inbox(chunks, flags, skip, told).groupBy("dst").applyInArrow(mark, schema)
+    told = staged(sent.groupBy("dst").applyInArrow(answer_strings, MESSAGE), "answers")
+    held = told.where(F.col("kind").isin(HELD, HASHES)).groupBy("dst").applyInArrow(send_windows, MESSAGE)
+    compared = held.groupBy("dst").applyInArrow(answer_windows, MESSAGE)
+    return inbox(chunks, flags, skip, told.where(F.col("kind") != HELD), compared).groupBy("dst").applyInArrow(mark, schema)

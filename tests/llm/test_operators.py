@@ -223,6 +223,36 @@ def test_substring_dedup(docs, empty, length, k):
     assert superkmer_dedup.substring_dedup(empty).collect() == []
 
 
+@pytest.mark.parametrize("words", [False, True])
+def test_hot_minimisers_split(spark, words):
+    """A passage in many documents: none of its minimisers may bring one string per document to one
+    bucket, and the windows at its edges still come out right."""
+    from claimlens.llm import windows
+    rng = random.Random(6)
+    vocab = _vocabulary(rng)
+    text = lambda n: " ".join(rng.choices(vocab, k=n))
+    passage, flank = text(40), [text(6) for _ in range(30)]
+    rows = [(i, f"{rng.choice(flank)} {text(2)} {passage} {text(3)} {rng.choice(flank)}") for i in range(300)]
+    rows += [(300, "a " * 3000), (301, "a " * 2000), (4, rows[9][1]), (None, rows[8][1])]
+    length, k, most = (12, 4, 4000) if words else (50, 20, 4000)
+    inner = superkmer_dedup._word_classes(length) if words else suffix_dedup._byte_classes(length)
+
+    def classes(strings):
+        assert sum(map(len, strings)) <= 2 * most
+        return inner(strings)
+
+    result, schema, want = ((superkmer_dedup._result(length), superkmer_dedup.RESULT, brute.substring) if words else
+                            (suffix_dedup._result(length), suffix_dedup.RESULT, brute.suffix))
+    got = windows.smallest_ids(frame(spark, rows), "doc_id", "text", words, length, k, classes, result, schema,
+                               chunk_bytes=9000, hot_bytes=most).collect()
+    same(got, want(rows, length))
+
+
+def test_hot_minimisers_of_odd_rows(docs):
+    same(suffix_dedup.suffix_dedup(docs, length=9, k=4, chunk_bytes=3000, hot_bytes=200).collect(), brute.suffix(ROWS, 9))
+    same(superkmer_dedup.substring_dedup(docs, length=5, k=2, chunk_bytes=3000, hot_bytes=200).collect(), brute.substring(ROWS, 5))
+
+
 def test_interval_classes_are_equal_contexts():
     import numpy as np
     rng = np.random.default_rng(0)
