@@ -301,6 +301,31 @@ def test_sharding(docs, empty):
     assert sharding.shard_documents(empty).collect() == []
 
 
+def test_sharding_rounds(spark, monkeypatch):
+    """Cells grow with the groups and the driver's share does not; copies stay together, shards even."""
+    assert sharding.cell_rounds(12_000_000, 64, 4096) == [2930, 64]
+    assert sharding.cell_rounds(10**10, 64, 4096)[1:] == [38147, 597, 64]
+    assert sharding.cell_rounds(100, 64, 4096) == [64] and sharding.cell_rounds(0, 4, 9) == [4]
+    monkeypatch.setattr(sharding, "FAN", 4)
+    assert sharding.cell_rounds(300, 2, 8) == [38, 10, 3, 2]
+    rng = random.Random(7)
+    rows = [(i, "x" * rng.randint(1, 900) + str(i % 300)) for i in range(300)]
+    rows += [(1000 + i, rows[5][1]) for i in range(20)] + [(2000 + i, rows[i][1]) for i in range(50)]
+    seen, inner = [], sharding.difference
+    monkeypatch.setattr(sharding, "difference", lambda partials: seen.append(len(partials)) or inner(partials))
+    got = sharding.shard_documents(frame(spark, rows), shards=4, cells=2, pieces=8, per_cell=8).collect()
+    assert seen and max(seen) <= 2 * 8 + 4 * sharding.LARGE  # on the driver
+    assert Counter(r.doc_id for r in got) == Counter(i for i, _ in rows)
+    where, slots, size = defaultdict(set), defaultdict(list), Counter()
+    for r in got:
+        where[r.text_crc32].add(r.shard)
+        slots[r.shard].append(r.slot)
+        size[r.shard] += r["size"]
+    assert all(len(v) == 1 for v in where.values())
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+    assert len(size) == 4 and max(size.values()) <= 1.02 * sum(size.values()) / 4
+
+
 def test_differencing_is_tight():
     rng = random.Random(4)
     sums, where = sharding.difference([(rng.randint(1, 10**6), 0, 0, 0) for _ in range(2000)])
