@@ -4,15 +4,15 @@ Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is writ
 and reread as the next stage's documents. A stage works on all that its predecessor kept; all but
 the last return the columns of ``documents``.
 
-Defined results: rows whose text is null or has no letter go in the first stage; of repeated
-rows of one doc_id the second stage keeps one (the first by text), and one document of every group
-of near duplicates; rows with a null doc_id are not told apart by it and stay there if one of them
-stays; an empty table passes through empty; extra columns pass through, whatever their names.
+Defined results: rows whose text is null or has no letter go in the first stage; the second stage
+keeps one row of every group of near duplicates (of the smallest doc_id, null after all others), and
+rows of one doc_id, or of none, are rows of their own there; an empty table passes through empty;
+extra columns pass through, whatever their names.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimlens.llm import decontam, langid, mixing, ngram_join, sharding
@@ -31,13 +31,15 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of every component of near duplicates."""
-    found = ngram_join.jaccard_components(docs.select("doc_id", "text"), width=NEAR_WORDS, percent=NEAR_PERCENT)
-    stay = found.where("kept").select(F.col("doc_id").alias("stay")).distinct()
-    doc_id, text = (F.col(f"_{docs.columns.index(c)}") for c in ("doc_id", "text"))
-    rows = numbered(docs).join(stay, doc_id.cast("long").eqNullSafe(F.col("stay")), "left_semi")
-    nth = F.row_number().over(Window.partitionBy(doc_id).orderBy(text))
-    return named_as(rows.withColumn("nth", nth).where((F.col("nth") == 1) | doc_id.isNull()), docs)
+    """One row of every component of near duplicates. Rows are numbered in a staged table, as ids may
+    repeat or be null."""
+    rows = staged(numbered(docs).withColumn("row", F.monotonically_increasing_id()), "rows")
+    doc_id, text = (f"_{docs.columns.index(c)}" for c in ("doc_id", "text"))
+    found = ngram_join.jaccard_components(rows, "row", text, width=NEAR_WORDS, percent=NEAR_PERCENT).select(
+        F.col("doc_id").alias("row"), "component_id")
+    first = F.min(F.struct(F.col(doc_id).isNull(), F.col(doc_id).cast("long"), "row"))["row"]
+    stay = found.join(rows.select("row", doc_id), "row").groupBy("component_id").agg(first.alias("row"))
+    return named_as(rows.join(stay.select("row"), "row", "left_semi"), docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -333,6 +333,17 @@ def test_differencing_is_tight():
     assert sharding.difference([(5, 0)])[0] == (5, 0)
 
 
+def test_near_duplicates_of_odd_ids(spark):
+    """Rows of one id, or of none, with different texts are rows of their own."""
+    import corpus_pipeline as P
+    rng = random.Random(11)
+    text = lambda: " ".join("".join(rng.choices("abcdefg", k=4)) for _ in range(40))
+    t = [text() for _ in range(7)]
+    rows = [(1, t[0]), (1, t[1]), (2, t[1] + " x"), (2, t[2]), (None, t[3]), (None, t[3]), (None, t[4]), (5, t[4] + " y"), (None, t[5]), (6, t[6]), (6, t[6])]
+    got = [(r.doc_id, r.text) for r in P.near_duplicates(spark, frame(spark, rows), "").select("doc_id", "text").collect()]
+    same(got, [(1, t[0]), (1, t[1]), (2, t[2]), (None, t[3]), (5, t[4] + " y"), (None, t[5]), (6, t[6])])
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline as P
     rng = random.Random(8)
