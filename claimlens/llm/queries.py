@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.llm import decontam, exact_dedup, langid, mixing, ngram_join, sharding, suffix_dedup, superkmer_dedup, tokens_bin, warc
+from claimlens.llm import (decontam, exact_dedup, langid, mixing, ngram_join, prefix_trie, sharding, suffix_dedup, superkmer_dedup,
+                           tokens_bin, warc)
 from claimlens.llm.common import scratch_uri, table
 
 QUERIES, ORACLES = {}, {}
@@ -89,3 +90,9 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``documents`` in 24 shards of near equal bytes."""
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
+
+
+@_query("op11_prefix_trie", prefix_trie.oracle_sql())
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nodes of the trie of the rebuilt ``conversations``."""
+    return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))

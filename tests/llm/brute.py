@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import math
 import re
+import zlib
 from collections import defaultdict
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -133,3 +135,37 @@ def warc(pages, revisit_from=0):
         revisit = len(b) >= revisit_from and least is not None and i != least
         out.append((i, len(b), base64.b32encode(hashlib.sha1(b).digest()).decode(), "revisit" if revisit else "response", least if revisit else None))
     return out
+
+
+def trie(turns, rebuild=True):
+    """Nodes of the conversation trie; ``turns`` are (conv_id, turn, role, text)."""
+    convs = defaultdict(list)
+    for c, turn, role, text in turns:
+        if c is not None:
+            role, text = role or "", text or ""
+            told = hashlib.sha256(f"{len(role)}:{role}{text}".encode()).digest()[:16]
+            convs[c].append(((turn is not None, turn or 0), told, (role, text)))
+    for c in convs:
+        convs[c] = [x[2] for x in sorted(convs[c])]
+    paths = dict(convs)
+    if rebuild:
+        for c, own in convs.items():
+            h = zlib.crc32(str(c).encode()) % 6
+            paths[c] = convs.get(c - int(math.fmod(c, 100)), [])[:h] + own[h:]
+    members, ends = defaultdict(list), defaultdict(list)
+    for c in sorted(paths):
+        p = tuple(paths[c])
+        for d in range(len(p) + 1):
+            members[p[:d]].append(c)
+        ends[p].append(c)
+    kids = defaultdict(int)
+    for p in members:
+        if p:
+            kids[p[:-1]] += 1
+    leaves, saved = defaultdict(int), defaultdict(int)
+    for p, m in members.items():
+        for d in range(len(p) + 1):
+            leaves[p[:d]] += not kids[p]
+            saved[p[:d]] += (len(m) - 1) * len(p[-1][1]) if p else 0
+    return [(m[0], len(p), members[p[:-1]][0] if p else None, len(m), kids[p], leaves[p], saved[p],
+             hashlib.sha256(",".join(map(str, ends[p])).encode()).hexdigest()) for p, m in members.items()]
