@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimlens.llm import (decontam, exact_dedup, langid, mixing, ngram_join, prefix_trie, sharding, suffix_dedup, superkmer_dedup,
-                           tokens_bin, warc)
+from claimlens.llm import (collocations, decontam, exact_dedup, langid, mixing, ngram_join, prefix_trie, sharding, suffix_dedup,
+                           superkmer_dedup, tokens_bin, toxicity, warc)
 from claimlens.llm.common import scratch_uri, table
 
 QUERIES, ORACLES = {}, {}
@@ -96,3 +96,18 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Nodes of the trie of the rebuilt ``conversations``."""
     return prefix_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+@_query("op12_collocations", collocations.oracle_sql())
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 phrases of two and three words of each language of ``documents``."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@_query("op13_toxicity")
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels that are not held out."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(toxicity.is_training(F.col("doc_id"))))
+    return toxicity.score_texts(docs.select("doc_id", "text"), model, keep=["doc_id"]).select(
+        "doc_id", (~toxicity.is_training(F.col("doc_id"))).alias("held_out"), "score", "predicted")

@@ -169,3 +169,27 @@ def trie(turns, rebuild=True):
             saved[p[:d]] += (len(m) - 1) * len(p[-1][1]) if p else 0
     return [(m[0], len(p), members[p[:-1]][0] if p else None, len(m), kids[p], leaves[p], saved[p],
              hashlib.sha256(",".join(map(str, ends[p])).encode()).hexdigest()) for p, m in members.items()]
+
+
+def collocations(rows, min_count=10, percent=50, top=2000):
+    """Rows of (lang, rank, phrase, a, l, r, n, score); ``rows`` are (lang, text)."""
+    f, n = defaultdict(int), defaultdict(int)
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\x0a-\x0d]", lower(text or "")):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(w)
+            for k in (1, 2, 3):
+                for i in range(len(w) - k + 1):
+                    f[lang, tuple(w[i:i + k])] += 1
+    found = defaultdict(list)
+    for (lang, g), a in f.items():
+        if len(g) == 1 or a < min_count:
+            continue
+        cuts = [(10 ** 6 * a * a // (f[lang, g[:k]] * f[lang, g[k:]]), k) for k in range(1, len(g))]
+        score, k = min(cuts)
+        if len(g) == 2 and any(b >= min_count and 100 * b >= percent * a for (x, h), b in f.items()
+                               if x == lang and len(h) == 3 and (h[:2] == g or h[1:] == g)):
+            continue
+        found[lang].append((-score, -a, " ".join(g).encode(), f[lang, g[:k]], f[lang, g[k:]]))
+    return [(lang, i + 1, p.decode(), -a, l, r, n[lang], -s) for lang in found for i, (s, a, p, l, r) in enumerate(sorted(found[lang])[:top])]

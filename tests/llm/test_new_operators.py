@@ -1,15 +1,19 @@
 """The conversation trie, collocations and toxicity against plain Python."""
 
+import os
 import random
 import sys
+import zlib
 from pathlib import Path
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parent))
 import brute  # noqa: E402
 
-from claimlens.llm import prefix_trie  # noqa: E402
+from claimlens.llm import collocations, prefix_trie, toxicity  # noqa: E402
 
 TURNS = "conv_id long, turn long, role string, text string, key string, c long, n string, seg string, ids string"
 
@@ -80,3 +84,169 @@ def test_radix_tree_layouts():
     visit(root, root.path)
     assert [found[i] for i in range(len(keys))] == keys
     assert layouts == {4, 16, 48, 256}
+
+
+DOCS = "doc_id long, text string, lang string, source string, word string, w1 string, a string, score string, predicted string, toxic string, id string, bucket string"
+
+
+def doc_frame(spark, rows, parts=4):
+    return spark.createDataFrame([(i, t, lang, "s", *"abcdefgh") for i, t, lang in rows], DOCS).repartition(parts)
+
+
+def make_texts(seed=2):
+    rng = random.Random(seed)
+    vocab = ["the", "of", "new", "york", "city", "a-b", "é", "日本", "x" * 300, "Hot", "dog"] + [f"w{i}" for i in range(30)]
+    weights = [30, 20, 8, 7, 6, 3, 3, 3, 1, 4, 4] + [1] * 30
+    rows = []
+    for i in range(150):
+        words = rng.choices(vocab, weights, k=rng.randint(0, 60))
+        for phrase in ("New York City", "new york", "hot dog", "of the"):
+            if rng.random() < 0.4:
+                words.insert(rng.randint(0, len(words)), phrase)
+        rows.append((i, "".join(w + rng.choice([" ", " ", " ", "  ", "\t", ", ", ".", "\n", "! ", "\r", "\x0b"]) for w in words), rng.choice(["en", "en", "fr", None, "und"])))
+    rows += [(500 + i, "one very common line of words", "en") for i in range(200)]  # a hot group of copies
+    rows += [(None, "the of the of", "en"), (1, None, None), (2, "", ""), (3, " \t ", "fr"), (4, "only.", "de"), (5, "a\u00a0b \0 z", "fr"), (6, "go " * 4000, "es")]
+    return rows
+
+
+@pytest.mark.parametrize("per_bucket, chunk", [(2_000_000, 2_000_000), (40, 300)])
+def test_collocations(spark, monkeypatch, per_bucket, chunk):
+    monkeypatch.setattr(collocations, "SLICE", 50)
+    rows = make_texts()
+    got = collocations.collocations(doc_frame(spark, rows), per_bucket=per_bucket).collect()
+    same(got, brute.collocations([(lang, t) for _, t, lang in rows]))
+
+
+def test_collocations_top_and_thresholds(spark):
+    rows = make_texts(4)
+    got = collocations.collocations(doc_frame(spark, rows, 9), min_count=3, subsumed_percent=80, top=5).collect()
+    same(got, brute.collocations([(lang, t) for _, t, lang in rows], 3, 80, 5))
+    assert collocations.collocations(doc_frame(spark, rows[:0])).collect() == []
+
+
+def test_collocation_chunks(monkeypatch):
+    """Chunks and hot prefixes: stripes of small chunks, dealt to several buckets, add up to plain counts."""
+    rows = [(lang or "und", t) for _, t, lang in make_texts()]
+    batch = collocations.pa.RecordBatch.from_pydict({"lang": [x[0] for x in rows], "text": [(x[1] or "").encode() for x in rows]})
+    monkeypatch.setattr(collocations, "CHUNK", 100)
+    got = {}
+    for lang, words, ids in collocations._chunks([batch]):
+        assert ids[-1] == 0
+        for w, n in zip(words, np.bincount(ids, minlength=len(words))):
+            if w != b".":
+                got[lang, w.decode()] = got.get((lang, w.decode()), 0) + int(n)
+    want = {}
+    for lang, t in rows:
+        for w in brute.re.findall(r"[^\x20\x09.,;:!?\x0a-\x0d]+", brute.lower(t or "")):
+            want[lang, w] = want.get((lang, w), 0) + 1
+    assert got == want
+    everything = np.full(1 << 10, 2 ** 64 - 1, np.uint64)
+    h = np.sort(collocations.word_hashes("en", [b"the", b"of"]))
+    know = collocations.Known(everything, h, np.array([5, 3]), 7)
+    assert know.frequent(h).all() and know.parts(h).tolist() == [5, 3] and know.parts(h + np.uint64(1)).tolist() == [1, 1]
+
+    class Shared:
+        value = know
+    messages = [m for m in collocations._messages(1, Shared)([batch])]
+    sent = sorted((b, lang, w, r) for m in messages for b, lang, w, r in zip(*(m.column(c).to_pylist() for c in ("bucket", "lang", "words", "rows"))))
+    table = {c: [s[i] for s in sent] for i, c in enumerate(("bucket", "lang", "words", "rows"))}
+    pairs = {}
+    for out in collocations._merge(1, 1)([collocations.pa.RecordBatch.from_pydict(table)]):
+        for r in out.to_pylist():
+            assert (r["lang"], r["w1"], r["w2"]) not in pairs
+            pairs[r["lang"], r["w1"], r["w2"]] = (r["a"], r["l"])
+    wanted = {(r[0], *r[2].split(" ")): r[3] for r in brute.collocations([(lang, t) for lang, t in rows], 1, 10 ** 9, 10 ** 9) if len(r[2].split(" ")) == 2}
+    assert {k: v[0] for k, v in pairs.items()} == wanted
+    assert all(v[1] == want[k[0], k[1]] for k, v in pairs.items())
+
+
+def test_collocation_score(spark):
+    """Products far beyond 64 bits, and the floor just below a whole number."""
+    rows = [(10 ** 13, 10 ** 13, 10 ** 13), (10 ** 15 - 1, 10 ** 15, 10 ** 15), (999_999_999_999, 3 * 10 ** 14, 7 * 10 ** 14), (10, 10, 10), (10, 10 ** 9, 10 ** 9)]
+    got = spark.createDataFrame(rows, "a long, l long, r long").select(collocations.score("a", "l", "r")).collect()
+    assert [r[0] for r in got] == [10 ** 6 * a * a // (l * r) for a, l, r in rows]
+
+
+def test_word_hashes_are_sparks(spark):
+    words = ["", "a", "abcdefg", "日本語 ", "x" * 100]
+    got = spark.createDataFrame([(w,) for w in words], "w string").select(F.xxhash64(F.concat(F.lit("en\t"), "w"))).collect()
+    assert [r[0] for r in got] == collocations.word_hashes("en", [w.encode() for w in words]).view(np.int64).tolist()
+
+
+def make_toxic(seed=6, n=600):
+    rng = random.Random(seed)
+    vocab = ["".join(rng.choices("abcdeimnorst", k=rng.randint(2, 8))) for _ in range(400)]
+    rude = ["zorg", "blarf", "idiot", "quux"]
+    rows = []
+    for i in range(n):
+        words = rng.choices(vocab, k=rng.randint(5, 80))
+        toxic = int(i % 5 == 0)
+        if toxic:
+            for _ in range(rng.randint(1, 4)):
+                words.insert(rng.randint(0, len(words)), rng.choice(rude))
+        rows.append((i, " ".join(words), "en", toxic))
+    return rows
+
+
+def test_toxicity(spark):
+    """Held-out accuracy, equal scores of equal texts, hidden words, edge rows, and clean texts left alone."""
+    rows = make_toxic()
+    labels = spark.createDataFrame([(i, toxic, "x", 1.0) for i, _, _, toxic in rows] + [(None, 1, "x", 1.0), (3, None, "x", 1.0)], "doc_id long, toxic int, text string, score double")
+    clean = " ".join(rows[1][1].split())
+    extra = [(None, None, None), (9000, "", None), (9001, "123 !!", "en"), (9002, clean + " id1ot", "en"), (9003, clean + " you ZORG!!!", "fr"), (9004, clean + " idddiot", "en"),
+             (9005, "a" * 100_000, "en"), (9006, clean, "en"), (9006, clean, "de"), (9007, clean * 200, "en")]
+    docs = doc_frame(spark, [r[:3] for r in rows] + extra)
+    model = toxicity.train(docs, labels.where(toxicity.is_training(F.col("doc_id"))))
+    assert {"zorg", "blarf", "quux", "idiot"} <= set(model.lexicon)
+    out = toxicity.score_texts(docs, model)
+    assert out.columns[-2:] == ["score", "predicted"] and out.columns[:len(docs.columns)] == docs.columns
+    assert {r[0]: r[7] for r in out.collect() if r[0] == 3} == {3: "d"}
+    got = toxicity.score_texts(docs.select("doc_id", "text"), model, keep=["doc_id"]).collect()
+    assert len(got) == len(rows) + len(extra) and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for r in got)
+    by = {r.doc_id: r for r in got}
+    held = [(by[i].predicted, toxic) for i, _, _, toxic in rows if zlib.crc32(str(i).encode()) % 5 == 0]
+    assert len(held) > 80 and sum(a == b for a, b in held) >= 0.97 * len(held)
+    assert by[9002].predicted == by[9003].predicted == by[9004].predicted == 1
+    assert by[9006].predicted == by[9007].predicted == by[9000].predicted == by[None].predicted == by[9005].predicted == 0
+    again = toxicity.train(docs, labels.where(toxicity.is_training(F.col("doc_id"))))
+    assert (again.chances == model.chances).all() and again.lexicon == model.lexicon
+    assert toxicity.score_texts(docs.limit(0), model).collect() == []
+
+
+def test_toxicity_without_classes(spark):
+    docs = doc_frame(spark, [(1, "some text", "en"), (2, None, None)])
+    none = spark.createDataFrame([], "doc_id long, toxic int")
+    one = spark.createDataFrame([(1, 1)], "doc_id long, toxic int")
+    for labels, want in ((none, 0.0), (one, 1.0)):
+        assert [r.score for r in toxicity.score_texts(docs, toxicity.train(docs, labels)).collect()] == [want, want]
+
+
+def test_isotonic_and_trees():
+    rng = np.random.default_rng(1)
+    z, y, w = rng.normal(size=300), rng.integers(0, 2, 300).astype(float), rng.random(300) + 0.5
+    places, chances = toxicity.isotonic(z, y, w)
+    assert (np.diff(chances) > 0).all() and (np.diff(places) > 0).all()
+    # pooled means are the best rising fit: by the min-max formula
+    order = np.argsort(z)
+    y, w = y[order], w[order]
+    mean = lambda a, b: (y[a:b] * w[a:b]).sum() / w[a:b].sum()
+    best = [max(min(mean(a, b) for b in range(i + 1, 61)) for a in range(i + 1)) for i in range(60)]
+    places, chances = toxicity.isotonic(np.arange(60.0), y[:60], w[:60])
+    sizes = np.searchsorted(chances, np.array(best) - 1e-12)
+    assert np.allclose(chances[sizes], best)
+    # an exclusive-or needs two levels
+    x = rng.random((800, 3))
+    y = ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.5)).astype(float)
+    trees = toxicity.boost(x, y, np.ones(800), 60, 3)
+    x = rng.random((400, 3))
+    assert (((trees.logit(x) > 0) == ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.5))).mean()) > 0.93
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.01/labels.parquet"), reason="no test tables")
+def test_toxicity_on_tables(spark):
+    from claimlens.llm import queries
+    got = {r.doc_id: r for r in queries.op13_toxicity(spark, "/root/testdata/sf0.01").collect()}
+    labels = [(got[r.doc_id].score, r.toxic) for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect() if got[r.doc_id].held_out]
+    bad, good = [s for s, t in labels if t], [s for s, t in labels if not t]
+    auc = sum((a > b) + 0.5 * (a == b) for a in bad for b in good) / (len(bad) * len(good))
+    assert auc > 0.9 and sum(s < 0.5 for s in good) >= 0.98 * len(good)
