@@ -9,8 +9,10 @@ isotonic regression through the predictions of ``folds`` left-out fits gives the
 
 The sample: about ``per_class`` labelled rows of each class, drawn by a hash of the id, a documented
 bound; rows count with the share of their class that was drawn. Its texts stay in the tasks, which send at most
-``2 x per_class`` rows of features and ``lexicon_size`` words. A word enters the lexicon by the number of
-*different words before it* in toxic and clean texts, so that copies of one text count once.
+``2 x per_class`` rows of features and ``lexicon_size`` words a lexicon. A word enters the lexicon by the number of
+*different words before it* in toxic and clean texts, so that copies of one text count once. The features that
+trees and calibration learn from come from lexicons mined without the text's own fold: words that are toxic by chance
+then hit clean texts in training too, as they will later.
 
 Defined results: null and empty texts have no words and are scored from features of zero; labels that
 are null are not learned from, any other number than 0 is toxic; a document of several labels is learned
@@ -24,7 +26,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -241,26 +243,40 @@ class Model:
         return np.clip(np.interp(self.trees.logit(features(texts, words)), self.places, self.chances), 0.0, 1.0)
 
 
-def mine_lexicon(sample: DataFrame, lexicon_size: int, least_share: float) -> dict[str, float]:
-    """Words of toxic texts by log odds of their different predecessors (``sample``: toxic, text)."""
+def mine_lexicons(sample: DataFrame, folds: int, lexicon_size: int, least_share: float) -> list[dict[str, float]]:
+    """Words of toxic texts by log odds of their different predecessors (``sample``: toxic, fold, text), without each
+    fold in turn, and in the end of all rows. A context (word and predecessor) counts for a lexicon if a fold that it
+    may see has it."""
     def contexts(batches):
         for batch in batches:
-            for toxic, text in zip(batch.column("toxic").to_pylist(), batch.column("text").to_pylist()):
+            for toxic, fold, text in zip(*(batch.column(c).to_pylist() for c in ("toxic", "fold", "text"))):
                 told = [core(w) for w in (text or "").split()]
                 pairs = {(w, b) for b, w in zip(["", *told], told) if 2 <= len(w) <= LONGEST}
                 if pairs:
                     words, before = zip(*pairs)
                     yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array([x[:LONGEST] for x in before], pa.string()),
-                                                      pa.array([toxic] * len(words), pa.int32())], names=["word", "before", "toxic"])
-
-    found = sample.select("toxic", "text").mapInArrow(contexts, "word string, before string, toxic int").distinct().groupBy("word").agg(
-        F.sum("toxic").alias("bad"), F.sum(1 - F.col("toxic")).alias("good"))
-    classes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    bad, good = (float(classes.get(k, 0)) for k in (1, 0))
-    odds = F.log((F.col("bad") + 0.5) / (bad + 1)) - F.log((F.col("good") + 0.5) / (good + 1))
-    top = found.where(F.col("bad") >= max(3.0, least_share * bad)).withColumn("odds", odds).where("odds >= 2").orderBy(
-        F.col("odds").desc(), F.col("bad").desc(), "word").limit(lexicon_size)
-    return {r["word"]: float(r["odds"]) for r in top.collect()}
+                                                      pa.array([toxic] * len(words), pa.int32()), pa.array([fold] * len(words), pa.int32())],
+                                                     names=["word", "before", "toxic", "fold"])
+
+    seen = sample.select("toxic", "fold", "text").mapInArrow(contexts, "word string, before string, toxic int, fold int").groupBy("word", "before", "toxic").agg(
+        F.min("fold").alias("lo"), F.max("fold").alias("hi"))
+    class_rows = {(r["toxic"], r["fold"]): r["n"] for r in sample.groupBy("toxic", "fold").agg(F.count(F.lit(1)).alias("n")).collect()}
+    toxic, only = F.col("toxic") == 1, [(F.col("lo") == k) & (F.col("hi") == k) for k in range(folds)]
+    counts = seen.groupBy("word").agg(F.count_if(toxic).alias("bad"), F.count_if(~toxic).alias("good"),
+                                      *[F.count_if(toxic & o).alias(f"bad{k}") for k, o in enumerate(only)],
+                                      *[F.count_if(~toxic & o).alias(f"good{k}") for k, o in enumerate(only)])
+    parts = []
+    for k in [*range(folds), None]:
+        bad, good = (float(sum(n for (t, f), n in class_rows.items() if t == label and f != k)) for label in (1, 0))
+        x, y = (F.col(c) if k is None else F.col(c) - F.col(f"{c}{k}") for c in ("bad", "good"))
+        odds = F.log((x + 0.5) / (bad + 1)) - F.log((y + 0.5) / (good + 1))
+        parts.append(F.struct(F.lit(folds if k is None else k).alias("k"), odds.alias("odds"), x.alias("bad"), (x >= max(3.0, least_share * bad)).alias("ok")))
+    rows = counts.select("word", F.explode(F.array(*parts)).alias("p")).select("word", "p.*").where("ok AND odds >= 2")
+    best = Window.partitionBy("k").orderBy(F.col("odds").desc(), F.col("bad").desc(), "word")
+    out = [{} for _ in range(folds + 1)]
+    for r in rows.withColumn("at", F.row_number().over(best)).where(F.col("at") <= lexicon_size).collect():
+        out[r["k"]][r["word"]] = float(r["odds"])
+    return out
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = 3000,
@@ -274,25 +290,27 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     share = F.when(F.col("toxic") == 1, min(1.0, per_class / sizes[1])).otherwise(min(1.0, per_class / sizes[0]))
     draw = F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     drawn = F.broadcast(known.where(draw < share))  # about twice per_class rows
-    sample = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text")).join(drawn, "id")
-    lexicon = mine_lexicon(sample, lexicon_size, least_share)
+    text = F.col(text_col).cast("string")
+    # Equal texts share a fold, so that copies do not vouch for each other.
+    sample = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.pmod(F.xxhash64(F.lit(seed + 1), text), F.lit(folds)).cast("int").alias("fold")).join(drawn, "id")
+    lexicons = mine_lexicons(sample, folds, lexicon_size, least_share)
+    lexicon = lexicons[folds]
 
     def rows(batches):
-        words = Words(lexicon, insults)
+        words = [Words(x, insults) for x in lexicons]  # a text's features come from a lexicon that has not seen it
         for batch in batches:
-            for i, toxic, text in zip(*(batch.column(c).to_pylist() for c in ("id", "toxic", "text"))):
-                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([toxic], pa.int32()),
-                                                  pa.array([features([text], words)[0].tobytes()], pa.binary())], names=["id", "toxic", "x"])
+            for i, toxic, k, text in zip(*(batch.column(c).to_pylist() for c in ("id", "toxic", "fold", "text"))):
+                yield pa.RecordBatch.from_arrays([pa.array([i], pa.int64()), pa.array([toxic], pa.int32()), pa.array([k], pa.int32()),
+                                                  pa.array([features([text], words[k])[0].tobytes()], pa.binary())], names=["id", "toxic", "fold", "x"])
 
-    got = sample.select(F.col("id").cast("long"), "toxic", "text").mapInArrow(rows, "id long, toxic int, x binary").collect()
+    got = sample.select(F.col("id").cast("long"), "toxic", "fold", "text").mapInArrow(rows, "id long, toxic int, fold int, x binary").collect()
     got.sort(key=lambda r: (r["id"], r["toxic"], bytes(r["x"])))
     y = np.array([r["toxic"] for r in got], float)
     if not len(y) or y.min() == y.max():
         return Model(lexicon, tuple(insults), None, constant=float(y[0]) if len(y) else 0.0)
     x = np.array([np.frombuffer(r["x"], np.float64) for r in got])
     weight = np.where(y == 1, sizes[1] / y.sum(), sizes[0] / (1 - y).sum())
-    # Rows of equal features are in one fold, so that copies do not vouch for each other.
-    fold = np.unique(x, axis=0, return_inverse=True)[1].ravel() % folds
+    fold = np.array([r["fold"] for r in got])
     left_out = np.zeros(len(y))
     for k in range(folds):
         out = fold == k

@@ -218,7 +218,7 @@ def test_toxicity_without_classes(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     one = spark.createDataFrame([(1, 1)], "doc_id long, toxic int")
     for labels, want in ((none, 0.0), (one, 1.0)):
-        assert [r.score for r in toxicity.score_texts(docs, toxicity.train(docs, labels)).collect()] == [want, want]
+        assert [r[-2] for r in toxicity.score_texts(docs, toxicity.train(docs, labels)).collect()] == [want, want]
 
 
 def test_isotonic_and_trees():
@@ -242,11 +242,11 @@ def test_isotonic_and_trees():
     assert (((trees.logit(x) > 0) == ((x[:, 0] > 0.5) ^ (x[:, 1] > 0.5))).mean()) > 0.93
 
 
-@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.01/labels.parquet"), reason="no test tables")
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.1/labels.parquet"), reason="no test tables")
 def test_toxicity_on_tables(spark):
     from claimlens.llm import queries
-    got = {r.doc_id: r for r in queries.op13_toxicity(spark, "/root/testdata/sf0.01").collect()}
-    labels = [(got[r.doc_id].score, r.toxic) for r in spark.read.parquet("/root/testdata/sf0.01/labels.parquet").collect() if got[r.doc_id].held_out]
+    got = {r.doc_id: r for r in queries.op13_toxicity(spark, "/root/testdata/sf0.1").collect()}
+    labels = [(got[r.doc_id].score, r.toxic) for r in spark.read.parquet("/root/testdata/sf0.1/labels.parquet").collect() if got[r.doc_id].held_out]
     bad, good = [s for s, t in labels if t], [s for s, t in labels if not t]
     auc = sum((a > b) + 0.5 * (a == b) for a in bad for b in good) / (len(bad) * len(good))
-    assert auc > 0.9 and sum(s < 0.5 for s in good) >= 0.98 * len(good)
+    assert auc > 0.97 and sum(s < 0.5 for s in good) >= 0.98 * len(good)
