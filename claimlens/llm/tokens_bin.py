@@ -1,13 +1,13 @@
 """Token ids as flat binary files.
 
-Documents are range-partitioned by id. Every partition becomes one shard: a flat file of
+Documents are range-partitioned by id. Every partition becomes one or more shards, rolled at ``roll_bytes``: a flat file of
 unsigned token ids (``.bin``; 16 bits each if the vocabulary fits, else 32; the manifest says which) and an index (``.idx``) of signed 64-bit document ids,
 then 64-bit offsets (documents + 1) into the shard's ids, all little-endian. A task
 writes under a temporary name and renames when the file is whole; a shard counts only
 through its row in the manifest, which Spark commits, so a lost or repeated task leaves at
 most an unread file. A shard's base, the ids of all documents before it, is the prefix
 sum of the manifest's counts. Readers map the files into memory (file systems without
-memory maps are read into a buffer).
+memory maps are read into a buffer), one task for each shard.
 
 Defined results: a null text is empty and becomes the end id alone; a null id sorts first;
 rows of one id keep the order of their texts; an empty table gives no shards and an empty
@@ -17,10 +17,9 @@ result; columns other than id and text are not read.
 from __future__ import annotations
 
 import re
-import sys
 import uuid
 import zlib
-from array import array
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +29,13 @@ from pyspark.sql import functions as F
 
 from claimlens.llm.common import staged
 
-MANIFEST = "shard int, file string, documents long, ids long, id_bytes int"
+MANIFEST = "shard int, part int, file string, documents long, ids long, id_bytes int"
 #: White space before a space inside a run: there a cut could change how the run is split.
 _RUN = re.compile(r"\s (?:\s|$)")
-_CACHE_WORDS = 1 << 19
+_SPACE = re.compile(r"\s")
+#: Bytes of remembered pieces in a worker (text, ids and some 200 bytes for each), longest one, pieces encoded at once.
+CACHE_BYTES, LONGEST, AT_ONCE = 96 << 20, 64, 20_000
+_EACH = 200
 _caches: dict = {}
 
 
@@ -42,43 +44,70 @@ class Encoder:
 
     The tokenizer splits a text before every space that follows a character other than
     white space, so pieces between such spaces encode alone; a text with longer runs of white
-    space around spaces is encoded whole. Ids are kept as little-endian
-    bytes of the file's width."""
+    space around spaces is encoded whole. New pieces are encoded many at a time as one text, as only the
+    first token of a piece begins with its space. Ids are kept as little-endian bytes of the file's width.
 
-    def __init__(self, path: str):
+    The cache is bounded by ``cache_bytes``; when it is full, the half that came first goes. Pieces of more than
+    ``LONGEST`` characters are not kept."""
+
+    def __init__(self, path: str, cache_bytes: int = CACHE_BYTES):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.first, self.later = {}, {}
+        size = self.tokenizer.get_vocab_size()
+        self.width = 2 if size <= 1 << 16 else 4
+        self.opens = np.zeros(size, bool)  # tokens that begin with a space
+        for token, i in self.tokenizer.get_vocab().items():
+            self.opens[i] = token.startswith("\u0120")
+        self.known, self.held, self.cache_bytes = {}, 0, cache_bytes
 
     def pack(self, ids: list[int]) -> bytes:
-        out = array("H" if self.width == 2 else "I", ids)
-        if sys.byteorder == "big":
-            out.byteswap()
-        return out.tobytes()
-
-    def _learn(self, cache: dict, pieces: set, before: str) -> None:
-        new = [p for p in pieces if p not in cache]
-        if len(cache) + len(new) > _CACHE_WORDS:
-            cache.clear()
-            new = list(pieces)
-        if new:
-            found = self.tokenizer.encode_batch_fast([before + p for p in new], add_special_tokens=False)
-            cache.update((p, self.pack(e.ids)) for p, e in zip(new, found))
+        return np.array(ids, f"<u{self.width}").tobytes()
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [self.pack(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
+        """Ids of new pieces, each with a space before it."""
+        odd = [p for p in pieces if not p or _SPACE.search(p)]
+        found = dict(zip(odd, self._whole([" " + p for p in odd])))
+        plain = [p for p in pieces if p not in found]
+        for lo in range(0, len(plain), AT_ONCE):
+            part = plain[lo:lo + AT_ONCE]
+            ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, f"<u{self.width}")
+            cuts = (np.append(np.flatnonzero(self.opens[ids]), len(ids)) * self.width).tolist()
+            packed = ids.tobytes()
+            found.update((p, packed[a:b]) for p, a, b in zip(part, cuts, cuts[1:]))
+        return found
+
+    def _keep(self, found: dict[str, bytes]) -> None:
+        """Remember short pieces; drop the older half beyond the bound."""
+        small = {p: b for p, b in found.items() if len(p) <= LONGEST}
+        self.known.update(small)
+        self.held += sum(len(p) + len(b) + _EACH for p, b in small.items())
+        while self.held > self.cache_bytes and self.known:
+            for p in list(islice(self.known, max(1, len(self.known) // 2))):
+                self.held -= len(p) + len(self.known.pop(p)) + _EACH
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as bytes."""
-        plain = [not _RUN.search(t) for t in texts]
-        split = [t.split(" ") if p else None for t, p in zip(texts, plain)]
-        self._learn(self.first, {s[0] for s in split if s}, "")
-        self._learn(self.later, {w for s in split if s for w in s[1:]}, " ")
-        first, later = self.first, self.later
-        out = []
-        for t, s in zip(texts, split):
-            if s is None:
-                out.append(self.pack(self.tokenizer.encode(t, add_special_tokens=False).ids))
-            else:
-                out.append(first[s[0]] + b"".join([later[w] for w in s[1:]]))
+        out, spans, flat, firsts = [b""] * len(texts), [], [], []
+        for i, text in enumerate(texts):
+            if not text:
+                continue
+            if _RUN.search(text):
+                out[i] = self._whole([text])[0]
+                continue
+            pieces = text.split(" ")
+            firsts.append(pieces[0])
+            spans.append((i, len(flat), len(flat) + len(pieces) - 1))
+            flat += pieces[1:]
+        got = list(map(self.known.get, flat))
+        if None in got:
+            found = self._learn(list({p for p, g in zip(flat, got) if g is None}))
+            got = [found[p] if g is None else g for p, g in zip(flat, got)]
+            self._keep(found)
+        for (i, lo, hi), first in zip(spans, self._whole(firsts)):
+            out[i] = first + b"".join(got[lo:hi])
         return out
 
 
@@ -103,8 +132,8 @@ def _batches(batch: pa.RecordBatch, most: int = 4 << 20):
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
-                 end_id: int = 0) -> DataFrame:
-    """Encode every text, append ``end_id`` and write shards below ``path`` in ascending
+                 end_id: int = 0, roll_bytes: int = 256 << 20) -> DataFrame:
+    """Encode every text, append ``end_id`` and write shards of about ``roll_bytes`` below ``path`` in ascending
     id order; returns the committed manifest with ``base``, the ids before each shard."""
     ranged = (docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
               .repartitionByRange(F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "text"))
@@ -113,37 +142,45 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, id_col: str = "doc_
         from pyspark import TaskContext
         shard = TaskContext.get().partitionId()
         files, root = pafs.FileSystem.from_uri(path)
-        name = f"{shard:06d}-{uuid.uuid4().hex}"
-        coder, doc_ids, lengths, out = _encoder(tokenizer), [], [], None
+        coder, done, out = _encoder(tokenizer), [], None
         end = coder.pack([end_id])
+
+        def close():
+            out.close()
+            offsets = np.concatenate([[0], np.cumsum(lengths)]).astype("<i8")
+            with files.open_output_stream(f"{root}/{name}.idx.tmp") as idx:
+                # the smallest 64-bit number stands for a null id
+                idx.write(np.array([-2**63 if i is None else i for i in doc_ids], dtype="<i8").tobytes())
+                idx.write(offsets.tobytes())
+            for kind in ("bin", "idx"):
+                files.move(f"{root}/{name}.{kind}.tmp", f"{root}/{name}.{kind}")
+            done.append((shard, len(done), name, len(lengths), int(offsets[-1]), coder.width))
+
         for batch in batches:
             for ids, texts in _batches(batch):
-                if out is None:
-                    files.create_dir(root, recursive=True)
-                    out = files.open_output_stream(f"{root}/{name}.bin.tmp")
                 for i, b in zip(ids, coder.encode(texts)):
-                    out.write(b)
-                    out.write(end)
+                    if out is None:
+                        name, doc_ids, lengths, size = f"{shard:06d}-{uuid.uuid4().hex}", [], [], 0
+                        files.create_dir(root, recursive=True)
+                        out = files.open_output_stream(f"{root}/{name}.bin.tmp")
+                    out.write(b + end)
                     doc_ids.append(i)
                     lengths.append(len(b) // coder.width + 1)
-        if out is None:
-            return
-        out.close()
-        offsets = np.concatenate([[0], np.cumsum(lengths)]).astype("<i8")
-        with files.open_output_stream(f"{root}/{name}.idx.tmp") as idx:
-            # the smallest 64-bit number stands for a null id
-            idx.write(np.array([-2**63 if i is None else i for i in doc_ids], dtype="<i8").tobytes())
-            idx.write(offsets.tobytes())
-        for kind in ("bin", "idx"):
-            files.move(f"{root}/{name}.{kind}.tmp", f"{root}/{name}.{kind}")
-        yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "file": [name],
-                                          "documents": [len(lengths)], "ids": [int(offsets[-1])],
-                                          "id_bytes": pa.array([coder.width], pa.int32())})
+                    size += len(b) + 64
+                    if size >= roll_bytes:
+                        close()
+                        out = None
+        if out is not None:
+            close()
+        if done:
+            kinds = (pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*done), kinds)],
+                                             names=["shard", "part", "file", "documents", "ids", "id_bytes"])
 
     manifest = staged(ranged.mapInArrow(write, MANIFEST), "token-manifest")
     # one row per shard
     return manifest.withColumn("base", F.coalesce(F.sum("ids").over(
-        Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long"))
+        Window.orderBy("shard", "part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long"))
 
 
 def read_tokens(manifest: DataFrame, path: str) -> DataFrame:
@@ -174,5 +211,6 @@ def read_tokens(manifest: DataFrame, path: str) -> DataFrame:
                         "n_tokens": pa.array(np.diff(offsets[lo:hi + 1]), pa.int64()),
                         "ids_crc32": pa.array(crc, pa.int64())})
 
-    spread = manifest.repartition(F.col("shard"))
+    # a task for each shard: a number that is asked for is not coalesced
+    spread = manifest.repartitionByRange(max(1, manifest.count()), "shard", "part")
     return spread.mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
