@@ -36,6 +36,8 @@ from claimlens.llm.common import staged
 MANIFEST = "file string, records long, compressed_bytes long"
 RECORDS = "page_id long, url string, record_type string, refers_to long, payload_digest string, payload_bytes long, payload binary"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: Compressed bytes given to the decompressor at once.
+STEP = 16 << 10
 _SPACE = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")
 
 
@@ -72,13 +74,13 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
     fewer than ``revisit_from`` bytes are always responses.
 
     Payloads move once, to the range partition of their id. Which records are revisits is found on
-    narrow rows: groups are pre-aggregated, one row per digest and task, and a hot digest in the
-    join is split by AQE as only one row is on its other side."""
+    narrow rows: groups are pre-aggregated, one row per digest and task, and staged, so that the join with them
+    has an exchange on either side and a hot digest can be split there."""
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"),
                         F.encode(F.coalesce(F.col(payload_col), F.lit("")), "UTF-8").alias("payload"))
     rows = rows.withColumn("sha1", F.unhex(F.sha1("payload"))).withColumn("n", F.length("payload"))
-    groups = (rows.where(F.col("n") >= revisit_from).groupBy("sha1", "n")
-              .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"))
+    groups = staged(rows.where(F.col("n") >= revisit_from).groupBy("sha1", "n")
+                    .agg(F.min("page_id").alias("first"), F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"), "payload-groups")
     # Narrow rows say which records revisit which page; they travel with the records of their id.
     told = (rows.select("page_id", "sha1", "n").join(groups, ["sha1", "n"])
             .where(F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first"))).select("page_id", "sha1", "first").distinct())
@@ -130,16 +132,18 @@ def write_warc(pages: DataFrame, path: str, id_col: str = "page_id", url_col: st
 
 def _members(stream, block: int = 1 << 20):
     """Contents of each gzip member of a stream."""
-    d, parts, rest = zlib.decompressobj(31), [], b""
+    d, parts, data, at = zlib.decompressobj(31), [], b"", 0
     while True:
-        data = rest or stream.read(block)
-        rest = b""
-        if not data:
-            break
-        parts.append(d.decompress(data))
+        if at >= len(data):
+            data, at = stream.read(block), 0
+            if not data:
+                break
+        step = data[at:at + STEP]  # what follows a member's end is copied, so it is kept short
+        parts.append(d.decompress(step))
+        at += len(step) - len(d.unused_data)
         if d.eof:
             yield b"".join(parts)
-            rest, d, parts = d.unused_data, zlib.decompressobj(31), []
+            d, parts = zlib.decompressobj(31), []
 
 
 def parse_record(record: bytes) -> tuple[dict, dict, bytes]:
@@ -187,4 +191,5 @@ def read_warc(manifest: DataFrame, path: str, verify: bool = True) -> DataFrame:
                 if rows:
                     yield batch_of(rows)
 
-    return manifest.select("file").repartition(F.col("file")).mapInArrow(read, RECORDS)
+    # a task for each file: a number that is asked for is not coalesced
+    return manifest.select("file").repartitionByRange(max(1, manifest.count()), "file").mapInArrow(read, RECORDS)
