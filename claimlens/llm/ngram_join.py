@@ -144,7 +144,7 @@ def matrix_rows(docs: DataFrame, id_col: str, text_col: str, width: int, percent
     rid = (F.col("chunk") * (1 << 20) + F.col("row")).alias("rid")
     key = F.struct(F.coalesce(F.col("doc_id"), F.lit(int(NO_ID))).alias("id"), F.col("chunk"), F.col("row"))
     first = every.groupBy("print").agg(F.min(key).alias("f")).select("print", (F.col("f.chunk") * (1 << 20) + F.col("f.row")).alias("class"))
-    members = staged(every.join(first, "print").select("doc_id", rid, "class"), "members")
+    members = staged(every.join(staged(first, "prints"), "print").select("doc_id", rid, "class"), "members")
     return staged(rows.select(rid, "size", "shared", "corner", "places", "grams"), "matrix"), members
 
 
@@ -227,6 +227,6 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     whole = members.join(rows, "class").withColumn("component", F.coalesce("component", "class"))
     # Documents without n-grams are one class of equal (empty) texts, but link with nothing.
     whole = staged(whole.withColumn("component", F.when(F.col("size") == 0, -F.col("rid") - 1).otherwise(F.col("component"))), "components")
-    first = whole.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "rid")).alias("f"))
+    first = staged(whole.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("null"), "doc_id", "rid")).alias("f")), "component-firsts")
     return whole.join(first, "component").select("doc_id", F.col("size").alias("n_shingles"), F.col("f.doc_id").alias("component_id"),
                                                  (F.col("rid") == F.col("f.rid")).alias("kept"))

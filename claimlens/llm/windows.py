@@ -156,7 +156,7 @@ def skip_messages(docs: DataFrame, later: bool) -> DataFrame:
     larger id than their smallest copy; else all but one row of each text."""
     row = F.struct(F.coalesce(F.col("doc_id"), F.lit(int(NO_ID))).alias("id"), F.col("chunk"), F.col("row"))
     first = docs.groupBy("print").agg(F.min(row).alias("first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    both = docs.join(first, "print")
+    both = docs.join(staged(first, "copied"), "print")  # staged, so that AQE can split a hot text
     other = row["id"] > F.col("first.id") if later else row != F.col("first")
     gone = both.where(other).groupBy("chunk").agg(F.sort_array(F.collect_list("row")).alias("rows"))
 
