@@ -3,8 +3,8 @@
 P1-P16, P18-P23, P45-P49, F1-F10, U1-U3, A19, A22. Scalars (medians, quantiles)
 come from a one-row aggregate attached with ``crossJoin(broadcast(...))`` — one
 row is a proven size bound — so every operator stays lazy and the plan keeps a
-single scan per barrier. Group statistics (P47) are joined without a hint: AQE
-broadcasts them only when the materialised table is under the threshold.
+single scan per barrier. Group statistics (P47, F5) are stored and joined without a hint: AQE
+broadcasts them only when the table is under the threshold, and splits hot keys otherwise.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from claimlens.functions import expr as X
 from claimlens.operators.quantiles import aggregate, median, quantile
+from claimlens.session import joinable
 
 
 def _present(df: DataFrame, cols: Iterable[str]) -> list[str]:
@@ -235,7 +236,7 @@ def impute_median(df: DataFrame, cols: Sequence[str], approx: bool | None = None
 def impute_group_median(df: DataFrame, col: str, by: str, approx: bool | None = None) -> DataFrame:
     """Fill ``col`` with the median of its ``by`` group
     (``groupby.transform('median')``). Null group keys get no fill."""
-    meds = aggregate(df, median(col, approx).alias("_grp_med"), by=[by]).where(F.col(by).isNotNull())
+    meds = joinable(aggregate(df, median(col, approx).alias("_grp_med"), by=[by]).where(F.col(by).isNotNull()))
     j = df.join(meds, on=by, how="left")
     return j.withColumn(col, F.coalesce(F.col(col), F.col("_grp_med"))).drop("_grp_med").select(*df.columns)
 
@@ -246,20 +247,35 @@ def winsorize_upper(df: DataFrame, col: str, q: float, *, population=None,
     computed it per 100k-row chunk). ``population`` (a Column predicate, e.g.
     ``TotalClaims > 0``) computes it over a sub-population so a zero-inflated
     column is not flattened; the flat variant is ``population=None``."""
-    src = df if population is None else df.where(population)
-    cap = aggregate(src, quantile(col, q, approx).alias("_cap"))
-    j = df.crossJoin(F.broadcast(cap))
-    return j.withColumn(col, X.clip(col, upper=F.col("_cap"))).drop("_cap")
+    return winsorize_columns(df, [(col, q, population)], approx=approx)
+
+
+def winsorize_columns(df: DataFrame, columns: Sequence[tuple], *, approx: bool | None = None) -> DataFrame:
+    """P49 for several (column, quantile, population) at once: all caps in one selection."""
+    value = lambda c, where: F.col(c) if where is None else F.when(where, F.col(c))
+    caps = aggregate(df, *[quantile(value(c, where), q, approx).alias(f"_cap{i}") for i, (c, q, where) in enumerate(columns)])
+    j = df.crossJoin(F.broadcast(caps))
+    return j.withColumns({c: X.clip(c, upper=F.col(f"_cap{i}")) for i, (c, _, _) in enumerate(columns)}).drop(*[f"_cap{i}" for i in range(len(columns))])
 
 
 def winsorize_report(df: DataFrame, col: str, q: float, *, population=None,
                      approx: bool | None = None) -> DataFrame:
     """P49 report: the cap, how many rows exceed it and their sum."""
-    src = df if population is None else df.where(population)
-    cap = aggregate(src, quantile(col, q, approx).alias("cap"))
-    return (df.crossJoin(F.broadcast(cap))
-              .agg(F.first("cap").alias("cap"), F.count_if(F.col(col) > F.col("cap")).alias("n_capped"),
-                   F.sum(F.when(F.col(col) > F.col("cap"), F.col(col))).alias("sum_capped")))
+    return winsorize_reports(df, [(col, q, population)], approx=approx).drop("column")
+
+
+def winsorize_reports(df: DataFrame, columns: Sequence[tuple], *, approx: bool | None = None) -> DataFrame:
+    """P49 report of several (column, quantile, population): one selection of the caps, one pass over the rows."""
+    value = lambda c, where: F.col(c) if where is None else F.when(where, F.col(c))
+    caps = aggregate(df, *[quantile(value(c, where), q, approx).alias(f"_cap{i}") for i, (c, q, where) in enumerate(columns)])
+    aggs = []
+    for i, (c, _, _) in enumerate(columns):
+        above = F.col(c) > F.col(f"_cap{i}")
+        aggs += [F.first(f"_cap{i}").alias(f"cap{i}"), F.count_if(above).alias(f"n{i}"), F.sum(F.when(above, F.col(c))).alias(f"s{i}")]
+    got = df.crossJoin(F.broadcast(caps)).agg(*aggs)
+    return got.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.col(f"cap{i}").alias("cap"), F.col(f"n{i}").alias("n_capped"), F.col(f"s{i}").cast("double").alias("sum_capped"))
+        for i, (c, _, _) in enumerate(columns)])).alias("r")).select("r.*")
 
 
 # ---------------------------------------------------------------- filters
@@ -300,10 +316,10 @@ def drop_null_rows(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 def min_group_size(df: DataFrame, by: str | Sequence[str], n: int) -> DataFrame:
     """Keep rows whose group has at least ``n`` rows (count then semi join).
-    The counts table has one row per group; the semi join is broadcast by AQE
-    only when that table is small."""
+    The counts table has one row per group; it is broadcast by AQE only when it is small, and a hot
+    group is split otherwise."""
     keys = [by] if isinstance(by, str) else list(by)
-    ok = df.groupBy(*keys).count().where(F.col("count") >= n).drop("count")
+    ok = joinable(df.groupBy(*keys).count().where(F.col("count") >= n).drop("count"))
     return df.join(ok, on=keys, how="left_semi")
 
 

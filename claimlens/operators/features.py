@@ -193,10 +193,13 @@ def add_model_features(df: DataFrame, stats: DataFrame,
     return d.drop(*stats.columns)
 
 
-def edge_bins(x, edges, labels: Sequence[str]):
+def edge_bins(x, edges, labels: Sequence[str], manual: Sequence[float] | None = None):
     """Right-closed bins on a data-dependent edge array (duplicates dropped,
-    lowest edge included); label i for the i-th interval; outside -> null."""
+    lowest edge included); label i for the i-th interval; outside -> null. ``manual``: edges to use instead
+    where dropping duplicates leaves fewer intervals than labels."""
     e = F.array_distinct(edges)
+    if manual is not None:
+        e = F.when(F.size(e) > len(labels), e).otherwise(F.array(*[F.lit(float(v)) for v in manual]))
     below = F.size(F.filter(e, lambda v: v < x))
     idx = F.when(x == F.element_at(e, 1), F.lit(1)).otherwise(below)
     lab = F.array(*[F.lit(s) for s in labels])
@@ -209,10 +212,29 @@ def edge_bins(x, edges, labels: Sequence[str]):
 SEVERITY_QUINTILES = ["VeryLow", "Low", "Medium", "High", "VeryHigh"]
 
 
+def equal_width_bin(x, low, high, bins: int):
+    """P41 fallback: ``pd.cut(x, bins, labels=False)``: right-closed intervals of equal width over the range, the
+    least value in the first one; a column of one value is in the middle. Null -> null."""
+    step = (high - low) / bins
+    inner = F.transform(F.sequence(F.lit(1), F.lit(bins - 1)), lambda i: low + i * step)
+    place = F.when(low == high, F.lit((bins - 1) // 2)).otherwise(F.size(F.filter(inner, lambda e: e < x)))
+    return F.when(x.isNotNull(), place).cast("long")
+
+
 def add_rank_bins(df: DataFrame, target: str, tie_keys: Sequence[str], *, q5_col: str = "ClaimSeverityQuintile",
-                  q10_col: str = "StratifyBin", unique: bool = True) -> DataFrame:
+                  q10_col: str = "StratifyBin", unique: bool = True, gaps: bool = False) -> DataFrame:
     """``pd.qcut(target.rank(method='first'), q)`` for q=5 (labels) and
-    q=10 (ids). The rank is the distributed row number over (target, tie keys)."""
+    q=10 (ids). The rank is the distributed row number over (target, tie keys). With ``gaps`` the target may
+    be null: such rows have no rank and no bin, and if there are any, the ids of all rows are bins of equal width
+    instead of rank bins."""
+    if gaps:
+        x = F.col(target).cast("double")
+        ranked = add_rank_bins(df.where(x.isNotNull()), target, tie_keys, q5_col=q5_col, q10_col=q10_col, unique=unique)
+        none = df.where(x.isNull()).withColumns({q5_col: F.lit(None).cast("string"), q10_col: F.lit(None).cast("long")})
+        range_ = df.agg(F.count_if(x.isNull()).alias("_gaps"), F.min(x).alias("_low"), F.max(x).alias("_high"))
+        both = ranked.unionByName(none).crossJoin(F.broadcast(range_))
+        return both.withColumn(q10_col, F.when(F.col("_gaps") > 0, equal_width_bin(x, F.col("_low"), F.col("_high"), 10)).otherwise(F.col(q10_col))) \
+            .drop("_gaps", "_low", "_high")
     r = R.row_number_global(df, [target, *tie_keys], out="_rank", unique=unique)
     lab = F.array(*[F.lit(s) for s in SEVERITY_QUINTILES])
     return (r.withColumn(q5_col, F.element_at(lab, (R.rank_quantile_bin("_rank", "n_group", 5) + 1).cast("int")))

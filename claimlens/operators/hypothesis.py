@@ -13,7 +13,7 @@ import math
 from collections.abc import Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 from pyspark.sql.types import DoubleType
@@ -22,6 +22,7 @@ from claimlens.functions import dist as D
 from claimlens.functions.expr import norm_ppf, threshold_label
 from claimlens.operators import ranking as R
 from claimlens.operators.quantiles import aggregate, median
+from claimlens.session import joinable
 
 RESULT_COLS = ["test_name", "test_type", "feature", "metric", "group_a", "group_b", "statistic", "dof",
                "p_value", "effect_size", "effect_label", "n_groups", "n_obs", "reject_null"]
@@ -100,6 +101,12 @@ def chi_square_k2(df: DataFrame, group: str, flag: str, *, min_count: int = 30,
     g = g.where(F.col("n") >= min_count)
     if top_k:
         g = g.orderBy(F.desc("n"), F.col(group)).limit(top_k)
+    return chi_square_from_groups(g, group, flag, test_name=test_name, alpha=alpha, yates=yates)
+
+
+def chi_square_from_groups(g: DataFrame, group: str, flag: str, *, test_name: str = "Claim Frequency Differences", alpha: float = 0.05,
+                           yates: bool = True) -> DataFrame:
+    """T1 from a table of groups with their rows ``n`` and flagged rows ``c``."""
     tot = g.agg(F.sum("n").alias("nn"), F.sum("c").alias("cc"), F.count(F.lit(1)).alias("k"))
     j = g.crossJoin(F.broadcast(tot))
     e1 = F.try_divide(F.col("n") * F.col("cc"), F.col("nn"))
@@ -126,7 +133,7 @@ def chi_square_k2(df: DataFrame, group: str, flag: str, *, min_count: int = 30,
 
 # ----------------------------------------------------------------- T2 / T5 / T9
 
-def _anova_from_groups(g: DataFrame, *, test_name: str, feature: str, metric: str, alpha: float,
+def anova_from_groups(g: DataFrame, *, test_name: str, feature: str, metric: str, alpha: float,
                        test_type: str = "One-way ANOVA", min_total: int = 0) -> DataFrame:
     """F and eta^2 from per-group (n, mean, var_samp)."""
     tot = g.agg(F.sum("n").alias("_tot_n"), F.count(F.lit(1)).alias("k"),
@@ -163,17 +170,17 @@ def anova(df: DataFrame, group: str, value: str, *, groups: DataFrame | None = N
         d = d.join(groups, group, "left_semi")
     g = (d.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("m"), F.var_samp(value).alias("v"))
           .where(F.col("n") >= min_per_group))
-    return _anova_from_groups(g, test_name=test_name, feature=group, metric=value, alpha=alpha, min_total=min_total)
+    return anova_from_groups(g, test_name=test_name, feature=group, metric=value, alpha=alpha, min_total=min_total)
 
 
 def levene(df: DataFrame, group: str, value: str, *, test_name: str = "Equal Variance (Levene)",
            alpha: float = 0.05) -> DataFrame:
     """Levene's test centred on group medians = ANOVA of |x - median(group)|."""
     d = df.where(F.col(group).isNotNull() & F.col(value).isNotNull())
-    meds = aggregate(d, median(value).alias("_med"), by=[group])
+    meds = joinable(aggregate(d, median(value).alias("_med"), by=[group]))
     z = d.join(meds, group).withColumn("_z", F.abs(F.col(value) - F.col("_med")))
     g = z.groupBy(group).agg(F.count(F.lit(1)).alias("n"), F.avg("_z").alias("m"), F.var_samp("_z").alias("v"))
-    return _anova_from_groups(g, test_name=test_name, feature=group, metric=value, alpha=alpha,
+    return anova_from_groups(g, test_name=test_name, feature=group, metric=value, alpha=alpha,
                               test_type="Levene Test")
 
 
@@ -240,13 +247,19 @@ def t_test(df: DataFrame, label: str, value: str, a: str, b: str, *, welch: bool
            test_name: str = "Two-group mean difference") -> DataFrame:
     """Student (pooled) or Welch t-test of ``value`` between groups a and b."""
     m = two_group_moments(df, label, value, a, b)
+    return t_test_from_moments(m, label, value, F.lit(a), F.lit(b), welch=welch, alpha=alpha, test_name=test_name)
+
+
+def t_test_from_moments(m: DataFrame, label, value, a, b, *, welch: bool = True, alpha: float = 0.05,
+                        test_name: str = "Two-group mean difference", extra: dict | None = None) -> DataFrame:
+    """T10 / T11 from rows of moments (n1, m1, v1, n2, m2, v2), one test a row; names may be columns."""
     t, dof = _t_cols(student=not welch)
     dd = cohens_d_cols()
     ok = (F.col("n1") >= 2) & (F.col("n2") >= 2) & t.isNotNull()
     res = _result(m, ok, test_name=test_name, test_type="Welch's t-test" if welch else "Independent t-test",
                   feature=label, metric=value, group_a=a, group_b=b, statistic=t, dof=dof,
                   p_value=p_value("t", t, dof, ok=ok), effect_size=dd, effect_label=threshold_label(F.abs(dd), D_CUTS, LABELS),
-                  n_groups=2, n_obs=F.col("n1") + F.col("n2"))
+                  n_groups=2, n_obs=F.col("n1") + F.col("n2"), extra=extra)
     return decide(res, alpha)
 
 
@@ -281,6 +294,12 @@ def two_by_two(df: DataFrame, label: str, flag: str, a: str, b: str, *, fisher_r
         F.sum(F.when(ib, f)).alias("b1"), F.count_if(ib).alias("nb"))
     m = m.select(F.coalesce("a1", F.lit(0.0)).alias("x11"), (F.col("na") - F.coalesce("a1", F.lit(0.0))).alias("x12"),
                  F.coalesce("b1", F.lit(0.0)).alias("x21"), (F.col("nb") - F.coalesce("b1", F.lit(0.0))).alias("x22"))
+    return two_by_two_from_counts(m, label, flag, F.lit(a), F.lit(b), fisher_rule=fisher_rule, alpha=alpha, min_rows=min_rows, test_name=test_name)
+
+
+def two_by_two_from_counts(m: DataFrame, label, flag, a, b, *, fisher_rule: str = "zero", alpha: float = 0.05, min_rows: int = 1,
+                           test_name: str = "Two-group proportion difference", extra: dict | None = None) -> DataFrame:
+    """T13 from rows of counts (x11, x12, x21, x22: flagged and other rows of either group), one test a row."""
     cells = [F.col(c) for c in ("x11", "x12", "x21", "x22")]
     n = cells[0] + cells[1] + cells[2] + cells[3]
     r1, r2, c1, c2 = cells[0] + cells[1], cells[2] + cells[3], cells[0] + cells[2], cells[1] + cells[3]
@@ -308,10 +327,66 @@ def two_by_two(df: DataFrame, label: str, flag: str, a: str, b: str, *, fisher_r
                   dof=F.when(~use_fisher, F.lit(1.0)), p_value=p, effect_size=v,
                   effect_label=threshold_label(v, V_CUTS, LABELS), n_groups=2, n_obs=n,
                   extra={"rate_a": F.col("_rate_a"), "rate_b": F.col("_rate_b"),
-                         "risk_ratio": F.try_divide(F.col("_rate_b"), F.col("_rate_a"))})
+                         "risk_ratio": F.try_divide(F.col("_rate_b"), F.col("_rate_a")), **(extra or {})})
     return decide(res, alpha)
 
 
+# ------------------------------------------------------- many tests from one melt
+
+def group_table(df: DataFrame, features: Sequence[str], metrics: dict) -> DataFrame:
+    """Sufficient statistics of many tests in one pass and one shuffle: a row becomes one (feature, group) pair for
+    each feature it has, and every group gets its rows ``n`` and, for each metric, ``n_/m_/v_/s_{metric}``: count, mean,
+    sample variance and sum. ``metrics``: name -> Column, null where a row has no part in the metric."""
+    x = {k: v.cast("double") for k, v in metrics.items()}
+    rows = df.select(*[F.nanvl(v, F.lit(None).cast("double")).alias(f"x_{k}") for k, v in x.items()],
+                     F.explode(F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).cast("string").alias("group")) for f in features])).alias("_f"))
+    rows = rows.select("_f.*", *[f"x_{k}" for k in x]).where("group IS NOT NULL")
+    return rows.groupBy("feature", "group").agg(F.count(F.lit(1)).alias("n"), *[
+        f(f"x_{k}").alias(f"{p}_{k}") for k in x for p, f in (("n", F.count), ("m", F.avg), ("v", F.var_samp), ("s", F.sum))])
+
+
+def two_group_batch(table: DataFrame, tests: Sequence[tuple], flags: Sequence[str] = (), groups: dict | None = None, *, min_rows: int = 0,
+                    fisher_rule: str = "zero", alpha: float = 0.05, test_name: str = "Two-group test") -> DataFrame:
+    """T11 / T13 / T15 for a list of (feature, metric): one row a test, from a :func:`group_table`. The groups are
+    the two largest of each feature (ties by name) or the pair that ``groups`` names; metrics in ``flags`` get the 2x2
+    test, others Welch's. ``decision`` is 'Insufficient Data' with fewer than ``min_rows`` rows on a side."""
+    metrics = sorted({m for _, m in tests})
+    given = {f: g for f, g in (groups or {}).items()}
+    place = F.lit(None).cast("int")
+    for f, (a, b) in given.items():
+        place = F.when((F.col("feature") == f) & (F.col("group") == a), 1).when((F.col("feature") == f) & (F.col("group") == b), 2).otherwise(place)
+    by = Window.partitionBy("feature").orderBy(F.desc("n"), "group")
+    # the two rows of a feature are found before the shuffle by its tasks
+    free = table.where(~F.col("feature").isin(list(given)) if given else F.lit(True)).withColumn("_at", F.row_number().over(by)).where("_at <= 2")
+    chosen = free if not given else free.unionByName(table.withColumn("_at", place).where("_at IS NOT NULL"))
+    one = lambda at, c: F.max(F.when(F.col("_at") == at, F.col(c)))
+    wide = chosen.groupBy("feature").agg(one(1, "group").alias("name_a"), one(2, "group").alias("name_b"), *[
+        one(at, f"{p}{m}" if p == "n" and not m else f"{p}_{m}").alias(f"{p}{at}_{m}") for at in (1, 2) for p, ms in (("n", ["", *metrics]), ("m", metrics), ("v", metrics), ("s", metrics)) for m in ms])
+    rows = wide.select("feature", "name_a", "name_b", F.coalesce("n1_", F.lit(0)).alias("na"), F.coalesce("n2_", F.lit(0)).alias("nb"), F.explode(F.array(*[
+        F.struct(F.lit(m).alias("metric"), *[F.col(f"{p}{at}_{m}").alias(f"{p}{at}") for at in (1, 2) for p in ("n", "m", "v", "s")]) for m in metrics])).alias("_m"))
+    rows = rows.select("feature", "name_a", "name_b", "na", "nb", "_m.*").withColumns({f"n{at}": F.coalesce(f"n{at}", F.lit(0)) for at in (1, 2)})
+    wanted = F.lit(False)
+    for f, m in tests:
+        wanted = wanted | ((F.col("feature") == f) & (F.col("metric") == m))
+    rows = rows.where(wanted)
+    sides, is_flag = {"na": F.col("na"), "nb": F.col("nb")}, F.col("metric").isin(list(flags))
+    num, flag = [m for _, m in tests if m not in flags], [m for _, m in tests if m in flags]
+    names = (F.col("feature"), F.col("metric"), F.col("name_a"), F.col("name_b"))
+    parts = []
+    if num:
+        parts.append(t_test_from_moments(rows.where(~is_flag), *names, alpha=alpha, test_name=test_name, extra=sides))
+    if flag:
+        s1, s2 = F.coalesce("s1", F.lit(0.0)), F.coalesce("s2", F.lit(0.0))
+        counts = rows.where(is_flag).withColumns({"x11": s1, "x12": F.col("n1") - s1, "x21": s2, "x22": F.col("n2") - s2})
+        parts.append(two_by_two_from_counts(counts, *names, fisher_rule=fisher_rule, alpha=alpha, test_name=test_name, extra=sides)
+                     .drop("rate_a", "rate_b", "risk_ratio"))
+    out = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    ok = (F.col("na") >= min_rows) & (F.col("nb") >= min_rows)
+    return out.withColumns({
+        "decision": F.when(~ok, "Insufficient Data").when(F.col("p_value") < alpha, "Reject H0").otherwise("Fail to Reject H0"),
+        "p_value": F.when(ok, F.col("p_value")), "reject_null": F.when(ok, F.col("reject_null"))}).drop("na", "nb")
+
+
 def mann_whitney(df: DataFrame, label: str, value: str, a: str, b: str, *, alpha: float = 0.05,
                  test_name: str = "Two-group distribution difference") -> DataFrame:
     """Mann-Whitney U (two-sided, tie + continuity corrected). Ranks are

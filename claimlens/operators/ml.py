@@ -16,7 +16,6 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomF
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor)
-from pyspark.ml.stat import Correlation
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -132,36 +131,45 @@ def cardinalities(df: DataFrame, cols: Sequence[str]) -> dict:
 
 def spearman_select(df: DataFrame, features: Sequence[str], target: str, threshold: float = 0.05) -> list[str]:
     """M6: keep features with |Spearman rho| > threshold against the target, among
-    columns that are fully non-null, finite and non-constant; fall back to all.
-    MLlib's Spearman correlation ranks each column with a distributed sort."""
+    columns that are fully non-null, finite and non-constant; fall back to all."""
     num = [c for c in features if isinstance(df.schema[c].dataType, T.NumericType)]
     st = df.agg(*[F.count_if(F.col(c).isNull() | F.isnan(F.col(c).cast("double"))).alias(f"n_{i}") for i, c in enumerate(num)],
                 *[F.stddev_samp(c).alias(f"s_{i}") for i, c in enumerate(num)]).first()
     ok = [c for i, c in enumerate(num) if st[f"n_{i}"] == 0 and (st[f"s_{i}"] or 0) > 0]
     if not ok:
         return list(features)
-    vec = VectorAssembler(inputCols=ok + [target], outputCol="_v").transform(df.select(*ok, target))
-    m = Correlation.corr(vec, "_v", "spearman").first()[0].toArray()
-    k = len(ok)
-    keep = [c for i, c in enumerate(ok) if abs(m[i][k]) > threshold]
+    rho = {r["feature"]: r["spearman_rho"] for r in spearman_table(df, ok, target).collect()}  # one row per feature
+    keep = [c for c in ok if rho.get(c) is not None and abs(rho[c]) > threshold]
     return keep or list(features)
 
 
 def spearman_table(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
-    """W3 / M6 as a DataFrame: Spearman rho = Pearson r of average ranks, ranks from
-    the distributed prefix sum (one value-rank table per column)."""
-    parts = []
-    base = df.where(F.col(target).isNotNull())
-    for f in features:
-        d = base.where(F.col(f).isNotNull()).select(f, target)
-        d = R.with_avg_rank(d, f, out="_rf")
-        d = R.with_avg_rank(d, target, out="_rt")
-        parts.append(d.agg(F.lit(f).alias("feature"), F.corr("_rf", "_rt").alias("spearman_rho"),
-                           F.count(F.lit(1)).alias("n")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """W3 / M6 as a DataFrame: Spearman rho = Pearson r of average ranks, over the rows where both
+    are present. All columns are ranked in one pass: a row becomes one (feature, value,
+    target) pair for each feature it has; both sides of all pairs are melted to (feature, side, value), and one
+    range sort ranks them within (feature, side). Equal pairs are counted first, so a hot value is few rows."""
+    features = list(features)
+    x = lambda c: F.col(c).cast("double")
+    pairs = df.where(F.col(target).isNotNull()).select(F.explode(F.array(*[
+        F.struct(F.lit(i).alias("f"), x(c).alias("a"), x(target).alias("b")) for i, c in enumerate(features)])).alias("p")).select("p.*").where("a IS NOT NULL")
+    pairs = materialize(pairs.groupBy("f", "a", "b").agg(F.count(F.lit(1)).alias("n")))
+    sides = pairs.select("f", "n", F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("a").alias("v")),
+                                                     F.struct(F.lit(1).alias("side"), F.col("b").alias("v")))).alias("s")).select("f", "s.side", "s.v", "n")
+    weights = sides.groupBy("f", "side", "v").agg(F.sum("n").alias("_w"))
+    ranks = R.prefix_weights(weights, ["f", "side"], ["v"], "_w").select(
+        "f", "side", "v", (F.col("_before") + (F.col("_w") + 1) / 2.0).alias("rank"))
+    ranks = materialize(ranks)
+    of = lambda side, v, out: ranks.where(F.col("side") == side).select("f", F.col("v").alias(v), F.col("rank").alias(out))
+    both = pairs.join(of(0, "a", "ra"), ["f", "a"]).join(of(1, "b", "rb"), ["f", "b"])
+    n, ra, rb = F.col("n").cast("double"), F.col("ra"), F.col("rb")
+    # the mean rank of n values is (n + 1) / 2 on either side, so the sums are centred
+    count = pairs.groupBy("f").agg(F.sum("n").alias("rows"))
+    both = both.join(F.broadcast(count), "f")
+    mid = (F.col("rows") + 1) / 2.0
+    sums = both.groupBy("f").agg(F.sum(n * (ra - mid) * (rb - mid)).alias("sab"), F.sum(n * (ra - mid) ** 2).alias("saa"),
+                                 F.sum(n * (rb - mid) ** 2).alias("sbb"), F.max("rows").alias("n"))
+    name = F.element_at(F.array(*[F.lit(c) for c in features]), (F.col("f") + 1).cast("int"))
+    return sums.select(name.alias("feature"), F.try_divide(F.col("sab"), F.sqrt(F.col("saa") * F.col("sbb"))).alias("spearman_rho"), "n")
 
 
 def variance_select(df: DataFrame, features: Sequence[str], threshold: float = 0.01) -> list[str]:
@@ -189,31 +197,56 @@ def stratified_split(df: DataFrame, stratum: str, test_fraction: float = 0.2, se
 # --------------------------------------------------------------- models M9-M13
 
 def regressors(label: str = "label", features: str = "features", seed: int = 42, trees: int = 200,
-               rounds: int = 200, depth: int = 5) -> dict:
+               rounds: int = 200, depth: int = 5, check_col: str | None = None) -> dict:
     """The nine severity models of the comparison. Boosted trees of different depth and
-    subsampling stand where the reference run used external boosting libraries."""
+    subsampling stand where the reference run used external boosting libraries. ``check_col``: a boolean
+    column of rows that boosting does not learn from; it stops at the first round, of ``rounds`` at most, that does
+    not lower their error."""
     kw = {"labelCol": label, "featuresCol": features}
+    stop = {"validationIndicatorCol": check_col, "validationTol": 0.0} if check_col else {}
     return {
         "LinearRegression": LinearRegression(regParam=0.0, **kw),
         "Ridge": LinearRegression(regParam=1.0, elasticNetParam=0.0, **kw),
         "Lasso": LinearRegression(regParam=0.1, elasticNetParam=1.0, **kw),
         "ElasticNet": LinearRegression(regParam=0.1, elasticNetParam=0.5, **kw),
         "RandomForest": RandomForestRegressor(numTrees=trees, maxDepth=depth, seed=seed, **kw),
-        "GradientBoosting": GBTRegressor(maxIter=rounds, stepSize=0.05, maxDepth=depth, seed=seed, **kw),
+        "GradientBoosting": GBTRegressor(maxIter=rounds, stepSize=0.05, maxDepth=depth, seed=seed, **kw, **stop),
         "DecisionTree": DecisionTreeRegressor(maxDepth=depth, seed=seed, **kw),
-        "GradientBoostingDeep": GBTRegressor(maxIter=rounds, stepSize=0.05, maxDepth=depth + 1, seed=seed, **kw),
-        "GradientBoostingSampled": GBTRegressor(maxIter=rounds, stepSize=0.05, maxDepth=depth, subsamplingRate=0.8, seed=seed, **kw),
+        "GradientBoostingDeep": GBTRegressor(maxIter=rounds, stepSize=0.05, maxDepth=depth + 1, seed=seed, **kw, **stop),
+        "GradientBoostingSampled": GBTRegressor(maxIter=rounds, stepSize=0.05, maxDepth=depth, subsamplingRate=0.8, seed=seed, **kw, **stop),
     }
 
 
+def checked_rows(df: DataFrame, share: float = 0.1, seed: int = 42, out: str = "_check") -> DataFrame:
+    """A boolean column that holds back about ``share`` of the rows by a seeded hash of the features and labels."""
+    h = F.pmod(F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in df.columns]), F.lit(1000))
+    return df.withColumn(out, h < int(1000 * share))
+
+
+def search_grids(label: str = "label", features: str = "features", seed: int = 42, trees: int = 200, rounds: int = 200,
+                 check_col: str | None = None) -> dict[str, dict]:
+    """The grid of each tree model: parameters by name -> estimator."""
+    def of(name, **params):
+        def make():
+            est = regressors(label, features, seed, trees, rounds, check_col=check_col)[name]
+            return est.copy({est.getParam(k): v for k, v in params.items()})
+        return json.dumps(params), make
+    boosted = [dict(maxDepth=d, stepSize=s) for d in (3, 5) for s in (0.05, 0.1)]
+    grids = {"RandomForest": [dict(maxDepth=d) for d in (3, 5, 8)],
+             "DecisionTree": [dict(maxDepth=d, minInstancesPerNode=m) for d in (3, 5, 8) for m in (1, 20)],
+             "GradientBoosting": boosted, "GradientBoostingDeep": boosted, "GradientBoostingSampled": boosted}
+    return {name: dict(of(name, **p) for p in grid) for name, grid in grids.items()}
+
+
 def classifiers(label: str = "label", features: str = "features", seed: int = 42, trees: int = 200,
-                rounds: int = 200, depth: int = 5) -> dict:
-    """Claim-probability classifiers."""
+                rounds: int = 200, depth: int = 5, check_col: str | None = None) -> dict:
+    """Claim-probability classifiers; ``check_col`` as for the regressors."""
     kw = {"labelCol": label, "featuresCol": features}
+    stop = {"validationIndicatorCol": check_col, "validationTol": 0.0} if check_col else {}
     return {
         "LogisticRegression": LogisticRegression(maxIter=2000, **kw),
         "RandomForest": RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, **kw),
-        "GradientBoosting": GBTClassifier(maxIter=rounds, stepSize=0.05, maxDepth=depth, seed=seed, **kw),
+        "GradientBoosting": GBTClassifier(maxIter=rounds, stepSize=0.05, maxDepth=depth, seed=seed, **kw, **stop),
     }
 
 
@@ -360,6 +393,6 @@ def frequency_severity(train: DataFrame, num_cols: Sequence[str], cat_cols: Sequ
 
 __all__ = ["build_preprocessor", "Imputer", "fit_imputer", "save_model", "load_model", "metric_columns", "feature_names", "cardinalities", "spearman_select",
            "spearman_table", "variance_select", "stratified_split", "regressors", "classifiers",
-           "regression_metrics", "classification_metrics", "positive_probability", "cross_validate", "lasso_grid",
+           "checked_rows", "search_grids", "regression_metrics", "classification_metrics", "positive_probability", "cross_validate", "lasso_grid",
            "feature_importance", "linear_attribution", "permutation_importance", "frequency_severity",
            "median", "PipelineModel"]

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimlens.operators.quantiles import aggregate, quantile
+from claimlens.session import joinable
 
 
 def _q(c: str):
@@ -234,32 +235,26 @@ def density_2d(df: DataFrame, x: str, y: str, bins: int = 50) -> DataFrame:
 
 def box_stats(df: DataFrame, cols: Sequence[str], by: str | None = None, approx: bool | None = None) -> DataFrame:
     """Quartiles, IQR, whiskers (most extreme values inside 1.5 IQR) and
-    outlier count per column (optionally per group); constant columns skipped."""
-    parts = []
-    for c in cols:
-        base = df.where(F.col(c).isNotNull())
-        keys = [by] if by else []
-        if by:
-            base = base.where(F.col(by).isNotNull())
-        q = aggregate(base, quantile(c, [0.25, 0.5, 0.75], approx).alias("_q"), F.min(c).alias("_mn"),
-                      F.max(c).alias("_mx"), by=keys)
-        q = q.select(*keys, F.element_at("_q", 1).alias("q1"), F.element_at("_q", 2).alias("median"),
-                     F.element_at("_q", 3).alias("q3"), "_mn", "_mx")
-        j = base.join(q, keys, "left") if keys else base.crossJoin(F.broadcast(q))
-        lo = F.col("q1") - 1.5 * (F.col("q3") - F.col("q1"))
-        hi = F.col("q3") + 1.5 * (F.col("q3") - F.col("q1"))
-        g = (j.groupBy(*keys, "q1", "median", "q3", "_mn", "_mx")
-              .agg(F.min(F.when(F.col(c) >= lo, F.col(c))).alias("whisker_low"),
-                   F.max(F.when(F.col(c) <= hi, F.col(c))).alias("whisker_high"),
-                   F.count_if((F.col(c) < lo) | (F.col(c) > hi)).alias("n_outliers"))
-              .where(F.col("_mx") > F.col("_mn"))
-              .select(F.lit(c).alias("column"), *keys, "q1", "median", "q3", (F.col("q3") - F.col("q1")).alias("iqr"),
-                      "whisker_low", "whisker_high", "n_outliers"))
-        parts.append(g)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    outlier count per column (optionally per group); constant columns skipped. All columns share one
+    selection of the quartiles and one pass for the rest."""
+    cols, keys = list(cols), [by] if by else []
+    base = df.where(F.col(by).isNotNull()) if by else df
+    q = aggregate(base, *[quantile(c, [0.25, 0.5, 0.75], approx).alias(f"_q{i}") for i, c in enumerate(cols)], by=keys)
+    j = base.join(joinable(q), keys, "left") if keys else base.crossJoin(F.broadcast(q))
+    aggs = []
+    for i, c in enumerate(cols):
+        x, q1, q3 = F.col(c), F.element_at(f"_q{i}", 1), F.element_at(f"_q{i}", 3)
+        lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
+        aggs += [F.first(f"_q{i}", ignorenulls=True).alias(f"q{i}"), F.min(x).alias(f"mn{i}"), F.max(x).alias(f"mx{i}"),
+                 F.min(F.when(x >= lo, x)).alias(f"wl{i}"), F.max(F.when(x <= hi, x)).alias(f"wh{i}"), F.count_if((x < lo) | (x > hi)).alias(f"n{i}")]
+    got = j.groupBy(*keys).agg(*aggs) if keys else j.agg(*aggs)
+    d = lambda c: c.cast("double")
+    rows = got.select(*keys, F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column"), F.element_at(f"q{i}", 1).alias("q1"), F.element_at(f"q{i}", 2).alias("median"), F.element_at(f"q{i}", 3).alias("q3"),
+                 d(F.col(f"wl{i}")).alias("whisker_low"), d(F.col(f"wh{i}")).alias("whisker_high"), F.col(f"n{i}").alias("n_outliers"),
+                 d(F.col(f"mn{i}")).alias("_mn"), d(F.col(f"mx{i}")).alias("_mx")) for i, c in enumerate(cols)])).alias("r"))
+    return rows.select(*keys, "r.*").where("_mx > _mn").select("column", *keys, "q1", "median", "q3", (F.col("q3") - F.col("q1")).alias("iqr"),
+                                                              "whisker_low", "whisker_high", "n_outliers")
 
 
 def iqr_outliers(df: DataFrame, cols: Sequence[str], k: float = 1.5, approx: bool | None = None) -> DataFrame:

@@ -27,10 +27,8 @@ def process(df: DataFrame, *, typed: bool = False, claims_filter: str = "none",
     d = C.repair_rules(d, current_year=current_year)
     if checkpoint:
         d = materialize(d)
-    for col, q in WINSOR:
-        if col in d.columns:
-            pop = (F.col(col) > 0) if (population_winsorize and col == "TotalClaims") else None
-            d = C.winsorize_upper(d, col, q, population=pop)
+    d = C.winsorize_columns(d, [(c, q, (F.col(c) > 0) if population_winsorize and c == "TotalClaims" else None)
+                                for c, q in WINSOR if c in d.columns])
     if "SumInsured" in d.columns and "CoverType" in d.columns:
         d = C.impute_group_median(d, "SumInsured", "CoverType")
     d = C.impute_median(d, [c for c in ("cubiccapacity", "kilowatts", "NumberOfDoors", "Cylinders") if c in d.columns])
@@ -56,9 +54,8 @@ def repair_log(typed: DataFrame, current_year: int = 2026) -> DataFrame:
     fixed = C.repair_counts(typed, current_year=current_year)
     d = C.repair_rules(typed, current_year=current_year)
     out = fixed.select("rule", F.col("n_rows").cast("long").alias("n_rows"))
-    for col, q in WINSOR:
-        if col in d.columns:
-            out = out.unionByName(C.winsorize_report(d, col, q).select(F.lit(f"winsorized_{col}").alias("rule"), F.col("n_capped").cast("long").alias("n_rows")))
+    capped = C.winsorize_reports(d, [(c, q, None) for c, q in WINSOR if c in d.columns])
+    out = out.unionByName(capped.select(F.concat(F.lit("winsorized_"), "column").alias("rule"), F.col("n_capped").cast("long").alias("n_rows")))
     gaps = [c for c in IMPUTED if c in d.columns]
     counts = d.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in gaps])
     parts = ", ".join(f"'imputed_{c}', `{c}`" for c in gaps)

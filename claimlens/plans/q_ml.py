@@ -3,15 +3,18 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from claimlens.operators import clean as C
+from claimlens.operators import crossval as CV
 from claimlens.operators import features as FE
 from claimlens.operators import ml as M
 from claimlens.operators import pricing as PR
+from claimlens.operators.quantiles import aggregate, quantile
 from claimlens.plans import modelling as MO
 from claimlens.plans.registry import finish, query
 from claimlens.session import scratch_path
@@ -38,6 +41,36 @@ def p41_w1_rank_quantile_bins(spark, sf):
     return finish(b.select("PolicyID", "CoverSeq", "TotalClaims", "ClaimSeverityQuintile", "StratifyBin"), {"TotalClaims": 4})
 
 
+@query("p41_equal_width_fallback", CTEK + f""", r AS (SELECT PolicyID, CoverSeq, kilowatts AS x, row_number() OVER (PARTITION BY kilowatts IS NULL ORDER BY kilowatts, {TIE_SQL}) AS rn FROM policy),
+m AS (SELECT min(x) AS lo, max(x) AS hi, count(x) AS n, count_if(x IS NULL) AS gaps FROM r)
+SELECT PolicyID, CoverSeq, CASE WHEN x IS NOT NULL THEN
+    ['VeryLow','Low','Medium','High','VeryHigh'][CAST(CASE WHEN rn <= 1 OR n <= 1 THEN 0 ELSE ((rn - 1) * 5 + (n - 2)) // (n - 1) - 1 END AS BIGINT) + 1] END AS quintile,
+  CAST(CASE WHEN x IS NULL THEN NULL WHEN gaps = 0 THEN (CASE WHEN rn <= 1 OR n <= 1 THEN 0 ELSE ((rn - 1) * 10 + (n - 2)) // (n - 1) - 1 END)
+    WHEN lo = hi THEN 4 ELSE len(list_filter(list_transform(range(1, 10), lambda i: lo + i * ((hi - lo) / 10)), lambda e: e < x)) END AS BIGINT) AS StratifyBin
+FROM r, m""")
+def p41_equal_width_fallback(spark, sf):
+    """Rank bins of a column with gaps: bins of equal width for the ids."""
+    d = _pol(spark, sf, keys=True).select("PolicyID", "CoverSeq", "kilowatts", *[t for t in TIES if t not in ("PolicyID", "CoverSeq")])
+    b = FE.add_rank_bins(d, "kilowatts", TIES, q5_col="quintile", gaps=True)
+    return finish(b.select("PolicyID", "CoverSeq", "quintile", "StratifyBin"))
+
+
+MANUAL_EDGES = [0.0, 1000.0, 5000.0, 20000.0, 50000.0, 1e9]
+
+
+@query("p40_manual_edges", CTE + f""", e AS (SELECT list_distinct(quantile_cont(TotalClaims, [0.0, 0.2, 0.4, 0.6, 0.8, 1.0])) AS d FROM policy),
+f AS (SELECT CASE WHEN len(d) > 5 THEN list_sort(d) ELSE {MANUAL_EDGES} END AS m FROM e)
+SELECT label, count(*) AS n, round(sum(TotalClaims), 2) AS claims FROM (SELECT TotalClaims, CASE WHEN TotalClaims IS NULL OR TotalClaims < m[1] OR TotalClaims > m[6] THEN NULL
+  WHEN TotalClaims <= m[2] THEN 'VeryLow' WHEN TotalClaims <= m[3] THEN 'Low' WHEN TotalClaims <= m[4] THEN 'Medium' WHEN TotalClaims <= m[5] THEN 'High' ELSE 'VeryHigh' END AS label
+  FROM policy, f) GROUP BY label""")
+def p40_manual_edges(spark, sf):
+    """Quantile edges of a column that is mostly 0 coincide, so that manual edges are used."""
+    d = _pol(spark, sf)
+    edges = aggregate(d, quantile("TotalClaims", [0.0, 0.2, 0.4, 0.6, 0.8, 1.0]).alias("_e"))
+    label = FE.edge_bins(F.col("TotalClaims"), F.col("_e"), ["VeryLow", "Low", "Medium", "High", "VeryHigh"], MANUAL_EDGES)
+    return finish(d.crossJoin(F.broadcast(edges)).groupBy(label.alias("label")).agg(F.count(F.lit(1)).alias("n"), F.sum("TotalClaims").alias("claims")), default=2)
+
+
 @query("p42_p44_target_transforms", CTE + """, t AS (SELECT PolicyID, CoverSeq, coalesce(TotalClaims, 0.0) AS y FROM policy),
 s AS (SELECT avg(y) AS mu, stddev_samp(y) AS sd, median(y) AS med, quantile_cont(y, 0.33) AS q1, quantile_cont(y, 0.66) AS q2,
   min(y) AS mn, max(y) AS mx FROM t)
@@ -222,25 +255,39 @@ def m13_m15_claim_classifiers(spark, sf):
     return MO.classification_run(_pol(spark, sf))
 
 
-CV_NUM = ["SumInsured", "CalculatedPremiumPerTerm", "TotalPremium", "kilowatts"]
-
-
 @query("m16_m17_cross_validation", None)
 def m16_m17_cross_validation(spark, sf):
-    """5-fold CV RMSE (mean and std over folds) of all nine severity models and the 3-fold lasso grid search."""
-    d = _pol(spark, sf, keys=True).where(F.col("TotalClaims") > 0)
-    d = M.fit_imputer(d, CV_NUM, []).apply(d).withColumn("label", F.log1p("TotalClaims"))
-    data = MO.stored_features(M.build_preprocessor(d, CV_NUM, []).fit(d).transform(d).select("features", "label"))
-    rows = []
-    for name, est in M.regressors("label").items():
-        cvm = M.cross_validate(est, data, "label", folds=5)
-        rows.append((name, 5, float(cvm.avgMetrics[0]), float(cvm.stdMetrics[0]) if cvm.stdMetrics else None, None))
-    lr = M.regressors("label")["Lasso"]
-    cvm = M.cross_validate(lr, data, "label", folds=3, grid=M.lasso_grid(lr))
-    best = min(range(len(cvm.avgMetrics)), key=lambda i: cvm.avgMetrics[i])
-    rows.append(("Lasso_tuned", 3, float(cvm.avgMetrics[best]), None,
-                 float(cvm.getEstimatorParamMaps()[best][lr.regParam])))
-    return spark.createDataFrame(rows, "model string, folds int, mean_rmse double, std_rmse double, best_reg_param double")
+    """5-fold RMSE (mean and std over folds) of all nine models on the features of the training split, and
+    the winner's own grid on 3 folds."""
+    return MO.cross_validation_run(_pol(spark, sf, keys=True), tie_keys=TIES)
+
+
+GRAM_SQL = CTE.replace("WITH ", "WITH RECURSIVE ", 1) + """, c AS (SELECT SumInsured AS x1, kilowatts AS x2, ln(1 + TotalClaims) AS y, PolicyID % 5 AS fold FROM policy WHERE TotalClaims > 0),
+k AS (SELECT DISTINCT fold AS k FROM c),
+med AS (SELECT k, median(x1) AS m1, median(x2) AS m2 FROM c, k WHERE fold <> k GROUP BY k),
+t AS (SELECT k, fold = k AS test, y, coalesce(x1, m1) AS x1, coalesce(x2, m2) AS x2 FROM c, med),
+s AS (SELECT k, avg(x1) AS a1, avg(x2) AS a2, avg(y) AS ay, stddev_samp(x1) AS d1, stddev_samp(x2) AS d2,
+  (count(*) - 1) / count(*) AS h, covar_pop(x1, x2) / (stddev_samp(x1) * stddev_samp(x2)) AS h12,
+  covar_pop(x1, y) / stddev_samp(x1) AS g1, covar_pop(x2, y) / stddev_samp(x2) AS g2 FROM t WHERE NOT test GROUP BY k),
+mo AS (SELECT * FROM (VALUES ('LinearRegression', 0.0, 0.0), ('Ridge', 1.0, 0.0), ('Lasso', 0.1, 1.0), ('ElasticNet', 0.1, 0.5)) AS v(model, pen, l1)),
+it AS (SELECT k, model, 0 AS i, 0.0::DOUBLE AS b1, 0.0::DOUBLE AS b2 FROM s, mo UNION ALL
+  SELECT k, model, i + 1, n1, sign(g2 - h12 * n1) * greatest(abs(g2 - h12 * n1) - pen * l1, 0) / (h + pen * (1 - l1)) FROM (
+    SELECT it.k, it.model, i, g2, h12, h, pen, l1, sign(g1 - h12 * b2) * greatest(abs(g1 - h12 * b2) - pen * l1, 0) / (h + pen * (1 - l1)) AS n1
+    FROM it JOIN s ON s.k = it.k JOIN mo ON mo.model = it.model WHERE i < 300)),
+e AS (SELECT it.model, t.k, sqrt(avg((y - ay - b1 * (x1 - a1) / d1 - b2 * (x2 - a2) / d2) ^ 2)) AS rmse
+  FROM it JOIN s ON s.k = it.k JOIN t ON t.k = it.k AND t.test WHERE i = 300 GROUP BY 1, 2)
+SELECT model, count(*) AS folds, round(avg(rmse), 6) AS mean_rmse, round(stddev_samp(rmse), 6) AS std_rmse FROM e GROUP BY model"""
+
+
+@query("m16_linear_folds", GRAM_SQL)
+def m16_linear_folds(spark, sf):
+    """The four linear models from per-fold Gram matrices: medians, scales and coefficients of each training
+    set, two columns with gaps; folds are PolicyID % 5. The SQL descends by coordinates in a recursive query."""
+    d = _pol(spark, sf).where(F.col("TotalClaims") > 0).select(
+        "SumInsured", "kilowatts", F.log1p("TotalClaims").alias("label"), (F.col("PolicyID") % 5).cast("int").alias("_fold"))
+    scores = CV.cross_validate_linear(CV.fold_grams(d, ["SumInsured", "kilowatts"], [], "label"))
+    rows = [(n, len(v), float(np.mean(v)), float(np.std(v, ddof=1))) for n, v in scores.items()]
+    return finish(spark.createDataFrame(rows, "model string, folds bigint, mean_rmse double, std_rmse double"))
 
 
 FOLD_SQL = CTE + """, c AS (SELECT ln(1 + SumInsured) AS x, ln(1 + TotalClaims) AS y, PolicyID % 5 AS fold FROM policy WHERE TotalClaims > 0 AND SumInsured IS NOT NULL),

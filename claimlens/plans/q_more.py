@@ -49,21 +49,21 @@ def s4_s9_split_table(spark, sf):
     return finish(back.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.sum("SumInsured").alias("sum_insured")), default=2)
 
 
-@query("s8_reproducible_sample", CTE + """SELECT PolicyID, CoverSeq, round(TotalClaims, 2) AS TotalClaims FROM policy WHERE TotalClaims > 0
+@query("s8_reproducible_sample", CTE + """SELECT PolicyID, CoverSeq, round(TotalClaims, 4) AS TotalClaims FROM policy WHERE TotalClaims > 0
 ORDER BY md5(PolicyID || '|' || CoverSeq) LIMIT 1000""")
 def s8_reproducible_sample(spark, sf):
     """The claim rows' sample of at most 1000, written and read back."""
     claims = policy_view(spark, sf).where(F.col("TotalClaims") > 0).select("PolicyID", "CoverSeq", "TotalClaims")
     path = IO.write_sample(claims, scratch_path(spark, "sample"), 1000, "parquet", ["PolicyID", "CoverSeq"])
-    return finish(spark.read.parquet(path), default=2)
+    return finish(spark.read.parquet(path), default=4)
 
 
-@query("s10_s14_head", CTE + """SELECT PolicyID, CoverSeq, round(TotalPremium, 2) AS TotalPremium FROM policy ORDER BY PolicyID, CoverSeq LIMIT 1000""")
+@query("s10_s14_head", CTE + """SELECT PolicyID, CoverSeq, round(TotalPremium, 4) AS TotalPremium FROM policy ORDER BY PolicyID, CoverSeq LIMIT 1000""")
 def s10_s14_head(spark, sf):
     """The first 1000 rows in key order, written and read back."""
     d = policy_view(spark, sf).select("PolicyID", "CoverSeq", "TotalPremium")
     path = IO.write_head(d, scratch_path(spark, "head"), ["PolicyID", "CoverSeq"])
-    return finish(IO.read_prepared_csv(spark, path, T.StructType.fromDDL("PolicyID long, CoverSeq long, TotalPremium double"), sep="|"), default=2)
+    return finish(IO.read_prepared_csv(spark, path, T.StructType.fromDDL("PolicyID long, CoverSeq long, TotalPremium double"), sep="|"), default=4)
 
 
 @query("s11_s12_report_sinks", CTE + """, k AS (SELECT Province, count(*) AS n, sum(TotalClaims) AS claims FROM policy GROUP BY Province)

@@ -338,6 +338,36 @@ def t17_balance_check(spark, sf):
     return finish(out.select("test_name", "statistic", "p_value", "reject_null", "all_clear"), {"statistic": 5})
 
 
+def _extremes_sql() -> str:
+    parts = ["z AS (SELECT ZipPrefix, count(*) AS n, avg(HasClaim) AS c, avg(Margin) AS m, avg(Margin / NULLIF(TotalPremium, 0)) AS p FROM risk WHERE ZipPrefix <> '' GROUP BY 1)",
+             "a AS (SELECT * FROM z WHERE n >= 50 ORDER BY n DESC, ZipPrefix LIMIT 20)", "b AS (SELECT * FROM z WHERE n >= 30 ORDER BY n DESC, ZipPrefix LIMIT 15)"]
+    rows = []
+    for test, metric, table, x in (("T4", "HasClaim", "a", "c"), ("T5", "Margin", "b", "m"), ("T5", "ProfitMarginPct", "b", "p")):
+        for side, order in (("high", "DESC"), ("low", "ASC")):
+            rows.append(f"SELECT * FROM (SELECT '{test}' AS test, '{metric}' AS metric, '{side}' AS side, row_number() OVER (ORDER BY {x} {order}, ZipPrefix) AS place, "
+                        f"ZipPrefix, n, round({x}, 6) AS mean FROM {table} WHERE {x} IS NOT NULL) WHERE place <= 5")
+    return RISK + ", " + ", ".join(parts) + " " + " UNION ALL ".join(rows)
+
+
+@query("t4_t5_zip_extremes", _extremes_sql())
+def t4_t5_zip_extremes(spark, sf):
+    """The five highest and lowest of the tested zip prefixes by claim frequency, margin and profit margin."""
+    return finish(B.zip_extremes(policy_view(spark, sf)))
+
+
+def _lists_sql() -> str:
+    tests = [(f, m) for f in ("Province", "CoverType", "Gender") for m in ("HasClaim", "Margin", "ClaimSeverity")]
+    found = [_battery_sql(100 + i, f, m) for i, (f, m) in enumerate(tests)]
+    return RISK + ", " + ", ".join(c for c, _ in found) + "\n" + "\nUNION ALL\n".join(r for _, r in found)
+
+
+@query("t15_test_lists", _lists_sql())
+def t15_test_lists(spark, sf):
+    """Three features with three metrics each, from one scan and two shuffles."""
+    return finish(B.two_group_tests(_risk(spark, sf), ["Province", "CoverType", "Gender"], ["HasClaim", "Margin", "ClaimSeverity"]), {"statistic": 5, "dof": 4})
+
+
+
 @query("t7_gender_severity_test", None)
 def t7_gender_severity_test(spark, sf):
     """Assumption-checked gender severity test (rows-only)."""

@@ -106,4 +106,14 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
-__all__ = ["get_session", "checkpoint_dir", "scratch_path", "ship_package", "materialize"]
+def joinable(groups):
+    """A table of one row per group, to be joined back on its key. It is written below
+    ``spark.checkpoint.dir`` and read again: joined directly, an aggregate keeps its partitioning, so that no exchange
+    stands on its side of the join, and AQE can't split a hot key there. (A checkpoint would keep it too.)"""
+    spark = groups.sparkSession
+    path = scratch_path(spark, "groups")
+    groups.write.parquet(path)
+    return spark.read.schema(groups.schema).parquet(path)
+
+
+__all__ = ["joinable", "get_session", "checkpoint_dir", "scratch_path", "ship_package", "materialize"]
