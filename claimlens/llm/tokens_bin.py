@@ -32,10 +32,12 @@ from claimlens.llm.common import staged
 MANIFEST = "shard int, part int, file string, documents long, ids long, id_bytes int"
 #: White space before a space inside a run: there a cut could change how the run is split.
 _RUN = re.compile(r"\s (?:\s|$)")
-_SPACE = re.compile(r"\s")
 #: Bytes of remembered pieces in a worker (text, ids and some 200 bytes for each), longest one, pieces encoded at once.
-CACHE_BYTES, LONGEST, AT_ONCE = 96 << 20, 64, 20_000
+CACHE_BYTES, LONGEST, AT_ONCE = 96 << 20, 64, 250
 _EACH = 200
+#: Stands for the first piece of a text, the only one without a space before it.
+_FIRST = None
+_MARKS = '!"#$%&()*+,-./:;<=>?@[\\]^_`{|}~'
 _caches: dict = {}
 
 
@@ -66,31 +68,49 @@ class Encoder:
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [self.pack(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
-        """Ids of new pieces, each with a space before it."""
-        odd = [p for p in pieces if not p or _SPACE.search(p)]
-        found = dict(zip(odd, self._whole([" " + p for p in odd])))
-        plain = [p for p in pieces if p not in found]
+    def _learn(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids of new pieces, each with a space before it, and of the words in them."""
+        found, plain, marked, ends = {}, [], [], set()
+        for p in pieces:
+            if p.isalpha():
+                plain.append(p)
+            elif not p or p[0].isspace():  # would make one run of white space with what ends the piece before
+                found[p] = self._whole([" " + p])[0]
+            else:
+                # The tokenizer parts letters from marks behind them, so a word with marks is a word, then marks.
+                w = p.rstrip(_MARKS)
+                if w.isalpha() and len(w) < len(p):
+                    marked.append((p, w))
+                    ends.add(p[len(w):])
+                else:
+                    plain.append(p)
+        known = self.known
+        plain += {w for _, w in marked if w not in known and w not in pieces}
         for lo in range(0, len(plain), AT_ONCE):
             part = plain[lo:lo + AT_ONCE]
             ids = np.array(self.tokenizer.encode_batch_fast([" " + " ".join(part)], add_special_tokens=False)[0].ids, f"<u{self.width}")
             cuts = (np.append(np.flatnonzero(self.opens[ids]), len(ids)) * self.width).tolist()
             packed = ids.tobytes()
-            found.update((p, packed[a:b]) for p, a, b in zip(part, cuts, cuts[1:]))
+            found.update(zip(part, [packed[a:b] for a, b in zip(cuts, cuts[1:])]))
+        marks = dict(zip(ends, self._whole(list(ends))))
+        for p, w in marked:
+            found[p] = (found[w] if w in found else known[w]) + marks[p[len(w):]]
         return found
 
     def _keep(self, found: dict[str, bytes]) -> None:
-        """Remember short pieces; drop the older half beyond the bound."""
-        small = {p: b for p, b in found.items() if len(p) <= LONGEST}
-        self.known.update(small)
-        self.held += sum(len(p) + len(b) + _EACH for p, b in small.items())
+        """Forget the long ones of new pieces; drop the older half beyond the bound."""
+        size = lambda some: sum(map(len, some)) + sum(map(len, some.values())) + _EACH * len(some)
+        large = {p: found[p] for p in found if len(p) > LONGEST}
+        for p in large:
+            del self.known[p]
+        self.held += size(found) - size(large)
         while self.held > self.cache_bytes and self.known:
-            for p in list(islice(self.known, max(1, len(self.known) // 2))):
-                self.held -= len(p) + len(self.known.pop(p)) + _EACH
+            old = {p: self.known.pop(p) for p in list(islice(self.known, max(1, len(self.known) // 2)))}
+            self.held -= size(old)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as bytes."""
-        out, spans, flat, firsts = [b""] * len(texts), [], [], []
+        out, split, firsts = [b""] * len(texts), [], []
         for i, text in enumerate(texts):
             if not text:
                 continue
@@ -99,15 +119,17 @@ class Encoder:
                 continue
             pieces = text.split(" ")
             firsts.append(pieces[0])
-            spans.append((i, len(flat), len(flat) + len(pieces) - 1))
-            flat += pieces[1:]
-        got = list(map(self.known.get, flat))
-        if None in got:
-            found = self._learn(list({p for p, g in zip(flat, got) if g is None}))
-            got = [found[p] if g is None else g for p, g in zip(flat, got)]
-            self._keep(found)
-        for (i, lo, hi), first in zip(spans, self._whole(firsts)):
-            out[i] = first + b"".join(got[lo:hi])
+            pieces[0] = _FIRST
+            split.append((i, pieces))
+        self.known[_FIRST] = b""
+        new = set().union(*[pieces for _, pieces in split]).difference(self.known)
+        found = self._learn(new) if new else {}
+        self.known.update(found)
+        ids = self.known.__getitem__
+        for (i, pieces), first in zip(split, self._whole(firsts)):
+            out[i] = first + b"".join(map(ids, pieces))
+        del self.known[_FIRST]
+        self._keep(found)
         return out
 
 
@@ -117,7 +139,7 @@ def _encoder(path: str) -> Encoder:
     return _caches[path]
 
 
-def _batches(batch: pa.RecordBatch, most: int = 4 << 20):
+def _batches(batch: pa.RecordBatch, most: int = 1 << 20):
     """Rows of a batch in lists of about ``most`` characters."""
     ids, texts, size = [], [], 0
     for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
