@@ -27,8 +27,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Texts are compared after lower-casing A-Z; of equal texts the row with the largest
     id stays. A hot group costs one pre-aggregated row per map task in the counting
-    step. The groups are staged before they are joined back: with an exchange on either side of the join,
-    and one row per group on one, AQE can split a hot group. Each round's survivors are a staged table."""
+    step. The groups are staged before they are joined back, and joined by a merge at every size: with an exchange
+    on either side and one row per group on one, AQE can split a hot group. Each round's survivors are a staged table."""
     raw = F.encode(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))), "UTF-8")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), raw.alias("_rest")).select(
         "doc_id", F.sha2("_rest", 256).alias("text_sha256"), F.lit(b"").alias("_group"), "_rest")
@@ -39,7 +39,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         rows = rows.withColumn("_block", F.substring("_rest", 1, width))
         groups = staged(rows.groupBy("_group", "_block").agg(
             F.count(F.lit(1)).alias("group_size"), F.max("doc_id").alias("keep_id")), "radix-groups")
-        split = rows.join(groups, ["_group", "_block"])
+        split = rows.join(groups.hint("merge"), ["_group", "_block"])
         ended = F.length("_block") < width
         split = split.select(
             "doc_id", "text_sha256", "_group", "_block", "group_size", "keep_id",
@@ -54,7 +54,7 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         rows = rows.select("doc_id", "text_sha256", "_group", "_block", "_rest",
                            F.monotonically_increasing_id().alias("_row"))
         names = staged(rows.groupBy("_group", "_block").agg(F.min("_row").alias("_name")), "radix-names")
-        rows = rows.join(names, ["_group", "_block"]).select(
+        rows = rows.join(names.hint("merge"), ["_group", "_block"]).select(
             "doc_id", "text_sha256", F.encode(F.col("_name").cast("string"), "UTF-8").alias("_group"), "_rest")
         width *= growth
     out = settled[0]
