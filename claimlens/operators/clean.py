@@ -376,11 +376,23 @@ def union_all(dfs: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
+def _repeated_rows(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows whose 128-bit fingerprint no other row has, and the others. Only fingerprints are shuffled to find
+    them (16 bytes a row, pre-combined), and only rows with a twin are compared whole."""
+    every = [F.col(f"`{c}`") for c in df.columns]
+    prints = df.withColumns({"_print_a": F.xxhash64(F.lit(1), *every), "_print_b": F.xxhash64(F.lit(2), *every)})
+    twins = joinable(prints.groupBy("_print_a", "_print_b").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").drop("_n"))
+    keys = ["_print_a", "_print_b"]
+    return (prints.join(twins, keys, "left_anti").select(*every), prints.join(twins, keys, "left_semi").select(*every))
+
+
 def dedupe(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     """Drop exact duplicate rows (or duplicates on ``subset``; the kept row is
-    then the one with the smallest full-row order, so the result is deterministic)."""
+    then the one with the smallest full-row order, so the result is deterministic). Nulls equal nulls and NaN
+    equals NaN."""
     if subset is None:
-        return df.dropDuplicates()
+        single, twins = _repeated_rows(df)
+        return single.unionByName(twins.dropDuplicates())
     rest = [c for c in df.columns if c not in subset]
     # min over a struct is an ordinary aggregate with a map-side partial step, so a
     # key holding a third of the rows is reduced on every executor before the shuffle.
@@ -390,14 +402,15 @@ def dedupe(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
 
 def duplicate_stats(df: DataFrame, key: str = "PolicyID") -> DataFrame:
     """Duplicate full rows (count and %, rows beyond the first copy) and rows
-    that share ``key`` with another row. Two grouped aggregates, both pre-combined
-    map-side so a hot group of copies collapses before the shuffle."""
-    full = (df.groupBy(*df.columns).count()
-              .agg(F.sum(F.col("count") - 1).alias("duplicate_rows"), F.sum("count").alias("n_rows")))
-    by_key = (df.groupBy(key).count()
-                .agg(F.sum(F.when(F.col("count") > 1, F.col("count")).otherwise(0)).alias("rows_sharing_key")))
+    that share ``key`` with another row. Whole rows are compared only where fingerprints repeat; all
+    aggregates are pre-combined map-side, so a hot group of copies collapses before the shuffle."""
+    _, twins = _repeated_rows(df)
+    full = (twins.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
+            .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows")))
+    by_key = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+                .agg(F.coalesce(F.sum(F.when(F.col("_n") > 1, F.col("_n")).otherwise(0)), F.lit(0)).alias("rows_sharing_key"), F.sum("_n").alias("n_rows")))
     return (full.crossJoin(by_key)
-                .withColumn("duplicate_pct", F.col("duplicate_rows") * 100.0 / F.col("n_rows")))
+                .withColumn("duplicate_pct", F.try_divide(F.col("duplicate_rows") * 100.0, F.col("n_rows"))))
 
 
 def align_columns(df: DataFrame, columns: Sequence[str], defaults: dict | None = None,

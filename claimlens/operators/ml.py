@@ -8,13 +8,14 @@ writer (S13).
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor)
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
@@ -32,22 +33,27 @@ def build_preprocessor(df: DataFrame, num_cols: Sequence[str], cat_cols: Sequenc
                        max_onehot: int = 10, drop_first: bool = True, scale: bool = True,
                        cardinality: dict | None = None) -> Pipeline:
     """M1-M4: numeric -> assembled and standardised (mean and sample std);
-    categorical with <= ``max_onehot`` categories -> index + one-hot (drop-last, or all
-    categories with ``drop_first=False``; unknowns kept in their own slot), above it ->
+    categorical with <= ``max_onehot`` categories -> a 0/1 column for each category in alphabetical order, the first one
+    dropped (all with ``drop_first=False``), so that an unseen value or a gap is all zeros; above it ->
     alphabetical ordinal index, unseen values -1. ``cardinality`` must hold the exact distinct
     counts of ``df`` (:func:`cardinalities`). Imputation is done before by a fitted
     :class:`Imputer` because MLlib's Imputer median is approximate."""
     cardinality = cardinality or {}
     stages, inputs = [], []
+    few = [c for c in cat_cols if cardinality.get(c, 0) <= max_onehot]
+    seen = df.agg(*[F.sort_array(F.collect_set(F.col(f"`{c}`").cast("string"))).alias(f"c{i}") for i, c in enumerate(few)]).first() if few else ()
+    categories = dict(zip(few, seen))  # at most max_onehot values each
     for c in cat_cols:
-        onehot = cardinality.get(c, 0) <= max_onehot
-        stages.append(StringIndexer(inputCol=c, outputCol=f"{c}__idx" if onehot else f"{c}__raw", handleInvalid="keep",
-                                    stringOrderType="alphabetAsc"))
-        if onehot:
-            stages.append(OneHotEncoder(inputCols=[f"{c}__idx"], outputCols=[f"{c}__ohe"], dropLast=drop_first,
-                                        handleInvalid="keep"))
-            inputs.append(f"{c}__ohe")
+        if c in categories:
+            kept = categories[c][1:] if drop_first else categories[c]
+            names = [re.sub(r"\W", "_", f"{c}_{v}") for v in kept]
+            names = [n if names.count(n) == 1 else f"{n}_{i}" for i, n in enumerate(names)]
+            quoted = [v.replace("\\", "\\\\").replace("'", "\\'") for v in kept]
+            flags = "".join(f", CASE WHEN CAST(`{c}` AS STRING) = '{v}' THEN 1.0D ELSE 0.0D END AS `{n}`" for v, n in zip(quoted, names))
+            stages.append(SQLTransformer(statement=f"SELECT *{flags} FROM __THIS__"))
+            inputs += names
         else:
+            stages.append(StringIndexer(inputCol=c, outputCol=f"{c}__raw", handleInvalid="keep", stringOrderType="alphabetAsc"))
             stages.append(SQLTransformer(statement=f"SELECT *, CASE WHEN `{c}__raw` >= {cardinality[c]} THEN -1.0D "
                                                    f"ELSE `{c}__raw` END AS `{c}__idx` FROM __THIS__"))
             inputs.append(f"{c}__idx")
@@ -110,13 +116,16 @@ def load_model(spark, path: str) -> tuple[PipelineModel, Imputer]:
     return PipelineModel.load(f"{path}/pipeline"), Imputer.load(spark, f"{path}/imputer")
 
 
-def feature_names(model: PipelineModel, transformed: DataFrame, col: str = "features") -> list[str]:
-    """M5: slot names from the vector's ML attribute metadata."""
+def feature_names(model: PipelineModel, transformed: DataFrame, num_cols: Sequence[str] = (), col: str = "features") -> list[str]:
+    """M5: slot names from the vector's ML attribute metadata; the slots of the scaled numeric columns get the names
+    ``num_cols``, categories ``column_value``."""
     meta = transformed.schema[col].metadata.get("ml_attr", {}).get("attrs", {})
     slots = []
     for kind in ("numeric", "binary", "nominal"):
         slots += meta.get(kind, [])
-    return [a["name"] for a in sorted(slots, key=lambda a: a["idx"])]
+    names = [a["name"] for a in sorted(slots, key=lambda a: a["idx"])]
+    numeric = {f"{prefix}_{i}": c for prefix in ("__num_s", "__num") for i, c in enumerate(num_cols)}
+    return [numeric.get(n, n.removesuffix("__idx")) for n in names]
 
 
 def cardinalities(df: DataFrame, cols: Sequence[str]) -> dict:

@@ -12,10 +12,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from claimlens.operators.gram import grams
 from claimlens.operators.quantiles import aggregate, quantile
 from claimlens.session import joinable
 
@@ -127,16 +129,20 @@ def column_profile(df: DataFrame, cols: Sequence[str] | None = None) -> DataFram
 
 
 def column_info(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Type, distinct count, missing count, min and max per column (one pass)."""
+    """Type, distinct count, missing count, min and max per column. Values are told apart by 128 bits of
+    hash: a row is melted to (column, hash) pairs of 16 bytes, whatever the values' length, and pre-combined
+    before the one shuffle; the rest is one aggregate."""
     cols = list(cols or df.columns)
-    a = df.agg(*[F.count_distinct(_q(c)).alias(f"c{i}_unique") for i, c in enumerate(cols)],
-               *[F.count_if(_q(c).isNull()).alias(f"c{i}_missing") for i, c in enumerate(cols)],
+    a = df.agg(*[F.count_if(_q(c).isNull()).alias(f"c{i}_missing") for i, c in enumerate(cols)],
                *[F.min(_q(c)).cast("string").alias(f"c{i}_min") for i, c in enumerate(cols)],
                *[F.max(_q(c)).cast("string").alias(f"c{i}_max") for i, c in enumerate(cols)])
-    long = _stack(a, cols, ["unique", "missing", "min", "max"])
-    types = df.sparkSession.createDataFrame([(c, df.schema[c].dataType.simpleString()) for c in cols],
-                                            "column string, dtype string")
-    return types.join(long, "column")
+    long = _stack(a, cols, ["missing", "min", "max"])
+    hashed = df.select(F.explode(F.array(*[F.when(_q(c).isNotNull(), F.struct(
+        F.lit(i).alias("i"), F.xxhash64(F.lit(1), _q(c)).alias("a"), F.xxhash64(F.lit(2), _q(c)).alias("b"))) for i, c in enumerate(cols)])).alias("v"))
+    unique = hashed.where("v IS NOT NULL").select("v.*").distinct().groupBy("i").agg(F.count(F.lit(1)).alias("unique"))
+    types = df.sparkSession.createDataFrame([(i, c, df.schema[c].dataType.simpleString()) for i, c in enumerate(cols)],
+                                            "i int, column string, dtype string")
+    return types.join(unique, "i", "left").join(long, "column").select("column", "dtype", F.coalesce("unique", F.lit(0)).cast("long").alias("unique"), "missing", "min", "max")
 
 
 def quality_rules(df: DataFrame, *, now_ts: str = "2026-01-01 00:00:00", month: str = "TransactionMonth",
@@ -297,27 +303,36 @@ def outlier_impact(df: DataFrame, col: str, claims: str = "TotalClaims", min_n:
         F.when(F.col("_tc") > 0, F.col("_oc") * 100.0 / F.col("_tc")).alias("claims_share_pct"))
 
 
-def _corr_expr(a: str, b: str):
-    """Pearson r over pairwise-complete rows; null (not an error) for constant input."""
-    both = F.col(a).isNotNull() & F.col(b).isNotNull()
-    xa, xb = F.when(both, F.col(a).cast("double")), F.when(both, F.col(b).cast("double"))
-    return F.try_divide(F.covar_samp(xa, xb), F.stddev_samp(xa) * F.stddev_samp(xb))
-
-
 def correlation_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Long-form Pearson matrix (col_a, col_b, r) for every ordered pair.
-    One aggregate computes the upper triangle only (r is symmetric); the
-    diagonal is 1 for a non-constant column; undefined -> null."""
+    """Long-form Pearson matrix (col_a, col_b, r) for every ordered pair over its pairwise-complete rows; the
+    diagonal is 1 for a non-constant column; undefined -> null. One pass: with M the 0/1 matrix of values
+    that are there, X the values (0 for a gap) and S their squares, the Gram matrix of [M, X, S] holds counts, sums,
+    squares and products of all pairs at once. Columns are shifted and scaled by rough totals first, for the
+    arithmetic only; a deviation below 1e-9 of the column's own counts as none."""
     cols = list(cols)
-    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    agg = df.agg(*[_corr_expr(a, b).alias(f"r{i}") for i, (a, b) in enumerate(pairs)],
-                 *[F.stddev_samp(F.col(c).cast("double")).alias(f"s{i}") for i, c in enumerate(cols)])
-    items = []
-    for i, (a, b) in enumerate(pairs):
-        items += [f"'{a}', '{b}', `r{i}`", f"'{b}', '{a}', `r{i}`"]
-    for i, c in enumerate(cols):
-        items.append(f"'{c}', '{c}', CASE WHEN `s{i}` > 0 THEN 1.0D END")
-    return agg.select(F.expr(f"stack({len(items)}, {', '.join(items)}) as (col_a, col_b, r)"))
+    p = len(cols)
+    x = [F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")) for c in cols]
+    stats = df.agg(*[F.avg(v).alias(f"m{i}") for i, v in enumerate(x)], *[F.stddev_samp(v).alias(f"s{i}") for i, v in enumerate(x)]).first()
+    shift = np.array([stats[f"m{i}"] or 0.0 for i in range(p)])
+    scale = np.array([stats[f"s{i}"] or 1.0 for i in range(p)])
+
+    def design(batch):
+        values = np.stack([batch.column(j).to_numpy(zero_copy_only=False).astype(np.float64) for j in range(p)], axis=1)
+        there = ~np.isnan(values)
+        values = np.where(there, (values - shift) / scale, 0.0)
+        return np.zeros(batch.num_rows, np.int32), np.concatenate([there, values, values ** 2], axis=1)
+
+    g = grams(df.select(*[v.alias(f"v{i}") for i, v in enumerate(x)]), 3 * p, design).get(0, np.zeros((3 * p, 3 * p)))
+    m, v, s = slice(0, p), slice(p, 2 * p), slice(2 * p, 3 * p)
+    n, total, squares, cross = g[m, m], g[v, m], g[s, m], g[v, v]  # [a, b]: over rows where a and b are there
+    with np.errstate(divide="ignore", invalid="ignore"):
+        cov = cross - total * total.T / n
+        var = squares - total ** 2 / n
+        small = var <= 1e-18 * np.maximum(n, 1)
+        r = np.where(small | small.T | (n < 2), np.nan, cov / np.sqrt(var * var.T))
+    rows = [(a, b, None if np.isnan(r[i, j]) else (1.0 if i == j else float(np.clip(r[i, j], -1.0, 1.0))))
+            for i, a in enumerate(cols) for j, b in enumerate(cols)]
+    return df.sparkSession.createDataFrame(rows, "col_a string, col_b string, r double")
 
 
 def strong_pairs(corr: DataFrame, threshold: float = 0.5) -> DataFrame:

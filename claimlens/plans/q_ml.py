@@ -7,8 +7,10 @@ import numpy as np
 from pyspark.ml import Pipeline
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from claimlens.functions import expr as X
 from claimlens.operators import clean as C
 from claimlens.operators import crossval as CV
 from claimlens.operators import features as FE
@@ -224,17 +226,88 @@ def m23_premium_by_band(spark, sf):
 
 # ------------------------------------------------------------- rows-only model queries
 
-@query("m1_m5_encoded_features", None)
+ENC_NUM, ENC_CAT = ["SumInsured", "TotalPremium", "kilowatts", "cubiccapacity"], ["Province", "LegalType", "CoverType", "make"]
+
+
+def _encoded_sql() -> str:
+    fill = ", ".join([f"coalesce({c}, (SELECT median({c}) FROM policy)) AS {c}" for c in ENC_NUM] + [f"coalesce({c}, 'Unknown') AS {c}" for c in ENC_CAT])
+    parts = [f"d AS (SELECT {fill} FROM policy)"]
+    rows = []
+    for i, c in enumerate(ENC_NUM):
+        rows.append(f"SELECT {i} AS pos, '{c}' AS feature, avg(abs(z)) AS mean_abs, max(z) AS top FROM (SELECT ({c} - avg({c}) OVER ()) / stddev_samp({c}) OVER () AS z FROM d)")
+    for i, c in enumerate(ENC_CAT):
+        parts.append(f"k{i} AS (SELECT {c} AS v, count(*) AS n, row_number() OVER (ORDER BY {c}) - 1 AS place, count(*) OVER () AS size FROM d GROUP BY 1)")
+        rows.append(f"SELECT {10 * (i + 1)} + place, regexp_replace('{c}_' || v, '[^A-Za-z0-9_]', '_', 'g'), n * 1.0 / (SELECT count(*) FROM d), 1.0 FROM k{i} WHERE size <= 10 AND place > 0")
+        rows.append(f"SELECT {10 * (i + 1)}, '{c}', sum(n * place) * 1.0 / sum(n), max(place) FROM k{i} WHERE size > 10 HAVING count(*) > 0")
+    return CTE + ", " + ", ".join(parts) + ", u AS (" + " UNION ALL ".join(rows) + """)
+SELECT row_number() OVER (ORDER BY pos) - 1 AS slot, feature, round(mean_abs, 6) AS mean_abs, round(top, 6) AS top FROM u"""
+
+
+@query("m1_m5_encoded_features", _encoded_sql())
 def m1_m5_encoded_features(spark, sf):
-    """Preprocessor fit (median impute, scale, one-hot / ordinal) and the feature slot names."""
-    num, cat = ["SumInsured", "TotalPremium", "kilowatts", "cubiccapacity"], ["Province", "CoverType", "make"]
+    """Preprocessor fit (median impute, scale, one-hot without the first category / ordinal): name, mean absolute and
+    largest value of every slot."""
     d = _pol(spark, sf)
-    d = M.fit_imputer(d, num, cat).apply(d)
-    card = M.cardinalities(d, cat)
-    model = M.build_preprocessor(d, num, cat, max_onehot=10, cardinality=card).fit(d)
+    d = M.fit_imputer(d, ENC_NUM, ENC_CAT).apply(d)
+    model = M.build_preprocessor(d, ENC_NUM, ENC_CAT, max_onehot=10, cardinality=M.cardinalities(d, ENC_CAT)).fit(d)
     t = model.transform(d)
-    names = M.feature_names(model, t)
-    return spark.createDataFrame([(i, n) for i, n in enumerate(names)], "slot bigint, feature string")
+    names = spark.createDataFrame(list(enumerate(M.feature_names(model, t, ENC_NUM))), "slot bigint, feature string")
+    values = t.select(F.posexplode(vector_to_array("features")).alias("slot", "x")).groupBy("slot").agg(
+        F.avg(F.abs("x")).alias("mean_abs"), F.max("x").alias("top"))
+    return finish(names.join(values, "slot"))
+
+
+LOGIT_SQL = CTE + """, g AS (SELECT CAST(CoverSeq = 1 AS INTEGER) AS x, count_if(TotalClaims > 0) AS yes, count_if(NOT coalesce(TotalClaims > 0, false)) AS no FROM policy GROUP BY 1)
+SELECT round(ln(max(CASE WHEN x = 1 THEN yes * 1.0 / no END)) - ln(max(CASE WHEN x = 0 THEN yes * 1.0 / no END)), 3) AS coefficient,
+  round(ln(max(CASE WHEN x = 0 THEN yes * 1.0 / no END)), 3) AS intercept FROM g"""
+
+
+@query("m13_logistic_one_flag", LOGIT_SQL)
+def m13_logistic_one_flag(spark, sf):
+    """The claim classifier's logistic regression on one 0/1 column: log odds of either side."""
+    d = _pol(spark, sf).select(X.flag(F.col("CoverSeq") == 1).cast("double").alias("x"), X.flag(F.col("TotalClaims") > 0).cast("double").alias("label"))
+    v = VectorAssembler(inputCols=["x"], outputCol="features").transform(d)
+    model = M.classifiers("label")["LogisticRegression"].setTol(1e-10).fit(v)
+    return finish(spark.createDataFrame([(float(model.coefficients[0]), float(model.intercept))], "coefficient double, intercept double"), default=3)
+
+
+SPLIT_SQL = CTE + """, c AS (SELECT CAST(CoverSeq AS DOUBLE) AS x, ln(1 + TotalClaims) AS y FROM policy WHERE TotalClaims > 0),
+v AS (SELECT x, count(*) AS n, sum(y) AS s FROM c GROUP BY x),
+k AS (SELECT (x + lead(x) OVER (ORDER BY x)) / 2 AS cut, sum(n) OVER (ORDER BY x) AS nl, sum(s) OVER (ORDER BY x) AS sl, sum(n) OVER () AS n, sum(s) OVER () AS s FROM v),
+b AS (SELECT *, sl * sl / nl + (s - sl) * (s - sl) / (n - nl) AS gain FROM k WHERE cut IS NOT NULL ORDER BY gain DESC, cut LIMIT 1)
+SELECT m AS model, round(cut, 6) AS cut, round(sl / nl, 6) AS below, round((s - sl) / (n - nl), 6) AS above FROM b, (VALUES ('DecisionTree'), ('GradientBoosting'), ('RandomForest')) AS t(m)"""
+
+
+@query("m10_m12_one_split", SPLIT_SQL)
+def m10_m12_one_split(spark, sf):
+    """Tree, forest and boosting cut down to one split of one column: the split of least squared error and its means."""
+    d = _pol(spark, sf).where(F.col("TotalClaims") > 0).select(F.col("CoverSeq").cast("double").alias("x"), F.log1p("TotalClaims").alias("label"))
+    v = MO.stored_features(VectorAssembler(inputCols=["x"], outputCol="features").transform(d))
+    rows = []
+    for name in ("DecisionTree", "GradientBoosting", "RandomForest"):
+        est = M.regressors("label", trees=1, rounds=1, depth=1)[name]
+        if name == "RandomForest":
+            est = est.setBootstrap(False)
+        model = est.fit(v)
+        tree = model.trees[0] if hasattr(model, "trees") else model
+        root = tree._call_java("rootNode")
+        rows.append((name, float(root.split().threshold()), float(root.leftChild().prediction()), float(root.rightChild().prediction())))
+    return finish(spark.createDataFrame(rows, "model string, cut double, below double, above double"))
+
+
+LINE_SQL = CTE + """, c AS (SELECT ln(1 + SumInsured) AS x, ln(1 + TotalClaims) AS y FROM policy WHERE TotalClaims > 0 AND SumInsured IS NOT NULL),
+f AS (SELECT regr_slope(y, x) AS b, avg(x) AS m FROM c)
+SELECT 'x' AS feature, round(abs(max(b)), 6) AS importance, round(avg(abs(b * (x - m))), 6) AS mean_abs_attribution FROM c, f"""
+
+
+@query("m19_m20_one_feature_line", LINE_SQL)
+def m19_m20_one_feature_line(spark, sf):
+    """Importance and exact attribution of a line through one column."""
+    d = _pol(spark, sf).where((F.col("TotalClaims") > 0) & F.col("SumInsured").isNotNull()).select(F.log1p("SumInsured").alias("x"), F.log1p("TotalClaims").alias("label"))
+    v = VectorAssembler(inputCols=["x"], outputCol="features").transform(d)
+    model = M.regressors("label")["LinearRegression"].setSolver("normal").fit(v)
+    importance = spark.createDataFrame(M.feature_importance(model, ["x"]), "feature string, importance double")
+    return finish(importance.join(M.linear_attribution(v, list(model.coefficients.toArray()), ["x"]), "feature"))
 
 
 def _sev(spark, sf, models=None):
