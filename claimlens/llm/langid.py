@@ -6,6 +6,13 @@ average of its pieces' embeddings; a linear softmax over the average gives the l
 Embeddings and softmax are trained together by stochastic gradient descent in numpy on a
 bounded sample (``per_language`` rows of each language, a documented bound); a held-back fifth of
 it calibrates the temperature of the softmax and the score below which a text is rejected.
+
+A softmax spreads all its weight over the languages it knows, so texts in other languages, code and noise
+score high. A second rejection does not depend on it: the share of a text's pieces that training rows have
+(a table of one bit per piece hash, ``2 ** SEEN_BITS`` bits). Its threshold is half-way between the lowest share that right
+answers on the held-back rows must keep and the middle share of the same rows with the letters of every word
+reversed: text of the same letters in no language. Short texts are given the doubt of their few pieces.
+
 As embedding, average and softmax layer are linear, prediction sums one row of per-bucket
 class scores per piece; those scores (buckets x languages floats) are all that is broadcast.
 
@@ -18,6 +25,8 @@ are not read.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -25,6 +34,8 @@ from pyspark.sql import functions as F
 
 UND = "und"
 SIZES = (2, 3, 4)
+#: Pieces of these sizes are evidence of a known language; bits of their table.
+SEEN_SIZES, SEEN_BITS = (3, 4), 20
 # Lower-cased A-Z; bytes of a-z and of non-ASCII letters stay; all else is a boundary (0).
 _FOLD = np.zeros(256, np.uint8)
 _FOLD[97:123] = np.arange(97, 123)
@@ -32,8 +43,8 @@ _FOLD[65:91] = np.arange(97, 123)
 _FOLD[128:] = np.arange(128, 256)
 
 
-def pieces(text: np.ndarray, starts: np.ndarray, buckets: int):
-    """Hashed pieces of concatenated documents: for each piece size, the bucket of every
+def hashed(text: np.ndarray, starts: np.ndarray):
+    """Hashed pieces of concatenated documents: for each piece size, the hash of every
     piece and its document. ``starts`` has one entry more than there are documents; every
     document ends in a boundary byte of its own."""
     t = _FOLD[text]
@@ -54,7 +65,23 @@ def pieces(text: np.ndarray, starts: np.ndarray, buckets: int):
         # no boundary strictly inside a piece
         ok = (inner[size - 2:size - 2 + n] - inner[:n] == 0) if size > 2 else ~(edge[:n] & edge[1:n + 1])
         at = np.flatnonzero(ok)
-        yield (h[at] % np.uint32(buckets)).astype(np.int64), doc[at]
+        yield size, h[at], doc[at]
+
+
+def pieces(text: np.ndarray, starts: np.ndarray, buckets: int):
+    """Buckets of the pieces instead of their hashes."""
+    for _, h, doc in hashed(text, starts):
+        yield (h % np.uint32(buckets)).astype(np.int64), doc
+
+
+def seen_slots(h: np.ndarray) -> np.ndarray:
+    """Places of piece hashes in the table of pieces that training rows have."""
+    return ((h * np.uint32(0x9E3779B1)) >> np.uint32(32 - SEEN_BITS)).astype(np.int64)
+
+
+def reversed_words(text: bytes) -> bytes:
+    """Every run of letters back to front."""
+    return re.sub(rb"[A-Za-z\x80-\xff]+", lambda m: m[0][::-1], text)
 
 
 def _joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -73,28 +100,38 @@ def is_training(doc_id: Column) -> Column:
 
 
 class Model:
-    """Labels, per-bucket class scores, bias, temperature and the rejection score."""
+    """Labels, per-bucket class scores, bias, temperature, the rejection score, the bits of pieces that training
+    rows have and the share of them below which a text is rejected."""
 
-    def __init__(self, labels, scores, bias, temperature=1.0, reject_below=0.0):
+    def __init__(self, labels, scores, bias, temperature=1.0, reject_below=0.0, seen=None, seen_below=0.0):
         self.labels, self.scores, self.bias = list(labels), scores, bias
         self.temperature, self.reject_below = temperature, reject_below
+        self.seen, self.seen_below = seen, seen_below
 
-    def logits(self, texts: list[bytes]) -> np.ndarray:
+    def evidence(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Class logits of each text, its share of seen pieces and how many pieces that is a share of."""
         text, starts = _joined(texts)
         total = np.zeros((len(texts), len(self.labels)))
-        count = np.zeros(len(texts))
-        for bucket, doc in pieces(text, starts, len(self.scores)):
+        count, seen, asked = np.zeros(len(texts)), np.zeros(len(texts)), np.zeros(len(texts))
+        for size, h, doc in hashed(text, starts):
+            bucket = (h % np.uint32(len(self.scores))).astype(np.int64)
             count += np.bincount(doc, minlength=len(texts))
             for c in range(len(self.labels)):
                 total[:, c] += np.bincount(doc, self.scores[bucket, c], minlength=len(texts))
-        return total / np.maximum(count, 1)[:, None] + self.bias
-
-    def predict(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        z = self.logits(texts) / self.temperature
+            if size in SEEN_SIZES and self.seen is not None:
+                asked += np.bincount(doc, minlength=len(texts))
+                seen += np.bincount(doc, self.seen[seen_slots(h)], minlength=len(texts))
+        return total / np.maximum(count, 1)[:, None] + self.bias, np.where(asked > 0, seen / np.maximum(asked, 1), 1.0), asked
+
+    def predict(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Best label, its probability, and whether the text is rejected."""
+        z, share, asked = self.evidence(texts)
+        z = z / self.temperature
         p = np.exp(z - z.max(axis=1, keepdims=True))
         p /= p.sum(axis=1, keepdims=True)
         best = p.argmax(axis=1)
-        return best, p[np.arange(len(best)), best]
+        score = p[np.arange(len(best)), best]
+        return best, score, (score < self.reject_below) | (share + 0.5 / np.sqrt(np.maximum(asked, 1)) < self.seen_below)
 
 
 def _sgd(rows, labels, n_labels, buckets, dim, epochs, rate, seed):
@@ -127,8 +164,8 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", i
     id. The tasks reduce sampled texts to bucket counts, so at most
     ``languages x per_language x buckets`` numbers reach the driver.
 
-    ``reject_share``: the share of right answers on the held-back fifth that may score below
-    the rejection score."""
+    ``reject_share``: the share of right answers on the held-back fifth that may fall below what
+    the thresholds are taken from."""
     known = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     counts = {r["lang"]: r["n"] for r in known.groupBy(F.col(lang_col).alias("lang")).agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
@@ -140,16 +177,25 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", i
     draw = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(1 << 30)) / F.lit(float(1 << 30))
     sample = known.where(draw < share).select(F.col(lang_col).alias("lang"), F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
+    def counted(values):
+        at, n = np.unique(np.concatenate(values), return_counts=True)
+        return at.astype("<i4").tobytes(), n.astype("<i4").tobytes()
+
+    def slots(raw: bytes):
+        return counted([seen_slots(h) for size, h, _ in hashed(*_joined([raw])) if size in SEEN_SIZES] or [np.empty(0, np.int64)])
+
     def count(batches):
         for batch in batches:
             for lang, i, text in zip(*(batch.column(c).to_pylist() for c in range(3))):
                 raw, starts = _joined([text.encode()])
                 found = [b for b, _ in pieces(raw, starts, buckets)]
                 if found and sum(map(len, found)):
-                    at, n = np.unique(np.concatenate(found), return_counts=True)
-                    yield pa.RecordBatch.from_pydict({"lang": [lang], "id": pa.array([i], pa.int64()), "at": [at.astype("<i4").tobytes()], "n": [n.astype("<i4").tobytes()]})
+                    values = [*counted(found), *slots(text.encode()), *slots(reversed_words(text.encode()))]
+                    yield pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([i], pa.int64()), *(pa.array([v], pa.binary()) for v in values)],
+                                                     names=["lang", "id", "at", "n", "slot", "slot_n", "back", "back_n"])
 
-    got = sorted(sample.mapInArrow(count, "lang string, id long, at binary, n binary").collect(), key=lambda r: (r["lang"], r["id"] or 0, r["at"]))
+    got = sorted(sample.mapInArrow(count, "lang string, id long, at binary, n binary, slot binary, slot_n binary, back binary, back_n binary").collect(),
+                 key=lambda r: (r["lang"], r["id"] or 0, r["at"]))
     rows, y = [], []
     for r in got:
         n = np.frombuffer(r["n"], "<i4").astype(np.float32)
@@ -172,11 +218,31 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", i
     grid = [2.0 ** (e / 4) for e in range(-8, 17)]
     temperature = min(grid, key=lambda u: -np.log(probabilities(u)[np.arange(len(t)), t] + 1e-12).mean())
     p = probabilities(temperature)
-    right = np.sort(p.max(axis=1)[p.argmax(axis=1) == t])
+    hit = p.argmax(axis=1) == t
+    right = np.sort(p.max(axis=1)[hit])
     floor = 1.0 / len(labels)
     # Half-way between the lowest score that must stay and an even guess.
     reject = (right[int(len(right) * reject_share)] + floor) / 2 if len(right) else floor
-    return Model(labels, scores.astype(np.float32), bias.astype(np.float64), temperature, float(reject) if len(labels) > 1 else 0.0)
+    # Pieces that two of the fitted rows have (one, if the rows are few).
+    rows_with = np.zeros(1 << SEEN_BITS, np.int32)
+    for i in fit:
+        rows_with[np.frombuffer(got[i]["slot"], "<i4")] += 1
+    seen = rows_with >= (2 if len(fit) >= 100 else 1)
+
+    def shares(at, n):
+        out = []
+        for i in check[hit]:
+            where, times = np.frombuffer(got[i][at], "<i4"), np.frombuffer(got[i][n], "<i4")
+            if len(where):
+                out.append(times[seen[where]].sum() / times.sum())
+        return np.sort(np.array(out))
+
+    real, back = shares("slot", "slot_n"), shares("back", "back_n")
+    seen_below = 0.0
+    if len(real):
+        lowest = real[int(len(real) * reject_share)]
+        seen_below = max(0.0, (lowest + min(np.median(back), lowest)) / 2)
+    return Model(labels, scores.astype(np.float32), bias.astype(np.float64), temperature, float(reject) if len(labels) > 1 else 0.0, seen, float(seen_below))
 
 
 def identify(docs: DataFrame, model: Model | None, text_col: str = "text", keep: list[str] | None = None) -> DataFrame:
@@ -189,14 +255,12 @@ def identify(docs: DataFrame, model: Model | None, text_col: str = "text", keep:
 
     def label(part: pa.RecordBatch) -> pa.RecordBatch:
         m, texts = shared.value, part.column(at).to_pylist()
-        told, score = [UND] * len(texts), np.zeros(len(texts))
+        told, score, bad = [UND] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
         rows = [i for i, t in enumerate(texts) if _has_letter(t)] if m else []
         if rows:
-            best, p = m.predict([texts[i].encode() for i in rows])
-            score[rows] = p
+            best, score[rows], bad[rows] = m.predict([texts[i].encode() for i in rows])
             for i, b in zip(rows, best):
                 told[i] = m.labels[b]
-        bad = [w == UND or s < m.reject_below for w, s in zip(told, score)]
         cols = [part.column(part.schema.get_field_index(c)) for c in keep]
         return pa.RecordBatch.from_arrays([*cols, pa.array(told, pa.string()), pa.array(score), pa.array(bad, pa.bool_())],
                                           names=[*keep, "lang_pred", "score", "rejected"])
