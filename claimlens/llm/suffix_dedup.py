@@ -1,7 +1,8 @@
 """Suffix-array deduplication by threshold-bounded interval expansion.
 
 Byte windows travel to buckets as super-k-mers (see ``windows``). In a bucket the strings are
-laid end to end and their suffixes sorted by ``length`` bytes of context. On the
+laid end to end and all rotations of the result are sorted by prefix doubling, until every
+rank is unique: an order that knows nothing of ``length``. On the
 Burrows-Wheeler transform of that order, breadth-first backward extension refines suffix
 intervals: the intervals of strings one byte longer are the intervals of the strings so far,
 extended to the left by one byte through the transform's last-to-first mapping. A boundary that
@@ -28,24 +29,47 @@ from claimlens.llm.windows import HOT_BYTES, Chunk, Runs, smallest_ids
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
-def context_order(text: np.ndarray, length: int) -> np.ndarray:
-    """Positions of a cyclic text sorted by the ``length`` bytes from each on."""
+def suffix_order(text: np.ndarray) -> np.ndarray:
+    """Positions of a cyclic text in the order of the rotations that begin there, by prefix doubling:
+    ranks by 8 bytes, then by twice as many in every round, until all differ. Rotations of a
+    periodic text that are equal are ordered by position."""
     n = len(text)
-    ring = np.resize(text, n + length + 8).astype(np.uint64)
-    word = ring.copy()
+    ring = np.resize(text, n + 8).astype(np.uint64)
+    word = ring
     for size in (1, 2, 4):  # eight bytes from each position, most significant first
         word = (word[:len(word) - size] << np.uint64(8 * size)) | word[size:]
-    at = [*range(0, max(length - 7, 1), 8)]
-    if length > 8 and at[-1] + 8 < length:
-        at.append(length - 8)
-    keys = [word[a:a + n] >> np.uint64(8 * max(8 - length, 0)) for a in at]
-    return np.lexsort(keys[::-1])
+    order = np.argsort(word[:n], kind="stable")
+    rank, size = _ranks(word[:n], order), 8
+    while size < n:
+        # Only positions that share their rank with another one still move.
+        place = np.flatnonzero(np.bincount(rank, minlength=n)[rank[order]] > 1)
+        if not len(place):
+            break
+        open_ = order[place]
+        key = rank[open_] * n + rank[(open_ + size) % n]
+        by = np.argsort(key, kind="stable")
+        open_, key = open_[by], key[by]
+        order[place] = open_
+        # the rank of a part is the first place that it takes
+        new = np.concatenate([[True], key[1:] != key[:-1]])
+        rank[open_] = np.maximum.accumulate(np.where(new, place, 0))
+        size *= 2
+    return order
+
+
+def _ranks(key: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """The place of the first position of an equal key, for every position."""
+    sorted_ = key[order]
+    new = np.concatenate([[True], sorted_[1:] != sorted_[:-1]])
+    rank = np.empty(len(key), np.int64)
+    rank[order] = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
+    return rank
 
 
 def interval_classes(text: np.ndarray, length: int) -> np.ndarray:
     """Class of the ``length`` bytes from each position of a cyclic text on."""
     n = len(text)
-    order = context_order(text, length)
+    order = suffix_order(text)
     row_of = np.empty(n, np.int32)
     row_of[order] = np.arange(n, dtype=np.int32)
     # Burrows-Wheeler transform: the byte before each suffix. Last-to-first: the row of the
