@@ -16,6 +16,7 @@ result; columns other than id and text are not read.
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 import zlib
@@ -53,6 +54,8 @@ class Encoder:
     ``LONGEST`` characters are not kept."""
 
     def __init__(self, path: str, cache_bytes: int = CACHE_BYTES):
+        # A task has one core; the library would start threads for each batch.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         size = self.tokenizer.get_vocab_size()
@@ -139,7 +142,7 @@ def _encoder(path: str) -> Encoder:
     return _caches[path]
 
 
-def _batches(batch: pa.RecordBatch, most: int = 1 << 20):
+def _batches(batch: pa.RecordBatch, most: int = 1 << 18):
     """Rows of a batch in lists of about ``most`` characters."""
     ids, texts, size = [], [], 0
     for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
