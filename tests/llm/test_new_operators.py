@@ -250,3 +250,124 @@ def test_toxicity_on_tables(spark):
     bad, good = [s for s, t in labels if t], [s for s, t in labels if not t]
     auc = sum((a > b) + 0.5 * (a == b) for a in bad for b in good) / (len(bad) * len(good))
     assert auc > 0.97 and sum(s < 0.5 for s in good) >= 0.98 * len(good)
+
+
+def test_suffix_order_and_expansion():
+    """The order is that of whole rotations, whatever the length; the expansion alone makes the classes."""
+    from claimlens.llm.suffix_dedup import interval_classes, suffix_order
+    rng = np.random.default_rng(3)
+    for n, letters in [(1, 1), (2, 1), (7, 2), (9, 1), (40, 2), (120, 3), (300, 26)]:
+        for periodic in (False, True):
+            text = np.resize(rng.integers(97, 97 + letters, 3 if periodic else n).astype(np.uint8), n)
+            whole = text.tobytes()
+            assert suffix_order(text).tolist() == sorted(range(n), key=lambda i: (whole[i:] + whole[:i], i))
+            ring = np.resize(text, n + 60).tobytes()
+            counts = set()
+            for length in (1, 2, 3, 8, 9, 50):
+                cls = interval_classes(text, length).tolist()
+                strings = [ring[i:i + length] for i in range(n)]
+                assert len(set(zip(strings, cls))) == len(set(strings)) == len(set(cls))
+                counts.add(len(set(cls)))
+            assert n < 40 or periodic or len(counts) > 2  # one order, other classes for other lengths
+
+
+def test_language_rejection(spark):
+    """Texts in no learned language are rejected however sure the softmax is; clean held-out rows stay."""
+    from claimlens.llm import langid
+    rng = random.Random(8)
+    parts = {"en": "the of and ing tion er re at on ed es or th ha in".split(), "fr": "le de que ou eau ment tion é è elle re ai en ch".split(),
+             "de": "der die und sch ein ung ver heit lich keit ch en er ä".split()}
+    text = lambda lang, n: " ".join("".join(rng.choices(parts[lang], k=rng.randint(1, 3))) for _ in range(n))
+    rows = [(i, text(lang, rng.randint(8, 80)), lang) for i, lang in enumerate(rng.choices(list(parts), k=600))]
+    train, rest = rows[:400], rows[400:]
+    model = langid.train(spark.createDataFrame(train, "doc_id long, text string, lang string"))
+    strange = ["Suomen kesä on lyhyt mutta kaunis, ja ihmiset viettävät paljon aikaa järven rannalla mökillä perheen ja ystävien kanssa saunoen.",
+               "Wczoraj wieczorem poszliśmy do kina na nowy film, który opowiada historię młodego człowieka szukającego swojego miejsca.",
+               "今天天气很好我们一起去公园散步看到很多孩子在草地上玩耍老人们在树下下棋聊天 今天天气很好我们一起去公园散步",
+               "brtk xzvq plmn wrtg sdfk jklq zxcv bnmq wrty plkj brtk xzvq plmn wrtg sdfk jklq zxcv bnmq wrty plkj",
+               "def main(argv): for i in range(len(argv)): if argv[i].startswith('--'): opts[argv[i][2:]] = argv[i+1]; return subprocess.call(cmd, shell=True)",
+               " ".join(f"{rng.getrandbits(128):032x}" for _ in range(12))]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in rest] + [(10_000 + i, t) for i, t in enumerate(strange)], "doc_id long, text string")
+    got = {r.doc_id: r for r in langid.identify(docs, model).collect()}
+    assert sum(got[i].lang_pred == lang and not got[i].rejected for i, _, lang in rest) >= 0.99 * len(rest)
+    assert all(got[10_000 + i].rejected for i in range(len(strange)))
+
+
+@pytest.mark.skipif(not os.path.exists("/root/testdata/sf0.1/documents.parquet"), reason="no test tables")
+def test_language_rejection_on_tables(spark):
+    """Nearly all held-out rows of the tables stay and are right."""
+    from claimlens.llm import langid
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    model = langid.train(docs.where(langid.is_training(F.col("doc_id"))))
+    held = langid.identify(docs.where(~langid.is_training(F.col("doc_id"))).select("doc_id", "text", "lang"), model)
+    n, right, kept = held.agg(F.count(F.lit(1)), F.count_if(F.col("lang") == F.col("lang_pred")), F.count_if(~F.col("rejected"))).first()
+    assert right >= 0.99 * n and kept >= 0.99 * n
+
+
+def test_token_cache_is_bounded_by_bytes():
+    """Texts without spaces, long pieces and many short ones leave the cache below its bound; ids stay those of the library."""
+    import public_tokenizers
+
+    from claimlens.llm.tokens_bin import LONGEST, Encoder
+    rng = random.Random(4)
+    coder = Encoder(public_tokenizers.path("byte_bpe_50k.json"), cache_bytes=60_000)
+    texts = ["".join(chr(0x4e00 + rng.randrange(3000)) for _ in range(500)) for _ in range(20)]
+    texts += [" ".join("".join(rng.choices("abcdé.,!\\n\\t", k=rng.randint(0, 9))) for _ in range(300)) for _ in range(40)]
+    texts += ["", " ", "  ", "a  b", "a \\n b", " lead", "trail ", "x" * 3000, "\\u0120 a \\u0120b", "it's we'll  don't"]
+    for lo in range(0, len(texts), 7):
+        part = texts[lo:lo + 7]
+        got = coder.encode(part)
+        assert [np.frombuffer(b, f"<u{coder.width}").tolist() for b in got] == [e.ids for e in coder.tokenizer.encode_batch(part, add_special_tokens=False)]
+        assert coder.held == sum(len(p) + len(b) + 200 for p, b in coder.known.items()) <= 60_000
+        assert max(map(len, coder.known), default=0) <= LONGEST
+
+
+def test_token_shards_roll_and_are_read_in_parallel(spark):
+    """Small shards, several of a partition: bases go on over all of them, and each is a task of its own."""
+    import public_tokenizers
+
+    from claimlens.llm import tokens_bin
+    from claimlens.llm.common import scratch_uri
+    rows = [(i, f"text number {i} " * (i % 30)) for i in range(400)]
+    path, file = scratch_uri(spark, "tokens"), public_tokenizers.path("byte_bpe_50k.json")
+    manifest = tokens_bin.write_tokens(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), path, file, roll_bytes=4000)
+    n = manifest.count()
+    assert n > 8 and manifest.where("part > 0").count() > 0
+    read = tokens_bin.read_tokens(manifest, path)
+    assert read.rdd.getNumPartitions() == n
+    got = read.orderBy("doc_id").collect()
+    assert [r.doc_id for r in got] == list(range(400))
+    assert [r.start for r in got] == [0, *np.cumsum([r.n_tokens for r in got]).tolist()[:-1]]
+
+
+def test_warc_files_are_read_in_parallel(spark):
+    from claimlens.llm import warc
+    from claimlens.llm.common import scratch_uri
+    path = scratch_uri(spark, "warc")
+    pages = spark.createDataFrame([(i, f"http://x/{i}", f"page {i} " + "z" * 500 * (i % 3)) for i in range(300)], "page_id long, url string, html string")
+    manifest = warc.write_warc(pages, path, roll_bytes=2000)
+    n = manifest.count()
+    assert n > 8
+    read = warc.read_warc(manifest, path)
+    assert read.rdd.getNumPartitions() == n and read.count() == 300
+
+
+def test_hot_text_is_split(spark):
+    """A third of all documents are one text: the join that hands a group's result back is split."""
+    from claimlens.llm import windows
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.shuffle.partitions": "8",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        docs = spark.range(0, 30_000, 1, 16).select(F.col("id").alias("doc_id"), F.lit(0).cast("long").alias("chunk"), F.col("id").cast("int").alias("row"),
+                                                   F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 5000).cast("string")).cast("binary").alias("print"))
+        out = windows.skip_messages(docs, later=True)
+        out.write.format("noop").mode("overwrite").save()
+        out.collect()
+        assert "skew=true" in out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
