@@ -34,7 +34,7 @@ MANIFEST = "shard int, part int, file string, documents long, ids long, id_bytes
 #: White space before a space inside a run: there a cut could change how the run is split.
 _RUN = re.compile(r"\s (?:\s|$)")
 #: Bytes of remembered pieces in a worker (text, ids and some 200 bytes for each), longest one, pieces encoded at once.
-CACHE_BYTES, LONGEST, AT_ONCE = 96 << 20, 64, 250
+CACHE_BYTES, LONGEST, AT_ONCE = 256 << 20, 64, 250
 _EACH = 200
 #: Stands for the first piece of a text, the only one without a space before it.
 _FIRST = None
