@@ -260,21 +260,24 @@ def winsorize_columns(df: DataFrame, columns: Sequence[tuple], *, approx: bool |
 
 def winsorize_report(df: DataFrame, col: str, q: float, *, population=None,
                      approx: bool | None = None) -> DataFrame:
-    """P49 report: the cap, how many rows exceed it and their sum."""
-    return winsorize_reports(df, [(col, q, population)], approx=approx).drop("column")
+    """P49 report: the cap, how many rows exceed it, their sum, and the sum of the clipped column."""
+    return winsorize_reports(df, [(col, q, population)], approx=approx).drop("place", "column")
 
 
 def winsorize_reports(df: DataFrame, columns: Sequence[tuple], *, approx: bool | None = None) -> DataFrame:
-    """P49 report of several (column, quantile, population): one selection of the caps, one pass over the rows."""
+    """P49 report of several (column, quantile, population), numbered by ``place``: one selection of the caps, one pass
+    over the rows."""
     value = lambda c, where: F.col(c) if where is None else F.when(where, F.col(c))
     caps = aggregate(df, *[quantile(value(c, where), q, approx).alias(f"_cap{i}") for i, (c, q, where) in enumerate(columns)])
     aggs = []
     for i, (c, _, _) in enumerate(columns):
         above = F.col(c) > F.col(f"_cap{i}")
-        aggs += [F.first(f"_cap{i}").alias(f"cap{i}"), F.count_if(above).alias(f"n{i}"), F.sum(F.when(above, F.col(c))).alias(f"s{i}")]
+        aggs += [F.first(f"_cap{i}").alias(f"cap{i}"), F.count_if(above).alias(f"n{i}"), F.sum(F.when(above, F.col(c))).alias(f"s{i}"),
+                 F.sum(X.clip(F.col(c), upper=F.col(f"_cap{i}"))).alias(f"a{i}")]
     got = df.crossJoin(F.broadcast(caps)).agg(*aggs)
     return got.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"cap{i}").alias("cap"), F.col(f"n{i}").alias("n_capped"), F.col(f"s{i}").cast("double").alias("sum_capped"))
+        F.struct(F.lit(i).alias("place"), F.lit(c).alias("column"), F.col(f"cap{i}").alias("cap"), F.col(f"n{i}").alias("n_capped"),
+                 F.col(f"s{i}").cast("double").alias("sum_capped"), F.col(f"a{i}").cast("double").alias("sum_after"))
         for i, (c, _, _) in enumerate(columns)])).alias("r")).select("r.*")
 
 

@@ -336,15 +336,10 @@ SELECT 'premium_flat', round(cap, 4), count_if(TotalPremium > cap), round(sum(CA
   round(sum(least(TotalPremium, cap)), 2) FROM policy, c3 GROUP BY cap""")
 def p49_winsorize_report(spark, sf):
     p = _pol(spark, sf).select("TotalClaims", "TotalPremium")
-    parts = []
-    for name, col, q, pop in (("claims_flat", "TotalClaims", 0.99, None),
-                              ("claims_population", "TotalClaims", 0.99, F.col("TotalClaims") > 0),
-                              ("premium_flat", "TotalPremium", 0.995, None)):
-        rep = C.winsorize_report(p, col, q, population=pop)
-        after = C.winsorize_upper(p, col, q, population=pop).agg(F.sum(col).alias("sum_after"))
-        parts.append(rep.crossJoin(after).select(F.lit(name).alias("variant"), "cap", "n_capped", "sum_capped", "sum_after"))
-    out = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    return finish(out, {"cap": 4, "sum_capped": 2, "sum_after": 2})
+    names = ["claims_flat", "claims_population", "premium_flat"]
+    out = C.winsorize_reports(p, [("TotalClaims", 0.99, None), ("TotalClaims", 0.99, F.col("TotalClaims") > 0), ("TotalPremium", 0.995, None)])
+    variant = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("place") + 1).alias("variant")
+    return finish(out.select(variant, "cap", "n_capped", "sum_capped", "sum_after"), {"cap": 4, "sum_capped": 2, "sum_after": 2})
 
 
 # -------------------------------------------------------------- filters F1-F6
