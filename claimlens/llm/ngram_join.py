@@ -224,6 +224,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     cross = verified(cross, sets, percent)
     found = merged(found, cross.where(linked).select("a", "b"))
     rows = matrix.select(F.col("rid").alias("class"), "size").join(found.withColumnRenamed("node", "class"), "class", "left")
+    rows = staged(rows, "class-rows")  # with an exchange on either side, AQE can split a class of many copies
     whole = members.join(rows, "class").withColumn("component", F.coalesce("component", "class"))
     # Documents without n-grams are one class of equal (empty) texts, but link with nothing.
     whole = staged(whole.withColumn("component", F.when(F.col("size") == 0, -F.col("rid") - 1).otherwise(F.col("component"))), "components")
