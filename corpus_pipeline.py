@@ -33,7 +33,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of every component of near duplicates. Rows are numbered in a staged table, as ids may
     repeat or be null."""
-    rows = staged(numbered(docs).withColumn("row", F.monotonically_increasing_id()), "rows")
+    rows = staged(numbered(docs).withColumn("row", F.monotonically_increasing_id()), "rows", compression="zstd")
     doc_id, text = (f"_{docs.columns.index(c)}" for c in ("doc_id", "text"))
     found = ngram_join.jaccard_components(rows, "row", text, width=NEAR_WORDS, percent=NEAR_PERCENT).select(
         F.col("doc_id").alias("row"), "component_id")
