@@ -14,7 +14,7 @@ from claimlens.functions import expr as X
 from claimlens.operators import clean as C
 from claimlens.operators import features as FE
 from claimlens.plans.registry import finish, query
-from claimlens.sources.views import policy_cte, policy_view
+from claimlens.sources.views import policy_cte, policy_view, stored_policy
 
 CTE = policy_cte()
 
@@ -263,7 +263,7 @@ q AS (SELECT quantile_cont(PremiumToSumInsuredRatio, 0.75) AS q75 FROM b)
 SELECT PolicyID, CoverSeq, round(PowerToCapacityRatio, 8) AS PowerToCapacityRatio, HasHighPower,
   round(PremiumToSumInsuredRatio, 8) AS PremiumToSumInsuredRatio, CAST(coalesce(PremiumToSumInsuredRatio > q75, false) AS BIGINT) AS IsHighRiskPremium FROM b, q""")
 def p28_p29_ratio_features(spark, sf):
-    d = _pol(spark, sf).select(*KEY, "kilowatts", "cubiccapacity", "TotalPremium", "SumInsured")
+    d = stored_policy(spark, sf, [*KEY, "kilowatts", "cubiccapacity", "TotalPremium", "SumInsured"])
     d = FE.add_premium_risk(FE.add_power_features(d))
     return finish(d.select(*KEY, "PowerToCapacityRatio", "HasHighPower", "PremiumToSumInsuredRatio", "IsHighRiskPremium"),
                   {"PowerToCapacityRatio": 8, "PremiumToSumInsuredRatio": 8})

@@ -106,14 +106,20 @@ def materialize(df):
     return df.checkpoint(eager=True)
 
 
+def stored(df, name: str = "stored"):
+    """The rows written as Parquet below ``spark.checkpoint.dir`` and read again. Later passes read only the
+    columns they use and replay nothing; encoded columns take a fraction of a checkpoint's rows."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def joinable(groups):
     """A table of one row per group, to be joined back on its key. It is written below
     ``spark.checkpoint.dir`` and read again: joined directly, an aggregate keeps its partitioning, so that no exchange
     stands on its side of the join, and AQE can't split a hot key there. (A checkpoint would keep it too.)"""
-    spark = groups.sparkSession
-    path = scratch_path(spark, "groups")
-    groups.write.parquet(path)
-    return spark.read.schema(groups.schema).parquet(path)
+    return stored(groups, "groups")
 
 
-__all__ = ["joinable", "get_session", "checkpoint_dir", "scratch_path", "ship_package", "materialize"]
+__all__ = ["joinable", "stored", "get_session", "checkpoint_dir", "scratch_path", "ship_package", "materialize"]

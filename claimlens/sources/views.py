@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from claimlens.session import stored
+
 # Hidden columns that, together with PolicyID and CoverSeq, make every row unique
 # (full line-item rows are unique; (l_orderkey, l_linenumber) is not).
 POLICY_TIE_KEYS = ("PolicyID", "CoverSeq", "_k_partkey", "_k_suppkey", "_k_quantity",
@@ -27,52 +29,66 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def policy_view(spark: SparkSession, sf_dir: str, with_keys: bool = False) -> DataFrame:
     """Build the 19-column policy table (plus hidden tie keys when ``with_keys``)."""
     t = lambda n: load_table(spark, sf_dir, n)
-    l = t("lineitem").alias("l")
-    o = t("orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+    # Each side is cut to what the policy needs of it before it is joined, so that a join moves no column twice: customers
+    # join orders, not line items, and the 25 nations come last, when a policy's nation is one number.
+    l = t("lineitem").select(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
+        F.date_trunc("month", F.col("l_shipdate")).alias("TransactionMonth"),
+        F.when(F.col("l_quantity") == 13, F.lit(None).cast("double"))
+         .otherwise(F.col("l_extendedprice") * F.lit(10.0)).alias("SumInsured"),
+        (F.col("l_extendedprice") * F.col("l_tax")).alias("CalculatedPremiumPerTerm"),
+        F.when(F.col("l_linenumber") == 7, F.lit(0.0))
+         .when(F.col("l_quantity") == 1, -F.col("l_extendedprice"))
+         .otherwise(F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))).alias("TotalPremium"),
+        F.when((F.col("l_discount") >= 0.08) & (F.col("l_tax") >= 0.06),
+               F.col("l_extendedprice") * F.col("l_discount") * F.lit(10.0))
+         .otherwise(F.lit(0.0)).alias("TotalClaims"),
+        *[F.col(f"l_{k[3:]}").alias(k) for k in POLICY_TIE_KEYS[2:] if with_keys])
+    o = t("orders").select(
+        "o_orderkey", "o_custkey", F.year("o_orderdate").alias("_order_year"),
+        (F.when(F.col("o_orderpriority") == "1-URGENT", "Male")
+          .when(F.col("o_orderpriority") == "2-HIGH", "female")
+          .when(F.col("o_orderpriority") == "3-MEDIUM", "M")
+          .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "Not specified")).alias("Gender"))
     c = t("customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment")
     n = t("nation").select("n_nationkey", "n_name", "n_regionkey")
     rg = t("region").select("r_regionkey", "r_name")
-    p = t("part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
-    j = (l.join(o, F.col("l_orderkey") == F.col("o_orderkey"))
-          .join(c, F.col("o_custkey") == F.col("c_custkey"))
+    p = t("part").select(
+        "p_partkey", "p_name", "p_brand", "p_type", (F.col("p_size") % 25).alias("_years"),
+        F.when(F.col("p_size") % 10 == 0, F.lit(None).cast("double"))
+         .otherwise(F.col("p_size") * F.lit(100.0)).alias("cubiccapacity"),
+        (F.col("p_retailprice") / F.lit(10.0)).alias("kilowatts"))
+    j = (l.join(o.join(c, F.col("o_custkey") == F.col("c_custkey")), F.col("l_orderkey") == F.col("o_orderkey"))
+          .join(p, F.col("l_partkey") == F.col("p_partkey"))
           .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
-          .join(rg, F.col("n_regionkey") == F.col("r_regionkey"))
-          .join(p, F.col("l_partkey") == F.col("p_partkey")))
+          .join(rg, F.col("n_regionkey") == F.col("r_regionkey")))
     cols = [
         F.col("l_orderkey").alias("PolicyID"),
         F.col("l_linenumber").alias("CoverSeq"),
-        F.date_trunc("month", F.col("l_shipdate")).alias("TransactionMonth"),
+        "TransactionMonth",
         F.col("r_name").alias("Country"),
         F.col("n_name").alias("Province"),
         (F.lit(1000) + F.col("l_suppkey")).cast("string").alias("PostalCode"),
-        (F.when(F.col("o_orderpriority") == "1-URGENT", "Male")
-          .when(F.col("o_orderpriority") == "2-HIGH", "female")
-          .when(F.col("o_orderpriority") == "3-MEDIUM", "M")
-          .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "Not specified")).alias("Gender"),
+        "Gender",
         F.col("c_mktsegment").alias("LegalType"),
         F.col("p_type").alias("CoverType"),
         F.col("p_brand").alias("make"),
         F.col("p_name").alias("Model"),
-        (F.year("o_orderdate") - F.col("p_size") % 25).cast("int").alias("RegistrationYear"),
-        F.when(F.col("p_size") % 10 == 0, F.lit(None).cast("double"))
-         .otherwise(F.col("p_size") * F.lit(100.0)).alias("cubiccapacity"),
-        (F.col("p_retailprice") / F.lit(10.0)).alias("kilowatts"),
-        F.when(F.col("l_quantity") == 13, F.lit(None).cast("double"))
-         .otherwise(F.col("l_extendedprice") * F.lit(10.0)).alias("SumInsured"),
+        (F.col("_order_year") - F.col("_years")).cast("int").alias("RegistrationYear"),
+        "cubiccapacity", "kilowatts", "SumInsured",
         F.col("c_acctbal").alias("CapitalOutstanding"),
-        (F.col("l_extendedprice") * F.col("l_tax")).alias("CalculatedPremiumPerTerm"),
-        F.when(F.col("l_linenumber") == 7, F.lit(0.0))
-         .when(F.col("l_quantity") == 1, -F.col("l_extendedprice"))
-         .otherwise(F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))).alias("TotalPremium"),
-        F.when((F.col("l_discount") >= 0.08) & (F.col("l_tax") >= 0.06),
-               F.col("l_extendedprice") * F.col("l_discount") * F.lit(10.0))
-         .otherwise(F.lit(0.0)).alias("TotalClaims"),
+        "CalculatedPremiumPerTerm", "TotalPremium", "TotalClaims",
     ]
     if with_keys:
-        cols += [F.col(f"l_{k[3:]}").alias(k) for k in POLICY_TIE_KEYS[2:]]
+        cols += POLICY_TIE_KEYS[2:]
     return j.select(*cols)
 
 
+def stored_policy(spark: SparkSession, sf_dir: str, columns, with_keys: bool = False) -> DataFrame:
+    """Columns of the policy table, joined once and stored for queries that pass over them several times."""
+    return stored(policy_view(spark, sf_dir, with_keys).select(*columns), "policy")
+
+
 _POLICY_SELECT = """SELECT l.l_orderkey AS PolicyID, l.l_linenumber AS CoverSeq,
   date_trunc('month', l.l_shipdate) AS TransactionMonth,
   r.r_name AS Country, n.n_name AS Province, cast(1000 + l.l_suppkey as varchar) AS PostalCode,
