@@ -19,8 +19,8 @@ from claimlens.operators import pricing as PR
 from claimlens.operators.quantiles import aggregate, quantile
 from claimlens.plans import modelling as MO
 from claimlens.plans.registry import finish, query
-from claimlens.session import scratch_path
-from claimlens.sources.views import POLICY_TIE_KEYS, policy_cte, policy_view
+from claimlens.session import scratch_path, stored
+from claimlens.sources.views import POLICY_TIE_KEYS, policy_cte, policy_view, stored_policy
 
 CTE = policy_cte()
 CTEK = policy_cte(with_keys=True)
@@ -247,7 +247,7 @@ SELECT row_number() OVER (ORDER BY pos) - 1 AS slot, feature, round(mean_abs, 6)
 def m1_m5_encoded_features(spark, sf):
     """Preprocessor fit (median impute, scale, one-hot without the first category / ordinal): name, mean absolute and
     largest value of every slot."""
-    d = _pol(spark, sf)
+    d = stored_policy(spark, sf, [*ENC_NUM, *ENC_CAT])
     d = M.fit_imputer(d, ENC_NUM, ENC_CAT).apply(d)
     model = M.build_preprocessor(d, ENC_NUM, ENC_CAT, max_onehot=10, cardinality=M.cardinalities(d, ENC_CAT)).fit(d)
     t = model.transform(d)

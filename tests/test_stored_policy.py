@@ -64,6 +64,7 @@ def star_reads(df):
 # Queries that pass over the policies several times.
 PASSES = [
     "p28_p29_ratio_features",
+    "m1_m5_encoded_features",
 ]
 
 
