@@ -16,7 +16,7 @@ from claimlens.plans.q_io import raw_from_policy
 from claimlens.plans.registry import finish, query
 from claimlens.session import scratch_path
 from claimlens.sources import io as IO
-from claimlens.sources.views import policy_cte, policy_view
+from claimlens.sources.views import policy_cte, policy_view, stored_policy
 
 CTE = policy_cte()
 
@@ -184,7 +184,7 @@ SELECT 'imputed_SumInsured', count_if(SumInsured IS NULL) FROM policy UNION ALL
 SELECT 'imputed_cubiccapacity', count_if(cubiccapacity IS NULL) FROM policy UNION ALL
 SELECT 'imputed_kilowatts', count_if(kilowatts IS NULL) FROM policy""")
 def a22_repair_log(spark, sf):
-    return finish(etl.repair_log(policy_view(spark, sf)))
+    return finish(etl.repair_log(stored_policy(spark, sf, ["TotalPremium", "TotalClaims", "SumInsured", "RegistrationYear", "cubiccapacity", "kilowatts"])))
 
 
 @query("a43_prepared_summary", CTE + """SELECT count(*) AS n_records, count_if(PolicyID % 5 <> 0) AS n_train, count_if(PolicyID % 5 = 0) AS n_test,

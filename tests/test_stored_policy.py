@@ -65,6 +65,7 @@ def star_reads(df):
 PASSES = [
     "p28_p29_ratio_features",
     "m1_m5_encoded_features",
+    "a22_repair_log",
 ]
 
 
