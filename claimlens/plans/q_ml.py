@@ -110,8 +110,8 @@ FROM c"""
 
 @query("p35_p40_model_features", P35_SQL)
 def p35_p40_model_features(spark, sf):
-    d = C.add_vehicle_age(_pol(spark, sf)).select("PolicyID", "CoverSeq", "VehicleAge", "SumInsured", "TotalPremium",
-                                                   "cubiccapacity", "kilowatts")
+    d = stored(C.add_vehicle_age(_pol(spark, sf)).select("PolicyID", "CoverSeq", "VehicleAge", "SumInsured", "TotalPremium",
+                                                          "cubiccapacity", "kilowatts"), "policy")
     d = FE.add_power_features(d)
     st = FE.fit_feature_stats(d, poly_cols=("VehicleAge", "SumInsured"))
     f = FE.add_model_features(d, st, poly_cols=("VehicleAge", "SumInsured"))

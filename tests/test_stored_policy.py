@@ -66,6 +66,7 @@ PASSES = [
     "p28_p29_ratio_features",
     "m1_m5_encoded_features",
     "a22_repair_log",
+    "p35_p40_model_features",
 ]
 
 
