@@ -9,7 +9,7 @@ from claimlens.operators import features as FE
 from claimlens.operators import profile as P
 from claimlens.operators import trends as TR
 from claimlens.plans.registry import finish, query
-from claimlens.sources.views import policy_cte, policy_view
+from claimlens.sources.views import policy_cte, policy_view, stored_policy
 
 CTE = policy_cte()
 NUM = ["TotalPremium", "TotalClaims", "SumInsured", "cubiccapacity", "kilowatts", "CalculatedPremiumPerTerm"]
@@ -167,7 +167,7 @@ OUT_COLS = ["TotalPremium", "TotalClaims", "SumInsured", "CalculatedPremiumPerTe
   round(q1, 6) AS "Q1", round(q3, 6) AS "Q3", round(q3 - q1, 6) AS "IQR"
 FROM policy, (SELECT quantile_cont({c}, 0.25) AS q1, quantile_cont({c}, 0.75) AS q3 FROM policy) GROUP BY q1, q3""" for c in OUT_COLS))
 def a27_iqr_outliers(spark, sf):
-    return finish(P.iqr_outliers(_pol(spark, sf), OUT_COLS), {"outlier_pct": 6}, default=6)
+    return finish(P.iqr_outliers(stored_policy(spark, sf, OUT_COLS), OUT_COLS), {"outlier_pct": 6}, default=6)
 
 
 @query("a28_outlier_impact", CTE + """, q AS (SELECT quantile_cont(CalculatedPremiumPerTerm, 0.25) AS q1, quantile_cont(CalculatedPremiumPerTerm, 0.75) AS q3,

@@ -67,6 +67,7 @@ PASSES = [
     "m1_m5_encoded_features",
     "a22_repair_log",
     "p35_p40_model_features",
+    "a27_iqr_outliers",
 ]
 
 
