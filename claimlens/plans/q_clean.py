@@ -335,7 +335,7 @@ SELECT 'claims_population', round(cap, 4), count_if(TotalClaims > cap), round(su
 SELECT 'premium_flat', round(cap, 4), count_if(TotalPremium > cap), round(sum(CASE WHEN TotalPremium > cap THEN TotalPremium END), 2),
   round(sum(least(TotalPremium, cap)), 2) FROM policy, c3 GROUP BY cap""")
 def p49_winsorize_report(spark, sf):
-    p = _pol(spark, sf).select("TotalClaims", "TotalPremium")
+    p = stored_policy(spark, sf, ["TotalClaims", "TotalPremium"])
     names = ["claims_flat", "claims_population", "premium_flat"]
     out = C.winsorize_reports(p, [("TotalClaims", 0.99, None), ("TotalClaims", 0.99, F.col("TotalClaims") > 0), ("TotalPremium", 0.995, None)])
     variant = F.element_at(F.array(*[F.lit(n) for n in names]), F.col("place") + 1).alias("variant")

@@ -68,6 +68,7 @@ PASSES = [
     "a22_repair_log",
     "p35_p40_model_features",
     "a27_iqr_outliers",
+    "p49_winsorize_report",
 ]
 
 
