@@ -37,7 +37,7 @@ def _desc_sql(cols):
 
 @query("a10_a11_describe", _desc_sql(NUM))
 def a10_a11_describe(spark, sf):
-    return finish(P.describe(_pol(spark, sf), NUM), DESC_DIGITS)
+    return finish(P.describe(stored_policy(spark, sf, NUM), NUM), DESC_DIGITS)
 
 
 @query("a40_distribution_stats", CTE + "SELECT * FROM (" + "\nUNION ALL\n".join(

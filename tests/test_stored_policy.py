@@ -69,6 +69,7 @@ PASSES = [
     "p35_p40_model_features",
     "a27_iqr_outliers",
     "p49_winsorize_report",
+    "a10_a11_describe",
 ]
 
 
