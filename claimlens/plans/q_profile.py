@@ -44,7 +44,7 @@ def a10_a11_describe(spark, sf):
     f"""SELECT '{c}' AS "column", round(avg({c}), 4) AS mean, round(median({c}), 6) AS median, round(stddev_samp({c}), 2) AS std,
   round(skewness({c}), 6) AS skewness, count({c}) AS count FROM policy HAVING count({c}) > 10 AND stddev_samp({c}) > 0""" for c in NUM) + ")")
 def a40_distribution_stats(spark, sf):
-    return finish(P.distribution_stats(_pol(spark, sf), NUM), {"mean": 4, "median": 6, "std": 2, "skewness": 6})
+    return finish(P.distribution_stats(stored_policy(spark, sf, NUM), NUM), {"mean": 4, "median": 6, "std": 2, "skewness": 6})
 
 
 @query("a12_claim_distribution", CTE + """SELECT count(*) AS n_rows, count_if(TotalClaims > 0) AS n_claims,

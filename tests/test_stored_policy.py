@@ -70,6 +70,7 @@ PASSES = [
     "a27_iqr_outliers",
     "p49_winsorize_report",
     "a10_a11_describe",
+    "a40_distribution_stats",
 ]
 
 
