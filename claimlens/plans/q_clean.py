@@ -238,7 +238,7 @@ m1 AS (SELECT median(a) AS m FROM t), f AS (SELECT PolicyID, CoverSeq, coalesce(
 m2 AS (SELECT median(ExcessAmount) AS m FROM f)
 SELECT PolicyID, CoverSeq, ExcessAmount, CAST(coalesce(ExcessAmount > m, false) AS BIGINT) AS HasHighExcess FROM f, m2""")
 def p26_excess_features(spark, sf):
-    p = _pol(spark, sf)
+    p = stored_policy(spark, sf, [*KEY, "kilowatts"])
     d = p.select(*KEY, _excess_spark(p).alias("ExcessSelected"))
     return finish(FE.add_excess_features(d).drop("ExcessSelected"))
 

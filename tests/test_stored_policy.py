@@ -71,6 +71,7 @@ PASSES = [
     "p49_winsorize_report",
     "a10_a11_describe",
     "a40_distribution_stats",
+    "p26_excess_features",
 ]
 
 
