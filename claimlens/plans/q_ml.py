@@ -265,7 +265,7 @@ SELECT round(ln(max(CASE WHEN x = 1 THEN yes * 1.0 / no END)) - ln(max(CASE WHEN
 @query("m13_logistic_one_flag", LOGIT_SQL)
 def m13_logistic_one_flag(spark, sf):
     """The claim classifier's logistic regression on one 0/1 column: log odds of either side."""
-    d = _pol(spark, sf).select(X.flag(F.col("CoverSeq") == 1).cast("double").alias("x"), X.flag(F.col("TotalClaims") > 0).cast("double").alias("label"))
+    d = stored(_pol(spark, sf).select(X.flag(F.col("CoverSeq") == 1).cast("double").alias("x"), X.flag(F.col("TotalClaims") > 0).cast("double").alias("label")), "policy")
     v = VectorAssembler(inputCols=["x"], outputCol="features").transform(d)
     model = M.classifiers("label")["LogisticRegression"].setTol(1e-10).fit(v)
     return finish(spark.createDataFrame([(float(model.coefficients[0]), float(model.intercept))], "coefficient double, intercept double"), default=3)

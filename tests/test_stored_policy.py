@@ -72,6 +72,7 @@ PASSES = [
     "a10_a11_describe",
     "a40_distribution_stats",
     "p26_excess_features",
+    "m13_logistic_one_flag",
 ]
 
 
