@@ -178,7 +178,7 @@ SELECT n AS n_values, count_if(o) AS n_outliers, round(count_if(o) * 100.0 / n,
   round(CASE WHEN sum(TotalClaims) > 0 THEN sum(CASE WHEN o THEN TotalClaims END) * 100.0 / sum(TotalClaims) END, 6) AS claims_share_pct
 FROM j GROUP BY n, sd, q1, q3 HAVING n > 10 AND sd > 0 AND q3 - q1 > 0""")
 def a28_outlier_impact(spark, sf):
-    return finish(P.outlier_impact(_pol(spark, sf), "CalculatedPremiumPerTerm"), {"outlier_mean": 4, "outlier_max": 4})
+    return finish(P.outlier_impact(stored_policy(spark, sf, ["CalculatedPremiumPerTerm", "TotalClaims"]), "CalculatedPremiumPerTerm"), {"outlier_mean": 4, "outlier_max": 4})
 
 
 CORR_COLS = ["TotalPremium", "TotalClaims", "SumInsured", "cubiccapacity", "kilowatts", "CalculatedPremiumPerTerm",

@@ -73,6 +73,7 @@ PASSES = [
     "a40_distribution_stats",
     "p26_excess_features",
     "m13_logistic_one_flag",
+    "a28_outlier_impact",
 ]
 
 
