@@ -314,7 +314,7 @@ def p45_p48_category_fill(spark, sf):
 @query("p46_median_impute", CTE + """, m AS (SELECT median(SumInsured) AS ms, median(cubiccapacity) AS mc FROM policy)
 SELECT PolicyID, CoverSeq, round(coalesce(SumInsured, ms), 4) AS SumInsured, round(coalesce(cubiccapacity, mc), 4) AS cubiccapacity FROM policy, m""")
 def p46_median_impute(spark, sf):
-    d = C.impute_median(_pol(spark, sf).select(*KEY, "SumInsured", "cubiccapacity"), ["SumInsured", "cubiccapacity"])
+    d = C.impute_median(stored_policy(spark, sf, [*KEY, "SumInsured", "cubiccapacity"]), ["SumInsured", "cubiccapacity"])
     return finish(d, default=4)
 
 

@@ -74,6 +74,7 @@ PASSES = [
     "p26_excess_features",
     "m13_logistic_one_flag",
     "a28_outlier_impact",
+    "p46_median_impute",
 ]
 
 
