@@ -10,7 +10,7 @@ from claimlens.operators import hypothesis as H
 from claimlens.plans import battery as B
 from claimlens.plans.q_stats import RISK, SEV, _p_norm, _risk
 from claimlens.plans.registry import ORACLES, finish, query
-from claimlens.session import scratch_path
+from claimlens.session import scratch_path, stored
 from claimlens.sources import io as IO
 from claimlens.sources.views import policy_cte, policy_view
 
@@ -155,7 +155,7 @@ UNION ALL SELECT 't', 'Insufficient data', 2, count_if(Province IN ('', '?')), N
 UNION ALL SELECT '2x2', 'Insufficient data', 2, count_if(G IS NOT NULL), NULL FROM risk""")
 def f9_guards(spark, sf):
     """Tests whose guard fails: groups too small, groups that do not exist, too few rows in all."""
-    r = _risk(spark, sf)
+    r = stored(_risk(spark, sf).select("Province", "Gender", "HasClaim", "Margin"), "risk")
     parts = {"chi-square": H.chi_square_k2(r, "Province", "HasClaim", min_count=10 ** 9), "anova": H.anova(r, "Province", "Margin", min_per_group=10 ** 9),
              "t": H.t_test(r, "Province", "Margin", "", "?"),
              "2x2": H.two_by_two(FE.add_gender(r), "Gender", "HasClaim", "Male", "Female", min_rows=10 ** 9)}

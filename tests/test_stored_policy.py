@@ -75,6 +75,7 @@ PASSES = [
     "m13_logistic_one_flag",
     "a28_outlier_impact",
     "p46_median_impute",
+    "f9_guards",
 ]
 
 
