@@ -81,7 +81,7 @@ SELECT PolicyID, CoverSeq, round(ln(1 + y), 6) AS Log_TotalClaims, round(sqrt(gr
   CASE WHEN q1 = q2 THEN (CASE WHEN y <= mn + (mx - mn) / 3 THEN 'Low' WHEN y <= mn + 2 * (mx - mn) / 3 THEN 'Medium' ELSE 'High' END)
        ELSE (CASE WHEN y <= q1 THEN 'Low' WHEN y <= q2 THEN 'Medium' ELSE 'High' END) END AS ClaimSeverityCategory FROM t, s""")
 def p42_p44_target_transforms(spark, sf):
-    d = FE.add_target_transforms(_pol(spark, sf).select("PolicyID", "CoverSeq", "TotalClaims"))
+    d = FE.add_target_transforms(stored_policy(spark, sf, ["PolicyID", "CoverSeq", "TotalClaims"]))
     return finish(d.drop("TotalClaims"))
 
 

@@ -76,6 +76,7 @@ PASSES = [
     "a28_outlier_impact",
     "p46_median_impute",
     "f9_guards",
+    "p42_p44_target_transforms",
 ]
 
 
