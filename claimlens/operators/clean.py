@@ -389,10 +389,16 @@ def _repeated_rows(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return (prints.join(twins, keys, "left_anti").select(*every), prints.join(twins, keys, "left_semi").select(*every))
 
 
+# Rows of at most so many columns are about as short as their fingerprints.
+NARROW = 8
+
+
 def dedupe(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     """Drop exact duplicate rows (or duplicates on ``subset``; the kept row is
     then the one with the smallest full-row order, so the result is deterministic). Nulls equal nulls and NaN
-    equals NaN."""
+    equals NaN. Rows of at most ``NARROW`` columns are shuffled once, whole."""
+    if subset is None and len(df.columns) <= NARROW:
+        return df.dropDuplicates()
     if subset is None:
         single, twins = _repeated_rows(df)
         return single.unionByName(twins.dropDuplicates())
@@ -405,9 +411,9 @@ def dedupe(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
 
 def duplicate_stats(df: DataFrame, key: str = "PolicyID") -> DataFrame:
     """Duplicate full rows (count and %, rows beyond the first copy) and rows
-    that share ``key`` with another row. Whole rows are compared only where fingerprints repeat; all
-    aggregates are pre-combined map-side, so a hot group of copies collapses before the shuffle."""
-    _, twins = _repeated_rows(df)
+    that share ``key`` with another row. Whole rows of more than ``NARROW`` columns are compared only where fingerprints
+    repeat; all aggregates are pre-combined map-side, so a hot group of copies collapses before the shuffle."""
+    twins = df if len(df.columns) <= NARROW else _repeated_rows(df)[1]
     full = (twins.groupBy(*[F.col(f"`{c}`") for c in df.columns]).agg(F.count(F.lit(1)).alias("_n"))
             .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicate_rows")))
     by_key = (df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))

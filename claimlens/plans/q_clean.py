@@ -391,7 +391,7 @@ key_dup AS (SELECT sum(CASE WHEN n > 1 THEN n ELSE 0 END) AS rows_sharing_key FR
 dd AS (SELECT count(*) AS n_after_dedupe FROM (SELECT DISTINCT * FROM u))
 SELECT duplicate_rows, n_rows, rows_sharing_key, round(duplicate_rows * 100.0 / n_rows, 6) AS duplicate_pct, n_after_dedupe FROM full_dup, key_dup, dd""")
 def u1_u2_a19_duplicates(spark, sf):
-    p = _pol(spark, sf).select("PolicyID", "CoverSeq", "Province", "TotalPremium", "TotalClaims")
+    p = stored_policy(spark, sf, ["PolicyID", "CoverSeq", "Province", "TotalPremium", "TotalClaims"])
     u = C.union_all([p, p.where(F.col("CoverSeq") == 1)])
     st = C.duplicate_stats(u)
     dd = C.dedupe(u).agg(F.count(F.lit(1)).alias("n_after_dedupe"))
