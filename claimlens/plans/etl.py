@@ -4,8 +4,8 @@ winsorize -> impute -> clean strings -> dedupe -> features -> quality report.
 Order is kept from the reference. Winsorizing and imputation are global
 (the reference did them per 100k-row chunk, so its results depended on chunk
 size). The two statistic barriers read the repaired table, which is written
-once as a checkpoint under the shared ``spark.checkpoint.dir`` so the raw scan
-and parsing are not replayed for each barrier.
+once as Parquet under the shared ``spark.checkpoint.dir`` so the raw scan and parsing
+are not replayed for each barrier, and a barrier reads its own columns only.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from claimlens.operators import clean as C
 from claimlens.operators import profile as P
-from claimlens.session import materialize
+from claimlens.session import stored
 
 
 def process(df: DataFrame, *, typed: bool = False, claims_filter: str = "none", current_year: int = 2026,
@@ -26,7 +26,7 @@ def process(df: DataFrame, *, typed: bool = False, claims_filter: str = "none",
     d = C.claims_filter(d, claims_filter)
     d = C.repair_rules(d, current_year=current_year)
     if checkpoint:
-        d = materialize(d)
+        d = stored(d, "repaired")
     d = C.winsorize_columns(d, [(c, q, (F.col(c) > 0) if population_winsorize and c == "TotalClaims" else None)
                                 for c, q in WINSOR if c in d.columns])
     if "SumInsured" in d.columns and "CoverType" in d.columns:
@@ -39,7 +39,7 @@ def process(df: DataFrame, *, typed: bool = False, claims_filter: str = "none",
     if "VehicleAge" not in d.columns:
         d = C.add_vehicle_age(d, upper=None)
     if checkpoint:
-        d = materialize(d)
+        d = stored(d, "processed")
     return d, P.quality_rules(d)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from claimlens.operators import clean as C
+from claimlens.plans import etl
 from claimlens.session import stored
 from claimlens.sources.views import policy_view
 
@@ -93,3 +94,11 @@ def test_narrow_rows_are_shuffled_once(spark):
     once = C.dedupe(d)
     assert once.count() == 4 and "Join" not in optimized(once)
     assert C.duplicate_stats(d, "k").first()["duplicate_rows"] == 3 and "_print_a" not in optimized(C.duplicate_stats(d, "k"))
+
+
+def test_etl_stores_columns(spark):
+    """The processed table and its report are read from stored columns, not from a checkpoint's whole rows."""
+    d = spark.createDataFrame([(f"{i}", "2015-03-01 00:00:00", "Male", f"{i}.5", "0.0" if i % 3 else "7", None if i % 4 else "100") for i in range(60)],
+                              "PolicyID string, TransactionMonth string, Gender string, TotalPremium string, TotalClaims string, SumInsured string")
+    out, report = etl.process(d)
+    assert out.count() == 60 and "parquet" in optimized(out) and "LogicalRDD" not in optimized(out) and "parquet" in optimized(report)
