@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from claimlens.operators import clean as C
 from claimlens.plans import etl
+from claimlens.plans import modelling as MO
 from claimlens.session import stored
 from claimlens.sources.views import policy_view
 
@@ -102,3 +103,10 @@ def test_etl_stores_columns(spark):
                               "PolicyID string, TransactionMonth string, Gender string, TotalPremium string, TotalClaims string, SumInsured string")
     out, report = etl.process(d)
     assert out.count() == 60 and "parquet" in optimized(out) and "LogicalRDD" not in optimized(out) and "parquet" in optimized(report)
+
+
+def test_rows_per_task_of_a_fit(spark):
+    """120,000 rows are one task a step: histograms of tasks with fewer rows cost more than the rows."""
+    d = MO.stored_features(spark.range(120_000))
+    assert d.rdd.getNumPartitions() == 1 and d.count() == 120_000
+    assert MO.stored_features(spark.range(450_000)).rdd.getNumPartitions() == 3
