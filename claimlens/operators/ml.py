@@ -7,7 +7,9 @@ writer (S13).
 
 from __future__ import annotations
 
+import functools
 import json
+import operator
 import re
 from collections.abc import Sequence
 from dataclasses import dataclass, field
@@ -375,27 +377,63 @@ def permutation_importance(model, data: DataFrame, names: Sequence[str], label:
 
 # ------------------------------------------------------------ two-part model M21
 
+@dataclass(frozen=True)
+class Forest:
+    """A random forest fitted in groups of trees. Its trees count alike: the groups' means, weighted by their trees."""
+
+    groups: list
+
+    def score(self, df: DataFrame, out: str) -> DataFrame:
+        """Adds the probability of class 1, or the mean prediction of a regression."""
+        from pyspark.ml.functions import vector_to_array
+        total, terms, kept = sum(g.getNumTrees for g in self.groups), [], [F.col(f"`{c}`") for c in df.columns]
+        for i, g in enumerate(self.groups):
+            g, c = g.copy(), f"_forest{i}"
+            if g.hasParam("probabilityCol"):
+                df = g.setRawPredictionCol("").setPredictionCol("").setProbabilityCol(c).transform(df)
+                terms.append(vector_to_array(c).getItem(1) * F.lit(g.getNumTrees / total))
+            else:
+                df = g.setPredictionCol(c).transform(df)
+                terms.append(F.col(c) * F.lit(g.getNumTrees / total))
+        return df.select(*kept, functools.reduce(operator.add, terms).alias(out))
+
+
+def fit_forest(estimator, data: DataFrame, rows: int, *, seed: int = 42, whole_rows: int = 1_000_000, at_once: int = 25) -> Forest:
+    """All trees of ``estimator`` in one fit, or of more than ``whole_rows`` rows ``at_once`` trees a fit: a fit keeps
+    its draws of every row for every tree, so that 200 trees take a kilobyte a row and are spilled and read again
+    for every level."""
+    trees = estimator.getNumTrees()
+    step = trees if rows <= whole_rows else at_once
+    sizes = [min(step, trees - lo) for lo in range(0, trees, step)]
+    return Forest([estimator.copy().setNumTrees(n).setSeed(seed + i).fit(data) for i, n in enumerate(sizes)])
+
+
 def frequency_severity(train: DataFrame, num_cols: Sequence[str], cat_cols: Sequence[str], *,
-                       claims: str = "TotalClaims", seed: int = 42, trees: int = 200):
+                       claims: str = "TotalClaims", seed: int = 42, trees: int = 200, whole_rows: int = 1_000_000,
+                       at_once: int = 25):
     """Claim probability (random forest classifier on all rows) and severity
-    (random forest on log1p claims of claimants, inverted once with expm1).
+    (random forest on log1p claims of claimants, inverted once with expm1), each a :class:`Forest`.
     Imputer and encoder are fitted once on the training rows. Returns a function scoring any
     frame to p_claim, expected_severity, expected_cost: a row scores alike alone or in a batch."""
-    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.functions import array_to_vector, vector_to_array
     imputer = fit_imputer(train, num_cols, cat_cols)
     data = imputer.apply(train)
     encoder = build_preprocessor(data, num_cols, cat_cols, cardinality=cardinalities(data, cat_cols)).fit(data)
     d = encoder.transform(data).withColumn("label_c", (F.col(claims) > 0).cast("double")) \
             .withColumn("label_s", F.log1p(F.greatest(F.col(claims), F.lit(0.0))))
     d = materialize(d.select("features", "label_c", "label_s"))
-    clf = RandomForestClassifier(labelCol="label_c", numTrees=trees, maxDepth=5, seed=seed).fit(d)
-    sev = RandomForestRegressor(labelCol="label_s", numTrees=trees, maxDepth=5, seed=seed).fit(d.where("label_c = 1"))
+    claimants = d.where("label_c = 1")
+    rows, n_claimants = d.agg(F.count(F.lit(1)), F.count_if(F.col("label_c") == 1)).first()
+    kw = {"seed": seed, "whole_rows": whole_rows, "at_once": at_once}
+    clf = fit_forest(RandomForestClassifier(labelCol="label_c", numTrees=trees, maxDepth=5, seed=seed), d, rows, **kw)
+    sev = fit_forest(RandomForestRegressor(labelCol="label_s", numTrees=trees, maxDepth=5, seed=seed), claimants, n_claimants, **kw)
 
     def score(df: DataFrame) -> DataFrame:
         row = F.struct(*[F.col(c) for c in df.columns])
         x = encoder.transform(imputer.apply(df.withColumn("_row", row)))
-        s = sev.transform(clf.transform(x).select("_row", "features", vector_to_array("probability").getItem(1).alias("p_claim")))
-        s = s.select("_row.*", "p_claim", F.expm1("prediction").alias("expected_severity"))
+        # dense: a tree looks a feature up by place, not by search
+        x = x.select("_row", array_to_vector(vector_to_array("features")).alias("features"))
+        s = sev.score(clf.score(x, "p_claim"), "_severity").select("_row.*", "p_claim", F.expm1("_severity").alias("expected_severity"))
         return s.withColumn("expected_cost", F.col("p_claim") * F.col("expected_severity"))
     return clf, sev, score
 
@@ -403,5 +441,5 @@ def frequency_severity(train: DataFrame, num_cols: Sequence[str], cat_cols: Sequ
 __all__ = ["build_preprocessor", "Imputer", "fit_imputer", "save_model", "load_model", "metric_columns", "feature_names", "cardinalities", "spearman_select",
            "spearman_table", "variance_select", "stratified_split", "regressors", "classifiers",
            "checked_rows", "search_grids", "regression_metrics", "classification_metrics", "positive_probability", "cross_validate", "lasso_grid",
-           "feature_importance", "linear_attribution", "permutation_importance", "frequency_severity",
+           "feature_importance", "linear_attribution", "permutation_importance", "Forest", "fit_forest", "frequency_severity",
            "median", "PipelineModel"]

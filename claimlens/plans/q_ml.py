@@ -435,7 +435,7 @@ def m20_permutation_importance(spark, sf):
 def m21_frequency_severity(spark, sf):
     """Two-part model: claim probability x severity -> expected cost, averaged by province."""
     num, cat = ["SumInsured", "TotalPremium", "kilowatts", "cubiccapacity"], ["CoverType", "LegalType"]
-    d = _pol(spark, sf)
+    d = stored_policy(spark, sf, ["Province", *num, *cat, "TotalClaims"])
     _, _, score = M.frequency_severity(d, num, cat)
     s = score(d)
     return s.groupBy("Province").agg(F.avg("p_claim").alias("p_claim"), F.avg("expected_severity").alias("severity"),
