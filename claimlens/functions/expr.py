@@ -25,8 +25,9 @@ def col_(c) -> Column:
 
 def nan_to_null(c) -> Column:
     """NaN (and +-inf) -> null; Spark orders NaN above every number, pandas drops it."""
-    c = col_(c)
-    return F.when(F.isnan(c) | (F.abs(c) == F.lit(float("inf"))), F.lit(None).cast("double")).otherwise(c)
+    # ``c`` stands here once: an expression named three times is worked out up to three times a row
+    c = F.nanvl(col_(c).cast("double"), F.lit(None).cast("double"))
+    return F.nullif(F.nullif(c, F.lit(float("inf"))), F.lit(float("-inf")))
 
 
 def to_double(c) -> Column:
@@ -85,7 +86,7 @@ def parse_timestamp(c, formats: Sequence[str] = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM
 
 def amount_strip_commas(c) -> Column:
     """Strip every comma and spaces, then cast; failure -> null."""
-    s = F.regexp_replace(F.trim(col_(c).cast("string")), ",", "")
+    s = F.replace(F.trim(col_(c).cast("string")), F.lit(","), F.lit(""))
     return nan_to_null(F.nullif(s, F.lit("")).try_cast("double"))
 
 
@@ -94,10 +95,10 @@ def amount_first_token(c) -> Column:
     the comma is a decimal comma; then the first match of
     ``[-+]?\\d*\\.\\d+|\\d+`` is taken (an integer token loses its sign)."""
     s = F.trim(col_(c).cast("string"))
-    n_commas = F.length(s) - F.length(F.regexp_replace(s, ",", ""))
+    n_commas = F.length(s) - F.length(F.replace(s, F.lit(","), F.lit("")))
     after = F.substring_index(s, ",", -1)
     is_dec = (~s.contains(".")) & (n_commas == 1) & (F.length(after) <= 2)
-    dec = F.when(is_dec, F.regexp_replace(s, ",", ".")).otherwise(s)
+    dec = F.when(is_dec, F.replace(s, F.lit(","), F.lit("."))).otherwise(s)
     tok = F.regexp_extract(dec, r"[-+]?\d*\.\d+|\d+", 0)
     return F.nullif(tok, F.lit("")).try_cast("double")
 
