@@ -9,6 +9,7 @@ import zipfile
 
 from pyspark.sql import SparkSession
 
+METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -44,6 +45,7 @@ def get_session(master: str | None = None, app: str = "claimlens",
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ship_package(spark)
+    limit_methods(spark)
     checkpoint_dir(spark)
     return spark
 
@@ -65,6 +67,13 @@ def ship_package(spark: SparkSession) -> None:
     sc._claimlens_shipped = True
 
 
+def limit_methods(spark: SparkSession) -> None:
+    """Lower Spark's bound on generated methods to what HotSpot compiles, unless the session sets one of its own. Wide row-wise
+    work (a raw table typed, amounts parsed) fused into one method beyond 8,000 bytes of bytecode is only interpreted."""
+    if spark.conf.get(METHOD_LIMIT) == "65535":  # Spark's default: the largest method that Java knows
+        spark.conf.set(METHOD_LIMIT, "8000")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
@@ -122,4 +131,4 @@ def joinable(groups):
     return stored(groups, "groups")
 
 
-__all__ = ["joinable", "stored", "get_session", "checkpoint_dir", "scratch_path", "ship_package", "materialize"]
+__all__ = ["limit_methods", "joinable", "stored", "get_session", "checkpoint_dir", "scratch_path", "ship_package", "materialize"]
