@@ -38,32 +38,26 @@ def suffix_order(text: np.ndarray) -> np.ndarray:
     word = ring
     for size in (1, 2, 4):  # eight bytes from each position, most significant first
         word = (word[:len(word) - size] << np.uint64(8 * size)) | word[size:]
-    order = np.argsort(word[:n], kind="stable")
-    rank, size = _ranks(word[:n], order), 8
-    while size < n:
+    open_ = order = np.argsort(word[:n], kind="stable")
+    key, place, size = word[order], np.arange(n), 8
+    rank = np.empty(n, np.int64)
+    while True:
+        # the rank of a part is the first place that it takes
+        new = np.concatenate([[True], key[1:] != key[:-1]])
+        rank[open_] = np.maximum.accumulate(np.where(new, place, 0))
         # Only positions that share their rank with another one still move.
-        place = np.flatnonzero(np.bincount(rank, minlength=n)[rank[order]] > 1)
-        if not len(place):
-            break
-        open_ = order[place]
-        key = rank[open_] * n + rank[(open_ + size) % n]
+        shared = ~new
+        shared[:-1] |= ~new[1:]
+        if size >= n or not shared.any():
+            return order
+        place, open_ = place[shared], open_[shared]
+        behind = open_ + size
+        behind[behind >= n] -= n
+        key = rank[open_] * n + rank[behind]
         by = np.argsort(key, kind="stable")
         open_, key = open_[by], key[by]
         order[place] = open_
-        # the rank of a part is the first place that it takes
-        new = np.concatenate([[True], key[1:] != key[:-1]])
-        rank[open_] = np.maximum.accumulate(np.where(new, place, 0))
         size *= 2
-    return order
-
-
-def _ranks(key: np.ndarray, order: np.ndarray) -> np.ndarray:
-    """The place of the first position of an equal key, for every position."""
-    sorted_ = key[order]
-    new = np.concatenate([[True], sorted_[1:] != sorted_[:-1]])
-    rank = np.empty(len(key), np.int64)
-    rank[order] = np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))
-    return rank
 
 
 def interval_classes(text: np.ndarray, length: int) -> np.ndarray:
@@ -82,19 +76,26 @@ def interval_classes(text: np.ndarray, length: int) -> np.ndarray:
     starts = np.concatenate([[0], np.cumsum(np.bincount(bwt, minlength=256))[:-1]])
     bound = np.zeros(n, bool)
     bound[starts[np.unique(bwt)]] = True  # step 1: one interval for each byte
-    open_rows = np.flatnonzero(~bound)
+    open_rows = np.flatnonzero(~bound).astype(np.int32)
     above, below = back[open_rows - 1], back[open_rows]
-    interval = np.cumsum(bound, dtype=np.int32)
+    # Most neighbours stay neighbours one byte on: a boundary between those is read off, not found by counting.
+    near = below - above == 1
+    near_rows, near_below = open_rows[near], below[near]
+    open_rows, above, below = open_rows[~near], above[~near], below[~near]
     for _ in range(1, length):
         # Extend every interval to the left: two neighbours with the same first byte part when
         # the suffixes behind that byte lie in different intervals.
+        near_parts = bound[near_below]
+        interval = np.cumsum(bound, dtype=np.int32) if len(open_rows) else bound
         parts = interval[above] != interval[below]
-        if not parts.any():
+        if not (parts.any() or near_parts.any()):
             break
         bound[open_rows[parts]] = True
-        stay = ~parts
+        bound[near_rows[near_parts]] = True
+        stay, near_stay = ~parts, ~near_parts
         open_rows, above, below = open_rows[stay], above[stay], below[stay]
-        interval = np.cumsum(bound, dtype=np.int32)
+        near_rows, near_below = near_rows[near_stay], near_below[near_stay]
+    interval = np.cumsum(bound, dtype=np.int32)
     return interval[row_of].astype(np.int64) - 1
 
 

@@ -371,3 +371,17 @@ def test_hot_text_is_split(spark):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_interval_expansion_counts_only_for_parted_neighbours(monkeypatch):
+    """Neighbours that stay neighbours one byte on need no count over all rows for every byte."""
+    import numpy as np
+
+    from claimlens.llm import suffix_dedup
+    part = np.random.default_rng(5).integers(0, 250, 500).astype(np.uint8)
+    text = np.concatenate([part, [250], part, [251]]).astype(np.uint8)
+    calls, plain = [], np.cumsum
+    monkeypatch.setattr(suffix_dedup.np, "cumsum", lambda *a, **k: calls.append(1) or plain(*a, **k))
+    cls = suffix_dedup.interval_classes(text, 50)
+    assert len(calls) < 12  # one for every byte before
+    assert cls[:451].tolist() == cls[501:952].tolist() and len(set(cls[:501].tolist())) == 501
