@@ -374,6 +374,7 @@ def m16_one_feature_folds(spark, sf):
     """Mean fold RMSE of a one-feature linear regression; folds are PolicyID % 5."""
     d = _pol(spark, sf).where((F.col("TotalClaims") > 0) & F.col("SumInsured").isNotNull())
     d = d.select(F.log1p("SumInsured").alias("x"), F.log1p("TotalClaims").alias("label"), (F.col("PolicyID") % 5).cast("int").alias("fold"))
+    d = stored(d, "policy")  # five fits and five errors at a time would join the tables ten times, with ten sets of broadcast sides in the driver
     data = VectorAssembler(inputCols=["x"], outputCol="features").transform(d)
     cvm = M.cross_validate(M.regressors("label")["LinearRegression"], data, "label", folds=5, fold_col="fold")
     return finish(spark.createDataFrame([(5, float(cvm.avgMetrics[0]))], "folds bigint, mean_rmse double"), default=5)
