@@ -20,9 +20,9 @@ from claimlens.streaming import ingest as ST
 CTE = policy_cte()
 
 
-def raw_from_policy(p):
+def raw_from_policy(p, keep=()):
     """The policy rows in the 52-column raw layout, every value as text as a raw
-    file would hold it (booleans as Yes/No, months as 'yyyy-MM-dd HH:mm:ss')."""
+    file would hold it (booleans as Yes/No, months as 'yyyy-MM-dd HH:mm:ss'), and the columns ``keep``."""
     have = {
         "UnderwrittenCoverID": F.concat_ws("-", F.col("PolicyID").cast("string"), F.col("CoverSeq").cast("string")),
         "PolicyID": F.col("PolicyID").cast("string"),
@@ -41,7 +41,7 @@ def raw_from_policy(p):
         "Gender": F.col("Gender"), "LegalType": F.col("LegalType"), "CoverType": F.col("CoverType"),
         "make": F.concat(F.lit("  "), F.col("make"), F.lit(" ")), "Model": F.col("Model"),
     }
-    return p.select(*[(have[c] if c in have else F.lit(None).cast("string")).alias(c) for c in IO.RAW_COLUMNS])
+    return p.select(*[(have[c] if c in have else F.lit(None).cast("string")).alias(c) for c in IO.RAW_COLUMNS], *keep)
 
 
 RT_SQL = CTE + """SELECT count(*) AS n_rows, round(sum(TotalPremium), 2) AS total_premium, round(sum(TotalClaims), 2) AS total_claims,
@@ -90,7 +90,7 @@ def s8_s10_s14_samples(spark, sf):
 @query("etl_process_summary", None)
 def etl_process_summary(spark, sf):
     """The full ETL (section 3.1) on the raw round-trip file: quality-rule report rows."""
-    path = IO.write_table(raw_from_policy(policy_view(spark, sf)), scratch_path(spark, "raw"), fmt="csv")
+    path = IO.write_table(raw_from_policy(policy_view(spark, sf)), scratch_path(spark, "raw"), fmt="csv", compression="gzip")
     out, report = etl.process(IO.read_raw_tolerant(spark, path), current_year=1999)
     summ = out.agg(F.count(F.lit(1)).alias("n_rows"), F.sum("TotalPremium").alias("total_premium"),
                    F.sum("TotalClaims").alias("total_claims"), F.avg("LossRatio").alias("mean_loss_ratio"))
@@ -104,12 +104,12 @@ def stream_monthly_ingest(spark, sf):
     streaming ingest types and appends them (available-now trigger, checkpointed);
     the landed table's monthly series must equal the source's after the row
     repairs (absolute premium)."""
+    # joined and written once, compressed, a folder for each of the two
     p = policy_view(spark, sf)
-    land = scratch_path(spark, "landing")
-    IO.write_table(raw_from_policy(p.where(F.col("CoverSeq") % 2 == 0)), land + "/part-a", fmt="csv")
-    IO.write_table(raw_from_policy(p.where(F.col("CoverSeq") % 2 == 1)), land + "/part-b", fmt="csv")
+    raw = raw_from_policy(p.withColumn("_part", F.col("CoverSeq") % 2), ["_part"]).where("_part IN (0, 1)").withColumnRenamed("_part", "part")
+    land = IO.write_table(raw, scratch_path(spark, "landing"), fmt="csv", partition_by=["part"], compression="gzip")
     out, ck = scratch_path(spark, "landed"), scratch_path(spark, "stream-ck")
-    q = ST.start_ingest(spark, land + "/*.csv", out, ck)
+    q = ST.start_ingest(spark, land + "/part=*", out, ck)
     q.awaitTermination()
     landed = spark.read.parquet(out)
     return finish(landed.groupBy("month").agg(F.sum("TotalPremium").alias("total_premium"),

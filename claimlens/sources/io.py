@@ -89,8 +89,8 @@ def read_or_build(spark: SparkSession, path: str, build: Callable[[], DataFrame]
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                partition_by: Sequence[str] | None = None, sep: str = "|") -> str:
-    """Parquet-snappy (default) or delimited text with header. The path's
+                partition_by: Sequence[str] | None = None, sep: str = "|", compression: str | None = None) -> str:
+    """Parquet-snappy (default) or delimited text with header, ``compression`` (such as gzip) if named. The path's
     extension is fixed up to match the format."""
     ext = {"parquet": ".parquet", "csv": ".csv", "json": ".json"}[fmt]
     if "." in path.rsplit("/", 1)[-1]:
@@ -102,6 +102,7 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     if fmt == "parquet":
         w.option("compression", "snappy").parquet(path)
     elif fmt == "csv":
+        w = w.option("compression", compression) if compression else w
         w.option("header", True).option("sep", sep).csv(path)
     else:
         w.json(path)

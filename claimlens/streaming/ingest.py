@@ -34,6 +34,6 @@ def start_ingest(spark: SparkSession, folder: str, out: str, checkpoint: str, *,
     checkpoint location records processed files, so a restarted query (or a lost
     executor) neither skips nor duplicates a file."""
     q = (stream_typed(spark, folder).writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", checkpoint).partitionBy("month").outputMode("append"))
+         .option("compression", "zstd").option("checkpointLocation", checkpoint).partitionBy("month").outputMode("append"))
     q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="1 minute")
     return q.start()
