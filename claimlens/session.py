@@ -120,7 +120,7 @@ def stored(df, name: str = "stored"):
     columns they use and replay nothing; encoded columns take a fraction of a checkpoint's rows."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
